@@ -1,0 +1,45 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when Catalyst's size estimate for its optimised plan
+(file sizes scaled by the projected columns, or an exact row bound from a
+``limit``) is below ``max_bytes``. Otherwise the plan keeps a shuffle join and
+AQE may still demote it to a broadcast at runtime from real shuffle sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:
+        return 1 << 62
+
+
+def estimated_rows(df: DataFrame) -> int | None:
+    try:
+        rc = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        if rc.isDefined():
+            return int(str(rc.get()))
+    except Exception:
+        pass
+    return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only behind a size check; else leave it to the planner."""
+    if estimated_bytes(df) <= max_bytes:
+        return F.broadcast(df)
+    return df
+
+
+def bounded(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a side whose row count is bounded by construction (a top-k or
+    a one-row query); the limit makes the bound part of the plan."""
+    return F.broadcast(df.limit(max_rows))

@@ -1,0 +1,78 @@
+"""Registered queries: one callable (spark, sf_dir) -> DataFrame per operator.
+
+Each query reads the driver tables (or data Spark derives from them) in full.
+Parameters that stand in for user input (exclusion terms, the query vector
+row, page size) are fixed here and mirrored in the oracle SQL.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .operators.dedupe import keep_first
+from .plans.search import SearchParams, search
+from .sources.listings import listing_view
+from .sources.tables import read_table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+AS_OF = _dt.datetime(1999, 1, 1, 0, 0, 0)
+AS_OF_DATE = "1999-01-01"
+QUERY_VEC_ID = 42
+
+
+def register(name: str):
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def L(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_view(spark, sf)
+
+
+def stored_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """W1 applied to L: one row per external_id (total order over all columns)."""
+    return keep_first(L(spark, sf), ["external_id"])
+
+
+def query_vector(spark: SparkSession, sf: str, vec_id: int = QUERY_VEC_ID) -> list[float]:
+    """V4: the query vector (one row of the vector table)."""
+    row = (read_table(spark, sf, "embeddings", "vec_id", "embedding")
+           .filter(F.col("vec_id") == vec_id).select("embedding").first())
+    return list(row[0]) if row else []
+
+
+def order_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, sf, "orders", "o_orderkey", "o_orderdate").select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("timestamp").alias("updated_at"))
+
+
+SEARCH_PARAMS = SearchParams(
+    exclude_districts=["germany", "japan"], exclude_portals=["freedom"], only_new=True,
+    new_within_days=90, as_of=AS_OF, top_n=50, offset=10)
+
+
+def run_search(spark: SparkSession, sf: str, params: SearchParams = SEARCH_PARAMS) -> DataFrame:
+    vectors = read_table(spark, sf, "embeddings", "vec_id", "embedding")
+    ts = order_timestamps(spark, sf)
+    out = search(stored_listings(spark, sf), vectors, query_vector(spark, sf), params,
+                 timestamps=ts, timestamps_key="order_key")
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("search")
+def q_search(spark, sf):
+    return run_search(spark, sf)
+
+
+@register("search_prefilter")
+def q_search_prefilter(spark, sf):
+    from dataclasses import replace
+    return run_search(spark, sf, replace(SEARCH_PARAMS, mode="pre"))
