@@ -93,7 +93,7 @@ def parse_date_ingest_iso(c, as_of, year_required: bool = False) -> Column:
 
 def parse_date_ingest(c, as_of, year_required: bool = False) -> Column:
     """F3a / F3b validated to a DATE (impossible dates -> null)."""
-    return F.try_to_date(parse_date_ingest_iso(c, as_of, year_required), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(parse_date_ingest_iso(c, as_of, year_required), "yyyy-MM-dd")
 
 
 def parse_date_read(c, as_of) -> Column:

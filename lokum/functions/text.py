@@ -133,12 +133,22 @@ def text_price(c) -> Column:
     return F.regexp_replace(raw, r"[ \x{a0}.\t\n\r\f]", "").try_cast("double")
 
 
+# --- rounding ---------------------------------------------------------------
+
+def round_to(c, digits: int) -> Column:
+    """Round the binary value: round(x * 10^d) / 10^d, half away from zero.
+    (``F.round`` on a double rounds its shortest decimal text instead, which
+    turns 18329.475 -> 18329.48 though the stored value is 18329.47499...)"""
+    m = float(10 ** digits)
+    return F.round(col_(c) * F.lit(m), 0) / F.lit(m)
+
+
 # --- F11 --------------------------------------------------------------------
 
 def price_per_sqm(price, sqm, existing=None) -> Column:
     """round(price / sqm, 2) when missing and both truthy and sqm > 0."""
     calc = F.when(truthy_num(price) & truthy_num(sqm) & (col_(sqm) > 0),
-                  F.round(F.try_divide(col_(price), col_(sqm)), 2))
+                  round_to(F.try_divide(col_(price), col_(sqm)), 2))
     if existing is None:
         return calc
     return F.when(truthy_num(existing), col_(existing)).otherwise(calc)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import col_
+from ..functions.text import col_, round_to
 
 SIM_DECIMALS = 4
 MAX_QUERY_MATRIX_BYTES = 256 * 1024 * 1024
@@ -55,7 +55,7 @@ def vec_literal(values: Sequence[float]) -> Column:
 def similarity(vec_col: str, query: Sequence[float] | Column) -> Column:
     q = query if isinstance(query, Column) else vec_literal(query)
     qn = norm(q)
-    return F.round(cosine(vec_col, q, qn), SIM_DECIMALS)
+    return round_to(cosine(vec_col, q, qn), SIM_DECIMALS)
 
 
 def topk(df: DataFrame, sim_col: str, k: int | None, threshold: float | None,
@@ -70,6 +70,12 @@ def topk(df: DataFrame, sim_col: str, k: int | None, threshold: float | None,
 
 # --- W8: batch top-k ---------------------------------------------------------
 
+def _round_half_away(a: np.ndarray, digits: int) -> np.ndarray:
+    """Same rule as ``round_to``: round(x * 10^d) / 10^d, half away from zero."""
+    m = 10.0 ** digits
+    y = a * m
+    return np.sign(y) * np.floor(np.abs(y) + 0.5) / m
+
 def _check_query_matrix(n_queries: int, dim: int) -> None:
     size = n_queries * dim * 8
     if size > MAX_QUERY_MATRIX_BYTES:
@@ -113,7 +119,7 @@ def batch_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float |
             m = np.stack(pdf[item_vec].to_numpy()).astype(np.float64)
             nrm = np.linalg.norm(m, axis=1)
             nrm[nrm == 0] = np.nan
-            sims = np.round((m / nrm[:, None]) @ qu.T, SIM_DECIMALS)  # items x queries
+            sims = _round_half_away((m / nrm[:, None]) @ qu.T, SIM_DECIMALS)  # items x queries
             iid = pdf[item_id].to_numpy(dtype=np.int64)
             for qi in range(len(ids_)):
                 s = sims[:, qi]

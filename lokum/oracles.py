@@ -43,3 +43,277 @@ FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
 
 oracle("search", _search_sql(pre=False))
 oracle("search_prefilter", _search_sql(pre=True))
+
+
+# =============================================================================
+# Scalar functions
+# =============================================================================
+
+from . import oracle as O  # noqa: E402
+from .constants import (DATE_LABELS_DOTTED, DATE_LABELS_TEXTUAL, EXTRACT_TEXT_CAP,  # noqa: E402
+                        FB_DEFAULT_TITLE, FB_TITLE_PREFIX, MONTH_GENITIVE, PORTAL_KEYS,
+                        PORTAL_PREFIXES)
+from .oracle import q  # noqa: E402
+
+A = AS_OF_DATE
+
+
+def rooms_raw():
+    words = O.case_idx("rooms", ["ONE", "TWO", "THREE", "FOUR", "FIVE"], base=1)
+    r = "CAST(rooms AS VARCHAR)"
+    return (f"(CASE line_no WHEN 1 THEN {words} WHEN 2 THEN {r} || ' pokoje' WHEN 3 THEN 'kawalerka' "
+            f"WHEN 4 THEN {r} || ' POKÓJ' WHEN 5 THEN {r} WHEN 6 THEN NULL ELSE {r} || ' pokoi' END)")
+
+
+def month_word(ts):
+    return O.case_idx(f"month({ts})", MONTH_GENITIVE, base=1)
+
+
+def raw_date():
+    c = "created_at"
+    return (f"(CASE line_no WHEN 1 THEN 'Dzisiaj o 14:30' WHEN 2 THEN district WHEN 3 THEN 'wczoraj' "
+            f"WHEN 4 THEN CAST(day({c}) AS VARCHAR) || ' ' || {month_word(c)} "
+            f"WHEN 5 THEN CAST(day({c}) AS VARCHAR) || ' ' || {month_word(c)} || ' ' || CAST(year({c}) AS VARCHAR) "
+            f"ELSE description END)")
+
+
+CLEAN_D = "split_part(district, ' - ', 1)"
+
+
+def location():
+    d = f"lower({CLEAN_D})"
+    return (f"(CASE line_no % 3 WHEN 0 THEN 'Warszawa, ' || {d} WHEN 1 THEN {d} || ', Warszawa, mazowieckie' "
+            f"ELSE {d} END)")
+
+
+def from_l(select: str, where: str = "") -> str:
+    return with_l(f"SELECT {select} FROM L {where}")
+
+
+def from_sub(inner_select: str, outer_select: str) -> str:
+    return with_l(f"SELECT {outer_select} FROM (SELECT {inner_select} FROM L) t")
+
+
+oracle("parse_rooms", from_sub(f"external_id, {rooms_raw()} AS rooms_raw",
+                               f"external_id, rooms_raw, {O.parse_rooms('rooms_raw')} AS rooms, "
+                               f"{O.parse_rooms('rooms_raw', strict=True)} AS rooms_strict"))
+
+
+def parse_number(x):
+    cleaned = f"replace(regexp_replace(CAST({x} AS VARCHAR), '[ \\x{{a0}}]', '', 'g'), ',', '.')"
+    return f"TRY_CAST({O.rx(cleaned, r'(\d+(?:\.\d+)?)')} AS DOUBLE)"
+
+
+oracle("parse_number", from_l(f"external_id, description, {parse_number('description')} AS number"))
+oracle("parse_date_ingest", from_sub(
+    f"external_id, {raw_date()} AS raw",
+    f"external_id, raw, {O.date_ingest_iso('raw', A)} AS date_iso, "
+    f"CAST({O.date_ingest('raw', A)} AS VARCHAR) AS date_posted"))
+oracle("parse_date_year_required", from_sub(
+    f"external_id, {raw_date()} AS raw",
+    f"external_id, raw, CAST({O.date_ingest('raw', A, True)} AS VARCHAR) AS date_posted"))
+oracle("parse_date_read", from_sub(f"external_id, {raw_date()} AS raw",
+                                   f"external_id, raw, {O.date_read('raw', A)} AS date_posted"))
+
+TEXT = "concat_ws(' ', title, description)"
+
+
+def text_sqm_sane(x):
+    v = O.text_sqm(x)
+    return f"(CASE WHEN {v} > 10 AND {v} < 1000 THEN {v} END)"
+
+
+oracle("text_sqm", from_l(f"external_id, {O.text_sqm(TEXT)} AS sqm, {text_sqm_sane(TEXT)} AS sqm_sane"))
+oracle("text_rooms", from_l(f"external_id, {O.text_rooms(TEXT)} AS rooms"))
+oracle("text_price", from_l(f"external_id, {O.text_price(TEXT)} AS price_pln"))
+
+
+def text_date(x, labels, textual=True):
+    alt = "(?:" + "|".join(l.lower() for l in labels) + ")"
+    ws = O.WS
+    if textual:
+        val = r"(\d{1,2}" + ws + r"+\p{L}+(?:" + ws + r"+\d{4})?|\d{1,2}\.\d{1,2}\.\d{4}|dzisiaj|wczoraj)"
+    else:
+        val = r"(\d{1,2}\.\d{1,2}\.\d{4})"
+    pat = alt + ws + "*:?" + ws + "*" + val
+    return O.date_ingest(O.rx(f"lower({x})", pat), A, year_required=not textual)
+
+
+oracle("text_date", from_l(
+    "external_id, "
+    f"CAST({text_date('description', DATE_LABELS_TEXTUAL['olx'])} AS VARCHAR) AS date_olx, "
+    f"CAST({text_date('description', DATE_LABELS_TEXTUAL['no'])} AS VARCHAR) AS date_no, "
+    f"CAST({text_date('description', DATE_LABELS_DOTTED['morizon'], False)} AS VARCHAR) AS date_morizon, "
+    f"CAST({text_date('description', DATE_LABELS_DOTTED['freedom'], False)} AS VARCHAR) AS date_freedom"))
+
+COMB = f"concat_ws(' ', {TEXT}, url)"
+oracle("fallback_params", from_l(
+    f"external_id, {O.text_sqm(COMB)} AS sqm, {O.text_rooms(COMB)} AS rooms, "
+    f"{O.text_price(TEXT)} AS price_pln, "
+    f"CAST({text_date(TEXT, DATE_LABELS_TEXTUAL['olx'])} AS VARCHAR) AS date_posted"))
+
+
+def parts(x, drop_empty):
+    p = f"list_transform(string_split({x}, ','), lambda p: {O.strip('p')})"
+    return f"list_filter({p}, lambda p: p <> '')" if drop_empty else p
+
+
+STOP = "('warszawa', 'mazowieckie')"
+
+
+def empty_or(x, expr):
+    return f"(CASE WHEN {x} IS NULL OR {x} = '' THEN NULL ELSE {expr} END)"
+
+
+def d_first(x):
+    ps = parts(x, False)
+    pick = f"(CASE WHEN len({ps}) > 1 THEN list_filter({ps}, lambda p: lower(p) <> 'warszawa')[1] END)"
+    return empty_or(x, O.title(f"coalesce({pick}, ({ps})[1])"))
+
+
+def d_stop(x):
+    ps = parts(x, False)
+    return empty_or(x, O.title(f"coalesce(list_filter({ps}, lambda p: lower(p) NOT IN {STOP})[1], ({ps})[1])"))
+
+
+def d_last(x):
+    ps = parts(x, True)
+    kept = f"list_filter({ps}, lambda p: lower(p) NOT IN {STOP})"
+    return empty_or(x, f"coalesce({O.title(f'(CASE WHEN len({kept}) > 0 THEN ({kept})[-1] END)')}, ({ps})[1])")
+
+
+def d_no_street(x):
+    ps = parts(x, True)
+    kept = f"list_filter({ps}, lambda p: lower(p) NOT IN {STOP} AND NOT starts_with(lower(p), 'ul.'))"
+    return empty_or(x, f"coalesce({O.capitalize(f'({kept})[1]')}, ({ps})[1])")
+
+
+def d_strip_city(x):
+    ps = parts(x, False)
+    cleaned = f"list_transform({ps}, lambda p: {O.strip(chr(114) + 'eplace(p, ' + q('Warszawa') + ', ' + q('') + ')')})"
+    kept = f"list_filter({cleaned}, lambda p: p <> '' AND lower(p) NOT IN {STOP})"
+    return empty_or(x, f"coalesce({O.capitalize(f'({kept})[1]')}, ({ps})[1])")
+
+
+for _name, _fn, _loc in [
+    ("district_first", d_first, location()),
+    ("district_stopset", d_stop, location()),
+    ("district_last", d_last, location()),
+    ("district_no_street", d_no_street, f"(CASE WHEN line_no = 7 THEN 'ul. Polna 3, ' || {location()} ELSE {location()} END)"),
+    ("district_strip_city", d_strip_city, f"(CASE WHEN line_no = 5 THEN 'Warszawa ' || {CLEAN_D} ELSE {location()} END)"),
+]:
+    oracle(_name, from_sub(f"external_id, {_loc} AS location",
+                           f"external_id, location, {_fn('location')} AS district"))
+
+SLUG_CHARS = r"[a-zA-Z\-żółćęśąźńZÓŁĆĘŚĄŹŃ]+"
+
+
+def from_slug(url, text):
+    u = O.rx(f"lower({url})", r"warszawa-(" + SLUG_CHARS + r")-ul")
+    t = O.rx(f"lower({text})", r"warszawa" + O.WS + r"+(" + SLUG_CHARS + r")")
+    raw = O.strip(f"replace(coalesce({u}, {t}), '-', ' ')")
+    return f"(CASE WHEN {raw} IS NOT NULL AND lower({raw}) NOT IN ('mieszkanie', 'sprzedaz') THEN {O.title(raw)} END)"
+
+
+SLUG_URL = (f"(CASE WHEN line_no % 2 = 1 THEN 'https://adresowo.pl/o/mieszkanie-warszawa-' || "
+            f"lower(replace({CLEAN_D}, ' ', '-')) || '-ul-' || CAST(part_key AS VARCHAR) ELSE url END)")
+oracle("district_from_slug", from_sub(
+    f"external_id, {SLUG_URL} AS slug_url, 'Mieszkanie Warszawa ' || {CLEAN_D} || ' ul. Polna' AS text",
+    f"external_id, {from_slug('slug_url', 'text')} AS district"))
+
+oracle("price_per_sqm", from_l(f"external_id, {price_per_sqm('price_pln', 'sqm')} AS price_per_sqm"))
+_pref = O.case_map("portal", dict(zip(PORTAL_KEYS, PORTAL_PREFIXES)))
+oracle("external_id", from_l(
+    f"{_pref} || '-' || CAST(order_key AS VARCHAR) || '-' || CAST(line_no AS VARCHAR) AS external_id, portal"))
+
+
+def default_title(t="title", d="district"):
+    name = f"(CASE WHEN {d} IS NOT NULL AND {d} <> '' THEN {d} ELSE 'Warszawa' END)"
+    return f"(CASE WHEN {O.blank(t)} THEN 'Mieszkanie na sprzedaż (' || {name} || ')' ELSE {t} END)"
+
+
+oracle("title_default", from_l(
+    f"external_id, {default_title()} AS title, "
+    f"'Mieszkanie Warszawa (' || coalesce(NULLIF({CLEAN_D}, ''), 'Warszawa') || ')' AS title_freedom, "
+    f"{q(FB_TITLE_PREFIX)} || coalesce(NULLIF(title, ''), {q(FB_DEFAULT_TITLE)}) AS title_fb"))
+
+
+def pack(d, t):
+    return (f"(CASE WHEN {d} IS NOT NULL AND {d} <> '' AND {t} IS NOT NULL AND {t} <> '' THEN {d} || ' - ' || {t} "
+            f"WHEN {d} IS NOT NULL AND {d} <> '' THEN {d} ELSE 'Warszawa' END)")
+
+
+oracle("district_pack", from_l(
+    f"external_id, {pack(CLEAN_D, 'CAST(' + text_date('description', ['Dodano']) + ' AS VARCHAR)')} AS district"))
+oracle("district_unpack", from_l(
+    f"external_id, {unpack_district('district')} AS district, "
+    f"{O.date_read('coalesce(' + O.strip(O.packed_date('district')) + ', CAST(created_at AS VARCHAR))', A)} AS date_posted"))
+
+
+def falsy_or(a, b):
+    return f"(CASE WHEN {O.truthy(a)} THEN {a} ELSE {b} END)"
+
+
+oracle("falsy_coalesce", from_l(
+    f"external_id, {falsy_or('price_pln', O.text_price('description'))} AS price_or, "
+    f"coalesce(price_pln, {O.text_price('description')}) AS price_is_none, "
+    f"(CASE WHEN {O.truthy_s('title')} THEN title ELSE 'Mieszkanie' END) AS title_or"))
+oracle("portal_classify", from_l(
+    f"external_id, url, {O.portal_key('url', 'external_id')} AS portal_key, "
+    f"{O.portal_label('url', 'external_id')} AS portal_label"))
+
+
+def store_record_sql():
+    t = default_title()
+    comb = O.strip(f"{t} || ' ' || coalesce(description, '')")
+    return f"""
+SELECT external_id, title, coalesce(sqm1, 42.0) AS sqm, sqm1 IS NULL AS sqm_imputed,
+       coalesce(rooms1, 2) AS rooms, rooms1 IS NULL AS rooms_imputed, price_pln,
+       {price_per_sqm('price_pln', 'sqm1')} AS price_per_sqm
+FROM (SELECT external_id, {t} AS title, coalesce(sqm, {O.text_sqm(comb)}) AS sqm1,
+             coalesce(rooms, {O.text_rooms(comb)}) AS rooms1,
+             coalesce(price_pln, {O.text_price(comb)}) AS price_pln FROM L) t"""
+
+
+oracle("impute_defaults", with_l(store_record_sql()))
+
+
+def embed_text(t, d, desc):
+    dist = f"(CASE WHEN {O.truthy_s(d)} THEN {d} ELSE 'Warszawa' END)"
+    return f"(CASE WHEN {O.blank(desc)} THEN {O.strip(f'concat_ws({q(chr(32))}, {t}, {dist})')} ELSE {O.strip(desc)} END)"
+
+
+oracle("embed_text", from_l(f"external_id, {embed_text(default_title(), 'district', 'description')} AS embed_text"))
+oracle("highlight_snippet", f"SELECT doc_id, {O.snippet('text')} AS snippet FROM documents")
+_name = f"lower(replace({CLEAN_D}, ' ', '-'))"
+oracle("title_case", from_l(f"external_id, {_name} AS name, {O.title(_name)} AS title_case, "
+                            f"{O.capitalize(_name)} AS capitalized"))
+oracle("format_money", from_l(f"external_id, {O.fmt_money('price_pln')} AS price, "
+                              f"{O.fmt_money(price_per_sqm('price_pln', 'sqm'))} AS price_per_sqm"))
+oracle("post_date", f"""
+SELECT event_id, CASE event_id % 3
+  WHEN 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR)
+  WHEN 1 THEN substr(CAST(ts AS VARCHAR), 1, 10)
+  ELSE {q(A)} END AS date_posted
+FROM events""")
+oracle("text_cap", f"SELECT doc_id, substr(text, 1, {EXTRACT_TEXT_CAP}) AS text FROM documents")
+
+
+def unit_tagged_sql():
+    price = "replace(format('{:,.0f}', price_pln), ',', ' ') || ' zł'"
+    area = "replace(CAST(sqm AS VARCHAR), '.', ',') || ' m²'"
+    rooms = "CAST(rooms AS VARCHAR) || ' pok.'"
+    tags = f"[{price}, {area}, {rooms}, '9 zł', '5 m2']"
+    pr = (f"list_filter(list_transform(list_filter({tags}, lambda t: contains(t, 'zł')), "
+          f"lambda t: TRY_CAST(regexp_replace({O.strip('t')}, '[ \\x{{a0}}.]|zł', '', 'g') AS DOUBLE)), lambda v: v > 1000)")
+    ar = (f"list_filter(list_transform(list_filter({tags}, lambda t: NOT contains(t, 'zł') AND (contains(t, 'm²') OR contains(t, 'm2'))), "
+          f"lambda t: TRY_CAST({O.strip(chr(114) + 'eplace(regexp_replace(' + O.strip('t') + ', ' + q('m²|m2') + ', ' + q('') + ', ' + q('g') + '), ' + q(',') + ', ' + q('.') + ')')} AS DOUBLE)), lambda v: v > 10)")
+    ro = (f"list_filter(list_transform(list_filter({tags}, lambda t: NOT contains(t, 'zł') AND NOT contains(t, 'm²') AND NOT contains(t, 'm2') AND contains(t, 'pok')), "
+          f"lambda t: TRY_CAST(NULLIF(regexp_extract(t, '(\\d+)', 1), '') AS INTEGER)), lambda v: v IS NOT NULL)")
+
+    def last(a):
+        return f"(CASE WHEN len({a}) > 0 THEN ({a})[-1] END)"
+    return f"SELECT external_id, {last(pr)} AS price_pln, {last(ar)} AS sqm, {last(ro)} AS rooms FROM L"
+
+
+oracle("unit_tagged_values", with_l(unit_tagged_sql()))

@@ -76,3 +76,310 @@ def q_search(spark, sf):
 def q_search_prefilter(spark, sf):
     from dataclasses import replace
     return run_search(spark, sf, replace(SEARCH_PARAMS, mode="pre"))
+
+
+# =============================================================================
+# Scalar functions (F1-F30) over the listing view
+# =============================================================================
+
+from .constants import MONTH_GENITIVE, PORTAL_KEYS, PORTAL_PREFIXES  # noqa: E402
+from .functions import dates as FD  # noqa: E402
+from .functions import district as FDi  # noqa: E402
+from .functions import text as FT  # noqa: E402
+from .functions import urls as FU  # noqa: E402
+
+ROOM_WORD_FORMS = ["ONE", "TWO", "THREE", "FOUR", "FIVE"]
+
+
+def _n():
+    return F.col("line_no")
+
+
+def rooms_raw_col():
+    n, r = _n(), F.col("rooms").cast("string")
+    return (F.when(n == 1, F.element_at(F.array(*[F.lit(w) for w in ROOM_WORD_FORMS]), F.col("rooms")))
+            .when(n == 2, F.concat(r, F.lit(" pokoje")))
+            .when(n == 3, F.lit("kawalerka"))
+            .when(n == 4, F.concat(r, F.lit(" POKÓJ")))
+            .when(n == 5, r)
+            .when(n == 6, F.lit(None).cast("string"))
+            .otherwise(F.concat(r, F.lit(" pokoi"))))
+
+
+def month_word_of(ts):
+    return F.element_at(F.array(*[F.lit(m) for m in MONTH_GENITIVE]), F.month(ts))
+
+
+def raw_date_col():
+    n, c = _n(), F.col("created_at")
+    return (F.when(n == 1, F.lit("Dzisiaj o 14:30"))
+            .when(n == 2, F.col("district"))
+            .when(n == 3, F.lit("wczoraj"))
+            .when(n == 4, F.concat_ws(" ", F.dayofmonth(c).cast("string"), month_word_of(c)))
+            .when(n == 5, F.concat_ws(" ", F.dayofmonth(c).cast("string"), month_word_of(c),
+                                      F.year(c).cast("string")))
+            .otherwise(F.col("description")))
+
+
+def clean_district_col():
+    return F.split_part(F.col("district"), F.lit(" - "), F.lit(1))
+
+
+def location_col():
+    """Location text in three shapes: "Warszawa, <d>", "<d>, Warszawa,
+    mazowieckie", "<d>" (lower-cased district name)."""
+    d = F.lower(clean_district_col())
+    k = F.col("line_no") % 3
+    return (F.when(k == 0, F.concat(F.lit("Warszawa, "), d))
+            .when(k == 1, F.concat(d, F.lit(", Warszawa, mazowieckie")))
+            .otherwise(d))
+
+
+@register("parse_rooms")
+def q_parse_rooms(spark, sf):
+    df = L(spark, sf).select("external_id", rooms_raw_col().alias("rooms_raw"))
+    return df.select("external_id", "rooms_raw", FT.parse_rooms("rooms_raw").alias("rooms"),
+                     FT.parse_rooms("rooms_raw", strict=True).alias("rooms_strict"))
+
+
+@register("parse_number")
+def q_parse_number(spark, sf):
+    return L(spark, sf).select("external_id", "description",
+                               FT.parse_number("description").alias("number"))
+
+
+@register("parse_date_ingest")
+def q_parse_date_ingest(spark, sf):
+    df = L(spark, sf).select("external_id", raw_date_col().alias("raw"))
+    return df.select("external_id", "raw",
+                     FD.parse_date_ingest_iso("raw", AS_OF).alias("date_iso"),
+                     FD.parse_date_ingest("raw", AS_OF).cast("string").alias("date_posted"))
+
+
+@register("parse_date_year_required")
+def q_parse_date_year_required(spark, sf):
+    df = L(spark, sf).select("external_id", raw_date_col().alias("raw"))
+    return df.select("external_id", "raw",
+                     FD.parse_date_ingest("raw", AS_OF, year_required=True).cast("string")
+                     .alias("date_posted"))
+
+
+@register("parse_date_read")
+def q_parse_date_read(spark, sf):
+    df = L(spark, sf).select("external_id", raw_date_col().alias("raw"))
+    return df.select("external_id", "raw", FD.parse_date_read("raw", AS_OF).alias("date_posted"))
+
+
+def _text_col():
+    return F.concat_ws(" ", F.col("title"), F.col("description"))
+
+
+@register("text_sqm")
+def q_text_sqm(spark, sf):
+    return L(spark, sf).select("external_id", FT.text_sqm(_text_col()).alias("sqm"),
+                               FT.text_sqm(_text_col(), sanity=(10, 1000)).alias("sqm_sane"))
+
+
+@register("text_rooms")
+def q_text_rooms(spark, sf):
+    return L(spark, sf).select("external_id", FT.text_rooms(_text_col()).alias("rooms"))
+
+
+@register("text_price")
+def q_text_price(spark, sf):
+    return L(spark, sf).select("external_id", FT.text_price(_text_col()).alias("price_pln"))
+
+
+@register("text_date")
+def q_text_date(spark, sf):
+    from .constants import DATE_LABELS_DOTTED, DATE_LABELS_TEXTUAL
+    d = F.col("description")
+    return L(spark, sf).select(
+        "external_id",
+        FD.text_date(d, DATE_LABELS_TEXTUAL["olx"], AS_OF).cast("string").alias("date_olx"),
+        FD.text_date(d, DATE_LABELS_TEXTUAL["no"], AS_OF).cast("string").alias("date_no"),
+        FD.text_date(d, DATE_LABELS_DOTTED["morizon"], AS_OF, textual=False).cast("string").alias("date_morizon"),
+        FD.text_date(d, DATE_LABELS_DOTTED["freedom"], AS_OF, textual=False).cast("string").alias("date_freedom"))
+
+
+@register("fallback_params")
+def q_fallback_params(spark, sf):
+    from .plans.normalize import fallback_params
+    from .constants import DATE_LABELS_TEXTUAL
+    fb = fallback_params(_text_col(), F.col("url"), DATE_LABELS_TEXTUAL["olx"], AS_OF)
+    return L(spark, sf).select("external_id", fb.alias("fb")).select(
+        "external_id", F.col("fb.sqm").alias("sqm"), F.col("fb.rooms").alias("rooms"),
+        F.col("fb.price_pln").alias("price_pln"),
+        F.col("fb.date_posted").cast("string").alias("date_posted"))
+
+
+@register("district_first")
+def q_district_first(spark, sf):
+    return L(spark, sf).select("external_id", location_col().alias("location")) \
+        .select("external_id", "location", FDi.district_first("location").alias("district"))
+
+
+@register("district_stopset")
+def q_district_stopset(spark, sf):
+    return L(spark, sf).select("external_id", location_col().alias("location")) \
+        .select("external_id", "location", FDi.district_stopset("location").alias("district"))
+
+
+@register("district_last")
+def q_district_last(spark, sf):
+    return L(spark, sf).select("external_id", location_col().alias("location")) \
+        .select("external_id", "location", FDi.district_last("location").alias("district"))
+
+
+@register("district_no_street")
+def q_district_no_street(spark, sf):
+    loc = F.when(F.col("line_no") == 7, F.concat(F.lit("ul. Polna 3, "), location_col())) \
+        .otherwise(location_col())
+    return L(spark, sf).select("external_id", loc.alias("location")) \
+        .select("external_id", "location", FDi.district_no_street("location").alias("district"))
+
+
+@register("district_strip_city")
+def q_district_strip_city(spark, sf):
+    loc = F.when(F.col("line_no") == 5, F.concat(F.lit("Warszawa "), clean_district_col())) \
+        .otherwise(location_col())
+    return L(spark, sf).select("external_id", loc.alias("location")) \
+        .select("external_id", "location", FDi.district_strip_city("location").alias("district"))
+
+
+def slug_url_col():
+    slug = F.lower(F.replace(clean_district_col(), F.lit(" "), F.lit("-")))
+    return F.when(F.col("line_no") % 2 == 1,
+                  F.concat(F.lit("https://adresowo.pl/o/mieszkanie-warszawa-"), slug, F.lit("-ul-"),
+                           F.col("part_key").cast("string"))).otherwise(F.col("url"))
+
+
+@register("district_from_slug")
+def q_district_from_slug(spark, sf):
+    text = F.concat(F.lit("Mieszkanie Warszawa "), clean_district_col(), F.lit(" ul. Polna"))
+    return L(spark, sf).select("external_id", slug_url_col().alias("slug_url"), text.alias("text")) \
+        .select("external_id", FDi.district_from_slug("slug_url", "text").alias("district"))
+
+
+@register("price_per_sqm")
+def q_price_per_sqm(spark, sf):
+    return L(spark, sf).select("external_id", FT.price_per_sqm("price_pln", "sqm").alias("price_per_sqm"))
+
+
+@register("external_id")
+def q_external_id(spark, sf):
+    prefix = F.element_at(F.array(*[F.lit(p) for p in PORTAL_PREFIXES]),
+                          F.array_position(F.array(*[F.lit(k) for k in PORTAL_KEYS]), F.col("portal")).cast("int"))
+    ident = F.concat_ws("-", F.col("order_key").cast("string"), F.col("line_no").cast("string"))
+    return L(spark, sf).select(FU.external_id(prefix, ident).alias("external_id"), "portal")
+
+
+@register("title_default")
+def q_title_default(spark, sf):
+    from .plans.normalize import default_title
+    from .constants import FB_DEFAULT_TITLE, FB_TITLE_PREFIX
+    return L(spark, sf).select(
+        "external_id",
+        default_title("title", "district").alias("title"),
+        F.concat(F.lit("Mieszkanie Warszawa ("),
+                 F.coalesce(F.nullif(clean_district_col(), F.lit("")), F.lit("Warszawa")),
+                 F.lit(")")).alias("title_freedom"),
+        F.concat(F.lit(FB_TITLE_PREFIX), F.coalesce(F.nullif(F.col("title"), F.lit("")),
+                                                  F.lit(FB_DEFAULT_TITLE))).alias("title_fb"))
+
+
+@register("district_pack")
+def q_district_pack(spark, sf):
+    date = FD.text_date(F.col("description"), ["Dodano"], AS_OF).cast("string")
+    return L(spark, sf).select("external_id", FD.pack_district(clean_district_col(), date).alias("district"))
+
+
+@register("district_unpack")
+def q_district_unpack(spark, sf):
+    return L(spark, sf).select(
+        "external_id", FD.unpack_district("district").alias("district"),
+        FD.listing_date(None, "district", "created_at", None, AS_OF).alias("date_posted"))
+
+
+@register("falsy_coalesce")
+def q_falsy_coalesce(spark, sf):
+    fb = FT.text_price(F.col("description"))
+    return L(spark, sf).select(
+        "external_id",
+        FT.falsy_or("price_pln", fb).alias("price_or"),
+        FT.is_none_or("price_pln", fb).alias("price_is_none"),
+        FT.falsy_or("title", F.lit("Mieszkanie"), kind="str").alias("title_or"))
+
+
+@register("portal_classify")
+def q_portal_classify(spark, sf):
+    return L(spark, sf).select("external_id", "url",
+                               FU.portal_key("url", "external_id").alias("portal_key"),
+                               FU.portal_label("url", "external_id").alias("portal_label"))
+
+
+@register("impute_defaults")
+def q_impute_defaults(spark, sf):
+    from .plans.normalize import store_record
+    return store_record(L(spark, sf)).select("external_id", "title", "sqm", "sqm_imputed", "rooms",
+                                             "rooms_imputed", "price_pln", "price_per_sqm")
+
+
+@register("embed_text")
+def q_embed_text(spark, sf):
+    from .plans.normalize import default_title
+    return L(spark, sf).select("external_id", FT.embed_text(default_title("title", "district"), "district",
+                                                            "description").alias("embed_text"))
+
+
+@register("highlight_snippet")
+def q_highlight_snippet(spark, sf):
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", FT.highlight_snippet("text").alias("snippet"))
+
+
+@register("title_case")
+def q_title_case(spark, sf):
+    name = F.lower(F.replace(clean_district_col(), F.lit(" "), F.lit("-")))
+    return L(spark, sf).select("external_id", name.alias("name"),
+                               FT.title_case(name).alias("title_case"),
+                               FT.capitalize(name).alias("capitalized"))
+
+
+@register("format_money")
+def q_format_money(spark, sf):
+    pps = FT.price_per_sqm("price_pln", "sqm")
+    return L(spark, sf).select("external_id", FT.format_money("price_pln").alias("price"),
+                               FT.format_money(pps).alias("price_per_sqm"))
+
+
+@register("post_date")
+def q_post_date(spark, sf):
+    ev = read_table(spark, sf, "events", "event_id", "ts", "props")
+    epoch = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    k = F.col("event_id") % 3
+    return ev.select(
+        "event_id",
+        F.when(k == 0, FD.post_date(epoch_seconds=epoch, as_of=AS_OF))
+        .when(k == 1, FD.post_date(text=F.col("ts").cast("string"), as_of=AS_OF))
+        .otherwise(FD.post_date(as_of=AS_OF)).alias("date_posted"))
+
+
+@register("text_cap")
+def q_text_cap(spark, sf):
+    from .constants import EXTRACT_TEXT_CAP
+    docs = read_table(spark, sf, "documents", "doc_id", "text")
+    return docs.select("doc_id", FT.text_cap("text", EXTRACT_TEXT_CAP).alias("text"))
+
+
+@register("unit_tagged_values")
+def q_unit_tagged_values(spark, sf):
+    price = F.concat(F.format_number("price_pln", 0), F.lit(" zł"))
+    price = F.replace(price, F.lit(","), F.lit(" "))
+    area = F.concat(F.replace(F.col("sqm").cast("string"), F.lit("."), F.lit(",")), F.lit(" m²"))
+    rooms = F.concat(F.col("rooms").cast("string"), F.lit(" pok."))
+    tags = F.array(price, area, rooms, F.lit("9 zł"), F.lit("5 m2"))
+    v = FT.unit_tagged(tags)
+    return L(spark, sf).select("external_id", v.alias("v")).select(
+        "external_id", F.col("v.price_pln").alias("price_pln"), F.col("v.sqm").alias("sqm"),
+        F.col("v.rooms").alias("rooms"))
