@@ -317,3 +317,96 @@ def unit_tagged_sql():
 
 
 oracle("unit_tagged_values", with_l(unit_tagged_sql()))
+
+
+# =============================================================================
+# Dedupe, delta, merge, joins, aggregates, predicates, paging, top-k
+# =============================================================================
+
+from .oracle import D_CTE, KEEP_FIRST_ORDER, L_CTE  # noqa: E402
+
+EXCL = ["nation_3", "nation_1", "red"]
+STORE_CTE = ("S AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY external_id "
+             f"ORDER BY {KEEP_FIRST_ORDER}) AS rn FROM L WHERE part_key % 2 = 0) WHERE rn = 1)")
+BATCH_CTE = ("B AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY external_id "
+             f"ORDER BY {KEEP_FIRST_ORDER}) AS rn FROM L WHERE external_id IS NOT NULL AND external_id <> '') "
+             "WHERE rn = 1)")
+
+
+def with_ctes(body, *ctes):
+    return "WITH " + ",\n".join((L_CTE,) + ctes) + "\n" + body
+
+
+PUBLIC = ("external_id, portal, url, title, price_pln, sqm, rooms, district, description, "
+          "CAST(created_at AS VARCHAR) AS created_at")
+oracle("dedupe_external_id", with_ctes(f"SELECT {PUBLIC} FROM B", BATCH_CTE))
+oracle("delta_anti", with_ctes("SELECT external_id, portal, url FROM B WHERE external_id NOT IN (SELECT external_id FROM S)",
+                               STORE_CTE, BATCH_CTE))
+oracle("existing_ids", with_ctes("SELECT DISTINCT external_id FROM L WHERE external_id IN (SELECT external_id FROM S)",
+                                 STORE_CTE))
+oracle("enrich_timestamps", with_ctes(
+    "SELECT D.external_id, CAST(D.created_at AS VARCHAR) AS created_at, CAST(o.o_orderdate AS VARCHAR) AS updated_at "
+    "FROM D LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON o.o_orderkey = D.order_key", D_CTE))
+
+
+def _store_record_cols():
+    t = default_title()
+    comb = O.strip(f"{t} || ' ' || coalesce(description, '')")
+    return (f"external_id, {t} AS title, coalesce(price_pln, {O.text_price(comb)}) AS price_pln, "
+            f"coalesce(coalesce(sqm, {O.text_sqm(comb)}), 42.0) AS sqm, "
+            f"coalesce(coalesce(rooms, {O.text_rooms(comb)}), 2) AS rooms, url")
+
+
+NEWB_CTE = ("N AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY external_id "
+            f"ORDER BY {KEEP_FIRST_ORDER}) AS rn FROM L WHERE part_key % 2 <> 0) WHERE rn = 1)")
+oracle("upsert_merge", with_ctes(
+    "SELECT external_id, title, price_pln, sqm, rooms, url, 'old' AS version FROM S "
+    "WHERE external_id NOT IN (SELECT external_id FROM N) "
+    f"UNION ALL SELECT {_store_record_cols()}, 'new' AS version FROM N", STORE_CTE, NEWB_CTE))
+oracle("delta_summary", with_ctes(
+    "SELECT count(*) AS total_scraped, count(*) FILTER (WHERE e) AS skipped, count(*) FILTER (WHERE NOT e) AS new_count "
+    "FROM (SELECT external_id IN (SELECT external_id FROM S) AS e FROM B) t", STORE_CTE, BATCH_CTE))
+
+
+def reason_sql():
+    return (f"CASE WHEN {any_substring(location_text(), EXCL)} THEN 'district' "
+            f"WHEN {any_substring(agency_text(), AGENCY_PHRASES)} THEN 'agency' ELSE 'remaining' END")
+
+
+oracle("exclusion_counts", with_ctes(f"SELECT {reason_sql()} AS reason, count(*) AS n FROM D GROUP BY 1", D_CTE))
+oracle("portal_counts", from_l("portal, count(*) AS n", "GROUP BY portal"))
+oracle("distinct_ids", from_l("portal, count(*) AS rows, count(DISTINCT external_id) AS distinct_ids",
+                              "GROUP BY portal"))
+_LD = listing_date("district", "created_at", "NULL", A)
+_CUT = f"(TIMESTAMP '{A} 00:00:00' - INTERVAL 90 DAY)"
+_RECENT = f"coalesce(TRY_CAST(TRY_CAST(date_posted AS DATE) AS TIMESTAMP) >= {_CUT}, TRUE)"
+oracle("new_count", with_ctes(f"SELECT count(*) FILTER (WHERE {_RECENT}) AS new_count "
+                              f"FROM (SELECT {_LD} AS date_posted FROM D) t", D_CTE))
+oracle("numeric_caps", with_ctes("SELECT external_id, price_pln, sqm, rooms FROM D WHERE price_pln <= 750000 AND sqm >= 30",
+                                 D_CTE))
+oracle("exclude_districts", with_ctes(
+    f"SELECT external_id, district FROM D WHERE NOT {any_substring(location_text(), EXCL)}", D_CTE))
+oracle("exclude_portals", with_ctes(
+    "SELECT external_id, portal FROM D WHERE NOT (contains(lower(portal), 'freedom') OR contains(lower(portal), 'no') "
+    "OR portal = 'nieruchomosci-online')", D_CTE))
+oracle("include_portals", with_ctes(
+    "SELECT external_id, portal FROM D WHERE contains(lower(portal), 'olx') OR contains(lower(portal), 'otodom')", D_CTE))
+oracle("exclude_agencies", with_ctes(
+    f"SELECT external_id FROM D WHERE NOT {any_substring(agency_text(), AGENCY_PHRASES)}", D_CTE))
+oracle("recency_filter", with_ctes(
+    f"SELECT external_id, date_posted FROM (SELECT external_id, {_LD} AS date_posted FROM D) t WHERE {_RECENT}", D_CTE))
+oracle("ingest_portal_filter", from_l("external_id, portal", "WHERE portal IN ('olx', 'nieruchomosci-online')"))
+oracle("scan_projection", "SELECT o_orderkey AS id, CAST(o_orderdate AS VARCHAR) AS created_at FROM orders")
+oracle("capped_scan", with_ctes(
+    "SELECT external_id, price_pln, sqm, rooms FROM D WHERE price_pln <= 750000 AND sqm >= 30 AND rooms >= 2 "
+    "ORDER BY external_id LIMIT 500", D_CTE))
+oracle("paginate", with_ctes(
+    "SELECT external_id, price_pln FROM D ORDER BY price_pln DESC NULLS LAST, external_id LIMIT 25 OFFSET 50", D_CTE))
+oracle("rank_page", with_ctes(
+    "SELECT row_number() OVER (ORDER BY created_at, external_id) AS rank, external_id FROM D", D_CTE))
+oracle("vector_topk", f"""
+WITH Q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_VEC_ID})
+SELECT vec_id, similarity FROM (
+  SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+  FROM embeddings e, Q) t
+WHERE similarity > 0.1 ORDER BY similarity DESC, vec_id LIMIT 20""")

@@ -55,7 +55,7 @@ def order_timestamps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SEARCH_PARAMS = SearchParams(
-    exclude_districts=["germany", "japan"], exclude_portals=["freedom"], only_new=True,
+    exclude_districts=["nation_3", "red"], exclude_portals=["freedom"], only_new=True,
     new_within_days=90, as_of=AS_OF, top_n=50, offset=10)
 
 
@@ -383,3 +383,167 @@ def q_unit_tagged_values(spark, sf):
     return L(spark, sf).select("external_id", v.alias("v")).select(
         "external_id", F.col("v.price_pln").alias("price_pln"), F.col("v.sqm").alias("sqm"),
         F.col("v.rooms").alias("rooms"))
+
+
+# =============================================================================
+# Dedupe, delta, merge, joins, aggregates, predicates, paging, top-k
+# =============================================================================
+
+from .operators import aggregates as AG  # noqa: E402
+from .operators import delta as DL  # noqa: E402
+from .operators import filters as P  # noqa: E402
+from .operators.paging import page_offset, paginate, rank_unbounded  # noqa: E402
+from .sources.listings import stored_half  # noqa: E402
+
+EXCL_TERMS = ["nation_3", "nation_1", "red"]
+
+
+def store_table(spark, sf):
+    """The stored table: keep-first over the stored half of L."""
+    return keep_first(L(spark, sf).filter(stored_half()), ["external_id"])
+
+
+def batch_table(spark, sf):
+    """A new scrape batch: every L row, keep-first per id (W1 + P10)."""
+    from .operators.dedupe import keep_first_nonblank_key
+    return keep_first_nonblank_key(L(spark, sf), "external_id")
+
+
+def _public(df):
+    return df.select("external_id", "portal", "url", "title", "price_pln", "sqm", "rooms", "district",
+                     "description", F.col("created_at").cast("string").alias("created_at"))
+
+
+@register("dedupe_external_id")
+def q_dedupe_external_id(spark, sf):
+    return _public(batch_table(spark, sf))
+
+
+@register("delta_anti")
+def q_delta_anti(spark, sf):
+    return DL.new_rows(batch_table(spark, sf), store_table(spark, sf)).select("external_id", "portal", "url")
+
+
+@register("existing_ids")
+def q_existing_ids(spark, sf):
+    return DL.existing_ids(L(spark, sf), store_table(spark, sf))
+
+
+@register("enrich_timestamps")
+def q_enrich_timestamps(spark, sf):
+    ts = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus") \
+        .filter(F.col("o_orderstatus") == "F") \
+        .select(F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("string").alias("updated_at"))
+    return stored_listings(spark, sf).join(ts, "order_key", "left").select(
+        "external_id", F.col("created_at").cast("string").alias("created_at"), "updated_at")
+
+
+@register("upsert_merge")
+def q_upsert_merge(spark, sf):
+    from .plans.normalize import store_record
+    cols = ["external_id", "title", "price_pln", "sqm", "rooms", "url"]
+    store = store_table(spark, sf).select(*cols).withColumn("version", F.lit("old"))
+    incoming = store_record(keep_first(L(spark, sf).filter(~stored_half()), ["external_id"])) \
+        .select(*cols).withColumn("version", F.lit("new"))
+    return DL.upsert(store, incoming)
+
+
+@register("delta_summary")
+def q_delta_summary(spark, sf):
+    return AG.delta_summary(batch_table(spark, sf), store_table(spark, sf))
+
+
+@register("exclusion_counts")
+def q_exclusion_counts(spark, sf):
+    return AG.exclusion_counts(stored_listings(spark, sf), EXCL_TERMS)
+
+
+@register("portal_counts")
+def q_portal_counts(spark, sf):
+    return AG.portal_counts(L(spark, sf))
+
+
+@register("distinct_ids")
+def q_distinct_ids(spark, sf):
+    return AG.distinct_ids(L(spark, sf))
+
+
+@register("new_count")
+def q_new_count(spark, sf):
+    d = stored_listings(spark, sf).withColumn(
+        "date_posted", FD.listing_date(None, "district", "created_at", None, AS_OF))
+    return AG.new_count(d, F.col("date_posted"), AS_OF, 90)
+
+
+@register("numeric_caps")
+def q_numeric_caps(spark, sf):
+    return stored_listings(spark, sf).filter(P.numeric_caps(750000, 30, None)) \
+        .select("external_id", "price_pln", "sqm", "rooms")
+
+
+@register("exclude_districts")
+def q_exclude_districts(spark, sf):
+    return stored_listings(spark, sf).filter(~P.district_excluded(EXCL_TERMS)).select("external_id", "district")
+
+
+@register("exclude_portals")
+def q_exclude_portals(spark, sf):
+    return stored_listings(spark, sf).filter(~P.portal_excluded(["freedom", "no"])).select("external_id", "portal")
+
+
+@register("include_portals")
+def q_include_portals(spark, sf):
+    return stored_listings(spark, sf).filter(P.portal_included(["olx", "otodom"])).select("external_id", "portal")
+
+
+@register("exclude_agencies")
+def q_exclude_agencies(spark, sf):
+    return stored_listings(spark, sf).filter(~P.agency_excluded()).select("external_id")
+
+
+@register("recency_filter")
+def q_recency_filter(spark, sf):
+    d = stored_listings(spark, sf).withColumn(
+        "date_posted", FD.listing_date(None, "district", "created_at", None, AS_OF))
+    return d.filter(P.recent(F.col("date_posted"), AS_OF, 90)).select("external_id", "date_posted")
+
+
+@register("ingest_portal_filter")
+def q_ingest_portal_filter(spark, sf):
+    from .plans.ingest import select_portals
+    keys = select_portals(include=["olx", "no", "morizon"], exclude=["morizon"])
+    return L(spark, sf).filter(F.col("portal").isin(*keys)).select("external_id", "portal")
+
+
+@register("scan_projection")
+def q_scan_projection(spark, sf):
+    return read_table(spark, sf, "orders", "o_orderkey", "o_orderdate").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("string").alias("created_at"))
+
+
+@register("capped_scan")
+def q_capped_scan(spark, sf):
+    return stored_listings(spark, sf).filter(P.numeric_caps(750000, 30, 2)) \
+        .orderBy("external_id").limit(500).select("external_id", "price_pln", "sqm", "rooms")
+
+
+@register("paginate")
+def q_paginate(spark, sf):
+    off = page_offset(3, 25)
+    return paginate(stored_listings(spark, sf), [F.col("price_pln").desc_nulls_last(), F.col("external_id")],
+                    off, 25).select("external_id", "price_pln")
+
+
+@register("rank_page")
+def q_rank_page(spark, sf):
+    return rank_unbounded(stored_listings(spark, sf).select("external_id", "created_at"),
+                          [F.col("created_at"), F.col("external_id")]) \
+        .select(F.col("rank").cast("long").alias("rank"), "external_id")
+
+
+@register("vector_topk")
+def q_vector_topk(spark, sf):
+    from .operators.vector import similarity, topk
+    vec = read_table(spark, sf, "embeddings", "vec_id", "embedding")
+    scored = vec.select("vec_id", similarity("embedding", query_vector(spark, sf)).alias("similarity"))
+    return topk(scored, "similarity", 20, 0.10, "vec_id")
