@@ -410,3 +410,82 @@ SELECT vec_id, similarity FROM (
   SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
   FROM embeddings e, Q) t
 WHERE similarity > 0.1 ORDER BY similarity DESC, vec_id LIMIT 20""")
+
+
+# =============================================================================
+# Captured pages
+# =============================================================================
+
+SEP = "chr(1)"
+
+
+def unescape(s):
+    return (f"replace(replace(replace(replace(replace(replace(replace(replace({s}, '&lt;', '<'), '&gt;', '>'), "
+            f"'&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')")
+
+
+def strings_joined(html_expr, sep_sql):
+    pieces = f"string_split(regexp_replace({html_expr}, '<[^>]*>', {SEP}, 'g'), {SEP})"
+    return (f"array_to_string(list_filter(list_transform({pieces}, lambda s: {O.strip(unescape('s'))}), "
+            f"lambda s: s <> ''), {sep_sql})")
+
+
+ARTICLE = "regexp_extract(html, '(?s)<article[^>]*>(.*)</article>', 1)"
+oracle("page_description", f"SELECT page_id, {strings_joined(ARTICLE, 'chr(10)')} AS description FROM pages")
+
+_BLOCKS = "div|article|section|h1|h2|h3|h4|h5|h6|ul|ol|table|header|footer|nav|address|form|pre|blockquote"
+
+
+def _paras():
+    pieces = f"(string_split({ARTICLE}, '<p>'))[2:]"
+    cut = f"regexp_replace(x, '(?s)(</p>|<({_BLOCKS})[\\s>/]).*$', '')"
+    texts = f"list_transform({pieces}, lambda x: {strings_joined(cut, chr(39) * 2)})"
+    return f"list_filter({texts}, lambda t: length(t) > 20)"
+
+
+oracle("page_paragraphs", f"""
+SELECT page_id, CASE WHEN len({_paras()}) > 0 THEN array_to_string({_paras()}, chr(10) || chr(10))
+                     ELSE {strings_joined(ARTICLE, 'chr(10)')} END AS description FROM pages""")
+_NOSCRIPT = ("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>', ' ', 'g'), "
+             "'(?s)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g')")
+oracle("page_title", f"""
+SELECT page_id, {strings_joined("regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)", "''")} AS title,
+       {strings_joined(_NOSCRIPT, "' '")} AS page_text FROM pages""")
+_HREF = "NULLIF(regexp_extract(html, '<a[^>]*href=\"([^\"]*)\"', 1), '')"
+_ORIG = "NULLIF(regexp_extract(url, '^(https?://[^/?#]+)', 1), '')"
+oracle("url_absolute", f"""
+SELECT page_id, CASE WHEN h IS NULL THEN NULL WHEN starts_with(h, 'http') THEN h
+                     WHEN starts_with(h, '//') THEN 'https:' || h ELSE o || h END AS link
+FROM (SELECT page_id, {_HREF} AS h, {_ORIG} AS o FROM pages) t""")
+oracle("url_canonical", "SELECT page_id, split_part(url, '?', 1) AS url FROM pages")
+
+
+def _offer_id(portal):
+    from .functions.urls import OFFER_ID_PATTERNS
+    cu = "split_part(url, '?', 1)"
+    tries = ", ".join(O.rx(cu, p) for p in OFFER_ID_PATTERNS[portal])
+    return f"coalesce({tries}, substr(sha256({cu}), 1, 16)) AS id_{portal}"
+
+
+oracle("offer_id", "SELECT page_id, " + ", ".join(_offer_id(p) for p in
+                                                  ["olx", "adresowo", "no", "morizon", "freedom"]) + " FROM pages")
+_HOST = "lower(NULLIF(regexp_extract(url, '^(https?://[^/?#]+)', 1), ''))"
+oracle("dedupe_page_url", f"""
+SELECT page_id, url FROM (
+  SELECT page_id, url, row_number() OVER (PARTITION BY {_HOST}, CAST(page_id % 10 + 1 AS INTEGER), split_part(url, '?', 1)
+                                          ORDER BY page_id) AS rn FROM pages) t WHERE rn = 1""")
+oracle("page_depth", f"""
+WITH P AS (SELECT page_id, {_HOST} AS host, CAST(page_id % 10 + 1 AS INTEGER) AS page_no,
+                  length(html) < 2000 AS empty FROM pages),
+Q AS (SELECT * FROM P WHERE page_no <= 3),
+S AS (SELECT host, min(CASE WHEN empty THEN page_no END) AS stop FROM Q GROUP BY host)
+SELECT page_id, Q.host, page_no FROM Q JOIN S ON Q.host IS NOT DISTINCT FROM S.host
+WHERE stop IS NULL OR page_no < stop""")
+oracle("quarantine_split", """
+SELECT page_id, CASE WHEN html IS NOT NULL AND html LIKE '%<article%' THEN 'ok' ELSE 'quarantine' END AS status
+FROM pages""")
+oracle("source_scope", """
+SELECT page_id, ref, page FROM (
+  SELECT page_id, NULLIF(regexp_extract(split_part(split_part(url, '#', 1), '?', 2), '(?:^|&)ref=([^&]*)', 1), '') AS ref,
+         NULLIF(regexp_extract(split_part(split_part(url, '#', 1), '?', 2), '(?:^|&)page=([^&]*)', 1), '') AS page
+  FROM pages) t WHERE ref = 'x'""")

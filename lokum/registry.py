@@ -547,3 +547,71 @@ def q_vector_topk(spark, sf):
     vec = read_table(spark, sf, "embeddings", "vec_id", "embedding")
     scored = vec.select("vec_id", similarity("embedding", query_vector(spark, sf)).alias("similarity"))
     return topk(scored, "similarity", 20, 0.10, "vec_id")
+
+
+# =============================================================================
+# Captured pages: extraction, urls, page depth, quarantine (X10-X12, F12-F14,
+# W2, S2, S13, P13)
+# =============================================================================
+
+from .operators.extract_html import page_parts  # noqa: E402
+from .plans import pages as PG  # noqa: E402
+
+
+def pages_table(spark, sf):
+    return read_table(spark, sf, "pages", "page_id", "url", "html")
+
+
+@register("page_description")
+def q_page_description(spark, sf):
+    return page_parts(pages_table(spark, sf)).select("page_id", "description")
+
+
+@register("page_paragraphs")
+def q_page_paragraphs(spark, sf):
+    return PG.paragraph_description(page_parts(pages_table(spark, sf))).select("page_id", "description")
+
+
+@register("page_title")
+def q_page_title(spark, sf):
+    return page_parts(pages_table(spark, sf)).select("page_id", "title", "page_text")
+
+
+@register("url_absolute")
+def q_url_absolute(spark, sf):
+    pages = pages_table(spark, sf)
+    parts = page_parts(pages).select("page_id", "first_href")
+    return pages.select("page_id", "url").join(parts, "page_id").select(
+        "page_id", FU.absolute_url("first_href", FU.origin("url")).alias("link"))
+
+
+@register("url_canonical")
+def q_url_canonical(spark, sf):
+    return pages_table(spark, sf).select("page_id", FU.canonical_url("url").alias("url"))
+
+
+@register("offer_id")
+def q_offer_id(spark, sf):
+    return pages_table(spark, sf).select(
+        "page_id", *[FU.offer_id("url", p).alias(f"id_{p}") for p in FU.OFFER_ID_PATTERNS])
+
+
+@register("dedupe_page_url")
+def q_dedupe_page_url(spark, sf):
+    return PG.dedupe_page_url(pages_table(spark, sf)).select("page_id", "url")
+
+
+@register("page_depth")
+def q_page_depth(spark, sf):
+    return PG.page_depth(pages_table(spark, sf), max_pages=3).select("page_id", "host", "page_no")
+
+
+@register("quarantine_split")
+def q_quarantine_split(spark, sf):
+    return PG.quarantine_split(pages_table(spark, sf)).select("page_id", "status")
+
+
+@register("source_scope")
+def q_source_scope(spark, sf):
+    p = pages_table(spark, sf)
+    return PG.source_scope(p, "ref", "x").select("page_id", "ref", "page")
