@@ -489,3 +489,51 @@ SELECT page_id, ref, page FROM (
   SELECT page_id, NULLIF(regexp_extract(split_part(split_part(url, '#', 1), '?', 2), '(?:^|&)ref=([^&]*)', 1), '') AS ref,
          NULLIF(regexp_extract(split_part(split_part(url, '#', 1), '?', 2), '(?:^|&)page=([^&]*)', 1), '') AS page
   FROM pages) t WHERE ref = 'x'""")
+
+
+# =============================================================================
+# Social posts
+# =============================================================================
+
+POSTS_CTE = """P AS (
+  SELECT CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS post_id,
+         NULLIF(text, '') AS text,
+         CASE WHEN doc_id % 4 <> 0 THEN 'https://www.facebook.com/groups/' || source || '/posts/' || CAST(doc_id AS VARCHAR) END AS url,
+         '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T10:00:00' AS time,
+         source AS "group"
+  FROM documents)"""
+oracle("post_normalize", f"WITH {POSTS_CTE} SELECT post_id, text, url, time, \"group\" FROM P")
+oracle("post_cap_per_group", f"""WITH {POSTS_CTE}
+SELECT post_id, "group", time FROM (
+  SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY time DESC, url DESC NULLS LAST, post_id DESC NULLS LAST) AS r
+  FROM P) t WHERE r <= 15""")
+oracle("min_text_length", f"SELECT doc_id FROM documents WHERE length({O.strip('text')}) >= 20")
+oracle("keyword_prefilter", "SELECT doc_id FROM documents WHERE NOT ((contains(lower(text), 'rent') OR contains(lower(text), 'lease')) "
+                            "AND NOT contains(lower(text), 'ble'))")
+_EXT = "'fb-' || coalesce(post_id, substr(sha256(coalesce(url, substr(text, 1, 50))), 1, 10))"
+_PK = ("row_number() OVER (PARTITION BY external_id ORDER BY post_id NULLS FIRST, url NULLS FIRST, "
+       "time NULLS FIRST, text NULLS FIRST)")
+oracle("dedupe_posts", f"""WITH {POSTS_CTE}
+SELECT external_id, post_id FROM (SELECT *, {_PK} AS rn FROM (SELECT *, {_EXT} AS external_id FROM P) a) b WHERE rn = 1""")
+
+
+def _post_extract_sql():
+    t = "ct"
+    first = f"({O.sentences(t)})[1]"
+    title = f"coalesce(NULLIF(substr({first}, 1, 60), ''), {q(FB_DEFAULT_TITLE)})"
+    date = "substr(time, 1, 10)"
+    return f"""WITH {POSTS_CTE},
+V AS (SELECT CAST(doc_id AS VARCHAR) AS post_id, quality = 1 AS verdict FROM labels),
+K AS (SELECT * FROM (SELECT *, {_PK} AS rn FROM (SELECT *, {_EXT} AS external_id FROM P
+      WHERE coalesce(length({O.strip('text')}) >= 20, FALSE)) a) b WHERE rn = 1),
+R AS (SELECT K.*, substr(text, 1, 2500) AS ct, V.verdict FROM K LEFT JOIN V USING (post_id)
+      WHERE NOT ((contains(lower(text), 'rent') OR contains(lower(text), 'lease')) AND NOT contains(lower(text), 'ble'))
+        AND coalesce(length({O.strip('text')}) >= 15, FALSE)),
+X AS (SELECT *, {O.text_price(t)} AS xp, {O.text_sqm(t)} AS xs, {O.text_rooms(t)} AS xr FROM R WHERE coalesce(verdict, FALSE))
+SELECT external_id, {q(FB_TITLE_PREFIX)} || {title} AS title, xp AS price_pln, {price_per_sqm('xp', 'xs')} AS price_per_sqm,
+       xs AS sqm, xr AS rooms, 'Warszawa - ' || {date} AS district, {date} AS date_posted, text AS description,
+       coalesce(url, 'https://www.facebook.com/groups/' || substr(external_id, 4)) AS url
+FROM X"""
+
+
+oracle("post_extract", _post_extract_sql())

@@ -615,3 +615,79 @@ def q_quarantine_split(spark, sf):
 def q_source_scope(spark, sf):
     p = pages_table(spark, sf)
     return PG.source_scope(p, "ref", "x").select("page_id", "ref", "page")
+
+
+# =============================================================================
+# Social posts over documents
+# =============================================================================
+
+from .plans import posts as PS  # noqa: E402
+
+RENTAL_TEST_TERMS = ["rent", "lease"]
+SALE_TEST_TERMS = ["ble"]
+
+
+def raw_posts(spark, sf):
+    """Post records as captured: JSON with per-record field names."""
+    d = read_table(spark, sf, "documents", "doc_id", "text", "source")
+    k = F.col("doc_id") % 3
+    text_key = F.when(k == 0, F.lit("text")).when(k == 1, F.lit("message")).otherwise(F.lit("postText"))
+    url_key = F.when(F.col("doc_id") % 2 == 0, F.lit("url")).otherwise(F.lit("postUrl"))
+    id_key = F.when(F.col("doc_id") % 2 == 0, F.lit("id")).otherwise(F.lit("postId"))
+    time_key = F.when(k == 0, F.lit("time")).when(k == 1, F.lit("timestamp")).otherwise(F.lit("date"))
+    post_id = F.when(F.col("doc_id") % 5 != 0, F.col("doc_id").cast("string"))
+    url = F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("https://www.facebook.com/groups/"), F.col("source"),
+                                                     F.lit("/posts/"), F.col("doc_id").cast("string")))
+    time = F.concat(F.lit("2024-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"),
+                    F.lit("T10:00:00"))
+    m = F.create_map(text_key, F.col("text"), url_key, url, id_key, post_id, time_key, time,
+                     F.lit("group"), F.col("source"))
+    return d.select(F.to_json(m).alias("json"))
+
+
+def posts_table(spark, sf):
+    return PS.normalize_posts(raw_posts(spark, sf))
+
+
+@register("post_normalize")
+def q_post_normalize(spark, sf):
+    return posts_table(spark, sf)
+
+
+@register("post_cap_per_group")
+def q_post_cap_per_group(spark, sf):
+    order = [F.col("time").desc(), F.col("url").desc_nulls_last(), F.col("post_id").desc_nulls_last()]
+    return PS.top_n_per_group(posts_table(spark, sf), "group", order, PS.posts_cap(1)) \
+        .select("post_id", "group", "time")
+
+
+@register("min_text_length")
+def q_min_text_length(spark, sf):
+    from .constants import POST_MIN_CHARS
+    return read_table(spark, sf, "documents", "doc_id", "text") \
+        .filter(P.min_text_length("text", POST_MIN_CHARS)).select("doc_id")
+
+
+@register("keyword_prefilter")
+def q_keyword_prefilter(spark, sf):
+    return read_table(spark, sf, "documents", "doc_id", "text") \
+        .filter(~P.rental_only("text", RENTAL_TEST_TERMS, SALE_TEST_TERMS)).select("doc_id")
+
+
+@register("dedupe_posts")
+def q_dedupe_posts(spark, sf):
+    p = PS.with_external_id(posts_table(spark, sf))
+    return keep_first(p, ["external_id"], order=["post_id", "url", "time", "text"]) \
+        .select("external_id", "post_id")
+
+
+def post_verdicts(spark, sf):
+    return read_table(spark, sf, "labels", "doc_id", "quality").select(
+        F.col("doc_id").cast("string").alias("post_id"), (F.col("quality") == 1).alias("verdict"))
+
+
+@register("post_extract")
+def q_post_extract(spark, sf):
+    posts = posts_table(spark, sf).join(post_verdicts(spark, sf), "post_id", "left")
+    return PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS,
+                            sale=SALE_TEST_TERMS)
