@@ -537,3 +537,27 @@ FROM X"""
 
 
 oracle("post_extract", _post_extract_sql())
+
+
+# =============================================================================
+# Embedded JSON extraction
+# =============================================================================
+
+_AD = "CAST(order_key AS VARCHAR) || 'x' || CAST(line_no AS VARCHAR)"
+_D0 = O.title(f"lower({CLEAN_D})")
+_DATE_A = f"CASE WHEN line_no % 2 = 1 THEN substr(CAST(created_at AS VARCHAR), 1, 10) ELSE '{A}' END"
+_PA = "NULLIF(price_pln, 0)"
+oracle("json_ads_a", from_l(f"""
+'olx-' || {_AD} AS external_id,
+CASE WHEN {O.blank('title')} THEN 'Mieszkanie na sprzedaż (' || {_D0} || ')' ELSE title END AS title,
+{_PA} AS price_pln, {price_per_sqm(_PA, 'sqm')} AS price_per_sqm, sqm, rooms,
+{_D0} || ' - ' || ({_DATE_A}) AS district, {_DATE_A} AS date_posted,
+'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html' AS url""",
+                            "WHERE portal = 'olx'"))
+_ROOMS_B = "CASE WHEN line_no IN (1, 2) THEN rooms END"
+_B_SELECT = f"""'otodom-' || {_AD} AS external_id, title, price_pln, {price_per_sqm('price_pln', 'sqm')} AS price_per_sqm,
+sqm, {_ROOMS_B} AS rooms, {CLEAN_D} AS district,
+'https://www.otodom.pl/pl/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-' || {_AD} AS url"""
+oracle("json_ads_b", from_l(_B_SELECT, "WHERE portal = 'otodom' AND line_no <> 7"))
+oracle("json_district", from_l(f"'otodom-' || {_AD} AS external_id, {CLEAN_D} AS district",
+                               "WHERE portal = 'otodom' AND line_no <> 7"))

@@ -691,3 +691,86 @@ def q_post_extract(spark, sf):
     posts = posts_table(spark, sf).join(post_verdicts(spark, sf), "post_id", "left")
     return PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS,
                             sale=SALE_TEST_TERMS)
+
+
+# =============================================================================
+# Embedded JSON extraction (X1-X3) over pages rendered from L
+# =============================================================================
+
+from .operators import extract_json as XJ  # noqa: E402
+
+
+def _ad_id():
+    return F.concat(F.col("order_key").cast("string"), F.lit("x"), F.col("line_no").cast("string"))
+
+
+def _wrap_json(payload):
+    return F.concat(F.lit('<html><head><script id="__NEXT_DATA__" type="application/json">'),
+                    F.to_json(payload), F.lit("</script></head><body></body></html>"))
+
+
+def json_pages_a(spark, sf, portal="olx"):
+    """Search pages in layout A: one page per order, one ad per line item."""
+    n = F.col("line_no")
+    iso = F.substring(F.col("created_at").cast("string"), 1, 10)
+    word = F.lower(F.element_at(F.array(*[F.lit(w) for w in ROOM_WORD_FORMS]), F.col("rooms")))
+    ad = F.struct(
+        _ad_id().alias("id"), F.col("title").alias("title"),
+        F.concat(F.lit("/d/oferta/mieszkanie-"), F.col("part_key").cast("string"), F.lit("-ID"), _ad_id(),
+                 F.lit(".html")).alias("url"),
+        F.when(n % 2 == 1, F.concat(iso, F.lit("T00:00:00"))).alias("created_time"),
+        F.when(n % 2 == 0, F.lit("Dzisiaj")).alias("last_refresh_time"),
+        F.struct(F.concat(F.lit("Warszawa, "), F.lower(clean_district_col())).alias("city_name")).alias("location"),
+        F.struct(F.struct(F.concat(F.col("price_pln").cast("string"), F.lit(" zł")).alias("value")).alias("price"),
+                 F.struct(F.concat(F.col("sqm").cast("string"), F.lit(" m²")).alias("value")).alias("m"),
+                 F.struct(word.alias("value")).alias("rooms")).alias("params"))
+    # each ad is serialised before grouping (collect_list of deeply nested
+    # structs with null strings trips the aggregate); the page joins the texts
+    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
+             .agg(F.collect_list(F.to_json(ad)).alias("ads")))
+    blob = F.concat(F.lit('{"props":{"pageProps":{"data":{"ads":['), F.array_join("ads", ","),
+                    F.lit("]}}}}"))
+    html = F.concat(F.lit('<html><head><script id="__NEXT_DATA__" type="application/json">'), blob,
+                    F.lit("</script></head><body></body></html>"))
+    return pages.select(F.col("order_key").alias("page_id"), html.alias("html"))
+
+
+def json_pages_b(spark, sf, portal="otodom"):
+    n = F.col("line_no")
+    word = F.element_at(F.array(*[F.lit(w) for w in ROOM_WORD_FORMS]), F.col("rooms"))
+    rooms_txt = (F.when(n == 1, word).when(n == 2, F.col("rooms").cast("string"))
+                 .otherwise(F.concat(F.col("rooms").cast("string"), F.lit(" pokoje"))))
+    city = F.struct(F.lit("city").alias("locationLevel"), F.lit("Warszawa").alias("name"))
+    dist = F.struct(F.lit("district").alias("locationLevel"), clean_district_col().alias("name"))
+    locs = F.when(n % 2 == 0, F.array(city, dist)).otherwise(F.array(city))
+    item = F.struct(
+        _ad_id().alias("id"),
+        F.when(n != 7, F.concat(F.lit("mieszkanie-"), F.col("part_key").cast("string"), F.lit("-"), _ad_id()))
+        .alias("slug"),
+        F.col("title").alias("title"),
+        F.struct(F.col("price_pln").alias("value")).alias("totalPrice"),
+        F.struct(FT.price_per_sqm("price_pln", "sqm").alias("value")).alias("pricePerSquareMeter"),
+        F.col("sqm").alias("areaInSquareMeters"), rooms_txt.alias("roomsNumber"),
+        F.struct(F.struct(locs.alias("locations")).alias("reverseGeocoding"),
+                 F.struct(F.struct(F.when(n % 2 == 1, clean_district_col()).alias("name")).alias("district"))
+                 .alias("address")).alias("location"))
+    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
+             .agg(F.collect_list(item).alias("items")))
+    payload = F.struct(F.struct(F.struct(F.struct(F.struct(F.col("items").alias("items")).alias("searchAds"))
+                                         .alias("data")).alias("pageProps")).alias("props"))
+    return pages.select(F.col("order_key").alias("page_id"), _wrap_json(payload).alias("html"))
+
+
+@register("json_ads_a")
+def q_json_ads_a(spark, sf):
+    return XJ.ads_layout_a(json_pages_a(spark, sf), AS_OF).drop("page_id")
+
+
+@register("json_ads_b")
+def q_json_ads_b(spark, sf):
+    return XJ.ads_layout_b(json_pages_b(spark, sf)).drop("page_id")
+
+
+@register("json_district")
+def q_json_district(spark, sf):
+    return XJ.ads_layout_b(json_pages_b(spark, sf)).select("external_id", "district")
