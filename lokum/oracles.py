@@ -561,3 +561,24 @@ sqm, {_ROOMS_B} AS rooms, {CLEAN_D} AS district,
 oracle("json_ads_b", from_l(_B_SELECT, "WHERE portal = 'otodom' AND line_no <> 7"))
 oracle("json_district", from_l(f"'otodom-' || {_AD} AS external_id, {CLEAN_D} AS district",
                                "WHERE portal = 'otodom' AND line_no <> 7"))
+
+
+# =============================================================================
+# Streaming
+# =============================================================================
+
+oracle("stream_dedupe", "SELECT DISTINCT user_id FROM events")
+oracle("stream_counts", """
+SELECT CAST(date_trunc('day', ts) AS VARCHAR) AS window_start,
+       CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS VARCHAR) AS window_end, event_type, count(*) AS n
+FROM events GROUP BY 1, 2, 3""")
+oracle("stream_counts_sliding", """
+WITH W AS (
+  SELECT time_bucket(INTERVAL 12 HOUR, ts) AS s, event_type FROM events
+  UNION ALL SELECT time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR AS s, event_type FROM events)
+SELECT CAST(s AS VARCHAR) AS window_start, CAST(s + INTERVAL 1 DAY AS VARCHAR) AS window_end, event_type, count(*) AS n
+FROM W GROUP BY 1, 2, 3""")
+oracle("stream_delta", """
+SELECT 'ev-' || CAST(user_id AS VARCHAR) || '-' || event_type AS external_id,
+       strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen
+FROM events GROUP BY 1""")

@@ -774,3 +774,35 @@ def q_json_ads_b(spark, sf):
 @register("json_district")
 def q_json_district(spark, sf):
     return XJ.ads_layout_b(json_pages_b(spark, sf)).select("external_id", "district")
+
+
+# =============================================================================
+# Streaming
+# =============================================================================
+
+from .streaming import jobs as ST  # noqa: E402
+
+
+@register("stream_dedupe")
+def q_stream_dedupe(spark, sf):
+    return ST.stream_dedupe(spark, sf)
+
+
+@register("stream_counts")
+def q_stream_counts(spark, sf):
+    return ST.stream_counts(spark, sf, "tumbling")
+
+
+@register("stream_counts_sliding")
+def q_stream_counts_sliding(spark, sf):
+    return ST.stream_counts(spark, sf, "sliding")
+
+
+@register("stream_sessions")
+def q_stream_sessions(spark, sf):
+    return ST.stream_counts(spark, sf, "session")
+
+
+@register("stream_delta")
+def q_stream_delta(spark, sf):
+    return ST.stream_delta(spark, sf)
