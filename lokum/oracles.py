@@ -582,3 +582,87 @@ oracle("stream_delta", """
 SELECT 'ev-' || CAST(user_id AS VARCHAR) || '-' || event_type AS external_id,
        strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen
 FROM events GROUP BY 1""")
+
+
+# =============================================================================
+# Embeddings, batch top-k, report, union
+# =============================================================================
+
+oracle("embed_blank_zero", f"SELECT doc_id, 1536 AS dim, doc_id % 10 = 0 AS is_zero FROM documents")
+oracle("embed_delta", """
+SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim
+FROM documents""")
+oracle("vector_batch_topk", """
+WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE label = 0),
+S AS (SELECT query_id, e.vec_id AS item_id,
+             round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+      FROM Q, embeddings e),
+R AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank
+      FROM S WHERE similarity > 0.1)
+SELECT query_id, item_id, similarity, rank FROM R WHERE rank <= 10""")
+
+
+def _report_base():
+    from dataclasses import replace
+    import lokum.oracles as me  # noqa: F401
+    return _search_sql_params(replace(SEARCH_PARAMS, only_new=False, top_n=100, offset=0), pre=False)
+
+
+def _search_sql_params(p, pre):
+    excl = (f"NOT {any_substring(location_text(), p.exclude_districts)} "
+            f"AND NOT (portal LIKE '%freedom%') "
+            f"AND NOT {any_substring(agency_text(), AGENCY_PHRASES)}")
+    date_expr = listing_date("district", "created_at", "updated_at", AS_OF_DATE)
+    recency = ""
+    if p.only_new:
+        cutoff = f"(TIMESTAMP '{AS_OF_DATE} 00:00:00' - INTERVAL {p.new_within_days} DAY)"
+        recency = f"WHERE coalesce(TRY_CAST(TRY_CAST(date_posted AS DATE) AS TIMESTAMP) >= {cutoff}, TRUE)"
+    return with_l(f"""
+SELECT rank, external_id, portal, title, price_pln, price_per_sqm, sqm, rooms, district AS district,
+       date_posted, url, description, similarity
+FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
+""", f"""Q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_VEC_ID})""",
+        f"""S AS (SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+           FROM embeddings e, Q)""",
+        f"""C AS (SELECT D.*, S.similarity FROM D JOIN S USING (vec_id)
+           WHERE price_pln <= {p.max_price} AND sqm >= {p.min_sqm} AND rooms >= {p.min_rooms}
+             AND S.similarity > {p.match_threshold} {'AND ' + excl if pre else ''}
+           ORDER BY similarity DESC, external_id LIMIT {p.match_count})""",
+        f"""E AS (SELECT C.*, CAST(o.o_orderdate AS TIMESTAMP) AS updated_at,
+                  {price_per_sqm('C.price_pln', 'C.sqm')} AS price_per_sqm
+           FROM C LEFT JOIN orders o ON o.o_orderkey = C.order_key)""",
+        f"""F AS (SELECT *, {date_expr} AS date_posted FROM E {'' if pre else 'WHERE ' + excl})""",
+        f"""G AS (SELECT * FROM F {recency})""",
+        """R AS (SELECT *, row_number() OVER (ORDER BY similarity DESC, external_id) AS rank FROM G)""",
+        dedupe=True)
+
+
+def _cell(c):
+    return f"CASE WHEN {O.truthy(c)} THEN CAST({c} AS VARCHAR) ELSE 'N/A' END"
+
+
+oracle("report_rows", f"""
+SELECT rank AS row_no, date_posted, {O.portal_label('url', 'external_id')} AS portal,
+       {unpack_district('district')} AS district, {_cell('price_pln')} AS price, {_cell('sqm')} AS area,
+       {_cell('rooms')} AS rooms, {_cell('price_per_sqm')} AS price_per_sqm,
+       {O.snippet('description')} AS details, url AS link
+FROM ({_report_base()}) s""")
+oracle("report_markdown", f"""
+SELECT rank AS row_no, '| ' || concat_ws(' | ', CAST(rank AS VARCHAR), date_posted, {O.portal_label('url', 'external_id')},
+       {unpack_district('district')}, {O.fmt_money('price_pln')}, {_cell('sqm')}, coalesce(CAST(rooms AS VARCHAR), 'N/A'),
+       {O.fmt_money('price_per_sqm')}, {O.snippet('description')}, '[View Offer](' || url || ')') || ' |' AS line
+FROM ({_report_base()}) s""")
+oracle("report_append", with_ctes("""
+SELECT CAST(row_number() OVER (ORDER BY external_id) + (SELECT count(*) FROM D WHERE line_no = 1) AS BIGINT) AS row_no,
+       external_id, url
+FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(url)) ORDER BY external_id) AS rn
+      FROM D WHERE line_no IN (1, 3, 5)
+        AND lower(trim(url)) NOT IN (SELECT lower(trim(url)) FROM D WHERE line_no = 1)) t
+WHERE rn = 1""", D_CTE))
+oracle("listing_json", with_ctes("""
+SELECT external_id, to_json(struct_pack(external_id := external_id, title := title, price_pln := price_pln,
+       sqm := sqm, rooms := rooms, district := district, url := url)) AS json FROM D""", D_CTE))
+oracle("portal_union", with_l(f"""
+SELECT external_id, title, price_pln, sqm, rooms, district, url, CAST(NULL AS VARCHAR) AS date_posted FROM L
+UNION ALL
+SELECT external_id, title, price_pln, sqm, rooms, district, url, date_posted FROM ({_post_extract_sql()}) p"""))

@@ -806,3 +806,102 @@ def q_stream_sessions(spark, sf):
 @register("stream_delta")
 def q_stream_delta(spark, sf):
     return ST.stream_delta(spark, sf)
+
+
+# =============================================================================
+# Embeddings (V1-V3), batch top-k (W8, J8), report (R1, R2, S10-S12), union
+# =============================================================================
+
+from .operators import embed as EM  # noqa: E402
+from .operators import report as RP  # noqa: E402
+from .operators.vector import batch_topk  # noqa: E402
+
+
+def _docs(spark, sf):
+    return read_table(spark, sf, "documents", "doc_id", "text")
+
+
+@register("embed_corpus")
+def q_embed_corpus(spark, sf):
+    e = EM.embed_hashing(_docs(spark, sf))
+    return e.select("doc_id", F.size("embedding").alias("dim"),
+                    F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+
+
+@register("embed_blank_zero")
+def q_embed_blank_zero(spark, sf):
+    docs = _docs(spark, sf).withColumn("text", F.when(F.col("doc_id") % 10 != 0, F.col("text")).otherwise(F.lit("  ")))
+    e = EM.embed_hashing(docs)
+    return e.select("doc_id", F.size("embedding").alias("dim"),
+                    F.forall("embedding", lambda x: x == 0).alias("is_zero"))
+
+
+@register("embed_delta")
+def q_embed_delta(spark, sf):
+    docs = _docs(spark, sf)
+    stored = EM.embed_hashing(docs.filter(F.col("doc_id") % 2 == 0)) \
+        .join(docs.select("doc_id", EM.content_hash().alias("content_hash")), "doc_id")
+    out = EM.embed_delta(docs, stored)
+    return out.select("doc_id", "reused", F.size("embedding").alias("dim"))
+
+
+@register("vector_batch_topk")
+def q_vector_batch_topk(spark, sf):
+    vec = read_table(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    queries = vec.filter(F.col("label") == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    items = vec.select(F.col("vec_id").alias("item_id"), "embedding")
+    return batch_topk(items, queries, k=10, threshold=0.10).select(
+        "query_id", "item_id", "similarity", F.col("rank").cast("long").alias("rank"))
+
+
+def _report_page(spark, sf):
+    from dataclasses import replace
+    return run_search(spark, sf, replace(SEARCH_PARAMS, only_new=False, top_n=100, offset=0))
+
+
+@register("report_rows")
+def q_report_rows(spark, sf):
+    return RP.report_rows(_report_page(spark, sf))
+
+
+@register("report_markdown")
+def q_report_markdown(spark, sf):
+    return RP.markdown_lines(_report_page(spark, sf))
+
+
+@register("report_append")
+def q_report_append(spark, sf):
+    d = stored_listings(spark, sf)
+    existing = d.filter(F.col("line_no") == 1).select("url")
+    incoming = d.filter(F.col("line_no").isin(1, 3, 5)).select("external_id", "url")
+    n_existing = existing.count()  # data rows; numbering goes on after them
+    return RP.append_new(existing, incoming, ["external_id"], n_existing) \
+        .select(F.col("row_no").cast("long").alias("row_no"), "external_id", "url")
+
+
+@register("report_target_reset")
+def q_report_target_reset(spark, sf):
+    from .session import scratch_dir
+    import uuid
+    path = scratch_dir(spark, f"report-{uuid.uuid4().hex[:12]}")
+    rows = RP.report_rows(_report_page(spark, sf))
+    first = RP.write_report(spark, rows, path)
+    second = RP.write_report(spark, rows, path)
+    return spark.read.option("header", "true").csv(path).withColumn(
+        "modes", F.lit(f"{first},{second}"))
+
+
+@register("listing_json")
+def q_listing_json(spark, sf):
+    d = stored_listings(spark, sf).select("external_id", "title", "price_pln", "sqm", "rooms", "district", "url")
+    return d.select("external_id", F.to_json(F.struct(*d.columns), {"ignoreNullFields": "false"}).alias("json"))
+
+
+@register("portal_union")
+def q_portal_union(spark, sf):
+    listings = L(spark, sf).select("external_id", "title", "price_pln", "sqm", "rooms", "district", "url")
+    posts = posts_table(spark, sf).join(post_verdicts(spark, sf), "post_id", "left")
+    fb = PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS,
+                          sale=SALE_TEST_TERMS).select("external_id", "title", "price_pln", "sqm", "rooms",
+                                                       "district", "url", "date_posted")
+    return listings.unionByName(fb, allowMissingColumns=True)
