@@ -40,12 +40,17 @@ def rank_unbounded(df: DataFrame, order: Sequence[Column], start: int = 1, name:
     """W6 for unbounded output without one global window: range-partition and
     sort, number rows inside each partition, and add the row count of all
     earlier partitions (a table with one row per partition, broadcast)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     mid = F.monotonically_increasing_id()
+    # ids depend on the physical partitioning, so the numbered rows are
+    # materialised once (reliable checkpoint in spark.checkpoint.dir): the
+    # count branch and the row branch then read the same partitions.
     tagged = ranged.withColumn("__mid", mid) \
         .withColumn("__pid", F.shiftright(F.col("__mid"), 33)) \
-        .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
+        .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))).checkpoint(eager=True)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).select("__pid", "__off")
