@@ -666,3 +666,32 @@ oracle("portal_union", with_l(f"""
 SELECT external_id, title, price_pln, sqm, rooms, district, url, CAST(NULL AS VARCHAR) AS date_posted FROM L
 UNION ALL
 SELECT external_id, title, price_pln, sqm, rooms, district, url, date_posted FROM ({_post_extract_sql()}) p"""))
+
+
+# =============================================================================
+# Cards
+# =============================================================================
+
+def _olx_cards_sql():
+    from .functions.urls import OFFER_ID_PATTERNS
+    url = f"'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html'"
+    price_txt = "CASE WHEN price_pln IS NOT NULL THEN replace(format('{:,.0f}', price_pln), ',', ' ') || ' zł' END"
+    span = ("NULLIF(concat_ws(' · ', CASE WHEN sqm IS NOT NULL THEN replace(CAST(sqm AS VARCHAR), '.', ',') || ' m²' END, "
+            "CASE WHEN rooms IS NOT NULL THEN CAST(rooms AS VARCHAR) || ' pok.' END), '')")
+    loc = f"'Warszawa, ' || lower({CLEAN_D})"
+    oid = "coalesce(" + ", ".join(O.rx("url", p) for p in OFFER_ID_PATTERNS["olx"]) + ", substr(sha256(url), 1, 16))"
+    pn = parse_number("price_txt")
+    return with_l(f"""
+SELECT 'olx-' || {oid} AS external_id,
+       CASE WHEN {O.blank('title')} THEN 'Mieszkanie na sprzedaż (' || coalesce(dist, 'Warszawa') || ')' ELSE title END AS title,
+       price AS price_pln, {price_per_sqm('price', 'xs')} AS price_per_sqm, xs AS sqm, xr AS rooms,
+       CASE WHEN dist IS NOT NULL AND dist <> '' THEN dist ELSE 'Warszawa' END AS district,
+       CAST(NULL AS VARCHAR) AS date_posted, url
+FROM (SELECT *, CASE WHEN {O.truthy(pn)} THEN {pn} ELSE {O.text_price('fbt')} END AS price,
+             {O.text_sqm('fbt')} AS xs, {O.text_rooms('fbt')} AS xr
+      FROM (SELECT *, concat_ws(' ', title, price_txt, span, loc) || ' ' || url AS fbt, {d_first('loc')} AS dist
+            FROM (SELECT title, {url} AS url, {price_txt} AS price_txt, {span} AS span, {loc} AS loc
+                  FROM L WHERE portal = 'olx') a) b) c""")
+
+
+oracle("cards_olx", _olx_cards_sql())

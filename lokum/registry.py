@@ -905,3 +905,107 @@ def q_portal_union(spark, sf):
                           sale=SALE_TEST_TERMS).select("external_id", "title", "price_pln", "sqm", "rooms",
                                                        "district", "url", "date_posted")
     return listings.unionByName(fb, allowMissingColumns=True)
+
+
+# =============================================================================
+# Search-result cards (X5-X9), rendered from L, one page per order
+# =============================================================================
+
+from .plans import cards as CD  # noqa: E402
+
+
+def _price_txt():
+    return F.concat(F.replace(F.format_number("price_pln", 0), F.lit(","), F.lit(" ")), F.lit(" zł"))
+
+
+def _sqm_txt():
+    return F.replace(F.col("sqm").cast("string"), F.lit("."), F.lit(","))
+
+
+def _opt(cond_col, html):
+    return F.when(F.col(cond_col).isNotNull(), html).otherwise(F.lit(""))
+
+
+def _card_pages(spark, sf, portal, card):
+    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
+             .agg(F.array_join(F.collect_list(card), "").alias("cards")))
+    return pages.select(F.col("order_key").alias("page_id"),
+                        F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
+
+
+def olx_card_html():
+    loc = F.concat(F.lit("Warszawa, "), F.lower(clean_district_col()))
+    area = F.concat_ws(" · ", F.when(F.col("sqm").isNotNull(), F.concat(_sqm_txt(), F.lit(" m²"))),
+                       F.when(F.col("rooms").isNotNull(), F.concat(F.col("rooms").cast("string"), F.lit(" pok."))))
+    return F.concat(
+        F.lit('<div data-cy="l-card"><a href="/d/oferta/mieszkanie-'), F.col("part_key").cast("string"),
+        F.lit("-ID"), _ad_id(), F.lit('.html?s=1">'),
+        _opt("title", F.concat(F.lit("<h6>"), F.col("title"), F.lit("</h6>"))), F.lit("</a>"),
+        _opt("price_pln", F.concat(F.lit('<p data-testid="ad-price">'), _price_txt(), F.lit("</p>"))),
+        F.concat(F.lit("<span>"), area, F.lit("</span>")),
+        F.concat(F.lit('<p data-testid="location-date">'), loc, F.lit("</p>")), F.lit("</div>"))
+
+
+@register("cards_olx")
+def q_cards_olx(spark, sf):
+    return CD.olx_cards(_card_pages(spark, sf, "olx", olx_card_html()), AS_OF)
+
+
+@register("cards_morizon")
+def q_cards_morizon(spark, sf):
+    card = F.concat(
+        F.lit('<div class="card__outer"><a class="property-card" href="/oferta/mieszkanie-'),
+        F.col("part_key").cast("string"), F.lit("-mzn"), F.col("order_key").cast("string"),
+        F.col("line_no").cast("string"), F.lit('">'),
+        _opt("title", F.concat(F.lit('<h3 data-cy="propertyCardTitle">'), F.col("title"), F.lit("</h3>"))),
+        F.lit('<p data-cy="propertyCardLocation">Mazowieckie, Warszawa, '), clean_district_col(), F.lit("</p>"),
+        _opt("price_pln", F.concat(F.lit('<span data-cy="propertyCardPrice">'), _price_txt(), F.lit("</span>"))),
+        _opt("sqm", F.concat(F.lit('<span data-cy="cardPropertyInfoArea">'), _sqm_txt(), F.lit(" m²</span>"))),
+        _opt("rooms", F.concat(F.lit('<span data-cy="cardPropertyInfoRooms">'), F.col("rooms").cast("string"),
+                               F.lit(" pokoje</span>"))), F.lit("</a></div>"))
+    return CD.morizon_cards(_card_pages(spark, sf, "morizon", card), AS_OF)
+
+
+@register("cards_freedom")
+def q_cards_freedom(spark, sf):
+    iso = F.substring(F.col("created_at").cast("string"), 1, 10)
+    dotted = F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
+    card = F.concat(
+        F.lit('<div class="offert"><a class="offert-box-ctn-link" href="/oferta/mieszkanie-'),
+        F.col("part_key").cast("string"), F.lit("-"), F.col("order_key").cast("string"), F.lit('/">link</a>'),
+        F.lit("<address>ul. Polna 3, "), clean_district_col(), F.lit(", Warszawa</address>"),
+        F.lit('<div class="price">'), _opt("price_pln", F.concat(F.lit("<strong>"), _price_txt(), F.lit("</strong>"))),
+        F.lit("</div>"),
+        F.lit('<div class="details">'), _opt("sqm", F.concat(F.lit("<strong>"), _sqm_txt(), F.lit(" m2</strong>"))),
+        _opt("rooms", F.concat(F.lit("<strong>"), F.col("rooms").cast("string"), F.lit(" pok.</strong>"))),
+        F.lit('</div><div class="bottom"><small>'), dotted, F.lit("</small></div></div>"))
+    return CD.freedom_cards(_card_pages(spark, sf, "freedom", card), AS_OF)
+
+
+@register("cards_no")
+def q_cards_no(spark, sf):
+    card = F.concat(
+        F.lit('<div class="tertiary"><a href="/mieszkanie-'), F.col("order_key").cast("string"),
+        F.lpad(F.col("line_no").cast("string"), 3, "0"), F.lit('.html">'), F.coalesce("title", F.lit("")),
+        F.lit('</a><p class="province"><a href="#">'), clean_district_col(), F.lit(",</a></p>"),
+        _opt("price_pln", F.concat(F.lit('<p class="primary-display">'), _price_txt(), F.lit("</p>"))),
+        _opt("sqm", F.concat(F.lit('<span class="area">'), _sqm_txt(), F.lit(" m²</span>"))),
+        F.lit("<span>"), F.col("description"), F.lit("</span></div>"))
+    return CD.nieruchomosci_cards(_card_pages(spark, sf, "nieruchomosci-online", card), AS_OF)
+
+
+@register("cards_adresowo")
+def q_cards_adresowo(spark, sf):
+    card = F.concat(
+        F.lit('<div data-offer-card><h2><a href="/o/mieszkanie-warszawa-'),
+        F.lower(F.replace(clean_district_col(), F.lit(" "), F.lit("-"))), F.lit("-ul-polna-"),
+        F.col("order_key").cast("string"), F.lit("x"), F.col("line_no").cast("string"), F.lit('"><span>Warszawa '),
+        clean_district_col(), F.lit("</span><span>ul. Polna</span></a></h2>"),
+        F.lit('<div class="items-center">'),
+        _opt("price_pln", F.concat(F.lit('<p><span class="font-bold">'),
+                                   F.replace(F.format_number("price_pln", 0), F.lit(","), F.lit(" ")),
+                                   F.lit("</span> zł</p>"))),
+        _opt("sqm", F.concat(F.lit('<p><span class="font-bold">'), _sqm_txt(), F.lit("</span> m²</p>"))),
+        _opt("rooms", F.concat(F.lit('<p><span class="font-bold">'), F.col("rooms").cast("string"),
+                               F.lit("</span> pok.</p>"))), F.lit("</div></div>"))
+    return CD.adresowo_cards(_card_pages(spark, sf, "adresowo", card), AS_OF)
