@@ -20,7 +20,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import MONTH_WORDS
-from .text import WS, col_, first_match, pystrip
+from .text import WS, col_, first_match, let, pystrip
 
 ISO_RE = r"(\d{4})-(\d{2})-(\d{2})"
 DOT_RE = r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
@@ -85,10 +85,12 @@ def _missing(c: Column) -> Column:
 
 def parse_date_ingest_iso(c, as_of, year_required: bool = False) -> Column:
     """F3a / F3b as ISO text (unvalidated, like the source)."""
-    s = pystrip(col_(c).cast("string"))
-    today, yday = _relative(s, as_of)
-    chain_ = F.coalesce(iso_part(s), dot_part(s), today, yday, text_part(s, as_of, year_required))
-    return F.when(_missing(col_(c).cast("string")), F.lit(None).cast("string")).otherwise(chain_)
+    def body(raw):
+        s = pystrip(raw)
+        today, yday = _relative(s, as_of)
+        chain_ = F.coalesce(iso_part(s), dot_part(s), today, yday, text_part(s, as_of, year_required))
+        return F.when(_missing(raw), F.lit(None).cast("string")).otherwise(chain_)
+    return let(col_(c).cast("string"), body)
 
 
 def parse_date_ingest(c, as_of, year_required: bool = False) -> Column:
@@ -98,12 +100,13 @@ def parse_date_ingest(c, as_of, year_required: bool = False) -> Column:
 
 def parse_date_read(c, as_of) -> Column:
     """Read-side policy, returns text ('N/A' when empty)."""
-    raw = col_(c).cast("string")
-    s = pystrip(raw)
-    today, yday = _relative(s, as_of)
-    chain_ = F.coalesce(text_part(s, as_of, True), dot_part(s), iso_part(s), today, yday,
-                        F.substring(s, 1, 10))
-    return F.when(_missing(raw), F.lit("N/A")).otherwise(chain_)
+    def body(raw):
+        s = pystrip(raw)
+        today, yday = _relative(s, as_of)
+        chain_ = F.coalesce(text_part(s, as_of, True), dot_part(s), iso_part(s), today, yday,
+                            F.substring(s, 1, 10))
+        return F.when(_missing(raw), F.lit("N/A")).otherwise(chain_)
+    return let(col_(c).cast("string"), body)
 
 
 # --- F7: labelled dates inside free text -------------------------------------

@@ -27,6 +27,15 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda
+    variable. Expressions that repeat a costly input (a regex over the whole
+    text, a sentence split) would otherwise evaluate it once per reference:
+    lambda-bearing expressions are excluded from common-subexpression
+    elimination."""
+    return F.element_at(F.transform(F.array(col_(value)), body), 1)
+
+
 def pystrip(c) -> Column:
     """Python ``str.strip()``: trim all whitespace kinds, not only spaces."""
     return F.regexp_replace(col_(c), rf"^{PY_WS}+|{PY_WS}+$", "")
@@ -187,13 +196,18 @@ def highlight_snippet(c, keywords=GREEN_KEYWORDS, width: int = SNIPPET_CHARS,
                       default: str = NO_SNIPPET) -> Column:
     """First sentence naming a keyword, else the first sentence; cut to
     ``width`` characters with "..." (F23)."""
-    sents = sentences(c)
     pat = _kw_regex(keywords)
-    hit = F.get(F.filter(sents, lambda s: F.lower(s).rlike(pat)), 0)
-    chosen = F.coalesce(hit, F.get(sents, 0))
-    cut = F.when(F.length(chosen) > width,
-                 F.concat(F.substring(chosen, 1, width), F.lit("..."))).otherwise(chosen)
-    return F.when(truthy_str(c) & chosen.isNotNull(), cut).otherwise(F.lit(default))
+
+    def pick(sents):
+        hit = F.get(F.filter(sents, lambda s: F.lower(s).rlike(pat)), 0)
+        return F.coalesce(hit, F.get(sents, 0))
+
+    def cut(chosen):
+        short = F.when(F.length(chosen) > width,
+                       F.concat(F.substring(chosen, 1, width), F.lit("..."))).otherwise(chosen)
+        return F.coalesce(short, F.lit(default))
+
+    return F.when(truthy_str(c), let(let(sentences(c), pick), cut)).otherwise(F.lit(default))
 
 
 # --- F24 --------------------------------------------------------------------
