@@ -695,3 +695,33 @@ FROM (SELECT *, CASE WHEN {O.truthy(pn)} THEN {pn} ELSE {O.text_price('fbt')} EN
 
 
 oracle("cards_olx", _olx_cards_sql())
+
+
+# =============================================================================
+# Detail enrichment
+# =============================================================================
+
+def _detail_sql():
+    dt = O.strip("description")
+    date = f"CAST({text_date('dt', DATE_LABELS_TEXTUAL['olx'])} AS VARCHAR)"
+    return with_ctes(f"""
+SELECT external_id, sqm2 AS sqm, rooms2 AS rooms, price2 AS price_pln,
+       CASE WHEN has AND d2 IS NOT NULL AND NOT contains(coalesce(NULLIF(district, ''), 'Warszawa'), '-')
+            THEN coalesce(NULLIF(district, ''), 'Warszawa') || ' - ' || d2 ELSE district END AS district,
+       d2 AS date_posted,
+       CASE WHEN has AND NOT {O.truthy('pps')} AND {O.truthy('price2')} AND {O.truthy('sqm2')}
+            THEN round(price2 / sqm2, 2) ELSE pps END AS price_per_sqm
+FROM (SELECT *,
+        CASE WHEN has THEN (CASE WHEN {O.truthy('sqm')} THEN sqm ELSE {O.text_sqm('dt')} END) ELSE sqm END AS sqm2,
+        CASE WHEN has THEN (CASE WHEN {O.truthy('rooms')} THEN rooms ELSE {O.text_rooms('dt')} END) ELSE rooms END AS rooms2,
+        CASE WHEN has THEN (CASE WHEN {O.truthy('price_pln')} THEN price_pln ELSE {O.text_price('dt')} END) ELSE price_pln END AS price2,
+        CASE WHEN has THEN {date} END AS d2
+      FROM (SELECT B.external_id, B.price_pln, B.sqm, B.rooms, B.district,
+                   {price_per_sqm('B.price_pln', 'B.sqm')} AS pps, T.dt, coalesce(T.dt <> '', FALSE) AS has
+            FROM B LEFT JOIN (SELECT curl, {dt} AS dt FROM (
+                SELECT split_part(url, '?', 1) AS curl, description,
+                       row_number() OVER (PARTITION BY split_part(url, '?', 1) ORDER BY external_id) AS rn FROM L) x
+                WHERE rn = 1) T ON split_part(B.url, '?', 1) = T.curl) a) b""", BATCH_CTE)
+
+
+oracle("detail_enrich", _detail_sql())

@@ -52,3 +52,29 @@ def store_record(df: DataFrame) -> DataFrame:
                .withColumn("sqm", FT.impute_sqm("sqm"))
                .withColumn("rooms", FT.impute_rooms("rooms"))
                .withColumn("embed_text", FT.embed_text("title", "district", "description")))
+
+
+def detail_enrich(listings: DataFrame, details: DataFrame, as_of, date_labels: Sequence[str]) -> DataFrame:
+    """Listing ⋈ detail page by canonical url (left: a missing or empty
+    page leaves the row as it is). A non-empty detail text fills falsy
+    sqm / rooms / price, supplies the posting date (packed into the district
+    only when the district has no '-'), and recomputes a missing price/m².
+    ``details`` has curl, detail_text."""
+    from ..functions.urls import canonical_url
+    j = listings.withColumn("curl", canonical_url("url")).join(details, "curl", "left")
+    has = FT.truthy_str("detail_text")
+    fb = fallback_params(F.col("detail_text"), None, date_labels, as_of)
+    j = j.withColumn("fb", fb)
+    date = F.when(has, F.col("fb.date_posted").cast("string"))
+    j = (j.withColumn("sqm", F.when(has, FT.falsy_or("sqm", "fb.sqm")).otherwise(F.col("sqm")))
+          .withColumn("rooms", F.when(has, FT.falsy_or("rooms", "fb.rooms")).otherwise(F.col("rooms")))
+          .withColumn("price_pln", F.when(has, FT.falsy_or("price_pln", "fb.price_pln"))
+                      .otherwise(F.col("price_pln")))
+          .withColumn("date_posted", date))
+    dist = F.coalesce(F.nullif(F.col("district"), F.lit("")), F.lit("Warszawa"))
+    j = j.withColumn("district", F.when(has & F.col("date_posted").isNotNull() & ~dist.contains("-"),
+                                        F.concat(dist, F.lit(" - "), F.col("date_posted")))
+                     .otherwise(F.col("district")))
+    recompute = has & ~FT.truthy_num("price_per_sqm") & FT.truthy_num("price_pln") & FT.truthy_num("sqm")
+    return j.withColumn("price_per_sqm", F.when(recompute, FT.round_to(F.col("price_pln") / F.col("sqm"), 2))
+                        .otherwise(F.col("price_per_sqm"))).drop("fb", "curl", "detail_text")

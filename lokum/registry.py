@@ -1009,3 +1009,27 @@ def q_cards_adresowo(spark, sf):
         _opt("rooms", F.concat(F.lit('<p><span class="font-bold">'), F.col("rooms").cast("string"),
                                F.lit("</span> pok.</p>"))), F.lit("</div></div>"))
     return CD.adresowo_cards(_card_pages(spark, sf, "adresowo", card), AS_OF)
+
+
+# =============================================================================
+# Detail-page enrichment
+# =============================================================================
+
+
+@register("detail_enrich")
+def q_detail_enrich(spark, sf):
+    from .constants import DATE_LABELS_TEXTUAL
+    from .plans.normalize import detail_enrich
+    src = keep_first(L(spark, sf).select(FU.canonical_url("url").alias("curl"), "external_id", "title",
+                                         "description"), ["curl"], order=["external_id"])
+    src = src.withColumn("page_id", F.xxhash64("curl"))
+    html = F.concat(F.lit("<html><head><title>"), F.coalesce("title", F.lit("")),
+                    F.lit('</title></head><body><div data-cy="ad_description">'),
+                    F.coalesce("description", F.lit("")), F.lit("</div></body></html>"))
+    parts = page_parts(src.select("page_id", html.alias("html"))).select("page_id", "description")
+    details = src.select("page_id", "curl").join(parts, "page_id").select(
+        "curl", F.col("description").alias("detail_text"))
+    lst = batch_table(spark, sf).select("external_id", "url", "price_pln", "sqm", "rooms", "district") \
+        .withColumn("price_per_sqm", FT.price_per_sqm("price_pln", "sqm"))
+    return detail_enrich(lst, details, AS_OF, DATE_LABELS_TEXTUAL["olx"]).select(
+        "external_id", "sqm", "rooms", "price_pln", "district", "date_posted", "price_per_sqm")
