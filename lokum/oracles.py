@@ -725,3 +725,17 @@ FROM (SELECT *,
 
 
 oracle("detail_enrich", _detail_sql())
+
+
+def _fallback_sql():
+    from .functions.urls import OFFER_ID_PATTERNS
+    url = f"'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html'"
+    oid = "coalesce(" + ", ".join(O.rx("u", p) for p in OFFER_ID_PATTERNS["olx"]) + ", substr(sha256(u), 1, 16))"
+    return with_l(f"""
+SELECT 'olx-' || {_AD} AS external_id, {url} AS url, 'json' AS source FROM L WHERE portal = 'olx' AND order_key % 2 = 0
+UNION ALL
+SELECT 'olx-' || {oid} AS external_id, u AS url, 'cards' AS source
+FROM (SELECT {url} AS u FROM L WHERE portal = 'olx' AND order_key % 2 = 1) t""")
+
+
+oracle("extract_fallback", _fallback_sql())

@@ -1033,3 +1033,17 @@ def q_detail_enrich(spark, sf):
         .withColumn("price_per_sqm", FT.price_per_sqm("price_pln", "sqm"))
     return detail_enrich(lst, details, AS_OF, DATE_LABELS_TEXTUAL["olx"]).select(
         "external_id", "sqm", "rooms", "price_pln", "district", "date_posted", "price_per_sqm")
+
+
+@register("extract_fallback")
+def q_extract_fallback(spark, sf):
+    """JSON layout A first; pages that gave no JSON rows go to the card
+    extractor (anti-join on the page id), then both are unioned."""
+    json_p = json_pages_a(spark, sf).filter(F.col("page_id") % 2 == 0)
+    card_p = _card_pages(spark, sf, "olx", olx_card_html()).filter(F.col("page_id") % 2 == 1)
+    pages = json_p.unionByName(card_p)
+    from_json = XJ.ads_layout_a(pages, AS_OF)
+    rest = pages.join(from_json.select("page_id").distinct(), "page_id", "left_anti")
+    from_cards = CD.olx_cards(rest, AS_OF)
+    return (from_json.select("external_id", "url", F.lit("json").alias("source"))
+            .unionByName(from_cards.select("external_id", "url", F.lit("cards").alias("source"))))
