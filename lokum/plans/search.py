@@ -90,10 +90,21 @@ def search(listings: DataFrame, vectors: DataFrame, query, params: SearchParams
     cand = cand.join(scored_vectors(vectors, query, p), "vec_id")
     order = [F.col("similarity").desc(), F.col("external_id").asc()]
     top = cand.orderBy(*order).limit(p.match_count)
+    if timestamps is not None:
+        # the bounded candidate set feeds two branches (keys for the lookup
+        # and the rows); materialise it once in the shared checkpoint folder
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(listings.sparkSession)
+        top = top.checkpoint(eager=True)
 
     if timestamps is not None:
-        # Left lookup; the top-k side is bounded by match_count
-        top = F.broadcast(top).join(timestamps, timestamps_key, "left")
+        # Left lookup. A left outer join can only build its right side, so
+        # the unbounded lookup table is first reduced to the top-k keys by a
+        # semi join that broadcasts those keys (bounded by match_count); the
+        # reduced table then joins back (AQE broadcasts it by measured size).
+        keys = F.broadcast(top.select(timestamps_key))
+        ts_small = timestamps.join(keys, timestamps_key, "left_semi")
+        top = top.join(ts_small, timestamps_key, "left")
     else:
         top = top.withColumn("updated_at", F.lit(None).cast("timestamp"))
 
