@@ -27,8 +27,17 @@ QUERY_VEC_ID = 42
 
 
 def register(name: str):
+    """Register a query; the wrapper applies the session defaults (UTC, AQE)
+    and the checkpoint folder first, since the caller owns the session."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from .session import apply_conf, ensure_checkpoint_dir
+            apply_conf(spark)
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
