@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -46,9 +48,29 @@ def apply_conf(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: keep theirs
             pass
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so that
+    the batch hooks run whatever folder or machine a worker starts in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lokum_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="lokum-package-"))
+    archive = os.path.join(folder, "lokum.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for where, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(where, n)
+                    z.write(full, os.path.join("lokum", os.path.relpath(full, root)))
+    sc.addPyFile(archive)
+    sc._lokum_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster checkpoint folder (``spark.checkpoint.dir``).
 
