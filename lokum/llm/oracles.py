@@ -5,6 +5,30 @@ from __future__ import annotations
 WS = "'[ \\t\\n\\x0b\\x0c\\r]'"
 
 ORACLES = {
+    "op3_mixing": """
+WITH r AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5('mix' || coalesce(doc_id::VARCHAR, '')) AS key
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight
+  FROM r GROUP BY source),
+u AS (
+  SELECT *, ((sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER w, 0))::DOUBLE
+             / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::DOUBLE) AS unit
+  FROM s WINDOW w AS (ORDER BY 3 * source_size / weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (
+  SELECT *, least((3 * source_size)::DOUBLE, max(unit) OVER () * weight) AS target FROM u),
+p AS (
+  SELECT r.*, source_size, target, floor(target + 0.5)::BIGINT AS budget, greatest(source_size, 1) AS own,
+         coalesce(sum(size) OVER (PARTITION BY r.source ORDER BY key, doc_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       ((budget // own) * size + greatest(0, least(size, budget % own - before)))::BIGINT AS taken
+FROM p""",
     "op4_exact_dedup": f"""
 WITH r AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,

@@ -7,21 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lokum.llm import exact_dedup, packing, simhash
+from lokum.llm import exact_dedup, langid, mixing, packing, quality, simhash
 from lokum.session import apply_conf
 from lokum.sources.tables import read_table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs).drop("uid")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash.simhash_components(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs).drop("uid", "source")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return exact_dedup.exact_dedup(docs).drop("uid")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.classify(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack(docs, digest=True)
@@ -35,4 +50,4 @@ def _with_conf(f: Callable) -> Callable:
 
 
 QUERIES = {f.__name__: _with_conf(f) for f in (
-    op2_simhash, op4_exact_dedup, op10_packing)}
+    op1_language_id, op2_simhash, op3_mixing, op4_exact_dedup, op5_quality, op10_packing)}
