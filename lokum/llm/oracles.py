@@ -42,4 +42,58 @@ SELECT doc_id,
 FROM r
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST
              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+    "op6_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT conv_id, turn, role, text,
+         length(regexp_replace(replace(text, '\', '\\'),
+           '(<\|(?:start|text|turn|end|im_start|im_end|endoftext|system|user|assistant)\|>|</?s>|\[/?INST\]|<</?SYS>>)',
+           '\1+', 'g')) AS chars,
+         lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + CASE WHEN before = role THEN length('<|turn|>')
+                        ELSE length('<|start|><|text|><|end|>') + 1 + length(role) END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
+    "op7_warc": """
+WITH r AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM r)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f""",
+    "op8_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, md5(text) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS pos,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+m AS (
+  SELECT *, trim(regexp_replace(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
+                                '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS masked FROM l),
+t AS (SELECT *, string_split(masked, ' ') AS tokens, len(string_split(masked, ' ')) AS n FROM m),
+k AS (
+  SELECT doc_id, body, pos, line, masked <> '' AS filled,
+         CASE WHEN n < 8 THEN concat(n, chr(10), masked)
+              ELSE concat('first', chr(10), n, chr(10), array_to_string(tokens[1:3], ' '), chr(10),
+                          array_to_string(tokens[4:3 + (n - 3) // 2], ' ')) END AS one,
+         CASE WHEN n < 8 THEN concat(n, chr(10), masked)
+              ELSE concat('second', chr(10), n, chr(10), array_to_string(tokens[1:3], ' '), chr(10),
+                          array_to_string(tokens[4 + (n - 3) // 2:], ' ')) END AS two
+  FROM t),
+c AS (
+  SELECT key FROM (SELECT one AS key, body FROM k WHERE filled UNION ALL SELECT two, body FROM k WHERE filled)
+  GROUP BY key HAVING count(DISTINCT body) >= 5),
+d AS (
+  SELECT doc_id, pos, line, filled AND (one IN (SELECT key FROM c) OR two IN (SELECT key FROM c)) AS drop FROM k)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop), '') AS text,
+       count(*) AS n_lines, count(*) FILTER (drop) AS n_dropped
+FROM d GROUP BY doc_id""",
 }
