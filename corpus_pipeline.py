@@ -1,15 +1,63 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes what its predecessor kept and calls one operator of
+``lokum.llm``: language ID (documents without a recognised language go), exact
+dedup, SimHash near-dedup (one document of each group stays), mixing the sources
+to their target weights (takes are repeated rows, a source's last take is cut at
+its budget) and best-fit packing. All but the last return the columns of the
+documents table; a stage reads its input as a stable table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from lokum.llm import exact_dedup, langid, mixing, packing, simhash
+from lokum.llm.common import work_table
+from lokum.session import apply_conf
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return langid.drop_undetermined(docs)
+
+
+def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return exact_dedup.drop_exact_duplicates(docs)
+
+
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return simhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    apply_conf(spark)
+    return packing.pack(docs, digest=True)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", drop_exact),
+    ("simhash", drop_near),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+# Language ID, fingerprints and tokenising have no SQL; tests/llm holds the brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = work_table(docs, f"stage-{name}")
     return docs

@@ -5,9 +5,9 @@ all lengths equal and queries are scaled to that length, so the largest inner
 products are the smallest distances. The index of a shard is ``PROJECTIONS``
 sorted arrays, one per random projection. A query opens a window around its own
 projection in each array; a vector inside a window collides. Windows are widened
-by virtual rehashing, without rehashing anything: a first radius that holds a
-small share of the shard gives ``k`` verified vectors; the distance of the k-th
-of them is the next radius, which no true neighbour exceeds. Vectors whose
+by virtual rehashing, without rehashing anything: the vectors with the most
+collisions in first, narrow windows are verified; the distance of the k-th of
+them is the next radius, which no true neighbour exceeds. Vectors whose
 collisions reach the threshold, which a vector at that radius reaches with
 probability ``CERTAINTY``, are verified by their exact inner product. Nothing is
 fitted, every vector is indexed, and no number of candidates is capped.
@@ -25,6 +25,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import chain
 from statistics import NormalDist
 
 import numpy as np
@@ -34,12 +35,14 @@ from pyspark.sql import functions as F
 
 from lokum.llm.common import col, with_uid, work_table
 
-PROJECTIONS = 64
+PROJECTIONS = 40
 WIDTH = 1.43           # half a window, in radii
-CERTAINTY = 0.98
-FIRST_SHARE = 0.02     # of a shard in the first windows
-SHARD_ROWS = 8192
-BLOCK_ROWS = 4096
+CERTAINTY = 0.85
+FIRST_WINDOW = 0.05    # share of a shard in the first windows
+FIRST_SHARE = 0.02     # share of a shard that is verified for the next radius
+SHARD_ROWS = 32_768
+BLOCK_ROWS = 1024
+AT_ONCE = 64           # queries
 SEED = 20
 
 
@@ -62,46 +65,53 @@ class Index:
         self.order = np.argsort(p, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(p.T, self.order, axis=1)
 
-    def collisions(self, at: np.ndarray, half: float) -> np.ndarray:
-        """How many of the windows hold each vector."""
+    def windows(self, at: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end position of each query's window in each sorted array."""
+        lo = np.stack([np.searchsorted(p, x - half, "left") for p, x in zip(self.sorted, at.T)], 1)
+        hi = np.stack([np.searchsorted(p, x + half, "right") for p, x in zip(self.sorted, at.T)], 1)
+        return lo, hi
+
+    def collisions(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """How many of one query's windows hold each vector."""
         m, n = self.order.shape
-        lo = [np.searchsorted(self.sorted[i], at[i] - half, "left") for i in range(m)]
-        hi = [np.searchsorted(self.sorted[i], at[i] + half, "right") for i in range(m)]
-        inside = sum(hi) - sum(lo)
-        if 2 * inside <= m * n:
-            got = np.concatenate([self.order[i, lo[i]:hi[i]] for i in range(m)])
-            return np.bincount(got, minlength=n)
-        left = np.concatenate([x for i in range(m) for x in (self.order[i, :lo[i]], self.order[i, hi[i]:])])
-        return m - np.bincount(left, minlength=n)
-
-    def search(self, query: np.ndarray, own: int | None, k: int, need: int) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, inner products) of at least the k nearest found, ties included."""
-        n = len(self.vectors)
-        usable = n - (own is not None)
-        if usable <= 4 * k:
-            rows = np.arange(n)
-        else:
-            scale = self.top / np.sqrt(query @ query)
-            at = (query * scale) @ self.a[:-1]
-            share = max(FIRST_SHARE, 4 * k / n)
-            near = np.searchsorted(self.sorted[0], at[0])
-            step = int(np.ceil(share * n / 2))
-            edge = self.sorted[0][[max(0, near - step), min(n - 1, near + step)]]
-            counts = self.collisions(at, max(1e-12, float(np.abs(edge - at[0]).max())))
-            if own is not None:
-                counts[own] = -1
-            first = np.argpartition(-counts, 4 * k)[:4 * k]
-            best = np.partition(self.vectors[first] @ query, len(first) - k)[len(first) - k]
-            # squared distance to the scaled query of a vector with this inner product
-            radius = np.sqrt(max(0.0, 2 * self.top ** 2 - 2 * scale * best)) + 1e-9 * self.top
-            rows = np.flatnonzero(self.collisions(at, WIDTH * radius) >= need)
-            rows = np.union1d(rows, first)
+        spans = zip(self.order, lo.tolist(), hi.tolist())
+        if 2 * (hi - lo).sum() <= m * n:
+            return np.bincount(np.concatenate([o[a:b] for o, a, b in spans]), minlength=n)
+        return m - np.bincount(np.concatenate([x for o, a, b in spans for x in (o[:a], o[b:])]), minlength=n)
+
+    def search(self, queries: np.ndarray, own: list[int | None], k: int, need: int):
+        """Per query (rows, inner products) of at least the k nearest found, ties included."""
+        n, everything = len(self.vectors), np.arange(len(self.vectors))
+        if n <= 8 * k:
+            for query, me in zip(queries, own):
+                yield self.verified(query, everything, me, k)
+            return
+        scale = self.top / np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        at = (queries * scale[:, None]) @ self.a[:-1]
+        first = max(8 * k, int(FIRST_SHARE * n))
+        near = np.searchsorted(self.sorted[0], at[:, 0])
+        step = int(np.ceil(FIRST_WINDOW * n / 2))
+        edges = self.sorted[0][np.clip(np.stack((near - step, near + step)), 0, n - 1)]
+        seeds, radius = [], np.empty(len(queries))
+        for i, (lo, hi) in enumerate(zip(*self.windows(at, np.abs(edges - at[:, 0]).max(0) + 1e-12))):
+            counts = self.collisions(lo, hi)
+            if own[i] is not None:
+                counts[own[i]] = -1
+            seeds.append(np.argpartition(-counts, first - 1)[:first])
+            score = self.vectors[seeds[i]] @ queries[i]
+            best = np.partition(score, first - k)[first - k]
+            # distance to the scaled query of a vector with this inner product
+            radius[i] = np.sqrt(max(0.0, 2 * self.top ** 2 - 2 * scale[i] * best)) + 1e-9 * self.top
+        for i, (lo, hi) in enumerate(zip(*self.windows(at, WIDTH * radius))):
+            passed = self.collisions(lo, hi) >= need
+            passed[seeds[i]] = True
+            yield self.verified(queries[i], np.flatnonzero(passed), own[i], k)
+
+    def verified(self, query: np.ndarray, rows: np.ndarray, own: int | None, k: int):
         if own is not None:
             rows = rows[rows != own]
-        if not len(rows):
-            return rows, np.empty(0)
-        score = self.vectors[rows] @ query
         if len(rows) > k:
+            score = self.vectors[rows] @ query
             least = np.partition(score, len(rows) - k)[len(rows) - k]
             rows = rows[score >= least - 1e-9 * max(1.0, abs(least))]
         # a sum of its own per vector: equal vectors get equal scores
@@ -148,8 +158,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             uids, ids = own["uid"].to_numpy(), own["vec_id"].to_pylist()
             where = {u: i for i, u in enumerate(uids.tolist())}
             queries = _matrix(asks["v"], dim)
-            for r, (u, name) in enumerate(zip(asks["uid"].to_pylist(), asks["vec_id"].to_pylist())):
-                found, s = index.search(queries[r], where.get(u), k, need)
+            asking = asks["uid"].to_pylist()
+            got = chain.from_iterable(
+                index.search(queries[i:i + AT_ONCE], [where.get(u) for u in asking[i:i + AT_ONCE]], k, need)
+                for i in range(0, len(asking), AT_ONCE))
+            for u, name, (found, s) in zip(asking, asks["vec_id"].to_pylist(), got):
                 named = sorted(((-x, ids[i] is None, ids[i] or 0, i) for x, i in zip(s.tolist(), found.tolist())))[:k]
                 q_uid += [u] * len(named)
                 q_id += [name] * len(named)

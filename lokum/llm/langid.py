@@ -126,11 +126,13 @@ def expected(ids: np.ndarray, p: np.ndarray, weight: np.ndarray, out: np.ndarray
     a = a[:, :, 0]
     b = np.zeros_like(a)
     b[:, n] = weight / a[:, n]
+    count = np.zeros(ids.shape)
     for j in range(n, 0, -1):
         for size in range(1, min(j, longest) + 1):
             step = p[ids[:, j, size]] * b[:, j]
             b[:, j - size] += step
-            out += np.bincount(ids[:, j, size], a[:, j - size] * step, len(out))
+            count[:, j, size] = a[:, j - size] * step
+    out += np.bincount(ids.ravel(), count.ravel(), len(out))
 
 
 def by_length(words, cells: int = 60_000):
