@@ -39,64 +39,81 @@ ITERATIONS = 3
 SMOOTHING = 0.05       # added to every piece's expected count
 UNKNOWN = 1e-9         # probability of a letter outside the vocabulary
 LONGEST_LEARNED = 30   # letters; longer words are scored but not learned from
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 600_000
 UNDETERMINED = "und"
 MARK = "▁"
 RUNS = re.compile(r"[^\W\d_]+")
 
-_TRIES: dict[str, dict[str, int]] = {}
+_TRIES: dict[str, "Trie"] = {}
 _SCORERS: dict[str, "Scorer"] = {}
 
 
-def trie(path: str) -> dict[str, int]:
-    """Pieces of the vocabulary with their ids; prefixes of pieces with -1."""
-    if path not in _TRIES:
+class Trie:
+    """The vocabulary's pieces by characters, walked for many words at once."""
+
+    def __init__(self, path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = {sp.id_to_piece(i): i for i in range(sp.get_piece_size())
                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
-        known = dict.fromkeys((p[:k] for p in pieces for k in range(1, len(p))), -1)
-        _TRIES[path] = known | pieces
-    return _TRIES[path]
+        self.pieces = max(pieces.values()) + 1
+        self.longest = max(map(len, pieces))
+        node = {"": 0}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                node.setdefault(p[:k], len(node))
+        letters = {c: k + 1 for k, c in enumerate(sorted({p[-1] for p in node if p}))}
+        self.letter = np.zeros(0x110000, np.int64)  # 0: in no piece
+        self.letter[[ord(c) for c in letters]] = list(letters.values())
+        self.width = len(letters) + 1
+        edges = sorted((node[p[:-1]] * self.width + letters[p[-1]], k) for p, k in node.items() if p)
+        self.edge = np.array([e for e, _ in edges])
+        self.child = np.array([k for _, k in edges])
+        self.piece = np.full(len(node), -1)
+        self.piece[[node[p] for p in pieces]] = list(pieces.values())
+
+    def lattice(self, words: list[str]) -> np.ndarray:
+        """ids[word, end, length] of all pieces in words of one length. Where
+        there is none the id is ``pieces``; a letter without a piece of its own
+        has the id ``pieces`` + 1."""
+        n = len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
+        letter = self.letter[codes]
+        ids = np.full((len(words), n + 1, min(n, self.longest) + 1), self.pieces, np.int32)
+        for i in range(n):
+            rows, at = np.arange(len(words)), np.zeros(len(words), np.int64)
+            for size in range(1, min(self.longest, n - i) + 1):
+                want = at * self.width + letter[rows, i + size - 1]
+                found = np.minimum(np.searchsorted(self.edge, want), len(self.edge) - 1)
+                there = self.edge[found] == want
+                rows, at = rows[there], self.child[found[there]]
+                if not len(rows):
+                    break
+                piece = self.piece[at]
+                full = piece >= 0
+                ids[rows[full], i + size, size] = piece[full]
+            single = ids[:, i + 1, 1]
+            single[single == self.pieces] = self.pieces + 1
+        return ids
 
 
-def n_pieces(path: str) -> int:
-    return max(trie(path).values()) + 1
+def trie(path: str) -> Trie:
+    if path not in _TRIES:
+        _TRIES[path] = Trie(path)
+    return _TRIES[path]
 
 
 def letters(text: str) -> list[str]:
     """Runs of letters, lower-cased."""
+    text = text.lower()
+    if text.isalpha():
+        return [text]
     out = []
-    for run in RUNS.findall(text.lower()):
+    for run in RUNS.findall(text):
         out += [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
     return out
 
 
-def lattice(words: list[str], known: dict[str, int], absent: int) -> np.ndarray:
-    """ids[word, end, length] of all pieces in marked words of one length; a
-    single letter without a piece has the id ``absent`` + 1, no piece ``absent``."""
-    n = len(words[0])
-    longest = 1
-    hits: list[tuple[int, int, int, int]] = []
-    for w, word in enumerate(words):
-        for i in range(n):
-            single = True
-            for j in range(i + 1, n + 1):
-                got = known.get(word[i:j])
-                if got is None:
-                    break
-                if got >= 0:
-                    hits.append((w, j, j - i, got))
-                    single = single and j > i + 1
-                    longest = max(longest, j - i)
-            if single:
-                hits.append((w, i + 1, 1, absent + 1))
-    ids = np.full((len(words), n + 1, longest + 1), absent, np.int32)
-    at = np.array(hits, np.int64)
-    ids[at[:, 0], at[:, 1], at[:, 2]] = at[:, 3]
-    return ids
-
-
 def forward(ids: np.ndarray, p: np.ndarray, scale: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Sums over all segmentations of the prefixes, scaled; log of the scale and
     total. p[piece, language] ends with a row for no piece and one for a letter
@@ -176,20 +193,22 @@ class Scorer:
         own = [letters(c) for c in chunks]
         words = list({w for ws in own for w in ws})
         logs = np.zeros((len(words), self.logs.shape[1]))
-        known, absent = trie(self.model.vocabulary), len(self.model.p) - 2
+        vocabulary = trie(self.model.vocabulary)
         for part in by_length(words):
-            ids = lattice([MARK + words[k] for k in part], known, absent)
-            logs[part] = forward(ids, self.model.p)[1]
+            logs[part] = forward(vocabulary.lattice([MARK + words[k] for k in part]), self.model.p)[1]
         at = {w: k for k, w in enumerate(words)}
         need = len(self.known) + len(chunks)
         if need > len(self.letters):
             size = max(need, 2 * len(self.letters))
             self.logs = np.concatenate((self.logs, np.zeros((size - len(self.logs), self.logs.shape[1]))))
             self.letters = np.concatenate((self.letters, np.zeros(size - len(self.letters), bool)))
-        for c, ws in zip(chunks, own):
-            k = self.known[c] = len(self.known)
-            self.logs[k] = logs[[at[w] for w in ws]].sum(0) if ws else 0.0
-            self.letters[k] = bool(ws)
+        first = len(self.known)
+        self.known.update(zip(chunks, range(first, need)))
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        words_at = np.fromiter((at[w] for ws in own for w in ws), np.int64, int(sizes.sum()))
+        self.logs[first:need] = 0.0
+        np.add.at(self.logs, np.repeat(np.arange(first, need), sizes), logs[words_at])
+        self.letters[first:need] = sizes > 0
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         split = [t.lower().split() if t else [] for t in texts]
@@ -228,7 +247,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # one row a language
     sizes = {r[0]: r[1] for r in usable.groupBy(col(lang_col).alias("l")).agg(F.count(F.lit(1))).collect()}
     languages = tuple(sorted(sizes))
-    v = n_pieces(path)
+    v = trie(path).pieces
     if not languages:
         return LanguageModel((), np.zeros((v + 2, 0)), path, "none")
     rates = spark.createDataFrame([(x, k, min(1.0, sample_rows / sizes[x])) for k, x in enumerate(languages)],
@@ -254,7 +273,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         shared = spark.sparkContext.broadcast(p)
 
         def step(batches, shared=shared):
-            known, now = trie(path), shared.value
+            vocabulary, now = trie(path), shared.value
             total = np.zeros((now.shape[1], len(now)))
             for b in batches:
                 ks, ws, ns = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
@@ -262,7 +281,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                     at = np.flatnonzero(ks == k)
                     words = [MARK + ws[i] for i in at]
                     for part in by_length(words):
-                        expected(lattice([words[i] for i in part], known, v), now[:, k],
+                        expected(vocabulary.lattice([words[i] for i in part]), now[:, k],
                                  ns[at[part]].astype(float), total[k])
             k, piece = np.nonzero(total[:, :v])
             yield pa.RecordBatch.from_arrays(
