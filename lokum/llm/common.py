@@ -33,6 +33,24 @@ def work_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Plans of these read the same rows in the same order in every job.
+STABLE = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation", "Range"}
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """``df`` itself if it only reads, filters and projects a table; anything else
+    (a join, a shuffle, a limit) is written to the shared folder first, as its
+    rows have no fixed order and could not be numbered alike in two jobs."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() not in STABLE:
+            return work_table(df, "input")
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return df
+
+
 def free_name(base: str, *dfs: DataFrame) -> str:
     """A column name that no given frame has (names are case-insensitive)."""
     taken = {c.lower() for df in dfs for c in df.columns}
@@ -48,8 +66,12 @@ def col(name: str) -> Column:
 
 
 def with_uid(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a stable input (a table): the same plan over the same
-    files gives a row the same number in every job and task attempt."""
+    """Number the rows of a ``stable`` input: the same files give a row the same
+    number in every job and task attempt. How files are split must not follow the
+    executors that happen to be alive, so the session's split is pinned."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lokum.llm.common import WHITE, col, free_name, with_uid, work_table
+from lokum.llm.common import WHITE, col, free_name, stable, with_uid, work_table
 
 SUPPORT = 0.001
 
@@ -77,6 +77,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                           support: float = SUPPORT) -> DataFrame:
     """The rows that stay, with all their columns. Losers of frequent digests
     leave map-side, before the texts are shuffled."""
+    docs = stable(docs)
     rows = work_table(_rows(docs, id_col, text_col), "digests")
     heavy = work_table(heavy_winners(rows, support), "heavy")
     dg, uid, best = (free_name(n, docs) for n in ("_digest", "_uid", "_best"))

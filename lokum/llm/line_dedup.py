@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col, with_uid, work_table
+from lokum.llm.common import col, stable, with_uid, work_table
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -84,6 +84,7 @@ def flagged_lines(rows: DataFrame, min_docs: int) -> DataFrame:
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, text (cleaned), n_lines, n_dropped, uid: one row per input row."""
+    docs = stable(docs)
     rows = with_uid(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")), "uid")
     flags = work_table(flagged_lines(rows, min_docs), "flags")
     lines = F.split("text", "\n")

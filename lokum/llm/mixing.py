@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lokum.llm.common import WORD, col, free_name, with_uid, work_table
+from lokum.llm.common import WORD, col, free_name, stable, with_uid, work_table
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -85,6 +85,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     length_col: str = "n_chars", **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row per whole take, and a
     shortened row (its first words) for the row at a source's cut."""
+    docs = stable(docs)
     uid, size, taken, take = (free_name(n, docs) for n in ("_uid", "_size", "_taken", "_take"))
     plan = (mix(docs, id_col, text_col, source_col, **options).where("taken > 0")
             .select(F.col("uid").alias(uid), F.col("size").alias(size), F.col("taken").alias(taken)))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col, free_name, keep_rows, with_uid, work_table
+from lokum.llm.common import col, free_name, keep_rows, stable, with_uid, work_table
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -229,6 +229,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """Of each component the row with the smallest id (then the first) stays."""
+    docs = stable(docs)
     comp = simhash_components(docs, id_col, text_col, shingle, max_bits)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid"))
     keep = comp.groupBy("root").agg(best.alias("best")).select("best.uid")

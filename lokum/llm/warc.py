@@ -34,11 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col, with_uid, work_path, work_table
+from lokum.llm.common import col, stable, with_uid, work_path, work_table
 
 LEAST_BYTES = 100
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
+READ_BYTES = 16 << 20  # compressed frames that a reading task gets
 DATE = "1970-01-01T00:00:00Z"  # the tables hold no capture time
 # fixed values: magic numbers of the seekable format, profile of the WARC standard
 SEEK_FRAME, SEEK_FOOTER = 0x184D2A5E, 0x8F92EAB1
@@ -117,6 +118,7 @@ def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
                   html_col: str = "html", least: int = LEAST_BYTES) -> DataFrame:
     """Writes the bundles to ``folder`` (a URI that all workers see); returns the
     index, a row per record."""
+    pages = stable(pages)
     payload = F.coalesce(col(html_col), F.lit(""))
     own = pages.select(col(id_col).cast("long").alias("page_id"), col(url_col).alias("url"), payload.alias("html"),
                        F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("bytes"))
@@ -233,8 +235,10 @@ def read_bundles(spark: SparkSession, paths: DataFrame, folder: str) -> DataFram
                     [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                     ["record_id", "page_id", "type", "refers_to", "payload_bytes", "payload_digest"])
 
-    table = paths.select("path").distinct().mapInArrow(frames, "path string, start long, packed long")
-    return (table.repartition("path", "start")
+    table = work_table(paths.select("path").distinct().mapInArrow(
+        frames, "path string, start long, packed long"), "frames")
+    packed = table.agg(F.sum("packed")).first()[0] or 0
+    return (table.repartition(max(1, -(-packed // READ_BYTES)), "path", "start")
             .mapInArrow(read, "record_id string, page_id long, type string, refers_to string, "
                               "payload_bytes long, payload_digest string"))
 
