@@ -76,6 +76,7 @@ def with_uid(df: DataFrame, name: str) -> DataFrame:
 
 
 def keep_rows(df: DataFrame, uid: str, keep: DataFrame) -> DataFrame:
-    """The rows of ``with_uid(df, uid)`` whose number is in ``keep`` (one column)."""
-    k = keep.select(F.col(keep.columns[0]).alias(uid))
+    """The rows of ``with_uid(df, uid)`` whose number is in ``keep`` (one column);
+    a merge join at every size, since ``keep`` grows with the rows."""
+    k = keep.select(F.col(keep.columns[0]).alias(uid)).hint("merge")
     return with_uid(df, uid).join(k, uid, "left_semi").drop(uid)

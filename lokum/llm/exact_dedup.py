@@ -87,4 +87,4 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     cold = rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
     keep = (heavy.select("best.uid").unionByName(
         cold.groupBy("digest").agg(*_winner()).select("best.uid")).withColumnRenamed("uid", uid))
-    return thinned.join(keep, uid, "left_semi").select(*[col(c) for c in docs.columns])
+    return thinned.join(keep.hint("merge"), uid, "left_semi").select(*[col(c) for c in docs.columns])

@@ -94,7 +94,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spaced = F.regexp_extract_all(col(text_col), F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
     text = F.when(rest >= F.col(size), col(text_col)).otherwise(
         F.array_join(F.slice(spaced, F.lit(1), rest.cast("int")), ""))
-    out = with_uid(docs, uid).join(plan, uid).withColumn(take, F.explode(copies)).withColumn(text_col, text)
+    out = with_uid(docs, uid).join(plan.hint("merge"), uid).withColumn(take, F.explode(copies)).withColumn(text_col, text)
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         out = out.withColumn(length_col, F.length(col(text_col)).cast(kind))
