@@ -167,15 +167,23 @@ def listing_date(date_posted, district, created_at, updated_at, as_of) -> Column
     return parse_date_read(raw, as_of)
 
 
+def post_moment(text) -> Column:
+    """Instant of a post time given as epoch seconds or ISO text."""
+    t = col_(text)
+    return F.coalesce(F.timestamp_seconds(t.try_cast("double")), t.try_cast("timestamp"))
+
+
 # --- F26: social post date ---------------------------------------------------
 
 def post_date(epoch_seconds=None, text=None, as_of=None) -> Column:
-    """Epoch number -> UTC date; text -> first 10 characters; else as_of."""
+    """Epoch number (also as text) -> UTC date; other text -> first 10
+    characters; else as_of."""
     parts = []
     if epoch_seconds is not None:
         parts.append(F.date_format(F.timestamp_seconds(col_(epoch_seconds)), "yyyy-MM-dd"))
     if text is not None:
         t = col_(text)
+        parts.append(F.date_format(F.timestamp_seconds(t.try_cast("double")), "yyyy-MM-dd"))
         parts.append(F.when(t != "", F.substring(t, 1, 10)))
     parts.append(F.date_format(_as_of_date(as_of), "yyyy-MM-dd"))
     return F.coalesce(*parts)

@@ -41,9 +41,9 @@ def canonical_url(url) -> Column:
     return F.split_part(col_(url), F.lit("?"), F.lit(1))
 
 
-def url_hash_id(url, n: int = 16) -> Column:
-    """Stable fallback id (sha-256 prefix; the same in every process)."""
-    return F.substring(F.sha2(col_(url), 256), 1, n)
+def url_hash_id(url) -> Column:
+    """Stable fallback id: the full sha-256 (the same in every process)."""
+    return F.sha2(col_(url), 256)
 
 
 def offer_id(url, portal: str) -> Column:

@@ -12,7 +12,7 @@ Two hooks:
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -57,7 +57,7 @@ def _first(root: H.Node, preds) -> H.Node | None:
 
 
 def _page_row(page_id, html) -> dict:
-    if html is None:
+    if not isinstance(html, str):
         return {"page_id": page_id, "title": None, "page_text": None, "description": None,
                 "paragraphs": None, "first_href": None, "parsed": False}
     root = H.parse(html)
@@ -75,15 +75,23 @@ def _page_row(page_id, html) -> dict:
             "parsed": True}
 
 
-def page_parts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """X10-X12 raw parts, one row per page (null html -> nulls, row kept)."""
+def page_parts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+               keep: Sequence[str] = ()) -> DataFrame:
+    """X10-X12 raw parts, one row per page (null html -> nulls, row kept). The
+    ``keep`` columns go through the hook, so nothing has to be joined back."""
+    own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"), *keep)
+    schema = T.StructType(PAGE_SCHEMA.fields + [own.schema[c] for c in keep])
+    names = [f.name for f in PAGE_SCHEMA.fields]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [_page_row(i, h) for i, h in zip(pdf["page_id"].tolist(), pdf["html"].tolist())]
-            yield pd.DataFrame(rows, columns=[f.name for f in PAGE_SCHEMA.fields])
+            out = pd.DataFrame(rows, columns=names)
+            for c in keep:
+                out[c] = pdf[c].to_numpy()
+            yield out
 
-    return pages.select(pages[id_col].cast("long").alias("page_id"),
-                        pages[html_col].alias("html")).mapInPandas(run, PAGE_SCHEMA)
+    return own.mapInPandas(run, schema)
 
 
 # --- cards ---------------------------------------------------------------------
@@ -109,11 +117,6 @@ def _txt(n: H.Node | None) -> str | None:
     return n.text("", True) if n is not None else None
 
 
-def _bold_or_self(p: H.Node) -> str:
-    b = p.find(H.class_has("span", "font-bold"))
-    return (b or p).text("", True)
-
-
 def _olx(root):
     cards = root.find_all(H.tag("div", **{"data-cy": "l-card"})) or root.find_all(H.href_has("/d/oferta/"))
     for c in cards:
@@ -137,10 +140,7 @@ def _adresowo(root):
             continue
         ps = [p for d in c.find_all(H.has_class("div", "items-center")) for p in d.find_all(H.tag("p"))] \
             or c.find_all(H.tag("p"))
-        tags = []
-        for p in ps:
-            txt = p.text("", True)
-            tags.append(_bold_or_self(p) if any(u in txt for u in ("zł", "m²", "m2", "pok")) else txt)
+        tags = [p.text(" ", True) for p in ps]  # the value with its unit
         heads = [h for h in c.find_all(lambda n: n.tag in ("h2", "h3"))]
         spans = []
         for h in heads:
@@ -209,7 +209,7 @@ CARD_RULES = {"olx": _olx, "adresowo": _adresowo, "no": _nieruchomosci, "morizon
 
 
 def card_fields(pages: DataFrame, portal: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per card on each page, with raw field text."""
+    """One row per link on each page (its first card), with raw field text."""
     rule = CARD_RULES[portal]
     names = [f.name for f in CARD_SCHEMA.fields]
 
@@ -217,9 +217,14 @@ def card_fields(pages: DataFrame, portal: str, id_col: str = "page_id", html_col
         for pdf in batches:
             out = []
             for pid, html in zip(pdf["page_id"].tolist(), pdf["html"].tolist()):
-                if html is None:
+                if not isinstance(html, str):
                     continue
+                seen = set()
                 for i, rec in enumerate(rule(H.parse(html))):
+                    link = rec["href"].split("?")[0]
+                    if link in seen:  # W2: promoted results are on the page twice
+                        continue
+                    seen.add(link)
                     row = dict.fromkeys(names)
                     row.update(rec)
                     row["page_id"], row["card_no"] = pid, i

@@ -26,11 +26,21 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     # --- navigation -----------------------------------------------------
-    def iter(self) -> Iterator["Node"]:
-        for c in self.children:
-            if isinstance(c, Node):
+    def walk(self, enter: Callable[["Node"], bool] = lambda n: True) -> Iterator["Node | str"]:
+        """Nodes and strings below in document order, however deep the markup
+        nests; nodes that ``enter`` refuses are yielded but not entered."""
+        stack = [iter(self.children)]
+        while stack:
+            for c in stack[-1]:
                 yield c
-                yield from c.iter()
+                if isinstance(c, Node) and enter(c):
+                    stack.append(iter(c.children))
+                    break
+            else:
+                stack.pop()
+
+    def iter(self) -> Iterator["Node"]:
+        return (c for c in self.walk() if isinstance(c, Node))
 
     def find(self, pred: Callable[["Node"], bool]) -> "Node | None":
         return next((n for n in self.iter() if pred(n)), None)
@@ -39,12 +49,7 @@ class Node:
         return [n for n in self.iter() if pred(n)]
 
     def strings(self) -> Iterator[str]:
-        for c in self.children:
-            if isinstance(c, Node):
-                if c.tag not in NON_TEXT:
-                    yield from c.strings()
-            else:
-                yield c
+        return (c for c in self.walk(lambda n: n.tag not in NON_TEXT) if not isinstance(c, Node))
 
     def text(self, sep: str = "", strip: bool = True) -> str:
         parts = (s.strip() for s in self.strings()) if strip else self.strings()

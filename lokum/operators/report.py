@@ -3,9 +3,8 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..constants import REPORT_HEADER
@@ -48,7 +47,8 @@ def markdown_lines(page: DataFrame, row_no: str = "rank") -> DataFrame:
              F.coalesce(F.col("rooms").cast("string"), F.lit("N/A")),
              FT.format_money(pps), FT.highlight_snippet("description"),
              F.concat(F.lit("[View Offer]("), F.col("url"), F.lit(")"))]
-    line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+    # a null cell keeps its column
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.coalesce(c, F.lit("N/A")) for c in cells]), F.lit(" |"))
     return page.select(F.col(row_no).cast("long").alias("row_no"), line.alias("line"))
 
 
@@ -77,19 +77,17 @@ def append_new(existing: DataFrame, incoming: DataFrame, order, existing_rows: i
 
 
 def write_report(spark: SparkSession, rows: DataFrame, path: str) -> str:
-    """Reset the target when it is missing or its header is not the
-    report header (first cell '#'), else append. CSV with a header line."""
-    mode = "append"
+    """Reset the target when it does not exist or its header is not the
+    report header, else append. CSV with a header line. Any other failure to
+    read the target is raised: a report is never replaced because of it."""
     try:
         head = spark.read.option("header", "true").csv(path).columns
-        if not head or head[0] != "#":
-            mode = "overwrite"
-    except Exception:
-        mode = "overwrite"
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        head = []
+    mode = "append" if head == list(REPORT_HEADER) else "overwrite"
     renamed = rows.toDF(*REPORT_HEADER) if len(rows.columns) == len(REPORT_HEADER) else rows
     renamed.write.mode(mode).option("header", "true").csv(path)
     return mode
 
-
-def report_target(spark: SparkSession, base: str, name: str) -> str:
-    return os.path.join(base, name)

@@ -4,25 +4,23 @@
   higher-order expression (``aggregate(zip_with(...))``), the threshold a
   filter, and ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject
   (per-partition top-k, then one small merge).
-* Query batch (W8): no cross join. The query matrix is broadcast behind a
-  byte-size check and every item partition is scored with numpy in
-  ``mapInPandas``, emitting only its local top-k per query. A second stage
-  ranks the survivors per (query, salt) and then per query, so no task ever
-  holds more than ``salts * k`` candidates of one query.
-
-Similarity is rounded to 4 decimals and ties are broken by item id, so the
-cut at k is deterministic (float32 inputs, float64 arithmetic).
+* Query batch (W8): shards of items meet blocks of queries, both of bounded
+  size, in co-grouped numpy tasks that return their local top-k per query; a
+  ranked window cuts those again, before and after its shuffle.
+
+Thresholds and ranks use the full similarity (float32 inputs, float64
+arithmetic), ties go to the smaller item id; only what is shown is rounded.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import col_, round_to
 
@@ -53,9 +51,19 @@ def vec_literal(values: Sequence[float]) -> Column:
 
 
 def similarity(vec_col: str, query: Sequence[float] | Column) -> Column:
-    q = query if isinstance(query, Column) else vec_literal(query)
-    qn = norm(q)
-    return round_to(cosine(vec_col, q, qn), SIM_DECIMALS)
+    """Cosine similarity to one query vector; a literal one is scaled to length
+    one here, so a row costs one dot product and its own norm."""
+    if isinstance(query, Column):
+        return cosine(vec_col, query)
+    length = math.sqrt(sum(float(x) * float(x) for x in query))
+    if not length:
+        return F.lit(None).cast("double")
+    na = norm(vec_col)
+    return F.when(na > 0, dot(vec_col, vec_literal([float(x) / length for x in query])) / na)
+
+
+def rounded(sim) -> Column:
+    return round_to(sim, SIM_DECIMALS)
 
 
 def topk(df: DataFrame, sim_col: str, k: int | None, threshold: float | None,
@@ -70,78 +78,61 @@ def topk(df: DataFrame, sim_col: str, k: int | None, threshold: float | None,
 
 # --- W8: batch top-k ---------------------------------------------------------
 
-def _round_half_away(a: np.ndarray, digits: int) -> np.ndarray:
-    """Same rule as ``round_to``: round(x * 10^d) / 10^d, half away from zero."""
-    m = 10.0 ** digits
-    y = a * m
-    return np.sign(y) * np.floor(np.abs(y) + 0.5) / m
+SHARD_ROWS, BLOCK_ROWS = 16_384, 2_048
+
 
-def _check_query_matrix(n_queries: int, dim: int) -> None:
-    size = n_queries * dim * 8
-    if size > MAX_QUERY_MATRIX_BYTES:
-        raise ValueError(
-            f"query batch of {n_queries} x {dim} ({size} bytes) exceeds the broadcast bound; "
-            "split the batch (batch_topk_chunks) instead")
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    m = pa.concat_arrays([c.flatten() for c in column.chunks]).to_numpy(zero_copy_only=False)
+    m = m.astype(np.float64).reshape(-1, dim)
+    n = np.sqrt((m * m).sum(axis=1))
+    n[n == 0] = np.nan
+    return m / n[:, None]
 
 
 def batch_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float | None = None,
                item_id: str = "item_id", item_vec: str = "embedding",
                query_id: str = "query_id", query_vec: str = "embedding",
-               salts: int = 16) -> DataFrame:
+               shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top-k items per query by cosine similarity (exact).
 
-    ``queries`` is collected as a matrix only after a size check (row count
-    times width must fit the broadcast bound); callers with more queries
-    split them into chunks of bounded size.
-    """
-    spark = items.sparkSession
-    nq = queries.count()
-    first = queries.select(F.size(query_vec).alias("d")).first()
-    dim = int(first["d"]) if first else 0
-    _check_query_matrix(nq, dim)
-    qrows = queries.select(query_id, query_vec).orderBy(query_id).collect()
-    qids = np.array([r[0] for r in qrows], dtype=np.int64)
-    qmat = np.array([r[1] for r in qrows], dtype=np.float64).reshape(len(qrows), dim)
-    qn = np.linalg.norm(qmat, axis=1)
-    qn[qn == 0] = np.nan
-    qunit = qmat / qn[:, None]
-    bq = spark.sparkContext.broadcast((qids, qunit))
-
-    thr = -np.inf if threshold is None else float(threshold)
-
-    def score(batches):
-        ids_, qu = bq.value
-        best_s = [np.empty(0) for _ in ids_]
-        best_i = [np.empty(0, dtype=np.int64) for _ in ids_]
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = np.stack(pdf[item_vec].to_numpy()).astype(np.float64)
-            nrm = np.linalg.norm(m, axis=1)
-            nrm[nrm == 0] = np.nan
-            sims = _round_half_away((m / nrm[:, None]) @ qu.T, SIM_DECIMALS)  # items x queries
-            iid = pdf[item_id].to_numpy(dtype=np.int64)
-            for qi in range(len(ids_)):
-                s = sims[:, qi]
-                ok = ~np.isnan(s) & (s > thr)
-                s2, i2 = np.concatenate([best_s[qi], s[ok]]), np.concatenate([best_i[qi], iid[ok]])
-                if len(s2) > k:
-                    order = np.lexsort((i2, -s2))[:k]
-                    s2, i2 = s2[order], i2[order]
-                best_s[qi], best_i[qi] = s2, i2
-        for qi, q in enumerate(ids_):
-            if len(best_s[qi]):
-                yield pd.DataFrame({query_id: np.full(len(best_s[qi]), q, dtype=np.int64),
-                                    item_id: best_i[qi], "similarity": best_s[qi]})
-
-    schema = T.StructType([T.StructField(query_id, T.LongType()),
-                           T.StructField(item_id, T.LongType()),
-                           T.StructField("similarity", T.DoubleType())])
-    local = items.select(F.col(item_id).cast("long").alias(item_id), item_vec).mapInPandas(score, schema)
-    # two-stage merge: (query, salt) then query; each group holds <= salts * k rows
-    salted = local.withColumn("__salt", F.pmod(F.xxhash64(item_id), F.lit(salts)))
-    w1 = Window.partitionBy(query_id, "__salt").orderBy(F.desc("similarity"), F.asc(item_id))
-    stage1 = salted.withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k)
-    w2 = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(item_id))
-    return (stage1.drop("__r", "__salt").withColumn("rank", F.row_number().over(w2))
-            .filter(F.col("rank") <= k))
+    Items are dealt into shards and queries into blocks of bounded size; each
+    (shard, block) is a task of its own that returns its k best per query, and
+    a window with a pre-shuffle group limit keeps the best of those. Nothing is
+    collected or broadcast, whatever the number of queries."""
+    shards = max(1, -(-items.count() // shard_rows))
+    blocks = max(1, -(-queries.count() // block_rows))
+
+    def deal(name: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
+
+    def spread(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    i = items.select(F.col(item_id).cast("long").alias("id"), F.size(item_vec).alias("dim"),
+                     deal(item_id, shards).alias("shard"), F.col(item_vec).alias("v"))
+    q = queries.select(F.col(query_id).cast("long").alias("id"), F.size(query_vec).alias("dim"),
+                       deal(query_id, blocks).alias("block"), F.col(query_vec).alias("v"))
+    key = ["dim", "shard", "block"]
+    i = i.where("dim > 0").select("*", spread(blocks).alias("block")).groupBy(*key)
+    q = q.where("dim > 0").select("*", spread(shards).alias("shard")).groupBy(*key)
+    least = -np.inf if threshold is None else float(threshold)
+
+    def best(own: pa.Table, asks: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, ...]] = []
+        if own.num_rows and asks.num_rows:
+            dim = own["dim"][0].as_py()
+            ids, m = own["id"].to_numpy(), _matrix(own["v"], dim)
+            for name, sims in zip(asks["id"].to_pylist(), _matrix(asks["v"], dim) @ m.T):
+                at = np.flatnonzero(sims > least)
+                if len(at) > k:
+                    low = np.partition(sims[at], len(at) - k)[len(at) - k]
+                    at = at[sims[at] >= low]
+                at = at[np.lexsort((ids[at], -sims[at]))[:k]]
+                found.append((np.full(len(at), name), ids[at], sims[at]))
+        cols = [np.concatenate(c) for c in zip(*found)] or [[], [], []]
+        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                         pa.array(cols[2], pa.float64())], [query_id, item_id, "similarity"])
+
+    local = i.cogroup(q).applyInArrow(best, f"{query_id} long, {item_id} long, similarity double")
+    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(item_id))
+    return local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

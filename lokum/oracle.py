@@ -99,7 +99,7 @@ SELECT
     ELSE 'Dodano ' || {dd} || ' ' || {month} || ' ' || {yy}
   END AS description,
   CAST(l.l_shipdate AS TIMESTAMP) AS created_at,
-  l.l_partkey % 500 AS vec_id,
+  l.l_partkey % (SELECT count(*) FROM embeddings) AS vec_id,
   l.l_orderkey AS order_key,
   l.l_partkey AS part_key,
   {n} AS line_no

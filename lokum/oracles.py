@@ -23,10 +23,10 @@ def _search_sql(pre: bool) -> str:
     date_expr = listing_date("district", "created_at", "updated_at", AS_OF_DATE)
     return with_l(f"""
 SELECT rank, external_id, portal, title, price_pln, price_per_sqm, sqm, rooms,
-       {unpack_district('district')} AS district, date_posted, url, description, similarity
+       {unpack_district('district')} AS district, date_posted, url, description, round(similarity, 4) AS similarity
 FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
 """, f"""Q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_VEC_ID})""",
-        f"""S AS (SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+        f"""S AS (SELECT vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])) AS similarity
            FROM embeddings e, Q)""",
         f"""C AS (SELECT D.*, S.similarity FROM D JOIN S USING (vec_id)
            WHERE price_pln <= {p.max_price} AND sqm >= {p.min_sqm} AND rooms >= {p.min_rooms}
@@ -346,7 +346,7 @@ oracle("existing_ids", with_ctes("SELECT DISTINCT external_id FROM L WHERE exter
                                  STORE_CTE))
 oracle("enrich_timestamps", with_ctes(
     "SELECT D.external_id, CAST(D.created_at AS VARCHAR) AS created_at, CAST(o.o_orderdate AS VARCHAR) AS updated_at "
-    "FROM D LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON o.o_orderkey = D.order_key", D_CTE))
+    "FROM D LEFT JOIN orders o ON o.o_orderkey = D.order_key", D_CTE))
 
 
 def _store_record_cols():
@@ -406,10 +406,10 @@ oracle("rank_page", with_ctes(
     "SELECT row_number() OVER (ORDER BY created_at, external_id) AS rank, external_id FROM D", D_CTE))
 oracle("vector_topk", f"""
 WITH Q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_VEC_ID})
-SELECT vec_id, similarity FROM (
-  SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+SELECT vec_id, round(s, 4) AS similarity FROM (
+  SELECT vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])) AS s
   FROM embeddings e, Q) t
-WHERE similarity > 0.1 ORDER BY similarity DESC, vec_id LIMIT 20""")
+WHERE s > 0.1 ORDER BY s DESC, vec_id LIMIT 20""")
 
 
 # =============================================================================
@@ -464,7 +464,7 @@ def _offer_id(portal):
     from .functions.urls import OFFER_ID_PATTERNS
     cu = "split_part(url, '?', 1)"
     tries = ", ".join(O.rx(cu, p) for p in OFFER_ID_PATTERNS[portal])
-    return f"coalesce({tries}, substr(sha256({cu}), 1, 16)) AS id_{portal}"
+    return f"coalesce({tries}, sha256({cu})) AS id_{portal}"
 
 
 oracle("offer_id", "SELECT page_id, " + ", ".join(_offer_id(p) for p in
@@ -476,13 +476,13 @@ SELECT page_id, url FROM (
                                           ORDER BY page_id) AS rn FROM pages) t WHERE rn = 1""")
 oracle("page_depth", f"""
 WITH P AS (SELECT page_id, {_HOST} AS host, CAST(page_id % 10 + 1 AS INTEGER) AS page_no,
-                  length(html) < 2000 AS empty FROM pages),
+                  coalesce({strings_joined(ARTICLE, "''")} = '', TRUE) AS empty FROM pages),
 Q AS (SELECT * FROM P WHERE page_no <= 3),
 S AS (SELECT host, min(CASE WHEN empty THEN page_no END) AS stop FROM Q GROUP BY host)
-SELECT page_id, Q.host, page_no FROM Q JOIN S ON Q.host IS NOT DISTINCT FROM S.host
+SELECT page_id, Q.host, page_no FROM Q LEFT JOIN S ON Q.host IS NOT DISTINCT FROM S.host
 WHERE stop IS NULL OR page_no < stop""")
-oracle("quarantine_split", """
-SELECT page_id, CASE WHEN html IS NOT NULL AND html LIKE '%<article%' THEN 'ok' ELSE 'quarantine' END AS status
+oracle("quarantine_split", f"""
+SELECT page_id, CASE WHEN {strings_joined(ARTICLE, "''")} <> '' THEN 'ok' ELSE 'quarantine' END AS status
 FROM pages""")
 oracle("source_scope", """
 SELECT page_id, ref, page FROM (
@@ -499,18 +499,20 @@ POSTS_CTE = """P AS (
   SELECT CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END AS post_id,
          NULLIF(text, '') AS text,
          CASE WHEN doc_id % 4 <> 0 THEN 'https://www.facebook.com/groups/' || source || '/posts/' || CAST(doc_id AS VARCHAR) END AS url,
-         '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T10:00:00' AS time,
+         '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS day,
+         CASE WHEN doc_id % 6 = 0 THEN CAST(epoch(CAST('2024-01-01 10:00:00' AS TIMESTAMP))::BIGINT + doc_id % 28 * 86400 AS VARCHAR)
+              ELSE '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T10:00:00' END AS time,
          source AS "group"
   FROM documents)"""
 oracle("post_normalize", f"WITH {POSTS_CTE} SELECT post_id, text, url, time, \"group\" FROM P")
 oracle("post_cap_per_group", f"""WITH {POSTS_CTE}
 SELECT post_id, "group", time FROM (
-  SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY time DESC, url DESC NULLS LAST, post_id DESC NULLS LAST) AS r
+  SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY day DESC, url DESC NULLS LAST, post_id DESC NULLS LAST) AS r
   FROM P) t WHERE r <= 15""")
 oracle("min_text_length", f"SELECT doc_id FROM documents WHERE length({O.strip('text')}) >= 20")
 oracle("keyword_prefilter", "SELECT doc_id FROM documents WHERE NOT ((contains(lower(text), 'rent') OR contains(lower(text), 'lease')) "
                             "AND NOT contains(lower(text), 'ble'))")
-_EXT = "'fb-' || coalesce(post_id, substr(sha256(coalesce(url, substr(text, 1, 50))), 1, 10))"
+_EXT = "'fb-' || coalesce(post_id, sha256(coalesce(url, text)))"
 _PK = ("row_number() OVER (PARTITION BY external_id ORDER BY post_id NULLS FIRST, url NULLS FIRST, "
        "time NULLS FIRST, text NULLS FIRST)")
 oracle("dedupe_posts", f"""WITH {POSTS_CTE}
@@ -520,13 +522,13 @@ SELECT external_id, post_id FROM (SELECT *, {_PK} AS rn FROM (SELECT *, {_EXT} A
 def _post_extract_sql():
     t = "ct"
     first = f"({O.sentences(t)})[1]"
-    title = f"coalesce(NULLIF(substr({first}, 1, 60), ''), {q(FB_DEFAULT_TITLE)})"
-    date = "substr(time, 1, 10)"
+    title = f"coalesce(NULLIF({first}, ''), {q(FB_DEFAULT_TITLE)})"
+    date = "day"
     return f"""WITH {POSTS_CTE},
 V AS (SELECT CAST(doc_id AS VARCHAR) AS post_id, quality = 1 AS verdict FROM labels),
 K AS (SELECT * FROM (SELECT *, {_PK} AS rn FROM (SELECT *, {_EXT} AS external_id FROM P
       WHERE coalesce(length({O.strip('text')}) >= 20, FALSE)) a) b WHERE rn = 1),
-R AS (SELECT K.*, substr(text, 1, 2500) AS ct, V.verdict FROM K LEFT JOIN V USING (post_id)
+R AS (SELECT K.*, text AS ct, V.verdict FROM K LEFT JOIN V USING (post_id)
       WHERE NOT ((contains(lower(text), 'rent') OR contains(lower(text), 'lease')) AND NOT contains(lower(text), 'ble'))
         AND coalesce(length({O.strip('text')}) >= 15, FALSE)),
 X AS (SELECT *, {O.text_price(t)} AS xp, {O.text_sqm(t)} AS xs, {O.text_rooms(t)} AS xr FROM R WHERE coalesce(verdict, FALSE))
@@ -553,14 +555,14 @@ CASE WHEN {O.blank('title')} THEN 'Mieszkanie na sprzedaż (' || {_D0} || ')' EL
 {_PA} AS price_pln, {price_per_sqm(_PA, 'sqm')} AS price_per_sqm, sqm, rooms,
 {_D0} || ' - ' || ({_DATE_A}) AS district, {_DATE_A} AS date_posted,
 'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html' AS url""",
-                            "WHERE portal = 'olx'"))
+                            ""))
 _ROOMS_B = "CASE WHEN line_no IN (1, 2) THEN rooms END"
 _B_SELECT = f"""'otodom-' || {_AD} AS external_id, title, price_pln, {price_per_sqm('price_pln', 'sqm')} AS price_per_sqm,
 sqm, {_ROOMS_B} AS rooms, {CLEAN_D} AS district,
 'https://www.otodom.pl/pl/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-' || {_AD} AS url"""
-oracle("json_ads_b", from_l(_B_SELECT, "WHERE portal = 'otodom' AND line_no <> 7"))
+oracle("json_ads_b", from_l(_B_SELECT, "WHERE line_no <> 7"))
 oracle("json_district", from_l(f"'otodom-' || {_AD} AS external_id, {CLEAN_D} AS district",
-                               "WHERE portal = 'otodom' AND line_no <> 7"))
+                               "WHERE line_no <> 7"))
 
 
 # =============================================================================
@@ -593,13 +595,13 @@ oracle("embed_delta", """
 SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim
 FROM documents""")
 oracle("vector_batch_topk", """
-WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings WHERE label = 0),
+WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings),
 S AS (SELECT query_id, e.vec_id AS item_id,
-             round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+             list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])) AS similarity
       FROM Q, embeddings e),
 R AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank
       FROM S WHERE similarity > 0.1)
-SELECT query_id, item_id, similarity, rank FROM R WHERE rank <= 10""")
+SELECT query_id, item_id, round(similarity, 4) AS similarity, rank FROM R WHERE rank <= 10""")
 
 
 def _report_base():
@@ -619,10 +621,10 @@ def _search_sql_params(p, pre):
         recency = f"WHERE coalesce(TRY_CAST(TRY_CAST(date_posted AS DATE) AS TIMESTAMP) >= {cutoff}, TRUE)"
     return with_l(f"""
 SELECT rank, external_id, portal, title, price_pln, price_per_sqm, sqm, rooms, district AS district,
-       date_posted, url, description, similarity
+       date_posted, url, description, round(similarity, 4) AS similarity
 FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
 """, f"""Q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = {QUERY_VEC_ID})""",
-        f"""S AS (SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])), 4) AS similarity
+        f"""S AS (SELECT vec_id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(Q.q AS DOUBLE[])) AS similarity
            FROM embeddings e, Q)""",
         f"""C AS (SELECT D.*, S.similarity FROM D JOIN S USING (vec_id)
            WHERE price_pln <= {p.max_price} AND sqm >= {p.min_sqm} AND rooms >= {p.min_rooms}
@@ -648,16 +650,15 @@ SELECT rank AS row_no, date_posted, {O.portal_label('url', 'external_id')} AS po
        {O.snippet('description')} AS details, url AS link
 FROM ({_report_base()}) s""")
 oracle("report_markdown", f"""
-SELECT rank AS row_no, '| ' || concat_ws(' | ', CAST(rank AS VARCHAR), date_posted, {O.portal_label('url', 'external_id')},
+SELECT rank AS row_no, '| ' || concat_ws(' | ', CAST(rank AS VARCHAR), coalesce(date_posted, 'N/A'), {O.portal_label('url', 'external_id')},
        {unpack_district('district')}, {O.fmt_money('price_pln')}, {_cell('sqm')}, coalesce(CAST(rooms AS VARCHAR), 'N/A'),
-       {O.fmt_money('price_per_sqm')}, {O.snippet('description')}, '[View Offer](' || url || ')') || ' |' AS line
+       {O.fmt_money('price_per_sqm')}, {O.snippet('description')}, coalesce('[View Offer](' || url || ')', 'N/A')) || ' |' AS line
 FROM ({_report_base()}) s""")
 oracle("report_append", with_ctes("""
-SELECT CAST(row_number() OVER (ORDER BY external_id) + (SELECT count(*) FROM D WHERE line_no = 1) AS BIGINT) AS row_no,
+SELECT CAST(row_number() OVER (ORDER BY external_id) + (SELECT count(*) FROM D WHERE part_key % 2 = 0) AS BIGINT) AS row_no,
        external_id, url
 FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(url)) ORDER BY external_id) AS rn
-      FROM D WHERE line_no IN (1, 3, 5)
-        AND lower(trim(url)) NOT IN (SELECT lower(trim(url)) FROM D WHERE line_no = 1)) t
+      FROM D WHERE lower(trim(url)) NOT IN (SELECT lower(trim(url)) FROM D WHERE part_key % 2 = 0)) t
 WHERE rn = 1""", D_CTE))
 oracle("listing_json", with_ctes("""
 SELECT external_id, to_json(struct_pack(external_id := external_id, title := title, price_pln := price_pln,
@@ -672,14 +673,24 @@ SELECT external_id, title, price_pln, sqm, rooms, district, url, date_posted FRO
 # Cards
 # =============================================================================
 
+# one card per link of a page: the first in page order
+CARD_ORDER = ("line_no, part_key, title NULLS FIRST, price_pln NULLS FIRST, sqm NULLS FIRST, rooms NULLS FIRST, "
+              "district NULLS FIRST, created_at NULLS FIRST, description NULLS FIRST")
+_OLX_URL = f"'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html'"
+
+
+def card_rows(url):
+    return (f"(SELECT *, {url} AS link FROM L QUALIFY row_number() OVER (PARTITION BY order_key, {url} "
+            f"ORDER BY {CARD_ORDER}) = 1)")
+
+
 def _olx_cards_sql():
     from .functions.urls import OFFER_ID_PATTERNS
-    url = f"'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html'"
     price_txt = "CASE WHEN price_pln IS NOT NULL THEN replace(format('{:,.0f}', price_pln), ',', ' ') || ' zł' END"
     span = ("NULLIF(concat_ws(' · ', CASE WHEN sqm IS NOT NULL THEN replace(CAST(sqm AS VARCHAR), '.', ',') || ' m²' END, "
             "CASE WHEN rooms IS NOT NULL THEN CAST(rooms AS VARCHAR) || ' pok.' END), '')")
     loc = f"'Warszawa, ' || lower({CLEAN_D})"
-    oid = "coalesce(" + ", ".join(O.rx("url", p) for p in OFFER_ID_PATTERNS["olx"]) + ", substr(sha256(url), 1, 16))"
+    oid = "coalesce(" + ", ".join(O.rx("url", p) for p in OFFER_ID_PATTERNS["olx"]) + ", sha256(url))"
     pn = parse_number("price_txt")
     return with_l(f"""
 SELECT 'olx-' || {oid} AS external_id,
@@ -690,11 +701,44 @@ SELECT 'olx-' || {oid} AS external_id,
 FROM (SELECT *, CASE WHEN {O.truthy(pn)} THEN {pn} ELSE {O.text_price('fbt')} END AS price,
              {O.text_sqm('fbt')} AS xs, {O.text_rooms('fbt')} AS xr
       FROM (SELECT *, concat_ws(' ', title, price_txt, span, loc) || ' ' || url AS fbt, {d_first('loc')} AS dist
-            FROM (SELECT title, {url} AS url, {price_txt} AS price_txt, {span} AS span, {loc} AS loc
-                  FROM L WHERE portal = 'olx') a) b) c""")
+            FROM (SELECT title, link AS url, {price_txt} AS price_txt, {span} AS span, {loc} AS loc
+                  FROM {card_rows(_OLX_URL)} r) a) b) c""")
+
+
+def _cards_sql(prefix, url, offer, title, district, price="price_pln", sqm="sqm", rooms="rooms",
+               date="CAST(NULL AS VARCHAR)"):
+    """Cards straight from the listing's own fields."""
+    return with_l(f"""
+SELECT '{prefix}-' || offer AS external_id, title2 AS title, price AS price_pln,
+       {price_per_sqm('price', 'area')} AS price_per_sqm, area AS sqm, n_rooms AS rooms,
+       {pack('dist', 'day')} AS district, day AS date_posted, link AS url
+FROM (SELECT link, {offer} AS offer, {title} AS title2, {price} AS price, {sqm} AS area, {rooms} AS n_rooms,
+             {district} AS dist, {date} AS day FROM {card_rows(url)} r) c""")
 
 
+_TITLE_D = O.title(f"lower({CLEAN_D})")
+_NUMBER = "CAST(order_key AS VARCHAR) || CAST(line_no AS VARCHAR)"
+_NO_URL = ("'https://warszawa.nieruchomosci-online.pl/mieszkanie-' || CAST(order_key AS VARCHAR) "
+           "|| lpad(CAST(line_no AS VARCHAR), 3, '0') || '.html'")
 oracle("cards_olx", _olx_cards_sql())
+oracle("cards_morizon", _cards_sql(
+    "morizon", f"'https://www.morizon.pl/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-mzn' || {_NUMBER}",
+    f"'mzn' || {_NUMBER}", "coalesce(title, 'Mieszkanie na sprzedaż (Warszawa)')", _TITLE_D,
+    # a zero price is read again from the card's text, where the district stands before it
+    price=f"CASE WHEN price_pln = 0 THEN {O.text_price(CLEAN_D + " || ' 0 zł'")} ELSE price_pln END"))
+oracle("cards_freedom", _cards_sql(
+    "freedom", f"'https://freedom.pl/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-' || {_NUMBER} || '/'",
+    _NUMBER, f"'Mieszkanie Warszawa (' || {O.capitalize(CLEAN_D)} || ')'", O.capitalize(CLEAN_D),
+    date="substr(CAST(created_at AS VARCHAR), 1, 10)"))
+oracle("cards_no", _cards_sql(
+    "no", _NO_URL, f"coalesce({O.rx('link', r'([0-9]{6,10})')}, sha256(link))",
+    f"coalesce(NULLIF(title, ''), 'Mieszkanie na sprzedaż (' || {CLEAN_D} || ')')", CLEAN_D,
+    price=f"coalesce(price_pln, {O.text_price('description')})", sqm=f"coalesce(sqm, {O.text_sqm('description')})",
+    rooms=O.text_rooms("description"),
+    date=f"CAST({text_date('description', DATE_LABELS_TEXTUAL['no'])} AS VARCHAR)"))
+oracle("cards_adresowo", _cards_sql(
+    "adresowo", f"'https://adresowo.pl/o/mieszkanie-warszawa-' || lower(replace({CLEAN_D}, ' ', '-')) || '-ul-polna-' || {_AD}",
+    _AD, f"'Mieszkanie Warszawa ' || {_TITLE_D} || ' ul. Polna'", _TITLE_D))
 
 
 # =============================================================================
@@ -705,7 +749,7 @@ def _detail_sql():
     dt = O.strip("description")
     date = f"CAST({text_date('dt', DATE_LABELS_TEXTUAL['olx'])} AS VARCHAR)"
     return with_ctes(f"""
-SELECT external_id, sqm2 AS sqm, rooms2 AS rooms, price2 AS price_pln,
+SELECT external_id, sqm2 AS sqm, rooms2 AS rooms, price2 AS price_pln, CASE WHEN has THEN dt END AS description,
        CASE WHEN has AND d2 IS NOT NULL AND NOT contains(coalesce(NULLIF(district, ''), 'Warszawa'), '-')
             THEN coalesce(NULLIF(district, ''), 'Warszawa') || ' - ' || d2 ELSE district END AS district,
        d2 AS date_posted,
@@ -715,8 +759,9 @@ FROM (SELECT *,
         CASE WHEN has THEN (CASE WHEN {O.truthy('sqm')} THEN sqm ELSE {O.text_sqm('dt')} END) ELSE sqm END AS sqm2,
         CASE WHEN has THEN (CASE WHEN {O.truthy('rooms')} THEN rooms ELSE {O.text_rooms('dt')} END) ELSE rooms END AS rooms2,
         CASE WHEN has THEN (CASE WHEN {O.truthy('price_pln')} THEN price_pln ELSE {O.text_price('dt')} END) ELSE price_pln END AS price2,
-        CASE WHEN has THEN {date} END AS d2
-      FROM (SELECT B.external_id, B.price_pln, B.sqm, B.rooms, B.district,
+        coalesce(CASE WHEN line_no % 2 = 1 THEN substr(CAST(created_at AS VARCHAR), 1, 10) END,
+                 CASE WHEN has THEN {date} END) AS d2
+      FROM (SELECT B.external_id, B.line_no, B.created_at, B.price_pln, B.sqm, B.rooms, B.district,
                    {price_per_sqm('B.price_pln', 'B.sqm')} AS pps, T.dt, coalesce(T.dt <> '', FALSE) AS has
             FROM B LEFT JOIN (SELECT curl, {dt} AS dt FROM (
                 SELECT split_part(url, '?', 1) AS curl, description,
@@ -730,12 +775,12 @@ oracle("detail_enrich", _detail_sql())
 def _fallback_sql():
     from .functions.urls import OFFER_ID_PATTERNS
     url = f"'https://www.olx.pl/d/oferta/mieszkanie-' || CAST(part_key AS VARCHAR) || '-ID' || {_AD} || '.html'"
-    oid = "coalesce(" + ", ".join(O.rx("u", p) for p in OFFER_ID_PATTERNS["olx"]) + ", substr(sha256(u), 1, 16))"
+    oid = "coalesce(" + ", ".join(O.rx("u", p) for p in OFFER_ID_PATTERNS["olx"]) + ", sha256(u))"
     return with_l(f"""
-SELECT 'olx-' || {_AD} AS external_id, {url} AS url, 'json' AS source FROM L WHERE portal = 'olx' AND order_key % 2 = 0
+SELECT 'olx-' || {_AD} AS external_id, {url} AS url, 'json' AS source FROM L WHERE order_key % 2 = 0
 UNION ALL
 SELECT 'olx-' || {oid} AS external_id, u AS url, 'cards' AS source
-FROM (SELECT {url} AS u FROM L WHERE portal = 'olx' AND order_key % 2 = 1) t""")
+FROM (SELECT link AS u FROM {card_rows(_OLX_URL)} r WHERE order_key % 2 = 1) t""")
 
 
 oracle("extract_fallback", _fallback_sql())

@@ -56,16 +56,20 @@ def store_record(df: DataFrame) -> DataFrame:
 
 def detail_enrich(listings: DataFrame, details: DataFrame, as_of, date_labels: Sequence[str]) -> DataFrame:
     """Listing ⋈ detail page by canonical url (left: a missing or empty
-    page leaves the row as it is). A non-empty detail text fills falsy
-    sqm / rooms / price, supplies the posting date (packed into the district
-    only when the district has no '-'), and recomputes a missing price/m².
-    ``details`` has curl, detail_text."""
+    page leaves the row as it is, with its null description). A non-empty
+    detail text fills the description and falsy sqm / rooms / price, supplies
+    the posting date unless the listing has one (packed into the district only
+    when the district has no '-'), and recomputes a missing price/m².
+    ``listings`` has description and date_posted, ``details`` curl, detail_text."""
     from ..functions.urls import canonical_url
     j = listings.withColumn("curl", canonical_url("url")).join(details, "curl", "left")
     has = FT.truthy_str("detail_text")
     fb = fallback_params(F.col("detail_text"), None, date_labels, as_of)
     j = j.withColumn("fb", fb)
-    date = F.when(has, F.col("fb.date_posted").cast("string"))
+    own = F.nullif(F.col("date_posted").cast("string"), F.lit(""))
+    date = F.coalesce(own, F.when(has, F.col("fb.date_posted").cast("string")))
+    j = j.withColumn("description", F.when(has, FT.falsy_or("description", "detail_text", "str"))
+                     .otherwise(F.col("description")))
     j = (j.withColumn("sqm", F.when(has, FT.falsy_or("sqm", "fb.sqm")).otherwise(F.col("sqm")))
           .withColumn("rooms", F.when(has, FT.falsy_or("rooms", "fb.rooms")).otherwise(F.col("rooms")))
           .withColumn("price_pln", F.when(has, FT.falsy_or("price_pln", "fb.price_pln"))

@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 
 from ..constants import PARAGRAPH_MIN_CHARS
 from ..functions import urls as FU
-from ..operators.broadcast import broadcast_if_small
 from ..operators.dedupe import keep_first
 from ..operators.filters import query_param
 
-EMPTY_PAGE_CHARS = 2000  # a capture shorter than this holds no results
-
 
 def paragraph_description(parts: DataFrame) -> DataFrame:
     """X11: paragraphs longer than 20 characters joined by a blank line, else
@@ -38,14 +35,18 @@ def dedupe_page_url(pages: DataFrame) -> DataFrame:
 
 
 def page_depth(pages: DataFrame, max_pages: int) -> DataFrame:
-    """Pages 1..max(1, n) per source, stopping before the first empty
-    page. The per-source stop page is a partial aggregate (one row per
-    source) joined back behind a size check, not a window over the source."""
-    p = with_page_no(pages).withColumn("empty", F.length("html") < EMPTY_PAGE_CHARS)
-    p = p.filter(F.col("page_no") <= F.lit(max(1, max_pages)))
-    stops = p.groupBy("host").agg(F.min(F.when(F.col("empty"), F.col("page_no"))).alias("stop"))
-    return (p.join(broadcast_if_small(stops), "host")
-            .filter(F.col("stop").isNull() | (F.col("page_no") < F.col("stop"))))
+    """Pages 1..max(1, n) per source (null host: a source of its own),
+    stopping before the first page that gave the extractor no row. The stop
+    page is an aggregate with one narrow row per source, not a window."""
+    from ..operators.extract_html import page_parts
+    p = with_page_no(pages).filter(F.col("page_no") <= F.lit(max(1, max_pages)))
+    p = page_parts(p, keep=["url", "host", "page_no"])
+    empty = F.coalesce(F.trim("description") == "", F.lit(True))
+    p = p.select("page_id", "url", "host", "page_no", empty.alias("empty"))
+    stops = (p.filter("empty").groupBy(F.col("host").alias("source"))
+             .agg(F.min("page_no").alias("stop")))
+    return (p.join(stops, p.host.eqNullSafe(stops.source), "left")
+            .filter(F.col("stop").isNull() | (F.col("page_no") < F.col("stop"))).drop("source"))
 
 
 def quarantine_split(pages: DataFrame) -> DataFrame:

@@ -66,9 +66,8 @@ def normalize_posts(raw_json: DataFrame, json_col: str = "json") -> DataFrame:
 
 
 def with_external_id(posts: DataFrame) -> DataFrame:
-    """Post id, else a stable hash of (url or first 50 characters of text)."""
-    ident = F.coalesce(F.col("post_id"),
-                       url_hash_id(F.coalesce(F.col("url"), F.substring("text", 1, 50)), 10))
+    """Post id, else the hash of the url or of the whole text."""
+    ident = F.coalesce(F.col("post_id"), url_hash_id(F.coalesce("url", "text")))
     return posts.withColumn("external_id", F.concat(F.lit("fb-"), ident))
 
 
@@ -95,7 +94,7 @@ def rule_extractor(posts: DataFrame, verdict: Column) -> DataFrame:
     t = F.col("text")
     title = F.get(FT.sentences(t), 0)
     payload = F.struct(verdict.alias("is_apartment_for_sale"),
-                       F.substring(title, 1, 60).alias("title"),
+                       title.alias("title"),
                        FT.text_price(t).alias("price_pln"), FT.text_sqm(t).alias("sqm"),
                        FT.text_rooms(t).alias("rooms"), F.lit(None).cast("string").alias("district"))
     return posts.withColumn("json", F.to_json(payload, {"ignoreNullFields": "false"}))
@@ -103,8 +102,9 @@ def rule_extractor(posts: DataFrame, verdict: Column) -> DataFrame:
 
 def hook_extractor(posts: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
                    ) -> DataFrame:
-    """Pluggable extractor (e.g. a model client) as an Arrow batch hook."""
-    out = posts.select("external_id", "text").mapInPandas(fn, "external_id string, json string")
+    """Pluggable extractor (e.g. a model client) as an Arrow batch hook. Its
+    prompt takes the first ``EXTRACT_TEXT_CAP`` characters (F27); nothing else is cut."""
+    out = posts.select("external_id", FT.text_cap("text", EXTRACT_TEXT_CAP).alias("text")).mapInPandas(fn, "external_id string, json string")
     return posts.join(out, "external_id", "left")
 
 
@@ -121,7 +121,6 @@ def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extrac
     if sale is not None:
         kw["sale"] = sale
     p = p.filter(~P.rental_only("text", **kw) & P.min_text_length("text", EXTRACT_MIN_CHARS))
-    p = p.withColumn("full_text", F.col("text")).withColumn("text", FT.text_cap("text", EXTRACT_TEXT_CAP))
     if extractor is None:
         p = rule_extractor(p, verdict if verdict is not None else F.lit(True))
     else:
@@ -139,6 +138,6 @@ def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extrac
         F.col("x.sqm").alias("sqm"), F.col("x.rooms").alias("rooms"),
         FD.pack_district(district, date).alias("district"),
         date.alias("date_posted"),
-        F.col("full_text").alias("description"),
+        F.col("text").alias("description"),
         F.coalesce(F.col("url"), F.concat(F.lit("https://www.facebook.com/groups/"),
                                           F.col("external_id").substr(4, 1000))).alias("url"))

@@ -31,7 +31,7 @@ from ..functions.dates import listing_date, unpack_district
 from ..functions.text import price_per_sqm
 from ..operators import filters as P
 from ..operators.paging import rank_bounded
-from ..operators.vector import similarity
+from ..operators.vector import rounded, similarity
 
 AS_OF = _dt.datetime(1999, 1, 1, 0, 0, 0)
 
@@ -122,4 +122,4 @@ def search(listings: DataFrame, vectors: DataFrame, query, params: SearchParams
         page = page.filter(F.col("rank") <= lo + p.top_n)
     return page.select("rank", "external_id", "portal", "title", "price_pln", "price_per_sqm",
                        "sqm", "rooms", unpack_district("district").alias("district"),
-                       "date_posted", "url", "description", "similarity")
+                       "date_posted", "url", "description", rounded("similarity").alias("similarity"))

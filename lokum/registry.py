@@ -71,7 +71,9 @@ SEARCH_PARAMS = SearchParams(
 def run_search(spark: SparkSession, sf: str, params: SearchParams = SEARCH_PARAMS) -> DataFrame:
     vectors = read_table(spark, sf, "embeddings", "vec_id", "embedding")
     ts = order_timestamps(spark, sf)
-    out = search(stored_listings(spark, sf), vectors, query_vector(spark, sf), params,
+    # every vector belongs to some listings: part keys go round all of them
+    listings = stored_listings(spark, sf).withColumn("vec_id", F.col("part_key") % max(1, vectors.count()))
+    out = search(listings, vectors, query_vector(spark, sf), params,
                  timestamps=ts, timestamps_key="order_key")
     return out.withColumn("rank", F.col("rank").cast("long"))
 
@@ -440,9 +442,7 @@ def q_existing_ids(spark, sf):
 
 @register("enrich_timestamps")
 def q_enrich_timestamps(spark, sf):
-    ts = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus") \
-        .filter(F.col("o_orderstatus") == "F") \
-        .select(F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("string").alias("updated_at"))
+    ts = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("string").alias("updated_at"))
     return stored_listings(spark, sf).join(ts, "order_key", "left").select(
         "external_id", F.col("created_at").cast("string").alias("created_at"), "updated_at")
 
@@ -552,10 +552,10 @@ def q_rank_page(spark, sf):
 
 @register("vector_topk")
 def q_vector_topk(spark, sf):
-    from .operators.vector import similarity, topk
+    from .operators.vector import rounded, similarity, topk
     vec = read_table(spark, sf, "embeddings", "vec_id", "embedding")
     scored = vec.select("vec_id", similarity("embedding", query_vector(spark, sf)).alias("similarity"))
-    return topk(scored, "similarity", 20, 0.10, "vec_id")
+    return topk(scored, "similarity", 20, 0.10, "vec_id").withColumn("similarity", rounded("similarity"))
 
 
 # =============================================================================
@@ -589,8 +589,7 @@ def q_page_title(spark, sf):
 @register("url_absolute")
 def q_url_absolute(spark, sf):
     pages = pages_table(spark, sf)
-    parts = page_parts(pages).select("page_id", "first_href")
-    return pages.select("page_id", "url").join(parts, "page_id").select(
+    return page_parts(pages, keep=["url"]).select(
         "page_id", FU.absolute_url("first_href", FU.origin("url")).alias("link"))
 
 
@@ -647,8 +646,9 @@ def raw_posts(spark, sf):
     post_id = F.when(F.col("doc_id") % 5 != 0, F.col("doc_id").cast("string"))
     url = F.when(F.col("doc_id") % 4 != 0, F.concat(F.lit("https://www.facebook.com/groups/"), F.col("source"),
                                                      F.lit("/posts/"), F.col("doc_id").cast("string")))
-    time = F.concat(F.lit("2024-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"),
-                    F.lit("T10:00:00"))
+    day = F.col("doc_id") % 28
+    time = F.when(F.col("doc_id") % 6 == 0, (F.lit(1704103200) + day * 86400).cast("string")).otherwise(
+        F.concat(F.lit("2024-01-"), F.lpad((day + 1).cast("string"), 2, "0"), F.lit("T10:00:00")))
     m = F.create_map(text_key, F.col("text"), url_key, url, id_key, post_id, time_key, time,
                      F.lit("group"), F.col("source"))
     return d.select(F.to_json(m).alias("json"))
@@ -665,7 +665,7 @@ def q_post_normalize(spark, sf):
 
 @register("post_cap_per_group")
 def q_post_cap_per_group(spark, sf):
-    order = [F.col("time").desc(), F.col("url").desc_nulls_last(), F.col("post_id").desc_nulls_last()]
+    order = [FD.post_moment("time").desc_nulls_last(), F.col("url").desc_nulls_last(), F.col("post_id").desc_nulls_last()]
     return PS.top_n_per_group(posts_table(spark, sf), "group", order, PS.posts_cap(1)) \
         .select("post_id", "group", "time")
 
@@ -718,8 +718,8 @@ def _wrap_json(payload):
                     F.to_json(payload), F.lit("</script></head><body></body></html>"))
 
 
-def json_pages_a(spark, sf, portal="olx"):
-    """Search pages in layout A: one page per order, one ad per line item."""
+def json_pages_a(spark, sf):
+    """Search pages in layout A, rendered from all of L: one page per order, one ad per line item."""
     n = F.col("line_no")
     iso = F.substring(F.col("created_at").cast("string"), 1, 10)
     word = F.lower(F.element_at(F.array(*[F.lit(w) for w in ROOM_WORD_FORMS]), F.col("rooms")))
@@ -735,8 +735,7 @@ def json_pages_a(spark, sf, portal="olx"):
                  F.struct(word.alias("value")).alias("rooms")).alias("params"))
     # each ad is serialised before grouping (collect_list of deeply nested
     # structs with null strings trips the aggregate); the page joins the texts
-    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
-             .agg(F.collect_list(F.to_json(ad)).alias("ads")))
+    pages = L(spark, sf).groupBy("order_key").agg(F.collect_list(F.to_json(ad)).alias("ads"))
     blob = F.concat(F.lit('{"props":{"pageProps":{"data":{"ads":['), F.array_join("ads", ","),
                     F.lit("]}}}}"))
     html = F.concat(F.lit('<html><head><script id="__NEXT_DATA__" type="application/json">'), blob,
@@ -744,7 +743,7 @@ def json_pages_a(spark, sf, portal="olx"):
     return pages.select(F.col("order_key").alias("page_id"), html.alias("html"))
 
 
-def json_pages_b(spark, sf, portal="otodom"):
+def json_pages_b(spark, sf):
     n = F.col("line_no")
     word = F.element_at(F.array(*[F.lit(w) for w in ROOM_WORD_FORMS]), F.col("rooms"))
     rooms_txt = (F.when(n == 1, word).when(n == 2, F.col("rooms").cast("string"))
@@ -763,8 +762,7 @@ def json_pages_b(spark, sf, portal="otodom"):
         F.struct(F.struct(locs.alias("locations")).alias("reverseGeocoding"),
                  F.struct(F.struct(F.when(n % 2 == 1, clean_district_col()).alias("name")).alias("district"))
                  .alias("address")).alias("location"))
-    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
-             .agg(F.collect_list(item).alias("items")))
+    pages = L(spark, sf).groupBy("order_key").agg(F.collect_list(item).alias("items"))
     payload = F.struct(F.struct(F.struct(F.struct(F.struct(F.col("items").alias("items")).alias("searchAds"))
                                          .alias("data")).alias("pageProps")).alias("props"))
     return pages.select(F.col("order_key").alias("page_id"), _wrap_json(payload).alias("html"))
@@ -823,7 +821,7 @@ def q_stream_delta(spark, sf):
 
 from .operators import embed as EM  # noqa: E402
 from .operators import report as RP  # noqa: E402
-from .operators.vector import batch_topk  # noqa: E402
+from .operators.vector import batch_topk, rounded  # noqa: E402
 
 
 def _docs(spark, sf):
@@ -856,11 +854,11 @@ def q_embed_delta(spark, sf):
 
 @register("vector_batch_topk")
 def q_vector_batch_topk(spark, sf):
-    vec = read_table(spark, sf, "embeddings", "vec_id", "embedding", "label")
-    queries = vec.filter(F.col("label") == 0).select(F.col("vec_id").alias("query_id"), "embedding")
+    vec = read_table(spark, sf, "embeddings", "vec_id", "embedding")
+    queries = vec.select(F.col("vec_id").alias("query_id"), "embedding")
     items = vec.select(F.col("vec_id").alias("item_id"), "embedding")
     return batch_topk(items, queries, k=10, threshold=0.10).select(
-        "query_id", "item_id", "similarity", F.col("rank").cast("long").alias("rank"))
+        "query_id", "item_id", rounded("similarity").alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
 def _report_page(spark, sf):
@@ -881,8 +879,8 @@ def q_report_markdown(spark, sf):
 @register("report_append")
 def q_report_append(spark, sf):
     d = stored_listings(spark, sf)
-    existing = d.filter(F.col("line_no") == 1).select("url")
-    incoming = d.filter(F.col("line_no").isin(1, 3, 5)).select("external_id", "url")
+    existing = d.filter(stored_half()).select("url")
+    incoming = d.select("external_id", "url")
     n_existing = existing.count()  # data rows; numbering goes on after them
     return RP.append_new(existing, incoming, ["external_id"], n_existing) \
         .select(F.col("row_no").cast("long").alias("row_no"), "external_id", "url")
@@ -931,13 +929,22 @@ def _sqm_txt():
     return F.replace(F.col("sqm").cast("string"), F.lit("."), F.lit(","))
 
 
+def _ad_number():
+    return F.concat(F.col("order_key").cast("string"), F.col("line_no").cast("string"))
+
+
 def _opt(cond_col, html):
     return F.when(F.col(cond_col).isNotNull(), html).otherwise(F.lit(""))
 
 
-def _card_pages(spark, sf, portal, card):
-    pages = (L(spark, sf).filter(F.col("portal") == portal).groupBy("order_key")
-             .agg(F.array_join(F.collect_list(card), "").alias("cards")))
+def _card_pages(spark, sf, card):
+    """One result page per order with a card per row of L; every third row's
+    card is on the page twice, as promoted results are."""
+    twice = F.when(F.col("line_no") % 3 == 0, F.concat(card, card)).otherwise(card)
+    placed = F.struct("line_no", "part_key", "title", "price_pln", "sqm", "rooms", "district", "created_at",
+                      "description", twice.alias("card"))
+    cards = F.transform(F.sort_array(F.collect_list(placed)), lambda c: c["card"])
+    pages = L(spark, sf).groupBy("order_key").agg(F.array_join(cards, "").alias("cards"))
     return pages.select(F.col("order_key").alias("page_id"),
                         F.concat(F.lit("<html><body>"), F.col("cards"), F.lit("</body></html>")).alias("html"))
 
@@ -957,7 +964,7 @@ def olx_card_html():
 
 @register("cards_olx")
 def q_cards_olx(spark, sf):
-    return CD.olx_cards(_card_pages(spark, sf, "olx", olx_card_html()), AS_OF)
+    return CD.olx_cards(_card_pages(spark, sf, olx_card_html()), AS_OF)
 
 
 @register("cards_morizon")
@@ -972,7 +979,7 @@ def q_cards_morizon(spark, sf):
         _opt("sqm", F.concat(F.lit('<span data-cy="cardPropertyInfoArea">'), _sqm_txt(), F.lit(" m²</span>"))),
         _opt("rooms", F.concat(F.lit('<span data-cy="cardPropertyInfoRooms">'), F.col("rooms").cast("string"),
                                F.lit(" pokoje</span>"))), F.lit("</a></div>"))
-    return CD.morizon_cards(_card_pages(spark, sf, "morizon", card), AS_OF)
+    return CD.morizon_cards(_card_pages(spark, sf, card), AS_OF)
 
 
 @register("cards_freedom")
@@ -981,14 +988,14 @@ def q_cards_freedom(spark, sf):
     dotted = F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
     card = F.concat(
         F.lit('<div class="offert"><a class="offert-box-ctn-link" href="/oferta/mieszkanie-'),
-        F.col("part_key").cast("string"), F.lit("-"), F.col("order_key").cast("string"), F.lit('/">link</a>'),
+        F.col("part_key").cast("string"), F.lit("-"), _ad_number(), F.lit('/">link</a>'),
         F.lit("<address>ul. Polna 3, "), clean_district_col(), F.lit(", Warszawa</address>"),
         F.lit('<div class="price">'), _opt("price_pln", F.concat(F.lit("<strong>"), _price_txt(), F.lit("</strong>"))),
         F.lit("</div>"),
         F.lit('<div class="details">'), _opt("sqm", F.concat(F.lit("<strong>"), _sqm_txt(), F.lit(" m2</strong>"))),
         _opt("rooms", F.concat(F.lit("<strong>"), F.col("rooms").cast("string"), F.lit(" pok.</strong>"))),
         F.lit('</div><div class="bottom"><small>'), dotted, F.lit("</small></div></div>"))
-    return CD.freedom_cards(_card_pages(spark, sf, "freedom", card), AS_OF)
+    return CD.freedom_cards(_card_pages(spark, sf, card), AS_OF)
 
 
 @register("cards_no")
@@ -1000,7 +1007,7 @@ def q_cards_no(spark, sf):
         _opt("price_pln", F.concat(F.lit('<p class="primary-display">'), _price_txt(), F.lit("</p>"))),
         _opt("sqm", F.concat(F.lit('<span class="area">'), _sqm_txt(), F.lit(" m²</span>"))),
         F.lit("<span>"), F.col("description"), F.lit("</span></div>"))
-    return CD.nieruchomosci_cards(_card_pages(spark, sf, "nieruchomosci-online", card), AS_OF)
+    return CD.nieruchomosci_cards(_card_pages(spark, sf, card), AS_OF)
 
 
 @register("cards_adresowo")
@@ -1017,7 +1024,7 @@ def q_cards_adresowo(spark, sf):
         _opt("sqm", F.concat(F.lit('<p><span class="font-bold">'), _sqm_txt(), F.lit("</span> m²</p>"))),
         _opt("rooms", F.concat(F.lit('<p><span class="font-bold">'), F.col("rooms").cast("string"),
                                F.lit("</span> pok.</p>"))), F.lit("</div></div>"))
-    return CD.adresowo_cards(_card_pages(spark, sf, "adresowo", card), AS_OF)
+    return CD.adresowo_cards(_card_pages(spark, sf, card), AS_OF)
 
 
 # =============================================================================
@@ -1031,17 +1038,18 @@ def q_detail_enrich(spark, sf):
     from .plans.normalize import detail_enrich
     src = keep_first(L(spark, sf).select(FU.canonical_url("url").alias("curl"), "external_id", "title",
                                          "description"), ["curl"], order=["external_id"])
-    src = src.withColumn("page_id", F.xxhash64("curl"))
     html = F.concat(F.lit("<html><head><title>"), F.coalesce("title", F.lit("")),
                     F.lit('</title></head><body><div data-cy="ad_description">'),
                     F.coalesce("description", F.lit("")), F.lit("</div></body></html>"))
-    parts = page_parts(src.select("page_id", html.alias("html"))).select("page_id", "description")
-    details = src.select("page_id", "curl").join(parts, "page_id").select(
-        "curl", F.col("description").alias("detail_text"))
-    lst = batch_table(spark, sf).select("external_id", "url", "price_pln", "sqm", "rooms", "district") \
+    pages = src.select(F.lit(0).alias("page_id"), "curl", html.alias("html"))
+    details = page_parts(pages, keep=["curl"]).select("curl", F.col("description").alias("detail_text"))
+    # search results carry no description; odd lines carry a date already
+    dated = F.when(F.col("line_no") % 2 == 1, F.substring(F.col("created_at").cast("string"), 1, 10))
+    lst = batch_table(spark, sf).select("external_id", "url", "price_pln", "sqm", "rooms", "district",
+                                        F.lit(None).cast("string").alias("description"), dated.alias("date_posted")) \
         .withColumn("price_per_sqm", FT.price_per_sqm("price_pln", "sqm"))
     return detail_enrich(lst, details, AS_OF, DATE_LABELS_TEXTUAL["olx"]).select(
-        "external_id", "sqm", "rooms", "price_pln", "district", "date_posted", "price_per_sqm")
+        "external_id", "sqm", "rooms", "price_pln", "district", "description", "date_posted", "price_per_sqm")
 
 
 @register("extract_fallback")
@@ -1049,7 +1057,7 @@ def q_extract_fallback(spark, sf):
     """JSON layout A first; pages that gave no JSON rows go to the card
     extractor (anti-join on the page id), then both are unioned."""
     json_p = json_pages_a(spark, sf).filter(F.col("page_id") % 2 == 0)
-    card_p = _card_pages(spark, sf, "olx", olx_card_html()).filter(F.col("page_id") % 2 == 1)
+    card_p = _card_pages(spark, sf, olx_card_html()).filter(F.col("page_id") % 2 == 1)
     pages = json_p.unionByName(card_p)
     from_json = XJ.ads_layout_a(pages, AS_OF)
     rest = pages.join(from_json.select("page_id").distinct(), "page_id", "left_anti")

@@ -6,8 +6,8 @@ The line number ``n`` (1..7) selects which quirk a row exercises (missing
 title / price / area / rooms, zero price, packed district, Polish text).
 
 Columns: external_id, portal, url, title, price_pln, sqm, rooms, district,
-description, created_at, plus keys used by other jobs: vec_id (the
-embeddings row of this listing), order_key, part_key, line_no.
+description, created_at, plus keys used by other jobs: order_key, part_key,
+line_no.
 """
 
 from __future__ import annotations
@@ -16,11 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MONTH_GENITIVE, PORTAL_HOSTS, PORTAL_KEYS, PORTAL_PREFIXES
-from ..operators.broadcast import broadcast_if_small
 from .tables import read_table
 
-VEC_BUCKETS = 500  # listing -> embeddings.vec_id = l_partkey % 500
-
 LISTING_COLUMNS = ["external_id", "portal", "url", "title", "price_pln", "sqm", "rooms",
                    "district", "description", "created_at"]
 
@@ -37,12 +34,11 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
 
-    # supplier ⋈ nation is dimension-sized; broadcast only behind the size check.
-    supp_nation = supplier.join(broadcast_if_small(nation),
-                                supplier.s_nationkey == nation.n_nationkey)
+    # the planner broadcasts a side whose measured size allows it
+    supp_nation = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
-           .join(broadcast_if_small(supp_nation), li.l_suppkey == supp_nation.s_suppkey))
+           .join(supp_nation, li.l_suppkey == supp_nation.s_suppkey))
 
     n = F.col("l_linenumber")
     p = (F.col("l_suppkey") % 7).cast("int")
@@ -80,7 +76,6 @@ def listing_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("n_name")).alias("district"),
         description.alias("description"),
         F.col("l_shipdate").cast("timestamp").alias("created_at"),
-        (F.col("l_partkey") % VEC_BUCKETS).alias("vec_id"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
         n.alias("line_no"),
