@@ -14,22 +14,38 @@ are reproducible. Month words match ``\\p{L}+`` (covers "października").
 from __future__ import annotations
 
 import datetime as _dt
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import MONTH_WORDS
-from .text import WS, col_, first_match, let, pystrip
+from .text import WS, col_, first_match, pystrip
 
-ISO_RE = r"(\d{4})-(\d{2})-(\d{2})"
+# --- FIXED VALUES: date patterns, searched anywhere in the text.
+ISO_RE = r"\d{4}-\d{2}-\d{2}"
 DOT_RE = r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
 TEXT_RE_YEAR = r"(\d{1,2})" + WS + r"+(\p{L}+)" + WS + r"+(\d{4})"
 TEXT_RE_OPT = r"(\d{1,2})" + WS + r"+(\p{L}+)(?:" + WS + r"+(\d{4}))?"
 
+# Each part below is one chain over its input: the text is searched once, and
+# what follows rewrites the few characters that were found. Nothing is bound in
+# a lambda, so everything stays in generated code.
+
+
+def _found(s: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(s, pattern, 0), F.lit(""))
+
+
+def _padded(c: Column) -> Column:
+    """One-digit months and days with a zero in front."""
+    return F.regexp_replace(c, r"-(\d)(?!\d)", "-0$1")
 
-def _month_map() -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in MONTH_WORDS.items()))
+
+def _month_numbers(c: Column) -> Column:
+    """"-<month word>-" as "-<number>-"."""
+    for number in sorted(set(MONTH_WORDS.values())):
+        words = "|".join(w for w, n in MONTH_WORDS.items() if n == number)
+        c = F.regexp_replace(c, f"-(?:{words})-", f"-{number}-")
+    return c
 
 
 def _as_of_date(as_of) -> Column:
@@ -42,41 +58,29 @@ def _as_of_date(as_of) -> Column:
     return F.lit(as_of)
 
 
-def _zfill2(c: Column) -> Column:
-    return F.lpad(c, 2, "0")
-
-
 def iso_part(s: Column) -> Column:
-    m = F.regexp_extract(s, ISO_RE, 0)
-    return F.when(m != "", F.concat_ws("-", F.regexp_extract(s, ISO_RE, 1),
-                                       F.regexp_extract(s, ISO_RE, 2),
-                                       F.regexp_extract(s, ISO_RE, 3)))
+    return _found(s, ISO_RE)
 
 
 def dot_part(s: Column) -> Column:
-    m = F.regexp_extract(s, DOT_RE, 0)
-    return F.when(m != "", F.concat_ws("-", F.regexp_extract(s, DOT_RE, 3),
-                                       _zfill2(F.regexp_extract(s, DOT_RE, 2)),
-                                       _zfill2(F.regexp_extract(s, DOT_RE, 1))))
+    return _padded(F.regexp_replace(_found(s, DOT_RE), DOT_RE, "$3-$2-$1"))
 
 
 def text_part(s: Column, as_of, year_required: bool) -> Column:
-    pat = TEXT_RE_YEAR if year_required else TEXT_RE_OPT
-    day = F.regexp_extract(s, pat, 1)
-    month = F.try_element_at(_month_map(), F.lower(F.regexp_extract(s, pat, 2)))
-    year = F.regexp_extract(s, pat, 3)
-    if not year_required:
-        year = F.when(year == "", F.year(_as_of_date(as_of)).cast("string")).otherwise(year)
-    return F.when((day != "") & month.isNotNull(), F.concat_ws("-", year, month, _zfill2(day)))
+    pattern = TEXT_RE_YEAR if year_required else TEXT_RE_OPT
+    c = _month_numbers(F.regexp_replace(F.lower(_found(s, pattern)), pattern, "$3-$2-$1"))
+    c = _padded(F.nullif(F.regexp_extract(c, r"^\d*-\d{2}-\d{1,2}$", 0), F.lit("")))
+    if year_required:
+        return c
+    return F.when(c.startswith("-"), F.concat(F.year(_as_of_date(as_of)).cast("string"), c)).otherwise(c)
 
 
-def _relative(s: Column, as_of) -> tuple[Column, Column]:
+def _relative(s: Column, as_of) -> Column:
     low = F.lower(s)
-    today = F.when(low.contains("dzisiaj") | low.contains("today"),
-                   F.date_format(_as_of_date(as_of), "yyyy-MM-dd"))
-    yday = F.when(low.contains("wczoraj") | low.contains("yesterday"),
-                  F.date_format(F.date_sub(_as_of_date(as_of), 1), "yyyy-MM-dd"))
-    return today, yday
+    today = _as_of_date(as_of)
+    return (F.when(low.contains("dzisiaj") | low.contains("today"), F.date_format(today, "yyyy-MM-dd"))
+            .when(low.contains("wczoraj") | low.contains("yesterday"),
+                  F.date_format(F.date_sub(today, 1), "yyyy-MM-dd")))
 
 
 def _missing(c: Column) -> Column:
@@ -85,12 +89,9 @@ def _missing(c: Column) -> Column:
 
 def parse_date_ingest_iso(c, as_of, year_required: bool = False) -> Column:
     """F3a / F3b as ISO text (unvalidated, like the source)."""
-    def body(raw):
-        s = pystrip(raw)
-        today, yday = _relative(s, as_of)
-        chain_ = F.coalesce(iso_part(s), dot_part(s), today, yday, text_part(s, as_of, year_required))
-        return F.when(_missing(raw), F.lit(None).cast("string")).otherwise(chain_)
-    return let(col_(c).cast("string"), body)
+    raw = col_(c).cast("string")
+    return F.when(~_missing(raw), F.coalesce(iso_part(raw), dot_part(raw), _relative(raw, as_of),
+                                             text_part(raw, as_of, year_required)))
 
 
 def parse_date_ingest(c, as_of, year_required: bool = False) -> Column:
@@ -100,13 +101,10 @@ def parse_date_ingest(c, as_of, year_required: bool = False) -> Column:
 
 def parse_date_read(c, as_of) -> Column:
     """Read-side policy, returns text ('N/A' when empty)."""
-    def body(raw):
-        s = pystrip(raw)
-        today, yday = _relative(s, as_of)
-        chain_ = F.coalesce(text_part(s, as_of, True), dot_part(s), iso_part(s), today, yday,
-                            F.substring(s, 1, 10))
-        return F.when(_missing(raw), F.lit("N/A")).otherwise(chain_)
-    return let(col_(c).cast("string"), body)
+    raw = col_(c).cast("string")
+    return F.when(_missing(raw), F.lit("N/A")).otherwise(
+        F.coalesce(text_part(raw, as_of, True), dot_part(raw), iso_part(raw), _relative(raw, as_of),
+                   F.substring(pystrip(raw), 1, 10)))
 
 
 # --- F7: labelled dates inside free text -------------------------------------
@@ -118,14 +116,20 @@ def _label_alt(labels) -> str:
 def text_date(c, labels, as_of, textual: bool = True) -> Column:
     """Date after a label such as "Dodano" (F7). ``textual`` portals accept
     "dd <month> [yyyy]", d.m.Y, "dzisiaj", "wczoraj"; the others d.m.Y only."""
-    low = F.lower(col_(c))
     if textual:
         val = r"(\d{1,2}" + WS + r"+\p{L}+(?:" + WS + r"+\d{4})?|\d{1,2}\.\d{1,2}\.\d{4}|dzisiaj|wczoraj)"
     else:
         val = r"(\d{1,2}\.\d{1,2}\.\d{4})"
     pat = _label_alt(labels) + WS + "*:?" + WS + "*" + val
-    found = first_match(low, pat)
-    return parse_date_ingest(found, as_of, year_required=not textual)
+    # the label fixes what was found: one chain of rewrites, no alternatives to try
+    x = F.regexp_replace(F.regexp_extract(F.lower(col_(c)), pat, 1), DOT_RE, "$3-$2-$1")
+    if textual:
+        today = _as_of_date(as_of)
+        x = _month_numbers(F.regexp_replace(x, TEXT_RE_OPT, "$3-$2-$1"))
+        x = F.replace(x, F.lit("dzisiaj"), F.date_format(today, "yyyy-MM-dd"))
+        x = F.replace(x, F.lit("wczoraj"), F.date_format(F.date_sub(today, 1), "yyyy-MM-dd"))
+        x = F.regexp_replace(x, F.lit("^-"), F.concat(F.year(today).cast("string"), F.lit("-")))
+    return F.try_to_date(_padded(x), "yyyy-MM-dd")
 
 
 # --- F17 / F18: packed "district - date" -------------------------------------

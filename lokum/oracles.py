@@ -580,6 +580,12 @@ WITH W AS (
   UNION ALL SELECT time_bucket(INTERVAL 12 HOUR, ts) - INTERVAL 12 HOUR AS s, event_type FROM events)
 SELECT CAST(s AS VARCHAR) AS window_start, CAST(s + INTERVAL 1 DAY AS VARCHAR) AS window_end, event_type, count(*) AS n
 FROM W GROUP BY 1, 2, 3""")
+oracle("stream_sessions", """
+WITH E AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens
+           FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+S AS (SELECT *, sum(opens) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM E)
+SELECT CAST(min(ts) AS VARCHAR) AS window_start, CAST(max(ts) + INTERVAL 1 HOUR AS VARCHAR) AS window_end,
+       event_type, count(*) AS n FROM S GROUP BY event_type, session""")
 oracle("stream_delta", """
 SELECT 'ev-' || CAST(user_id AS VARCHAR) || '-' || event_type AS external_id,
        strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen
@@ -765,7 +771,8 @@ FROM (SELECT *,
                    {price_per_sqm('B.price_pln', 'B.sqm')} AS pps, T.dt, coalesce(T.dt <> '', FALSE) AS has
             FROM B LEFT JOIN (SELECT curl, {dt} AS dt FROM (
                 SELECT split_part(url, '?', 1) AS curl, description,
-                       row_number() OVER (PARTITION BY split_part(url, '?', 1) ORDER BY external_id) AS rn FROM L) x
+                       row_number() OVER (PARTITION BY split_part(url, '?', 1) ORDER BY external_id, title NULLS FIRST,
+                                          description NULLS FIRST) AS rn FROM L) x
                 WHERE rn = 1) T ON split_part(B.url, '?', 1) = T.curl) a) b""", BATCH_CTE)
 
 

@@ -75,8 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this must be a shared folder set by the operator; it is read
-    from the session. Only when it is unset (tests, local bench) a fresh
-    scratch folder is created for this process.
+    from the session. Only when it is unset on a local master (tests, local
+    bench) a fresh scratch folder is created for this process.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -88,6 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="lokum-ckpt-")
     sc.setCheckpointDir(path)
     return path
@@ -96,7 +98,4 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A job-owned folder under the shared checkpoint folder (snapshots,
     streaming checkpoints, report targets)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -1,17 +1,20 @@
 """Structured Streaming jobs.
 
 * T1 incremental ingest: file stream of captures, ``trigger(availableNow)``,
-  ``foreachBatch`` running keep-first -> delta anti-join -> merge into the
+  ``foreachBatch`` running keep-first -> delta anti-join -> append into the
   target table. Each micro-batch writes its own ``batch_id=<n>`` folder with
   ``mode("overwrite")`` so a replayed batch rewrites the same files
   (idempotent); the anti-join against the target keeps keys unique.
 * T2 stateful keep-first: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
   (state bounded by the watermark, late rows dropped).
-* T3 per-type counts by tumbling / sliding / session windows with a
-  watermark; written per micro-batch (complete mode via foreachBatch).
-
-Sinks and checkpoints live under the shared checkpoint folder
-(``spark.checkpoint.dir``), never on a machine-local path.
+* T3 per-type counts by tumbling / sliding / session windows with a watermark,
+  in append mode: a window is written once, when the watermark has passed it,
+  and its state is dropped then. ``close_windows`` ends a stream whose input is
+  complete: a marker far in the future moves the watermark past all windows.
+
+A job lives in the folder ``base`` (its checkpoint, its sink): given the same
+folder again it goes on where it stopped. Without one, a fresh folder under the
+shared checkpoint folder is used.
 """
 
 from __future__ import annotations
@@ -47,10 +50,14 @@ def _await(q) -> None:
         raise q.exception()
 
 
+def _job_dir(spark: SparkSession, base: str | None, name: str) -> str:
+    return base or _run_dir(spark, name)
+
+
 def stream_dedupe(spark: SparkSession, sf_dir: str, key: str = "user_id",
-                  watermark: str = "30 days") -> DataFrame:
+                  watermark: str = "30 days", base: str | None = None) -> DataFrame:
     """First event per key within the watermark; emits the key."""
-    base = _run_dir(spark, "dedupe")
+    base = _job_dir(spark, base, "dedupe")
     out = os.path.join(base, "out")
     s = (event_stream(spark, sf_dir).withWatermark("ts", watermark)
          .dropDuplicatesWithinWatermark([key]).select(key))
@@ -61,46 +68,66 @@ def stream_dedupe(spark: SparkSession, sf_dir: str, key: str = "user_id",
     return spark.read.schema(f"{key} long").parquet(out)
 
 
-def stream_counts(spark: SparkSession, sf_dir: str, kind: str = "tumbling",
-                  watermark: str = "1 day") -> DataFrame:
-    """Event counts per type and window (tumbling 1 day, sliding 1 day
-    every 12 hours, or sessions with a 1 hour gap)."""
-    base = _run_dir(spark, f"counts-{kind}")
-    out = os.path.join(base, "out")
-    ev = event_stream(spark, sf_dir).withWatermark("ts", watermark)
-    if kind == "tumbling":
-        w = F.window("ts", "1 day")
-    elif kind == "sliding":
-        w = F.window("ts", "1 day", "12 hours")
-    else:
-        w = F.session_window("ts", "1 hour")
-    agg = ev.groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+WINDOWS = {"tumbling": lambda: F.window("ts", "1 day"),
+           "sliding": lambda: F.window("ts", "1 day", "12 hours"),
+           "session": lambda: F.session_window("ts", "1 hour")}
+COUNT_SCHEMA = "window_start string, window_end string, event_type string, n long"
+
+
+def _marks(spark: SparkSession, base: str) -> str:
+    """Folder of the markers that close windows, with an empty file at first."""
+    marks = os.path.join(base, "marks")
+    spark.createDataFrame([], EVENT_SCHEMA).coalesce(1).write.mode("ignore").parquet(marks)
+    return marks
+
+
+def run_counts(spark: SparkSession, sf_dir: str, kind: str, watermark: str, base: str) -> None:
+    """One pass over what has arrived since the last: adds the closed windows to the sink."""
+    marks = spark.readStream.schema(EVENT_SCHEMA).parquet(_marks(spark, base))
+    ev = (event_stream(spark, sf_dir).unionByName(marks.withColumn("ts", F.col("ts").cast("timestamp")))
+          .withWatermark("ts", watermark))
+    agg = ev.groupBy(WINDOWS[kind]().alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.select(F.col("w.start").cast("string").alias("window_start"),
                       F.col("w.end").cast("string").alias("window_end"), "event_type", "n")
-         .write.mode("overwrite").parquet(out))
+         .write.mode("overwrite").parquet(os.path.join(base, "out", f"batch_id={batch_id}")))
 
-    mode = "complete" if kind != "session" else "append"
-    q = (agg.writeStream.outputMode(mode).foreachBatch(write)
-         .option("checkpointLocation", os.path.join(base, "ckpt"))
-         .trigger(availableNow=True).start())
-    _await(q)
-    return spark.read.parquet(out)
+    _await(agg.writeStream.outputMode("append").foreachBatch(write)
+           .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+
+
+def close_windows(spark: SparkSession, base: str) -> None:
+    """Marks the input as complete; the next pass writes the open windows."""
+    mark = spark.range(1).selectExpr("cast(null as long) event_id", "timestamp_ntz'9000-01-01' ts",
+                                     "cast(null as long) user_id", "cast(null as string) event_type",
+                                     "cast(null as double) value", "cast(null as string) props")
+    mark.write.mode("append").parquet(os.path.join(base, "marks"))
+
+
+def stream_counts(spark: SparkSession, sf_dir: str, kind: str = "tumbling",
+                  watermark: str = "1 day", base: str | None = None) -> DataFrame:
+    """Event counts per type and window (tumbling 1 day, sliding 1 day
+    every 12 hours, or sessions with a 1 hour gap), input complete."""
+    base = _job_dir(spark, base, f"counts-{kind}")
+    run_counts(spark, sf_dir, kind, watermark, base)
+    close_windows(spark, base)
+    run_counts(spark, sf_dir, kind, watermark, base)
+    return spark.read.schema(COUNT_SCHEMA).parquet(os.path.join(base, "out")).drop("batch_id")
 
 
-def stream_delta(spark: SparkSession, sf_dir: str, stored_types=("view",)) -> DataFrame:
+def stream_delta(spark: SparkSession, sf_dir: str, stored_types=("view",), base: str | None = None) -> DataFrame:
     """Captures -> keep-first per key -> anti-join the target -> append
-    the new keys as this batch's folder. The target starts with the keys of
+    the new keys as this batch's folder. A new target starts with the keys of
     ``stored_types`` (the already-loaded part)."""
-    base = _run_dir(spark, "delta")
+    base = _job_dir(spark, base, "delta")
     target = os.path.join(base, "target")
     seed = (spark.read.parquet(table_path(sf_dir, "events"))
             .filter(F.col("event_type").isin(*stored_types))
             .select(F.concat(F.lit("ev-"), F.col("user_id").cast("string"), F.lit("-"),
                              F.col("event_type")).alias("external_id"),
                     F.col("ts").cast("timestamp").alias("first_seen")))
-    keep_first(seed, ["external_id"], order=["first_seen"]).write.mode("overwrite") \
+    keep_first(seed, ["external_id"], order=["first_seen"]).write.mode("ignore") \
         .parquet(os.path.join(target, "batch_id=-1"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
