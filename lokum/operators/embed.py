@@ -4,8 +4,10 @@ The embedder is a pluggable Arrow batch hook ``Iterator[pd.DataFrame] ->
 Iterator[pd.DataFrame]`` (``key, text`` in, ``key, embedding`` out), e.g. a
 model client; it runs once per new record. The default embedder is an
 offline, deterministic JVM pipeline: tokenise -> HashingTF(dim) -> IDF ->
-L2 normalise. Blank text always maps to the zero vector (V2), whose
-similarity is null and therefore never passes a threshold.
+L2 normalise. Its IDF weights are fitted once (``fit_embedder``), stored, and
+used for the corpus, every later batch and query texts, so that equal texts get
+equal vectors whatever they arrive with. Blank text always maps to the zero
+vector (V2), whose similarity is null and therefore never passes a threshold.
 
 V3: only rows not yet stored are embedded (the anti-join sits *before* the
 embedder; Catalyst cannot move it through the hook), and a content-hash
@@ -17,9 +19,9 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, IDFModel, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import VECTOR_DIM
@@ -30,19 +32,39 @@ def zero_vector(dim: int = VECTOR_DIM):
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
 
 
-def embed_hashing(df: DataFrame, text_col: str = "text", key: str = "doc_id",
-                  dim: int = VECTOR_DIM) -> DataFrame:
-    """Default embedder: returns ``key, embedding array<float>``."""
+def _term_counts(df: DataFrame, text_col: str, key: str, dim: int) -> DataFrame:
     base = df.select(key, pystrip(F.coalesce(F.col(text_col), F.lit(""))).alias("__t"))
     tok = RegexTokenizer(inputCol="__t", outputCol="__tok", pattern=r"\W+", toLowercase=True)
-    tf = HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim)
-    feats = tf.transform(tok.transform(base))
-    idf = IDF(inputCol="__tf", outputCol="__idf").fit(feats)
-    normed = Normalizer(inputCol="__idf", outputCol="__v", p=2.0).transform(idf.transform(feats))
+    return HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=dim).transform(tok.transform(base))
+
+
+def fit_embedder(corpus: DataFrame, path: str, text_col: str = "text", key: str = "doc_id",
+                 dim: int = VECTOR_DIM) -> IDFModel:
+    """Fit the term weights on a corpus and store them at ``path``."""
+    model = IDF(inputCol="__tf", outputCol="__idf").fit(_term_counts(corpus, text_col, key, dim))
+    model.write().overwrite().save(path)
+    return load_embedder(path)
+
+
+def load_embedder(path: str) -> IDFModel:
+    return IDFModel.load(path)
+
+
+def embed_hashing(df: DataFrame, model: IDFModel, text_col: str = "text", key: str = "doc_id") -> DataFrame:
+    """Default embedder with a stored model: ``key, embedding array<float>``."""
+    dim = model.idf.size
+    weighted = model.transform(_term_counts(df, text_col, key, dim))
+    normed = Normalizer(inputCol="__idf", outputCol="__v", p=2.0).transform(weighted)
     vec = F.transform(vector_to_array("__v"), lambda x: x.cast("float"))
     return normed.select(key, F.when(blank("__t"), zero_vector(dim)).otherwise(vec).alias("embedding"))
 
 
+def embed_text(spark: SparkSession, text: str, model: IDFModel) -> list[float]:
+    """V4: the vector of a query text, in the space of the stored ones."""
+    one = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    return list(embed_hashing(one, model).first()["embedding"])
+
+
 def embed_with(df: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
                text_col: str = "text", key: str = "doc_id", key_type: str = "long",
                dim: int = VECTOR_DIM) -> DataFrame:
@@ -58,14 +80,15 @@ def content_hash(text_col: str = "text"):
 
 
 def embed_delta(batch: DataFrame, stored: DataFrame, key: str = "doc_id", text_col: str = "text",
-                embedder=None) -> DataFrame:
+                model: IDFModel | None = None, embedder=None) -> DataFrame:
     """V3: embed only batch rows whose content hash is not stored; reuse the
-    stored vector otherwise. ``stored`` has content_hash, embedding."""
+    stored vector otherwise. ``stored`` has content_hash, embedding; the model
+    (or the embedder hook) is the one that made them."""
     b = batch.withColumn("content_hash", content_hash(text_col))
     reuse = b.join(stored.select("content_hash", "embedding").dropDuplicates(["content_hash"]),
                    "content_hash", "inner").select(key, "content_hash", "embedding",
                                                   F.lit(True).alias("reused"))
     todo = b.join(stored.select("content_hash"), "content_hash", "left_anti")
-    emb = embed_hashing(todo, text_col, key) if embedder is None else embed_with(todo, embedder, text_col, key)
+    emb = embed_hashing(todo, model, text_col, key) if embedder is None else embed_with(todo, embedder, text_col, key)
     fresh = todo.select(key, "content_hash").join(emb, key).withColumn("reused", F.lit(False))
     return reuse.unionByName(fresh)

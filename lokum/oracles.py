@@ -597,9 +597,13 @@ FROM events GROUP BY 1""")
 # =============================================================================
 
 oracle("embed_blank_zero", f"SELECT doc_id, 1536 AS dim, doc_id % 10 = 0 AS is_zero FROM documents")
+oracle("embed_corpus", f"SELECT doc_id, 1536 AS dim, CASE WHEN {O.blank('text')} THEN 0.0 ELSE 1.0 END AS length FROM documents")
 oracle("embed_delta", """
-SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim
+SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim,
+       TRUE AS same
 FROM documents""")
+oracle("search_text", """
+SELECT doc_id FROM documents WHERE text = (SELECT text FROM documents ORDER BY doc_id LIMIT 1)""")
 oracle("vector_batch_topk", """
 WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings),
 S AS (SELECT query_id, e.vec_id AS item_id,

@@ -828,28 +828,56 @@ def _docs(spark, sf):
     return read_table(spark, sf, "documents", "doc_id", "text")
 
 
+def fitted_embedder(spark, corpus):
+    """Term weights of a corpus, stored in the shared folder."""
+    import uuid
+    from .session import scratch_dir
+    return EM.fit_embedder(corpus, scratch_dir(spark, f"embedder-{uuid.uuid4().hex[:12]}"))
+
+
 @register("embed_corpus")
 def q_embed_corpus(spark, sf):
-    e = EM.embed_hashing(_docs(spark, sf))
-    return e.select("doc_id", F.size("embedding").alias("dim"),
-                    F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+    docs = _docs(spark, sf)
+    e = EM.embed_hashing(docs, fitted_embedder(spark, docs))
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    return e.select("doc_id", F.size("embedding").alias("dim"), F.round(length, 3).alias("length"))
 
 
 @register("embed_blank_zero")
 def q_embed_blank_zero(spark, sf):
     docs = _docs(spark, sf).withColumn("text", F.when(F.col("doc_id") % 10 != 0, F.col("text")).otherwise(F.lit("  ")))
-    e = EM.embed_hashing(docs)
+    e = EM.embed_hashing(docs, fitted_embedder(spark, docs))
     return e.select("doc_id", F.size("embedding").alias("dim"),
                     F.forall("embedding", lambda x: x == 0).alias("is_zero"))
 
 
 @register("embed_delta")
 def q_embed_delta(spark, sf):
+    """Even documents are stored; ``same`` compares each vector of the batch
+    with the one that the whole table gets from the same model."""
+    docs = _docs(spark, sf)
+    even = docs.filter(F.col("doc_id") % 2 == 0)
+    model = fitted_embedder(spark, even)
+    everything = EM.embed_hashing(docs, model)
+    stored = (everything.filter(F.col("doc_id") % 2 == 0)
+              .join(docs.select("doc_id", EM.content_hash().alias("content_hash")), "doc_id"))
+    out = EM.embed_delta(docs, stored, model=model)
+    return (out.join(everything.withColumnRenamed("embedding", "whole"), "doc_id")
+            .select("doc_id", "reused", F.size("embedding").alias("dim"),
+                    (F.col("embedding") == F.col("whole")).alias("same")))
+
+
+@register("search_text")
+def q_search_text(spark, sf):
+    """A text query against the embedded documents: ``same`` text comes first."""
     docs = _docs(spark, sf)
-    stored = EM.embed_hashing(docs.filter(F.col("doc_id") % 2 == 0)) \
-        .join(docs.select("doc_id", EM.content_hash().alias("content_hash")), "doc_id")
-    out = EM.embed_delta(docs, stored)
-    return out.select("doc_id", "reused", F.size("embedding").alias("dim"))
+    model = fitted_embedder(spark, docs)
+    text = docs.orderBy("doc_id").first()["text"]
+    from .operators.vector import similarity, topk
+    scored = EM.embed_hashing(docs, model).select(
+        "doc_id", similarity("embedding", EM.embed_text(spark, text, model)).alias("similarity"))
+    best = topk(scored.filter("similarity > 0.999999"), "similarity", None, None, "doc_id")
+    return best.join(docs.filter(F.col("text") == text).select("doc_id"), "doc_id").select("doc_id")
 
 
 @register("vector_batch_topk")
