@@ -795,3 +795,24 @@ FROM (SELECT link AS u FROM {card_rows(_OLX_URL)} r WHERE order_key % 2 = 1) t""
 
 
 oracle("extract_fallback", _fallback_sql())
+
+
+# =============================================================================
+# The load
+# =============================================================================
+
+def _ingest_sql():
+    json_a = ORACLES["json_ads_a"]
+    return f"""
+SELECT external_id, any_value(portal) AS portal, min(title) AS title, min(since) AS since, 2 AS version FROM (
+  SELECT external_id, 'olx' AS portal, title, 1 AS since FROM ({json_a}) j
+  WHERE CAST(regexp_extract(external_id, '^olx-([0-9]+)x', 1) AS BIGINT) % 2 = 0
+  UNION ALL
+  SELECT external_id, 'olx', title, 2 FROM ({ORACLES["cards_olx"]}) c
+  WHERE CAST(regexp_extract(url, '-ID([0-9]+)x', 1) AS BIGINT) % 2 = 1
+  UNION ALL SELECT external_id, 'facebook', title, 2 FROM ({ORACLES["post_extract"]}) p) u
+GROUP BY external_id"""
+
+
+oracle("ingest", _ingest_sql())
+oracle("store_portal", f"SELECT since, count(*) AS n FROM ({_ingest_sql()}) s WHERE portal = 'facebook' GROUP BY since")

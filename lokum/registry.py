@@ -1092,3 +1092,47 @@ def q_extract_fallback(spark, sf):
     from_cards = CD.olx_cards(rest, AS_OF)
     return (from_json.select("external_id", "url", F.lit("json").alias("source"))
             .unionByName(from_cards.select("external_id", "url", F.lit("cards").alias("source"))))
+
+
+# =============================================================================
+# The load: captured pages and posts -> rows -> store
+# =============================================================================
+
+
+def _extracted(spark, sf, with_cards: bool):
+    """Rows of the JSON pages and, in the second run, of card pages and posts."""
+    names = ["external_id", "title", "price_pln", "sqm", "rooms", "district", "url"]
+    pages = json_pages_a(spark, sf)
+    rows = XJ.ads_layout_a(pages.filter(F.col("page_id") % 2 == 0), AS_OF).select(*names)
+    if with_cards:
+        cards = _card_pages(spark, sf, olx_card_html()).filter(F.col("page_id") % 2 == 1)
+        posts = posts_table(spark, sf).join(post_verdicts(spark, sf), "post_id", "left")
+        found = PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS, sale=SALE_TEST_TERMS)
+        rows = rows.unionByName(CD.olx_cards(cards, AS_OF).select(*names)).unionByName(found.select(*names))
+    return rows.withColumn("description", F.lit(None).cast("string"))
+
+
+def _loaded_store(spark, sf) -> str:
+    import uuid
+    from .plans.store import ingest
+    from .session import scratch_dir
+    base = scratch_dir(spark, f"store-{uuid.uuid4().hex[:12]}")
+    ingest(spark, base, _extracted(spark, sf, with_cards=False))
+    ingest(spark, base, _extracted(spark, sf, with_cards=True))
+    return base
+
+
+@register("ingest")
+def q_ingest(spark, sf):
+    """Two runs of the load into a new store; the snapshot read back."""
+    from .plans.store import current
+    version, rows = current(spark, _loaded_store(spark, sf))
+    return rows.select("external_id", "portal", "title", "since", F.lit(version).cast("long").alias("version"))
+
+
+@register("store_portal")
+def q_store_portal(spark, sf):
+    """One portal of the store: a partition filter, other folders are not read."""
+    from .plans.store import current
+    rows = current(spark, _loaded_store(spark, sf))[1]
+    return rows.filter(P.portal_included(["facebook"])).groupBy("since").agg(F.count(F.lit(1)).alias("n"))
