@@ -21,7 +21,8 @@ import bisect
 import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -35,9 +36,9 @@ CAPACITY = 2048
 SEPARATOR = 0
 TOKENIZER = "byte_bpe_50k.json"
 RANK_ROWS = 4096
-CACHE_CHUNKS = 200_000
-# White space beside a space, or at an end: there a cut could change the ids.
-SPACED = re.compile(r"\s |\s$| \s|^\s")
+CACHE_CHUNKS = 400_000
+MARKS = ".,;:!?"
+MARKED = re.compile("[A-Za-z\u00c0-\u024f]+[.,;:!?]")
 
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
@@ -45,40 +46,93 @@ _ENCODERS: dict[str, "ChunkEncoder"] = {}
 class ChunkEncoder:
     """Token ids of whole texts. The vocabulary splits texts before its merges,
     and a single space between two other characters always starts a new part, so
-    the parts cut there encode on their own and repeated ones are looked up."""
+    the parts cut there encode on their own and repeated ones are looked up: the
+    parts of the last texts, up to two generations of ``CACHE_CHUNKS``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # ids of a space and the part
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def parts(text: str) -> list[str]:
+        """What follows each space at which the text may be cut; the first part
+        is what stands before the first of them."""
         words = text.split(" ")
-        if not SPACED.search(text):
-            return [words[0], *[" " + w for w in words[1:]]]
+        if "" not in words and " ".join(map(str.strip, words)) == text:
+            return words  # no white space beside a space or at an end
         out = [words[0]]
         for w in words[1:]:
             # cut only between two characters that are not white space
             if w and not w[0].isspace() and out[-1] and not out[-1][-1].isspace():
-                out.append(" " + w)
+                out.append(w)
             else:
                 out[-1] += " " + w
         return out
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 4096):
+            got = self.tokenizer.encode_batch_fast(texts[i:i + 4096], add_special_tokens=False)
+            out += [np.array(e.ids, "<u4").tobytes() for e in got]
+        return out
+
+    def spaced_ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part with a space before it. Parts without a space are
+        encoded in one string: there an id that starts with a space starts a part."""
+        out: list[bytes] = []
+        for i in range(0, len(parts), 4096):
+            block = parts[i:i + 4096]
+            joined = " " + " ".join(block)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            starts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(starts) != len(block):
+                raise AssertionError("a part was split at a space")
+            body = ids.tobytes()
+            out += [body[a:b] for a, b in zip(starts, [*starts[1:], len(body)])]
+        return out
+
+    def learn(self, parts: set[str]) -> None:
+        if len(self.known) > CACHE_CHUNKS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        found = {p: older[p] for p in parts if p in older}
+        known.update(found)
+        parts = parts.difference(found)
+        # a word and one mark behind it are two parts to the vocabulary
+        marked = [p for p in parts if MARKED.fullmatch(p) and p[:-1].isalpha()]
+        new = parts.difference(marked).union(p[:-1] for p in marked).difference(known)
+        plain = [p for p in new if " " not in p and p.strip() == p]
+        known.update(zip(plain, self.spaced_ids(plain)))
+        odd = list(new.difference(plain))
+        known.update(zip(odd, self.ids([" " + p for p in odd])))
+        for p in marked:
+            known[p] = known[p[:-1]] + self.marks[p[-1]]
+
+    @cached_property
+    def opens(self) -> np.ndarray:
+        """Which ids start with a space."""
+        size = self.tokenizer.get_vocab_size()
+        return np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+
+    @cached_property
+    def marks(self) -> dict[str, bytes]:
+        return dict(zip(MARKS, self.ids(list(MARKS))))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self.parts(t) for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        known = self.known
-        new = list({p for parts in split for p in parts if p not in known})
-        for i in range(0, len(new), 4096):
-            block = new[i:i + 4096]
-            for p, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        new = set().union(*(p[1:] for p in split)).difference(self.known)
+        if new:
+            self.learn(new)
+        known, older = self.known, self.older
+        try:
+            tails = [b"".join(map(known.__getitem__, p[1:])) for p in split]
+        except KeyError:  # the generation has just changed
+            tails = [b"".join([known.get(x) or older[x] for x in p[1:]]) for p in split]
+        return [h + t for h, t in zip(self.ids([p[0] for p in split]), tails)]
 
 
 def encoder(path: str) -> ChunkEncoder:
