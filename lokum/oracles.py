@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .constants import AGENCY_PHRASES
+from .constants import AGENCY_PHRASES, REPORT_HEADER
 from .oracle import (agency_text, any_substring, listing_date, location_text, price_per_sqm,
                      unpack_district, with_l)
 from .registry import AS_OF_DATE, QUERY_VEC_ID, SEARCH_PARAMS
@@ -659,6 +659,15 @@ SELECT rank AS row_no, date_posted, {O.portal_label('url', 'external_id')} AS po
        {_cell('rooms')} AS rooms, {_cell('price_per_sqm')} AS price_per_sqm,
        {O.snippet('description')} AS details, url AS link
 FROM ({_report_base()}) s""")
+def _report_twice():
+    """A new target takes the rows, a second run appends them again."""
+    names = ["row_no", "date_posted", "portal", "district", "price", "area", "rooms", "price_per_sqm", "details", "link"]
+    cells = ", ".join(f'CAST({n} AS VARCHAR) AS "{h}"' for n, h in zip(names, REPORT_HEADER))
+    one = f"SELECT {cells}, 'overwrite,append' AS modes FROM ({ORACLES['report_rows']}) r"
+    return f"{one} UNION ALL {one}"
+
+
+oracle("report_target_reset", _report_twice())
 oracle("report_markdown", f"""
 SELECT rank AS row_no, '| ' || concat_ws(' | ', CAST(rank AS VARCHAR), coalesce(date_posted, 'N/A'), {O.portal_label('url', 'external_id')},
        {unpack_district('district')}, {O.fmt_money('price_pln')}, {_cell('sqm')}, coalesce(CAST(rooms AS VARCHAR), 'N/A'),
