@@ -33,39 +33,41 @@ from lokum.llm.common import col, stable, with_uid, work_table
 DEPTH = 3
 MIN_DOCS = 5
 HALVES_FROM = 8  # tokens; shorter lines are compared whole
-TOKEN_WITH_DIGIT = "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*"
+# looked for at the starts of tokens only, without stepping back
+TOKEN_WITH_DIGIT = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
 
 
 def masked_line(line: Column) -> Column:
     """The line with variable tokens masked and single spaces."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, TOKEN_WITH_DIGIT, "<*>"), WHITE_RUN, " "))
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, TOKEN_WITH_DIGIT, "<*>")).otherwise(line)
+    spaced = masked.rlike("[\\x09-\\x0D]|\\x20\\x20")
+    return F.trim(F.when(spaced, F.regexp_replace(masked, WHITE_RUN, " ")).otherwise(masked))
 
 
-def templates(masked: Column, tokens: Column) -> tuple[Column, Column]:
-    """Digests of the two templates of a line; null for blank lines."""
-    n = F.size(tokens)
+def templates(masked: Column, n: Column) -> tuple[Column, Column]:
+    """Digests of the two templates of a line of ``n`` tokens; null for blank lines."""
     half = F.floor((n - DEPTH) / 2).cast("int")
-    lead = F.array_join(F.slice(tokens, 1, DEPTH), " ")
-    first = F.array_join(F.slice(tokens, F.lit(DEPTH + 1), half), " ")
-    second = F.array_join(F.slice(tokens, half + (DEPTH + 1), n), " ")
+    first = F.call_function("substring_index", masked, F.lit(" "), half + DEPTH)
+    lead = F.substring_index(masked, " ", DEPTH)
+    second = F.call_function("substring_index", masked, F.lit(" "), half + DEPTH - n)
 
-    def key(which: str, fixed: Column) -> Column:
-        path = F.when(n < HALVES_FROM, F.concat_ws("\n", n.cast("string"), masked)).otherwise(
-            F.concat_ws("\n", F.lit(which), n.cast("string"), lead, fixed))
-        return F.when(masked != "", F.unhex(F.md5(path)))
+    def key(*path: Column) -> Column:
+        whole = F.concat_ws("\n", F.lit("line"), masked)
+        return F.when(masked != "", F.unhex(F.md5(F.when(n < HALVES_FROM, whole).otherwise(F.concat_ws("\n", *path)))))
 
-    return key("first", first), key("second", second)
+    return key(F.lit("first"), n, first), key(F.lit("second"), n, lead, second)
 
 
 def flagged_lines(rows: DataFrame, min_docs: int) -> DataFrame:
     """rows(uid, text) to uid, n_dropped, flags (a drop flag per line): the rows
     that lose a line."""
-    one, two = templates(F.col("masked"), F.col("tokens"))
+    one, two = templates(F.col("masked"), F.col("n"))
+    spaces = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit("")))
     lines = work_table(
         rows.select("uid", F.xxhash64("text").alias("body"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
         .select("uid", "body", "pos", masked_line(F.col("line")).alias("masked"))
-        .select("uid", "body", "pos", "masked", F.split("masked", " ").alias("tokens"))
+        .select("uid", "body", "pos", "masked", (spaces + 1).alias("n"))
         .select("uid", "body", "pos", one.alias("one"), two.alias("two")), "lines")
     keys = F.when(F.col("one") == F.col("two"), F.array("one")).otherwise(F.array("one", "two"))
     seen = (lines.where("one is not null").select("body", F.explode(keys).alias("key"))
@@ -89,7 +91,8 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     flags = work_table(flagged_lines(rows, min_docs), "flags")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.get(F.col("flags"), i)), "\n")
-    return rows.join(flags, "uid", "left").select(
+    # a merge join at every size: flags grow with the documents
+    return rows.join(flags.hint("merge"), "uid", "left").select(
         "doc_id", F.when(F.col("flags").isNull(), F.col("text")).otherwise(kept).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "uid")
