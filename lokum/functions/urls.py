@@ -79,13 +79,6 @@ def portal_label(url, ext_id) -> Column:
     return _portal_chain(url, ext_id, PORTAL_LABELS, DEFAULT_PORTAL_LABEL)
 
 
-def normalize_portal_term(term: str) -> str:
-    """User portal term -> portal key ('no' is an alias, '_' reads as '-')."""
-    t = term.lower().replace("_", "-")
-    if t == "no":
-        return "nieruchomosci-online"
-    return t
-
 
 def portal_matches(key_col, terms, url=None, term_in_url: bool = False) -> Column:
     """Portal term match: substring of the portal key (and, in compat mode,

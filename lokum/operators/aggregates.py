@@ -44,10 +44,6 @@ def distinct_ids(df: DataFrame, key: str = "external_id") -> DataFrame:
                                     F.countDistinct(key).alias("distinct_ids"))
 
 
-def distinct_ids_approx(df: DataFrame, key: str = "external_id", rsd: float = 0.01) -> DataFrame:
-    """A4, profile variant: HyperLogLog++ estimate (no exact shuffle)."""
-    return df.groupBy("portal").agg(F.approx_count_distinct(key, rsd).alias("approx_ids"))
-
 
 def new_count(df: DataFrame, date_iso: Column, as_of: _dt.datetime, days: int) -> DataFrame:
     """A5: rows posted within ``days`` of ``as_of`` (undated rows count)."""

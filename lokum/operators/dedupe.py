@@ -37,14 +37,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def keep_first_nonblank_key(df: DataFrame, key: str, order: Sequence[Column | str] = ()) -> DataFrame:
     """W1 with P10: rows with a falsy key are dropped, then keep-first."""
     return keep_first(df.filter(F.col(key).isNotNull() & (F.col(key) != "")), [key], order)
-
-
-def keep_first_or_blank(df: DataFrame, key_expr: Column, order: Sequence[Column | str] = ()
-                        ) -> DataFrame:
-    """Keep-first per non-blank key; rows with a blank key all survive."""
-    k = "__key"
-    with_key = df.withColumn(k, key_expr)
-    is_blank = F.col(k).isNull() | (F.col(k) == "")
-    blanks = with_key.filter(is_blank)
-    kept = keep_first(with_key.filter(~is_blank), [k], order)
-    return kept.unionByName(blanks).drop(k)

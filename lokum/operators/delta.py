@@ -32,20 +32,16 @@ def upsert(store: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
-def upsert_partial(store: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
-    """Merge where ``incoming`` carries only some columns: supplied non-null
-    values replace stored ones (full outer join + coalesce)."""
-    s, i = store.alias("s"), incoming.alias("i")
-    j = s.join(i, F.col(f"s.{key}") == F.col(f"i.{key}"), "full_outer")
-    cols = [F.coalesce(F.col(f"i.{key}"), F.col(f"s.{key}")).alias(key)]
-    for c in store.columns:
-        if c == key:
-            continue
-        if c in incoming.columns:
-            cols.append(F.coalesce(F.col(f"i.{c}"), F.col(f"s.{c}")).alias(c))
-        else:
-            cols.append(F.col(f"s.{c}").alias(c))
-    return j.select(*cols)
+
+def with_timestamps(rows: DataFrame, timestamps: DataFrame, key: str = KEY) -> DataFrame:
+    """created_at and updated_at as the lookup table has them; rows that it
+    does not know keep their own."""
+    rows = rows if "updated_at" in rows.columns else rows.withColumn("updated_at", F.lit(None).cast("timestamp"))
+    t = timestamps.select(key, F.col("created_at").alias("__c"), F.col("updated_at").alias("__u"), F.lit(True).alias("__k"))
+    j = rows.join(t, key, "left")
+    for name, found in (("created_at", "__c"), ("updated_at", "__u")):
+        j = j.withColumn(name, F.when(F.col("__k"), F.col(found)).otherwise(F.col(name)))
+    return j.drop("__c", "__u", "__k")
 
 
 def flag_existing(batch: DataFrame, store: DataFrame, key: str = KEY) -> DataFrame:

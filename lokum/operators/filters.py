@@ -99,12 +99,10 @@ def rental_only(c, rental: Sequence[str] = RENTAL_TERMS, sale: Sequence[str] = S
     return _any_substring(low, rental) & ~_any_substring(low, sale)
 
 
-def key_present(c) -> Column:
-    """P10: falsy keys are dropped."""
-    return col_(c).isNotNull() & (col_(c) != "")
-
 
 def query_param(url, name: str) -> Column:
-    """Value of a query-string parameter of ``url``."""
-    return F.expr(f"try_parse_url({url}, 'QUERY', '{name}')") if isinstance(url, str) \
-        else F.lit(None)
+    """Value of a query-string parameter of ``url`` (P13), null if there is
+    none; the url need not be a valid URI (captured ones hold brackets)."""
+    u = F.col(url) if isinstance(url, str) else url
+    query = F.split_part(F.split_part(u, F.lit("#"), F.lit(1)), F.lit("?"), F.lit(2))
+    return F.nullif(F.regexp_extract(query, f"(?:^|&){re.escape(name)}=([^&]*)", 1), F.lit(""))

@@ -17,15 +17,18 @@ def page_offset(page: int | None, limit: int, offset: int = 0) -> int:
 
 def paginate(df: DataFrame, order: Sequence[Column], offset: int, limit: int | None) -> DataFrame:
     """Rows [offset, offset + limit) of the total order (all when limit is
-    None). Negative offsets are rejected (the source slices from the end)."""
+    None). Negative offsets are rejected (the source slices from the end). A page
+    is a bounded top-k; an offset alone goes by distributed ranks, not through
+    one task."""
     if offset < 0:
         raise ValueError("offset must be >= 0")
+    if limit is None:
+        name = "__rank"
+        return rank_unbounded(df, order, name=name).filter(F.col(name) > offset).drop(name)
     out = df.orderBy(*order)
     if offset:
         out = out.offset(offset)
-    if limit is not None:
-        out = out.limit(limit)
-    return out
+    return out.limit(limit)
 
 
 def rank_bounded(df: DataFrame, order: Sequence[Column], start: int = 1, name: str = "rank") -> DataFrame:

@@ -52,13 +52,6 @@ def markdown_lines(page: DataFrame, row_no: str = "rank") -> DataFrame:
     return page.select(F.col(row_no).cast("long").alias("row_no"), line.alias("line"))
 
 
-def markdown_table(lines: list[str], label: str, start: int) -> str:
-    if not lines:
-        return f"No apartments were found for '{label}' strictly meeting all requirements."
-    head = (f"### {label} ({len(lines)} displayed, items #{start} to #{start + len(lines) - 1})\n\n"
-            "| " + " | ".join(REPORT_HEADER) + " |\n" + "|---" * len(REPORT_HEADER) + "|\n")
-    return head + "\n".join(lines) + "\n"
-
 
 def url_key(url_col: str = "url"):
     return F.lower(F.trim(F.col(url_col)))
@@ -90,4 +83,3 @@ def write_report(spark: SparkSession, rows: DataFrame, path: str) -> str:
     renamed = rows.toDF(*REPORT_HEADER) if len(rows.columns) == len(REPORT_HEADER) else rows
     renamed.write.mode(mode).option("header", "true").csv(path)
     return mode
-

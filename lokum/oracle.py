@@ -113,8 +113,9 @@ JOIN nation nn ON s.s_nationkey = nn.n_nationkey
 
 L_CTE = "L AS (" + _l_select() + ")"
 
-# keep-first order: every column, nulls first (Spark struct ordering)
-KEEP_FIRST_ORDER = ("portal NULLS FIRST, url NULLS FIRST, title NULLS FIRST, price_pln NULLS FIRST, "
+# keep-first order: portal rank, capture time, then every column (nulls first)
+KEEP_FIRST_ORDER = (f"{case_map('portal', {k: i for i, k in enumerate(PORTAL_KEYS)})}, created_at NULLS FIRST, "
+                    "portal NULLS FIRST, url NULLS FIRST, title NULLS FIRST, price_pln NULLS FIRST, "
                     "sqm NULLS FIRST, rooms NULLS FIRST, district NULLS FIRST, "
                     "description NULLS FIRST, created_at NULLS FIRST, vec_id NULLS FIRST, "
                     "order_key NULLS FIRST, part_key NULLS FIRST, line_no NULLS FIRST")

@@ -32,7 +32,8 @@ FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
            WHERE price_pln <= {p.max_price} AND sqm >= {p.min_sqm} AND rooms >= {p.min_rooms}
              AND S.similarity > {p.match_threshold} {'AND ' + excl if pre else ''}
            ORDER BY similarity DESC, external_id LIMIT {p.match_count})""",
-        f"""E AS (SELECT C.*, CAST(o.o_orderdate AS TIMESTAMP) AS updated_at,
+        f"""E AS (SELECT C.* EXCLUDE (created_at), coalesce(CAST(o.o_orderdate AS TIMESTAMP), C.created_at) AS created_at,
+                  CAST(o.o_orderdate AS TIMESTAMP) + to_days(CAST(o.o_orderkey % 30 AS INTEGER)) AS updated_at,
                   {price_per_sqm('C.price_pln', 'C.sqm')} AS price_per_sqm
            FROM C LEFT JOIN orders o ON o.o_orderkey = C.order_key)""",
         f"""F AS (SELECT *, {date_expr} AS date_posted FROM E {'' if pre else 'WHERE ' + excl})""",
@@ -345,7 +346,8 @@ oracle("delta_anti", with_ctes("SELECT external_id, portal, url FROM B WHERE ext
 oracle("existing_ids", with_ctes("SELECT DISTINCT external_id FROM L WHERE external_id IN (SELECT external_id FROM S)",
                                  STORE_CTE))
 oracle("enrich_timestamps", with_ctes(
-    "SELECT D.external_id, CAST(D.created_at AS VARCHAR) AS created_at, CAST(o.o_orderdate AS VARCHAR) AS updated_at "
+    "SELECT D.external_id, CAST(CAST(o.o_orderdate AS TIMESTAMP) AS VARCHAR) AS created_at, "
+    "CAST(CAST(o.o_orderdate AS TIMESTAMP) + to_days(CAST(o.o_orderkey % 30 AS INTEGER)) AS VARCHAR) AS updated_at "
     "FROM D LEFT JOIN orders o ON o.o_orderkey = D.order_key", D_CTE))
 
 
@@ -484,6 +486,11 @@ WHERE stop IS NULL OR page_no < stop""")
 oracle("quarantine_split", f"""
 SELECT page_id, CASE WHEN {strings_joined(ARTICLE, "''")} <> '' THEN 'ok' ELSE 'quarantine' END AS status
 FROM pages""")
+oracle("search_scope", """
+SELECT o_orderkey AS page_id, (['otodom', 'olx', 'morizon'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS portal FROM orders
+WHERE o_orderkey % 3 = 2 OR o_orderstatus = 'F'""")
+oracle("paginate_rest", with_ctes(
+    "SELECT external_id, price_pln FROM D ORDER BY price_pln DESC NULLS LAST, external_id OFFSET 50", D_CTE))
 oracle("source_scope", """
 SELECT page_id, ref, page FROM (
   SELECT page_id, NULLIF(regexp_extract(split_part(split_part(url, '#', 1), '?', 2), '(?:^|&)ref=([^&]*)', 1), '') AS ref,
@@ -509,6 +516,7 @@ oracle("post_cap_per_group", f"""WITH {POSTS_CTE}
 SELECT post_id, "group", time FROM (
   SELECT *, row_number() OVER (PARTITION BY "group" ORDER BY day DESC, url DESC NULLS LAST, post_id DESC NULLS LAST) AS r
   FROM P) t WHERE r <= 15""")
+oracle("post_groups", f"""WITH {POSTS_CTE} SELECT post_id, "group" FROM P WHERE "group" IN ('src1', 'src2', 'src3')""")
 oracle("min_text_length", f"SELECT doc_id FROM documents WHERE length({O.strip('text')}) >= 20")
 oracle("keyword_prefilter", "SELECT doc_id FROM documents WHERE NOT ((contains(lower(text), 'rent') OR contains(lower(text), 'lease')) "
                             "AND NOT contains(lower(text), 'ble'))")
@@ -640,7 +648,8 @@ FROM R WHERE rank > {p.offset} AND rank <= {p.offset + p.top_n}
            WHERE price_pln <= {p.max_price} AND sqm >= {p.min_sqm} AND rooms >= {p.min_rooms}
              AND S.similarity > {p.match_threshold} {'AND ' + excl if pre else ''}
            ORDER BY similarity DESC, external_id LIMIT {p.match_count})""",
-        f"""E AS (SELECT C.*, CAST(o.o_orderdate AS TIMESTAMP) AS updated_at,
+        f"""E AS (SELECT C.* EXCLUDE (created_at), coalesce(CAST(o.o_orderdate AS TIMESTAMP), C.created_at) AS created_at,
+                  CAST(o.o_orderdate AS TIMESTAMP) + to_days(CAST(o.o_orderkey % 30 AS INTEGER)) AS updated_at,
                   {price_per_sqm('C.price_pln', 'C.sqm')} AS price_per_sqm
            FROM C LEFT JOIN orders o ON o.o_orderkey = C.order_key)""",
         f"""F AS (SELECT *, {date_expr} AS date_posted FROM E {'' if pre else 'WHERE ' + excl})""",

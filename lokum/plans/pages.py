@@ -59,6 +59,20 @@ def quarantine_split(pages: DataFrame) -> DataFrame:
         .otherwise(F.lit("quarantine")))
 
 
+# --- FIXED VALUES: what a portal's search url asks for: secondary market only,
+# --- private sellers only.
+SEARCH_SCOPE = {"otodom": ("market", "SECONDARY"), "olx": ("search[private_business]", "private")}
+
+
+def search_scope(pages: DataFrame, portal: str = "portal", url: str = "search_url") -> DataFrame:
+    """Captures whose search url is in its portal's scope; portals
+    without a scope keep all."""
+    keep = F.lit(True)
+    for name, (param, value) in SEARCH_SCOPE.items():
+        keep = F.when(F.col(portal) == name, query_param(url, param) == value).otherwise(keep)
+    return pages.filter(F.coalesce(keep, F.lit(False)))
+
+
 def source_scope(pages: DataFrame, name: str, value: str) -> DataFrame:
     """Keep captures whose search url carries ``name=value``."""
     p = pages.withColumn(name, query_param("url", name)).withColumn("page", query_param("url", "page"))

@@ -65,6 +65,18 @@ def normalize_posts(raw_json: DataFrame, json_col: str = "json") -> DataFrame:
         F.col("p.group").alias("group"))
 
 
+def group_list(override: Sequence[str] | None, configured: str | None, default: Sequence[str]) -> list[str]:
+    """The groups to take: given ones, else a comma-separated setting
+    (trimmed, blanks left out), else the default."""
+    if override:
+        return list(override)
+    return [g.strip() for g in (configured or "").split(",") if g.strip()] or list(default)
+
+
+def in_groups(posts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    return posts.filter(F.col("group").isin(*groups))
+
+
 def with_external_id(posts: DataFrame) -> DataFrame:
     """Post id, else the hash of the url or of the whole text."""
     ident = F.coalesce(F.col("post_id"), url_hash_id(F.coalesce("url", "text")))

@@ -31,6 +31,7 @@ from ..functions.dates import listing_date, unpack_district
 from ..functions.text import price_per_sqm
 from ..operators import filters as P
 from ..operators.paging import rank_bounded
+from ..operators.delta import with_timestamps
 from ..operators.vector import rounded, similarity
 
 AS_OF = _dt.datetime(1999, 1, 1, 0, 0, 0)
@@ -82,7 +83,7 @@ def search(listings: DataFrame, vectors: DataFrame, query, params: SearchParams
            timestamps: DataFrame | None = None, timestamps_key: str = "external_id") -> DataFrame:
     """W9. ``listings`` has external_id, portal, url, title, price_pln, sqm,
     rooms, district, description, created_at, vec_id. ``timestamps`` (optional)
-    has ``timestamps_key`` and updated_at. Returns the requested page with ``rank``."""
+    has ``timestamps_key``, created_at and updated_at. Returns the requested page with ``rank``."""
     p = params
     cand = listings.filter(P.numeric_caps(p.max_price, p.min_sqm, p.min_rooms))
     if p.mode == "pre":
@@ -104,7 +105,7 @@ def search(listings: DataFrame, vectors: DataFrame, query, params: SearchParams
         # reduced table then joins back (AQE broadcasts it by measured size).
         keys = F.broadcast(top.select(timestamps_key))
         ts_small = timestamps.join(keys, timestamps_key, "left_semi")
-        top = top.join(ts_small, timestamps_key, "left")
+        top = with_timestamps(top, ts_small, timestamps_key)
     else:
         top = top.withColumn("updated_at", F.lit(None).cast("timestamp"))
 

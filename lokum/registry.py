@@ -46,9 +46,16 @@ def L(spark: SparkSession, sf: str) -> DataFrame:
     return listing_view(spark, sf)
 
 
+def listing_order() -> list:
+    """Which of the rows with one id stays: portals in ingest order, then
+    the earliest capture (then the other columns, so the order is total)."""
+    rank = F.array_position(F.array(*[F.lit(k) for k in PORTAL_KEYS]), F.col("portal"))
+    return [rank, "created_at"]
+
+
 def stored_listings(spark: SparkSession, sf: str) -> DataFrame:
-    """W1 applied to L: one row per external_id (total order over all columns)."""
-    return keep_first(L(spark, sf), ["external_id"])
+    """W1 applied to L: one row per external_id."""
+    return keep_first(L(spark, sf), ["external_id"], listing_order())
 
 
 def query_vector(spark: SparkSession, sf: str, vec_id: int = QUERY_VEC_ID) -> list[float]:
@@ -59,8 +66,10 @@ def query_vector(spark: SparkSession, sf: str, vec_id: int = QUERY_VEC_ID) -> li
 
 
 def order_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    made = F.col("o_orderdate").cast("timestamp")
     return read_table(spark, sf, "orders", "o_orderkey", "o_orderdate").select(
-        F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("timestamp").alias("updated_at"))
+        F.col("o_orderkey").alias("order_key"), made.alias("created_at"),
+        (made + F.expr("make_dt_interval(o_orderkey % 30)")).alias("updated_at"))
 
 
 SEARCH_PARAMS = SearchParams(
@@ -411,13 +420,13 @@ EXCL_TERMS = ["nation_3", "nation_1", "red"]
 
 def store_table(spark, sf):
     """The stored table: keep-first over the stored half of L."""
-    return keep_first(L(spark, sf).filter(stored_half()), ["external_id"])
+    return keep_first(L(spark, sf).filter(stored_half()), ["external_id"], listing_order())
 
 
 def batch_table(spark, sf):
     """A new scrape batch: every L row, keep-first per id (W1 + P10)."""
     from .operators.dedupe import keep_first_nonblank_key
-    return keep_first_nonblank_key(L(spark, sf), "external_id")
+    return keep_first_nonblank_key(L(spark, sf), "external_id", listing_order())
 
 
 def _public(df):
@@ -442,9 +451,9 @@ def q_existing_ids(spark, sf):
 
 @register("enrich_timestamps")
 def q_enrich_timestamps(spark, sf):
-    ts = read_table(spark, sf, "orders", "o_orderkey", "o_orderdate").select(F.col("o_orderkey").alias("order_key"), F.col("o_orderdate").cast("string").alias("updated_at"))
-    return stored_listings(spark, sf).join(ts, "order_key", "left").select(
-        "external_id", F.col("created_at").cast("string").alias("created_at"), "updated_at")
+    rows = DL.with_timestamps(stored_listings(spark, sf), order_timestamps(spark, sf), "order_key")
+    return rows.select("external_id", F.col("created_at").cast("string").alias("created_at"),
+                       F.col("updated_at").cast("string").alias("updated_at"))
 
 
 @register("upsert_merge")
@@ -452,7 +461,7 @@ def q_upsert_merge(spark, sf):
     from .plans.normalize import store_record
     cols = ["external_id", "title", "price_pln", "sqm", "rooms", "url"]
     store = store_table(spark, sf).select(*cols).withColumn("version", F.lit("old"))
-    incoming = store_record(keep_first(L(spark, sf).filter(~stored_half()), ["external_id"])) \
+    incoming = store_record(keep_first(L(spark, sf).filter(~stored_half()), ["external_id"], listing_order())) \
         .select(*cols).withColumn("version", F.lit("new"))
     return DL.upsert(store, incoming)
 
@@ -625,6 +634,28 @@ def q_source_scope(spark, sf):
     return PG.source_scope(p, "ref", "x").select("page_id", "ref", "page")
 
 
+@register("search_scope")
+def q_search_scope(spark, sf):
+    """Search captures, one per order, dealt over three portals."""
+    n, key = F.col("o_orderkey") % 3, F.col("o_orderkey").cast("string")
+    url = (F.when(n == 0, F.concat(F.lit("https://www.otodom.pl/pl/wyniki?page="), key, F.lit("&market="),
+                                   F.when(F.col("o_orderstatus") == "F", "SECONDARY").otherwise("PRIMARY")))
+           .when(n == 1, F.concat(F.lit("https://www.olx.pl/warszawa/?page="), key,
+                                  F.when(F.col("o_orderstatus") == "F", "&search[private_business]=private")
+                                  .otherwise("")))
+           .otherwise(F.concat(F.lit("https://www.morizon.pl/?page="), key)))
+    portal = F.when(n == 0, "otodom").when(n == 1, "olx").otherwise("morizon")
+    pages = read_table(spark, sf, "orders", "o_orderkey", "o_orderstatus").select(
+        F.col("o_orderkey").alias("page_id"), portal.alias("portal"), url.alias("search_url"))
+    return PG.search_scope(pages).select("page_id", "portal")
+
+
+@register("paginate_rest")
+def q_paginate_rest(spark, sf):
+    return paginate(stored_listings(spark, sf), [F.col("price_pln").desc_nulls_last(), F.col("external_id")],
+                    50, None).select("external_id", "price_pln")
+
+
 # =============================================================================
 # Social posts over documents
 # =============================================================================
@@ -663,6 +694,12 @@ def q_post_normalize(spark, sf):
     return posts_table(spark, sf)
 
 
+@register("post_groups")
+def q_post_groups(spark, sf):
+    groups = PS.group_list(None, " src1,src2 ,, src3", ["src0"])
+    return PS.in_groups(posts_table(spark, sf), groups).select("post_id", "group")
+
+
 @register("post_cap_per_group")
 def q_post_cap_per_group(spark, sf):
     order = [FD.post_moment("time").desc_nulls_last(), F.col("url").desc_nulls_last(), F.col("post_id").desc_nulls_last()]

@@ -22,10 +22,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     if columns:
         df = df.select(*columns)
     return df
-
-
-def ntz_to_ts(col: str):
-    """Driver timestamps are TIMESTAMP_NTZ; the session zone is UTC, so the
-    cast keeps the wall-clock value and makes the column usable by
-    watermarks and interval arithmetic."""
-    return F.col(col).cast("timestamp")
