@@ -89,6 +89,34 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return m / n[:, None]
 
 
+def _best_of(k: int, threshold: float | None, query_id: str, item_id: str):
+    """Co-group function: the k best items of a group for each of its queries."""
+    least = -np.inf if threshold is None else float(threshold)
+
+    def best(own: pa.Table, asks: pa.Table) -> pa.Table:
+        found: list[tuple[np.ndarray, ...]] = []
+        if own.num_rows and asks.num_rows:
+            dim = own["dim"][0].as_py()
+            ids, m = own["id"].to_numpy(), _matrix(own["v"], dim)
+            for name, sims in zip(asks["id"].to_pylist(), _matrix(asks["v"], dim) @ m.T):
+                at = np.flatnonzero(sims > least)
+                if len(at) > k:
+                    low = np.partition(sims[at], len(at) - k)[len(at) - k]
+                    at = at[sims[at] >= low]
+                at = at[np.lexsort((ids[at], -sims[at]))[:k]]
+                found.append((np.full(len(at), name), ids[at], sims[at]))
+        cols = [np.concatenate(c) for c in zip(*found)] or [[], [], []]
+        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                         pa.array(cols[2], pa.float64())], [query_id, item_id, "similarity"])
+
+    return best
+
+
+def _ranked(local: DataFrame, k: int, query_id: str, item_id: str) -> DataFrame:
+    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(item_id))
+    return local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def batch_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float | None = None,
                item_id: str = "item_id", item_vec: str = "embedding",
                query_id: str = "query_id", query_vec: str = "embedding",
@@ -115,24 +143,56 @@ def batch_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float |
     key = ["dim", "shard", "block"]
     i = i.where("dim > 0").select("*", spread(blocks).alias("block")).groupBy(*key)
     q = q.where("dim > 0").select("*", spread(shards).alias("shard")).groupBy(*key)
-    least = -np.inf if threshold is None else float(threshold)
-
-    def best(own: pa.Table, asks: pa.Table) -> pa.Table:
-        found: list[tuple[np.ndarray, ...]] = []
-        if own.num_rows and asks.num_rows:
-            dim = own["dim"][0].as_py()
-            ids, m = own["id"].to_numpy(), _matrix(own["v"], dim)
-            for name, sims in zip(asks["id"].to_pylist(), _matrix(asks["v"], dim) @ m.T):
-                at = np.flatnonzero(sims > least)
-                if len(at) > k:
-                    low = np.partition(sims[at], len(at) - k)[len(at) - k]
-                    at = at[sims[at] >= low]
-                at = at[np.lexsort((ids[at], -sims[at]))[:k]]
-                found.append((np.full(len(at), name), ids[at], sims[at]))
-        cols = [np.concatenate(c) for c in zip(*found)] or [[], [], []]
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                         pa.array(cols[2], pa.float64())], [query_id, item_id, "similarity"])
-
-    local = i.cogroup(q).applyInArrow(best, f"{query_id} long, {item_id} long, similarity double")
-    w = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(item_id))
-    return local.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    local = i.cogroup(q).applyInArrow(_best_of(k, threshold, query_id, item_id),
+                                      f"{query_id} long, {item_id} long, similarity double")
+    return _ranked(local, k, query_id, item_id)
+
+
+# --- W8, approximate: hashed by random hyperplanes, re-ranked exactly -----------
+
+LSH_TABLES, LSH_BITS, LSH_SEED = 12, 5, 7
+
+
+def _bucketed(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int, seed: int) -> DataFrame:
+    """id, dim, v and a row per table with the bucket: which side of each of the
+    table's hyperplanes the vector lies on."""
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.size(vec_col).alias("dim"),
+                    F.transform(vec_col, lambda x: x.cast("double")).alias("v")).where("dim > 0")
+
+    def sides(batches):
+        planes: dict[int, np.ndarray] = {}
+        for b in batches:
+            codes = []
+            for v in b.column(2).to_pylist():
+                n = len(v)
+                if n not in planes:
+                    planes[n] = np.random.default_rng([seed, n]).standard_normal((n, tables * bits))
+                up = (np.array(v, dtype=np.float64) @ planes[n] > 0).reshape(tables, bits)
+                codes.append((up << np.arange(bits)).sum(1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.list_(pa.int32()))],
+                                             ["id", "dim", "v", "codes"])
+
+    return (own.mapInArrow(sides, "id long, dim int, v array<double>, codes array<int>")
+            .select("id", "dim", "v", F.posexplode("codes").alias("hash_table", "bucket")))
+
+
+def lsh_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float | None = None,
+             item_id: str = "item_id", item_vec: str = "embedding", query_id: str = "query_id",
+             query_vec: str = "embedding", tables: int = LSH_TABLES, bits: int = LSH_BITS, seed: int = LSH_SEED,
+             shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Approximate top-k: a query meets the items that share its bucket in some
+    table, by their exact similarity. Large buckets are dealt into shards of
+    bounded size; a bucket's size table has at most tables * 2^bits rows per
+    dimension."""
+    i = _bucketed(items, item_id, item_vec, tables, bits, seed)
+    q = _bucketed(queries, query_id, query_vec, tables, bits, seed)
+    where = ["dim", "hash_table", "bucket"]
+    shards = i.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards"))
+    i = i.join(shards, where).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int")).drop("shards")
+    q = (q.join(shards, where).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+         .drop("shards"))
+    key = [*where, "shard"]
+    local = i.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(
+        _best_of(k, threshold, query_id, item_id), f"{query_id} long, {item_id} long, similarity double")
+    # a pair that meets in several tables counts once
+    return _ranked(local.groupBy(query_id, item_id).agg(F.max("similarity").alias("similarity")), k, query_id, item_id)

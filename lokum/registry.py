@@ -926,6 +926,16 @@ def q_vector_batch_topk(spark, sf):
         "query_id", "item_id", rounded("similarity").alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
+@register("vector_lsh_topk")
+def q_vector_lsh_topk(spark, sf):
+    """Approximate top 10 of every vector, exactly re-ranked."""
+    from .operators.vector import lsh_topk
+    vec = read_table(spark, sf, "embeddings", "vec_id", "embedding")
+    return lsh_topk(vec.withColumnRenamed("vec_id", "item_id"), vec.withColumnRenamed("vec_id", "query_id"),
+                    k=10, threshold=0.10).select("query_id", "item_id", rounded("similarity").alias("similarity"),
+                                                 F.col("rank").cast("long").alias("rank"))
+
+
 def _report_page(spark, sf):
     from dataclasses import replace
     return run_search(spark, sf, replace(SEARCH_PARAMS, only_new=False, top_n=100, offset=0))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lokum.functions import dates as FD
 from lokum.operators import embed, html_dom, report
 from lokum.operators.extract_html import card_fields, page_parts
-from lokum.operators.vector import batch_topk, similarity
+from lokum.operators.vector import batch_topk, lsh_topk, similarity
 from lokum.plans import pages, posts, store
 from lokum.plans.normalize import detail_enrich
 from lokum.streaming import jobs
@@ -158,6 +158,18 @@ def test_batch_topk_in_blocks(spark):
         assert got[i] == [j for s, j in sorted(sims) if -s > 0.1][:5]
 
 
+def test_lsh_topk_recall(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((40, 16))[rng.integers(0, 40, 1200)] + 0.25 * rng.standard_normal((1200, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "item_id long, embedding array<double>")
+    q = df.withColumnRenamed("item_id", "query_id").where("query_id % 12 = 0")
+    exact = {(r.query_id, r.item_id): r.similarity for r in batch_topk(df, q, 10).collect()}
+    rows = lsh_topk(df, q, 10, shard_rows=50).collect()
+    got = {(r.query_id, r.item_id): r.similarity for r in rows}
+    assert len(rows) == len(got) and len(set(exact) & set(got)) >= 0.9 * len(exact)
+    assert all(got[p] == pytest.approx(exact[p]) for p in set(exact) & set(got))
+
+
 def test_similarity_of_a_zero_query_is_null(spark):
     df = spark.createDataFrame([([1.0, 0.0],)], "v array<double>")
     assert df.select(similarity("v", [0.0, 0.0]).alias("s")).first().s is None

@@ -43,7 +43,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_every_core_query_has_an_oracle():
     from lokum.registry import QUERIES as core
-    assert set(core) <= set(ORACLES)
+    assert set(core) - {"vector_lsh_topk"} <= set(ORACLES)  # that one: test_jobs, recall
 
 
 def test_entry_runs(spark):
