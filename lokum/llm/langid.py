@@ -39,7 +39,7 @@ ITERATIONS = 3
 SMOOTHING = 0.05       # added to every piece's expected count
 UNKNOWN = 1e-9         # probability of a letter outside the vocabulary
 LONGEST_LEARNED = 30   # letters; longer words are scored but not learned from
-KNOWN_CHUNKS = 600_000
+KNOWN_CHUNKS = 250_000
 UNDETERMINED = "und"
 MARK = "▁"
 RUNS = re.compile(r"[^\W\d_]+")
@@ -63,7 +63,7 @@ class Trie:
             for k in range(1, len(p) + 1):
                 node.setdefault(p[:k], len(node))
         letters = {c: k + 1 for k, c in enumerate(sorted({p[-1] for p in node if p}))}
-        self.letter = np.zeros(0x110000, np.int64)  # 0: in no piece
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no piece
         self.letter[[ord(c) for c in letters]] = list(letters.values())
         self.width = len(letters) + 1
         edges = sorted((node[p[:-1]] * self.width + letters[p[-1]], k) for p, k in node.items() if p)
