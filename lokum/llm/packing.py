@@ -35,7 +35,7 @@ from lokum.llm.common import col, with_uid, work_table
 CAPACITY = 2048
 SEPARATOR = 0
 TOKENIZER = "byte_bpe_50k.json"
-RANK_ROWS = 4096
+RANK_ROWS = 1024
 CACHE_CHUNKS = 400_000
 MARKS = ".,;:!?"
 MARKED = re.compile("[A-Za-z\u00c0-\u024f]+[.,;:!?]")
