@@ -98,13 +98,15 @@ def _best_of(k: int, threshold: float | None, query_id: str, item_id: str):
         if own.num_rows and asks.num_rows:
             dim = own["dim"][0].as_py()
             ids, m = own["id"].to_numpy(), _matrix(own["v"], dim)
-            for name, sims in zip(asks["id"].to_pylist(), _matrix(asks["v"], dim) @ m.T):
-                at = np.flatnonzero(sims > least)
-                if len(at) > k:
-                    low = np.partition(sims[at], len(at) - k)[len(at) - k]
-                    at = at[sims[at] >= low]
-                at = at[np.lexsort((ids[at], -sims[at]))[:k]]
-                found.append((np.full(len(at), name), ids[at], sims[at]))
+            for lo in range(0, asks.num_rows, BLOCK_ROWS):
+                block = asks.slice(lo, BLOCK_ROWS)
+                for name, sims in zip(block["id"].to_pylist(), _matrix(block["v"], dim) @ m.T):
+                    at = np.flatnonzero(sims > least)
+                    if len(at) > k:
+                        low = np.partition(sims[at], len(at) - k)[len(at) - k]
+                        at = at[sims[at] >= low]
+                    at = at[np.lexsort((ids[at], -sims[at]))[:k]]
+                    found.append((np.full(len(at), name), ids[at], sims[at]))
         cols = [np.concatenate(c) for c in zip(*found)] or [[], [], []]
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                          pa.array(cols[2], pa.float64())], [query_id, item_id, "similarity"])
@@ -151,13 +153,18 @@ def batch_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float |
 # --- W8, approximate: hashed by random hyperplanes, re-ranked exactly -----------
 
 LSH_TABLES, LSH_BITS, LSH_SEED = 12, 5, 7
+LSH_PROBES = 3  # buckets that a query looks into, a table
 
 
-def _bucketed(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int, seed: int) -> DataFrame:
-    """id, dim, v and a row per table with the bucket: which side of each of the
-    table's hyperplanes the vector lies on."""
+def _bucketed(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int, seed: int, probes: int = 1) -> DataFrame:
+    """id, dim, v and a row per table and probed bucket. A bucket says on which
+    side of each of the table's hyperplanes the vector lies; the further probes
+    are the buckets across the hyperplanes that it is nearest to."""
     own = df.select(F.col(id_col).cast("long").alias("id"), F.size(vec_col).alias("dim"),
-                    F.transform(vec_col, lambda x: x.cast("double")).alias("v")).where("dim > 0")
+                    F.col(vec_col).alias("v")).where("dim > 0")
+    if own.schema["v"].dataType.elementType.typeName() != "float":
+        own = own.withColumn("v", F.transform("v", lambda x: x.cast("double")))
+    across = min(probes - 1, bits)
 
     def sides(batches):
         planes: dict[int, np.ndarray] = {}
@@ -167,32 +174,43 @@ def _bucketed(df: DataFrame, id_col: str, vec_col: str, tables: int, bits: int,
                 n = len(v)
                 if n not in planes:
                     planes[n] = np.random.default_rng([seed, n]).standard_normal((n, tables * bits))
-                up = (np.array(v, dtype=np.float64) @ planes[n] > 0).reshape(tables, bits)
-                codes.append((up << np.arange(bits)).sum(1))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.list_(pa.int32()))],
+                far = (np.array(v, dtype=np.float64) @ planes[n]).reshape(tables, bits)
+                code = ((far > 0) << np.arange(bits)).sum(1)[:, None]
+                near = np.argsort(np.abs(far), axis=1, kind="stable")[:, :across]
+                codes.append(np.concatenate((code, code ^ (1 << near)), axis=1).tolist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(codes, pa.list_(pa.list_(pa.int32())))],
                                              ["id", "dim", "v", "codes"])
 
-    return (own.mapInArrow(sides, "id long, dim int, v array<double>, codes array<int>")
-            .select("id", "dim", "v", F.posexplode("codes").alias("hash_table", "bucket")))
+    kind = own.schema["v"].dataType.simpleString()
+    return (own.mapInArrow(sides, f"id long, dim int, v {kind}, codes array<array<int>>")
+            .select("id", "dim", "v", F.posexplode("codes").alias("hash_table", "buckets"))
+            .select("id", "dim", "v", "hash_table", F.explode("buckets").alias("bucket")))
 
 
 def lsh_topk(items: DataFrame, queries: DataFrame, k: int, threshold: float | None = None,
              item_id: str = "item_id", item_vec: str = "embedding", query_id: str = "query_id",
              query_vec: str = "embedding", tables: int = LSH_TABLES, bits: int = LSH_BITS, seed: int = LSH_SEED,
-             shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Approximate top-k: a query meets the items that share its bucket in some
-    table, by their exact similarity. Large buckets are dealt into shards of
-    bounded size; a bucket's size table has at most tables * 2^bits rows per
-    dimension."""
+             shard_rows: int = SHARD_ROWS, probes: int = LSH_PROBES) -> DataFrame:
+    """Approximate top-k: in each table a query meets the items of its own
+    bucket and of the ``probes - 1`` buckets across its nearest hyperplanes, by
+    their exact similarity. Large buckets are dealt into shards of items and
+    blocks of queries, both of bounded size; their size tables have at most
+    tables * 2^bits rows per dimension."""
     i = _bucketed(items, item_id, item_vec, tables, bits, seed)
-    q = _bucketed(queries, query_id, query_vec, tables, bits, seed)
+    q = _bucketed(queries, query_id, query_vec, tables, bits, seed, probes)
     where = ["dim", "hash_table", "bucket"]
-    shards = i.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("shards"))
-    i = i.join(shards, where).withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int")).drop("shards")
-    q = (q.join(shards, where).withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-         .drop("shards"))
-    key = [*where, "shard"]
-    local = i.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(
+
+    def pieces(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias(name))
+
+    def deal(df: DataFrame, own: str, other: str) -> DataFrame:
+        return (df.join(sizes, where).withColumn("own", F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select("id", "v", *where, F.col("own").alias(own[:-1]), F.col("other").alias(other[:-1])))
+
+    sizes = pieces(i, "shards").join(pieces(q, "blocks"), where)
+    key = [*where, "shard", "block"]
+    local = deal(i, "shards", "blocks").groupBy(*key).cogroup(deal(q, "blocks", "shards").groupBy(*key)).applyInArrow(
         _best_of(k, threshold, query_id, item_id), f"{query_id} long, {item_id} long, similarity double")
     # a pair that meets in several tables counts once
     return _ranked(local.groupBy(query_id, item_id).agg(F.max("similarity").alias("similarity")), k, query_id, item_id)

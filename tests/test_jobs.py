@@ -170,6 +170,18 @@ def test_lsh_topk_recall(spark):
     assert all(got[p] == pytest.approx(exact[p]) for p in set(exact) & set(got))
 
 
+def test_lsh_topk_recall_on_the_embeddings(spark):
+    vec = spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding")
+    items, q = vec.withColumnRenamed("vec_id", "item_id"), vec.withColumnRenamed("vec_id", "query_id")
+    exact = {(r.query_id, r.item_id) for r in batch_topk(items, q, 10, 0.10).collect()}
+    rows = lsh_topk(items, q, 10, 0.10).collect()
+    got = {(r.query_id, r.item_id) for r in rows}
+    others = {p for p in exact if p[0] != p[1]}  # without a vector's match with itself
+    assert len(rows) == len(got) and len(got & others) >= 0.9 * len(others)
+    pieces = {(r.query_id, r.item_id) for r in lsh_topk(items, q, 10, 0.10, shard_rows=30).collect()}
+    assert pieces == got
+
+
 def test_similarity_of_a_zero_query_is_null(spark):
     df = spark.createDataFrame([([1.0, 0.0],)], "v array<double>")
     assert df.select(similarity("v", [0.0, 0.0]).alias("s")).first().s is None
