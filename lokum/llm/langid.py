@@ -6,7 +6,7 @@ forward pass over its characters; a text's is the product over its words (words
 are runs of letters, lower-cased, with the vocabulary's word mark in front; a
 letter outside the vocabulary has a small fixed probability). Models are trained
 by expectation-maximisation: expected piece counts come from forward-backward
-passes over the words of a bounded sample of labelled rows, are summed by Spark
+passes over all words, whatever their length, of a bounded sample of labelled rows, are summed by Spark
 and only the table of pieces times languages reaches the driver.
 
 ``score`` is the posterior of the predicted language under equal priors.
@@ -38,7 +38,6 @@ SAMPLE_ROWS = 1500     # labelled rows a language that are learned from (expecte
 ITERATIONS = 3
 SMOOTHING = 0.05       # added to every piece's expected count
 UNKNOWN = 1e-9         # probability of a letter outside the vocabulary
-LONGEST_LEARNED = 30   # letters; longer words are scored but not learned from
 KNOWN_CHUNKS = 250_000
 UNDETERMINED = "und"
 MARK = "▁"
@@ -137,19 +136,25 @@ def forward(ids: np.ndarray, p: np.ndarray, scale: bool = True) -> tuple[np.ndar
 
 
 def expected(ids: np.ndarray, p: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
-    """Adds the expected piece counts of the words to ``out`` (one language)."""
+    """Adds the expected piece counts of the words to ``out`` (one language).
+    Prefix sums are kept relative to the last one, so words may have any length."""
     n, longest = ids.shape[1] - 1, ids.shape[2] - 1
-    a, _ = forward(ids, p[:, None], scale=False)
-    a = a[:, :, 0]
-    b = np.zeros_like(a)
-    b[:, n] = weight / a[:, n]
-    count = np.zeros(ids.shape)
+    share = p[ids]  # of the segmentations with a cut at the end, those whose last piece has the length
+    before = np.zeros((len(ids), longest + 1))  # sums of the prefixes that are so many letters shorter
+    for j in range(1, n + 1):
+        before[:, 1] = 1.0
+        share[:, j] *= before
+        total = share[:, j].sum(axis=1, keepdims=True)
+        share[:, j] /= total
+        before[:, 2:] = before[:, 1:-1] / total
+    share[:, 0] = 0.0
+    cut = np.zeros((len(ids), n + 1))  # expected number of cuts at an end
+    cut[:, n] = weight
     for j in range(n, 0, -1):
-        for size in range(1, min(j, longest) + 1):
-            step = p[ids[:, j, size]] * b[:, j]
-            b[:, j - size] += step
-            count[:, j, size] = a[:, j - size] * step
-    out += np.bincount(ids.ravel(), count.ravel(), len(out))
+        share[:, j] *= cut[:, j, None]
+        most = min(j, longest)
+        cut[:, j - most:j] += share[:, j, most:0:-1]
+    out += np.bincount(ids.ravel(), share.ravel(), len(out))
 
 
 def by_length(words, cells: int = 60_000):
@@ -260,7 +265,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for b in batches:
             n: Counter = Counter()
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                n.update((k, w) for w in letters(t) if len(w) <= LONGEST_LEARNED)
+                n.update((k, w) for w in letters(t))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in n], pa.int32()), pa.array([w for _, w in n], pa.string()),
                  pa.array(list(n.values()), pa.int64())], ["k", "word", "n"])

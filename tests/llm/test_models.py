@@ -74,6 +74,27 @@ def test_long_word_does_not_underflow():
     assert np.isfinite(langid.forward(trie.lattice(["ʘ" * 3000]), p)[1]).all()
 
 
+def test_long_runs_count_like_short_ones():
+    trie = langid.trie(langid.public_tokenizers.path(langid.VOCABULARY))
+    p = np.random.default_rng(2).random(trie.pieces + 2)
+    p /= p.sum()
+    p[trie.pieces], p[trie.pieces + 1] = 0.0, 1e-9
+    length = {i: len(s) for s, i in pieces().items()} | {trie.pieces + 1: 1}
+    out = np.zeros(trie.pieces + 2)
+    langid.expected(trie.lattice([langid.MARK + "theʘaunt" * 500]), p, np.array([2.0]), out)
+    assert sum(length[i] * out[i] for i in np.flatnonzero(out)) == pytest.approx(4001 * 2)
+
+
+def test_labels_whose_runs_are_all_long(spark):
+    rng = random.Random(4)
+    words = {"l1": ["haus", "baum", "licht", "wasser"], "l2": ["casa", "arbol", "luz", "agua"],
+             "l3": ["talo", "puu", "valo", "vesi"]}
+    rows = [(i, "".join(rng.choice(words[k]) for _ in range(40)), k) for i, k in enumerate(sorted(words) * 40)]
+    assert min(len(t) for _, t, _ in rows) > 30
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in got) and any(r.held_out for r in got)
+
+
 def test_identify_edges(spark):
     got = langid.identify(frame(spark)).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(k) for k, *_ in EDGE)
