@@ -336,11 +336,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                      least_score: float = 0.5, **options) -> DataFrame:
-    """The rows whose language is recognised with at least ``least_score``, with
-    all their columns; ``und`` rows go."""
+                      **options) -> DataFrame:
+    """The rows whose language is recognised, however sure, with all their
+    columns; only ``und`` rows go."""
     model = train(docs, id_col, text_col, lang_col, learn_from=~held_out(col(id_col)), **options)
     lang, score = free_name("_lang_pred", docs), free_name("_score", docs)
     out = predict(docs, model, text_col, lang_name=lang, score_name=score)
-    return (out.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= least_score))
-            .select(*[col(c) for c in docs.columns]))
+    return out.where(F.col(lang) != UNDETERMINED).select(*[col(c) for c in docs.columns])

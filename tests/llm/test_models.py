@@ -136,6 +136,15 @@ def test_drop_undetermined(spark):
     assert not {2, 3, 4, 9} & {r.doc_id for r in out.collect()}
 
 
+def test_drop_undetermined_keeps_unsure_documents(spark):
+    texts = ["one two three", "four five six", "seven eight nine"]
+    rows = [(i, texts[i % 3], f"l{i % 7}") for i in range(210)]  # seven labels, all alike
+    df = spark.createDataFrame([*rows, (300, "12 !!", "l0")], "doc_id long, text string, lang string")
+    scores = [r.score for r in langid.identify(df).where("lang_pred <> 'und'").collect()]
+    assert len(scores) == 210 and max(scores) < 0.5
+    assert sorted(r.doc_id for r in langid.drop_undetermined(df).collect()) == list(range(210))
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
