@@ -80,7 +80,9 @@ SEARCH_PARAMS = SearchParams(
 def run_search(spark: SparkSession, sf: str, params: SearchParams = SEARCH_PARAMS) -> DataFrame:
     vectors = read_table(spark, sf, "embeddings", "vec_id", "embedding")
     ts = order_timestamps(spark, sf)
-    # every vector belongs to some listings: part keys go round all of them
+    # part keys go round the vector ids: every vector has listings only if the ids
+    # are 0..n-1 and there are at least n parts with listings; vectors beyond that
+    # have none, and a listing whose id is missing is dropped by the join
     listings = stored_listings(spark, sf).withColumn("vec_id", F.col("part_key") % max(1, vectors.count()))
     out = search(listings, vectors, query_vector(spark, sf), params,
                  timestamps=ts, timestamps_key="order_key")
