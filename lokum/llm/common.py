@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +85,28 @@ def keep_rows(df: DataFrame, uid: str, keep: DataFrame) -> DataFrame:
     a merge join at every size, since ``keep`` grows with the rows."""
     k = keep.select(F.col(keep.columns[0]).alias(uid)).hint("merge")
     return with_uid(df, uid).join(k, uid, "left_semi").drop(uid)
+
+
+def by_bytes(batch: pa.RecordBatch, at: int, most: int = 1 << 20, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Slices of an Arrow batch with at most ``rows`` rows and about ``most`` bytes
+    of text in column ``at`` (a longer text comes alone)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+    lo, held = 0, 0
+    for k, size in enumerate(sizes):
+        if k > lo and (held + size > most or k - lo >= rows):
+            yield batch.slice(lo, k - lo)
+            lo, held = k, 0
+        held += size
+    if lo < len(sizes):
+        yield batch.slice(lo)
+
+
+def give_back() -> None:
+    """Return a finished task's memory to the system: Python workers are reused by
+    the tasks of other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass

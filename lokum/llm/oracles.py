@@ -4,6 +4,46 @@ from __future__ import annotations
 
 WS = "'[ \\t\\n\\x0b\\x0c\\r]'"
 
+# an upper bound: FANOUT ** LEVELS rows of one group
+FANOUT, LEVELS = 16, 6
+
+
+def _tree(name: str, source: str, group: str, order: str) -> str:
+    """CTEs of a hash tree over ``source`` (group, order, h): each level as
+    ``name``_k, and ``name``_way with every leaf's siblings and its folding steps."""
+    parts = [f"""{name}_0 AS (
+  SELECT {group} AS g, {order} AS o, h, row_number() OVER (PARTITION BY {group} ORDER BY {order}) - 1 AS pos,
+         count(*) OVER (PARTITION BY {group}) AS n FROM {source})"""]
+    for k in range(1, LEVELS + 1):
+        parts.append(f"""{name}_{k} AS (
+  SELECT g, pos // {FANOUT} AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h,
+         (n + {FANOUT - 1}) // {FANOUT} AS n FROM {name}_{k - 1} WHERE n > 1 GROUP BY g, n, pos // {FANOUT})""")
+    for k in range(LEVELS):
+        parts.append(f"""{name}_s{k} AS (
+  SELECT g, pos, n, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}_{k} WHERE n > 1 WINDOW w AS (PARTITION BY g, pos // {FANOUT} ORDER BY pos))""")
+    joins = "".join(f"\n  LEFT JOIN {name}_s{k} s{k} ON s{k}.g IS NOT DISTINCT FROM a.g AND s{k}.pos = a.pos // {FANOUT ** k}"
+                    for k in range(LEVELS))
+    listed = ", ".join(f"CASE WHEN s{k}.l IS NOT NULL THEN [s{k}.l, s{k}.r] END" for k in range(LEVELS))
+    parts.append(f"""{name}_way AS (
+  SELECT a.g, a.o, a.pos, a.h, list_filter([{listed}], lambda x: x IS NOT NULL) AS way FROM {name}_0 a{joins})""")
+    top = " UNION ALL ".join(f"SELECT g, h FROM {name}_{k} WHERE n = 1" for k in range(LEVELS + 1))
+    parts.append(f"{name}_top AS ({top})")
+    return ",\n".join(parts)
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+CRC32 = """xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+           lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                                      lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES = {
     "op3_mixing": """
 WITH r AS (
@@ -96,4 +136,18 @@ d AS (
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop), '') AS text,
        count(*) AS n_lines, count(*) FILTER (drop) AS n_dropped
 FROM d GROUP BY doc_id""",
+    "op11_merkle": f"""
+WITH d AS (
+  SELECT doc_id, source, {_leaf("text")} AS h,
+         CASE WHEN {CRC32} % 5 = 0 THEN {_leaf(LOWERED)} ELSE {_leaf("text")} END AS now
+  FROM documents),
+{_tree("t", "d", "source", "(doc_id, h, now)")},
+{_tree("u", "(SELECT 0 AS one, (coalesce(length(g), -1) >= 0, encode(coalesce(g, ''))) AS k, h, g FROM t_top)",
+       "one", "(k, g)")}
+SELECT t.o[1] AS doc_id, t.h AS leaf, u.h AS subroot, r.h AS root,
+       sha256(array_to_string(list_transform(list_concat(t.way, u.way), lambda x: x[1] || x[2]), '')) AS proof_sha256,
+       list_reduce(list_concat([[t.o[3]]], t.way, u.way),
+                   lambda a, x: [sha256(x[1] || a[1] || x[2])])[1] AS folded_root,
+       folded_root = root AS verified
+FROM t_way t JOIN u_way u ON u.o[2] IS NOT DISTINCT FROM t.g CROSS JOIN u_top r""",
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lokum.llm import ann, chat, exact_dedup, langid, line_dedup, mixing, packing, quality, simhash, warc
+from lokum.llm import (ann, chat, exact_dedup, langid, line_dedup, main_text, merkle, mixing, packing, quality, runs,
+                       simhash, warc)
 from lokum.llm.common import work_table
 from lokum.session import apply_conf
 from lokum.sources.tables import read_table
@@ -74,6 +75,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, digest=True)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(read_table(spark, sf_dir, "documents", "doc_id", "text"), loop=True)
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def _with_conf(f: Callable) -> Callable:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_conf(spark)
@@ -83,4 +96,5 @@ def _with_conf(f: Callable) -> Callable:
 
 QUERIES = {f.__name__: _with_conf(f) for f in (
     op1_language_id, op2_simhash, op3_mixing, op4_exact_dedup, op5_quality,
-    op6_chat, op7_warc, op8_line_dedup, op9_ann, op10_packing)}
+    op6_chat, op7_warc, op8_line_dedup, op9_ann, op10_packing,
+    op11_merkle, op12_runs, op13_main_text)}
