@@ -26,9 +26,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    _WORK.append(path)
     return path
 
 
+_WORK: list[str] = []  # the driver's folders, oldest first
+
+
+def work_mark() -> int:
+    return len(_WORK)
+
+
+def drop_work(spark: SparkSession, first: int, last: int) -> None:
+    """Remove the work tables made from one mark to another: what read them has
+    been written itself."""
+    for path in _WORK[first:last]:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def work_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage so
     that lost executors cost a reread, never a recomputation, and gives the

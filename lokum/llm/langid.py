@@ -20,7 +20,6 @@ null ids are predicted and never learned from; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -31,21 +30,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col, free_name, with_uid, work_table
+from lokum.llm.common import by_bytes, col, free_name, give_back, with_uid, work_table
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_ROWS = 1500     # labelled rows a language that are learned from (expected number)
 ITERATIONS = 3
 SMOOTHING = 0.05       # added to every piece's expected count
 UNKNOWN = 1e-9         # probability of a letter outside the vocabulary
-KNOWN_CHUNKS = 250_000
+KNOWN_BYTES = 32 << 20  # of a task's looked-up chunks, about
 UNDETERMINED = "und"
 MARK = "▁"
 RUNS = re.compile(r"[^\W\d_]+")
 
-_TRIES: dict[str, "Trie"] = {}
-_SCORERS: dict[str, "Scorer"] = {}
-
 
 class Trie:
     """The vocabulary's pieces by characters, walked for many words at once."""
@@ -97,9 +93,7 @@ class Trie:
 
 
 def trie(path: str) -> Trie:
-    if path not in _TRIES:
-        _TRIES[path] = Trie(path)
-    return _TRIES[path]
+    return Trie(path)
 
 
 def letters(text: str) -> list[str]:
@@ -176,20 +170,14 @@ class LanguageModel:
     languages: tuple[str, ...]
     p: np.ndarray      # pieces + 2 rows, one column a language
     vocabulary: str
-    token: str = ""
-
-    def scorer(self) -> "Scorer":
-        if self.token not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[self.token] = Scorer(self)
-        return _SCORERS[self.token]
 
 
 class Scorer:
-    """Scores whole texts; words met before are looked up."""
+    """Scores whole texts; chunks met before by this task are looked up."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.held = model, {}, 0
+        self.trie = trie(model.vocabulary)
         self.logs = np.zeros((1024, len(model.languages)))
         self.letters = np.zeros(1024, bool)
 
@@ -198,9 +186,8 @@ class Scorer:
         own = [letters(c) for c in chunks]
         words = list({w for ws in own for w in ws})
         logs = np.zeros((len(words), self.logs.shape[1]))
-        vocabulary = trie(self.model.vocabulary)
         for part in by_length(words):
-            logs[part] = forward(vocabulary.lattice([MARK + words[k] for k in part]), self.model.p)[1]
+            logs[part] = forward(self.trie.lattice([MARK + words[k] for k in part]), self.model.p)[1]
         at = {w: k for k, w in enumerate(words)}
         need = len(self.known) + len(chunks)
         if need > len(self.letters):
@@ -215,18 +202,20 @@ class Scorer:
         np.add.at(self.logs, np.repeat(np.arange(first, need), sizes), logs[words_at])
         self.letters[first:need] = sizes > 0
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def predict(self, texts: list[str | None]) -> list[tuple[str | None, float]]:
+        """Languages and scores; no language for texts without a letter."""
         split = [t.lower().split() if t else [] for t in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known = {}
+        if self.held > KNOWN_BYTES:
+            self.known, self.held = {}, 0
         new = list(dict.fromkeys(c for chunks in split for c in chunks if c not in self.known))
         if new:
+            self.held += sum(map(len, new)) + len(new) * (200 + 8 * self.logs.shape[1])
             self.learn(new)
         out = []
         for chunks in split:
             at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
             if not len(self.model.languages) or not self.letters[at].any():
-                out.append((UNDETERMINED, 0.0))
+                out.append((None, 0.0))
                 continue
             log = self.logs[at].sum(0)
             best = int(log.argmax())
@@ -254,7 +243,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     languages = tuple(sorted(sizes))
     v = trie(path).pieces
     if not languages:
-        return LanguageModel((), np.zeros((v + 2, 0)), path, "none")
+        return LanguageModel((), np.zeros((v + 2, 0)), path)
     rates = spark.createDataFrame([(x, k, min(1.0, sample_rows / sizes[x])) for k, x in enumerate(languages)],
                                   "lang string, k int, rate double")
     unit = F.pmod(F.xxhash64(col(id_col).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -262,7 +251,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
               .join(F.broadcast(rates), "lang").where("unit < rate").select("k", "text"))
 
     def count(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in by_bytes(whole, 1, 4 << 20, 4096)):
             n: Counter = Counter()
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 n.update((k, w) for w in letters(t))
@@ -280,7 +269,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         def step(batches, shared=shared):
             vocabulary, now = trie(path), shared.value
             total = np.zeros((now.shape[1], len(now)))
-            for b in batches:
+            for b in batches:  # rows of one word
                 ks, ws, ns = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
                 for k in np.unique(ks):
                     at = np.flatnonzero(ks == k)
@@ -292,6 +281,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k.astype(np.int32)), pa.array(piece.astype(np.int32)), pa.array(total[k, piece])],
                 ["k", "piece", "c"])
+            vocabulary = total = None
+            give_back()
 
         # at most pieces x languages rows
         counts = (seen.mapInArrow(step, "k int, piece int, c double").groupBy("k", "piece")
@@ -300,29 +291,47 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         c[counts["piece"], counts["k"]] += counts["c"]
         p = np.concatenate((c / c.sum(0), p[v:]))
         shared.unpersist()
-    return LanguageModel(languages, p, path, hashlib.sha256(p.tobytes()).hexdigest())
+    return LanguageModel(languages, p, path)
+
+
+def scored(docs: DataFrame, model: LanguageModel, text_col: str, make, names: list[str], schema: str) -> DataFrame:
+    """``make(batch, predictions)`` gives the output columns of each batch. Texts go to
+    Python once, in slices bounded in bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        try:
+            scorer = None
+            for b in batches:
+                scorer = scorer or Scorer(shared.value)
+                for part in by_bytes(b, at):
+                    columns = make(part, scorer.predict(part.column(at).to_pylist()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            scorer = None
+            give_back()
+
+    return docs.mapInArrow(run, schema)
+
+
+def typed(fields) -> list[str]:
+    return [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields]
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None,
             lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
     """The ``keep`` columns (all, if not given) with the predicted language and its score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = docs.columns if keep is None else keep
-    own = docs.select(*[col(c) for c in keep], col(text_col).alias(free_name("_text", docs)))
-    schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1]]
-                       + [f"`{lang_name}` string", f"`{score_name}` double"])
+    own = docs.select(*[col(c) for c in dict.fromkeys([*keep, text_col])])
+    places = [own.columns.index(c) for c in keep]
 
-    def run(batches):
-        scorer = shared.value.scorer()
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                got = scorer.predict(part.column(part.num_columns - 1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([x for x, _ in got], pa.string()),
-                     pa.array([s for _, s in got], pa.float64())], [*part.schema.names[:-1], lang_name, score_name])
+    def make(part, got):
+        return [*[part.column(k) for k in places], pa.array([UNDETERMINED if x is None else x for x, _ in got], pa.string()),
+                pa.array([s for _, s in got], pa.float64())]
 
-    return own.mapInArrow(run, schema)
+    schema = typed([own.schema[c] for c in keep]) + [f"`{lang_name}` string", f"`{score_name}` double"]
+    return scored(own, model, text_col, make, [*keep, lang_name, score_name], ", ".join(schema))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -337,9 +346,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def drop_undetermined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                       **options) -> DataFrame:
-    """The rows whose language is recognised, however sure, with all their
-    columns; only ``und`` rows go."""
+    """The rows whose language is recognised, however sure and whatever it is called,
+    with all their columns; only rows whose text has no letter go (all rows, if no
+    row has a label to learn from)."""
     model = train(docs, id_col, text_col, lang_col, learn_from=~held_out(col(id_col)), **options)
-    lang, score = free_name("_lang_pred", docs), free_name("_score", docs)
-    out = predict(docs, model, text_col, lang_name=lang, score_name=score)
-    return out.where(F.col(lang) != UNDETERMINED).select(*[col(c) for c in docs.columns])
+
+    def make(part, got):
+        return part.filter(pa.array([x is not None for x, _ in got], pa.bool_())).columns
+
+    return scored(docs, model, text_col, make, docs.columns, ", ".join(typed(docs.schema.fields)))

@@ -10,9 +10,10 @@
    of about ``RANK_ROWS`` rows whose counts are summed first) and take the slot
    that the plan gives that rank.
 
-Defined cases: null text counts as empty (one separator id); strings of special
-tokens inside a text are ordinary text; repeated rows are packed each; null ids
-are kept; an empty table gives an empty result; other columns are ignored.
+Defined cases: null text counts as empty (one separator id); a text that holds a
+token added to the vocabulary (``<|endoftext|>``) is encoded whole, the token to its
+one id; repeated rows are packed each; null ids are kept; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,31 +31,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col, with_uid, work_table
+from lokum.llm.common import by_bytes, col, give_back, with_uid, work_table
 
 CAPACITY = 2048
 SEPARATOR = 0
 TOKENIZER = "byte_bpe_50k.json"
 RANK_ROWS = 1024
-CACHE_CHUNKS = 400_000
+CACHE_BYTES = 24 << 20  # of a task's looked-up parts, about; two generations
 MARKS = ".,;:!?"
 MARKED = re.compile("[A-Za-z\u00c0-\u024f]+[.,;:!?]")
 
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
-
 
 class ChunkEncoder:
     """Token ids of whole texts. The vocabulary splits texts before its merges,
     and a single space between two other characters always starts a new part, so
     the parts cut there encode on their own and repeated ones are looked up: the
-    parts of the last texts, up to two generations of ``CACHE_CHUNKS``."""
+    parts of the task's last texts, up to two generations of ``CACHE_BYTES``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # ids of a space and the part
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -95,8 +96,9 @@ class ChunkEncoder:
         return out
 
     def learn(self, parts: set[str]) -> None:
-        if len(self.known) > CACHE_CHUNKS:
-            self.known, self.older = {}, self.known
+        if self.held > CACHE_BYTES:
+            self.known, self.older, self.held = {}, self.known, 0
+        self.held += sum(map(len, parts)) + 200 * len(parts)
         known, older = self.known, self.older
         found = {p: older[p] for p in parts if p in older}
         known.update(found)
@@ -123,6 +125,15 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
+        if whole:
+            out = self.encode_parts([t for k, t in enumerate(texts) if k not in set(whole)])
+            for k, ids in zip(whole, self.ids([texts[k] for k in whole])):
+                out.insert(k, ids)
+            return out
+        return self.encode_parts(texts)
+
+    def encode_parts(self, texts: list[str]) -> list[bytes]:
         split = [self.parts(t) for t in texts]
         new = set().union(*(p[1:] for p in split)).difference(self.known)
         if new:
@@ -135,13 +146,6 @@ class ChunkEncoder:
         return [h + t for h, t in zip(self.ids([p[0] for p in split]), tails)]
 
 
-def encoder(path: str) -> ChunkEncoder:
-    if path not in _ENCODERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
-
-
 def cut(length: int, capacity: int) -> Iterator[tuple[int, int]]:
     """(start, length) of a document's pieces."""
     first = length % capacity or min(length, capacity)
@@ -151,35 +155,42 @@ def cut(length: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, separator: int,
-           tokenizer: str | None, digest: bool) -> DataFrame:
-    """doc_id, uid, piece, start, length and the piece's ids (array), or with
-    ``digest`` their CRC-32 in place of the ids."""
+           tokenizer: str | None, ids: bool, digest: bool) -> DataFrame:
+    """doc_id, uid, piece, start, length and as asked the piece's ids, their CRC-32."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     rows = with_uid(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")), "uid")
     kind = rows.schema["doc_id"].dataType.simpleString()
     end = np.array([separator], "<u4").tobytes()
-    payload = pa.int64() if digest else pa.list_(pa.int64())
+    names = ["doc_id", "uid", "piece", "start", "length", *["ids"] * ids, *["ids_crc32"] * digest]
 
     def run(batches):
-        encode = encoder(path).encode
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                row, piece, start, length, body = [], [], [], [], []
-                for r, ids in enumerate(encode([t.as_py() or "" for t in part.column(1)])):
-                    ids += end
-                    for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                        own = ids[4 * s:4 * (s + n)]
-                        row.append(r), piece.append(k), start.append(s), length.append(n)
-                        body.append(zlib.crc32(own) if digest else np.frombuffer(own, "<u4").astype(np.int64))
-                at = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(at), part.column(2).take(at), pa.array(piece, pa.int32()),
-                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(body, payload)],
-                    ["doc_id", "uid", "piece", "start", "length", "body"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, uid long, piece int, start long, length long, "
-                                f"body {'long' if digest else 'array<long>'}")
+        encoder = None
+        try:
+            for b in batches:
+                encoder = encoder or ChunkEncoder(path)
+                for part in by_bytes(b, 1, rows=256):
+                    row, piece, start, length, body = [], [], [], [], []
+                    for r, own in enumerate(encoder.encode([t or "" for t in part.column(1).to_pylist()])):
+                        own += end
+                        for k, (s, n) in enumerate(cut(len(own) // 4, capacity)):
+                            row.append(r), piece.append(k), start.append(s), length.append(n)
+                            body.append(own[4 * s:4 * (s + n)])
+                    at = pa.array(row, pa.int64())
+                    out = [part.column(0).take(at), part.column(2).take(at), pa.array(piece, pa.int32()),
+                           pa.array(start, pa.int64()), pa.array(length, pa.int64())]
+                    if ids:
+                        offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+                        flat = pa.array(np.frombuffer(b"".join(body), "<i4"))
+                        out.append(pa.ListArray.from_arrays(pa.array(offsets), flat))
+                    if digest:
+                        out.append(pa.array(map(zlib.crc32, body), pa.int64()))
+                    yield pa.RecordBatch.from_arrays(out, names)
+        finally:
+            encoder = None
+            give_back()
+
+    return rows.mapInArrow(run, f"doc_id {kind}, uid long, piece int, start long, length long"
+                                + ", ids array<int>" * ids + ", ids_crc32 long" * digest)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -246,12 +257,12 @@ def ranked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         separator: int = SEPARATOR, tokenizer: str | None = None, digest: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids (or, with ``digest``,
-    ids_crc32), sequence_id, offset. ``tokenizer`` is the path of a vocabulary
+         separator: int = SEPARATOR, tokenizer: str | None = None, ids: bool = True, digest: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids (if ``ids``), ids_crc32
+    (if ``digest``), sequence_id, offset. ``tokenizer`` is the path of a vocabulary
     file on every worker; by default the installed public byte-level one."""
     spark = docs.sparkSession
-    rows = work_table(pieces(docs, id_col, text_col, capacity, separator, tokenizer, digest), "pieces")
+    rows = work_table(pieces(docs, id_col, text_col, capacity, separator, tokenizer, ids, digest), "pieces")
     # a row per length, at most ``capacity`` of them
     histogram = {r.length: r.n for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = spark.createDataFrame(sorted(histogram.items()), "length long, n long")
@@ -263,5 +274,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
               .select("uid", "piece", (F.col("first") + F.floor(in_order / F.col("each"))).alias("sequence_id"),
                       (F.col("at") + F.pmod(in_order, F.col("each")) * F.col("length")).alias("offset")))
     return (rows.join(placed, ["uid", "piece"])
-            .select("doc_id", "piece", "start", "length",
-                    F.col("body").alias("ids_crc32" if digest else "ids"), "sequence_id", "offset"))
+            .select("doc_id", "piece", "start", "length", *["ids"] * ids, *["ids_crc32"] * digest, "sequence_id", "offset"))

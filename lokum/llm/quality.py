@@ -4,9 +4,11 @@ A text is the sequence of its lower-cased words and punctuation runs; a word
 that repeats the one before it becomes a repeat mark. Its one- and two-grams are
 hashed into ``2 ** BITS`` slots; the features are their counts, scaled to length
 one, and a constant. Training follows the regularised leader (FTRL-proximal) on
-a bounded sample of labelled rows, dealt by a hash of the id into ``SHARDS``
-shards that Spark trains side by side; the shards' weights are averaged, at most
-``2 ** BITS`` of them reach the driver. Scores are sparse dot products.
+a bounded sample of labelled ids (of each its least text), dealt by a hash of the id
+into ``SHARDS`` shards that Spark trains side by side; the shards' weights are averaged
+by the rows they learned from, at most ``2 ** BITS`` of them reach the driver. Scores
+are sparse dot products. The repeat mark makes one feature of all immediately repeated
+words: which word repeats says nothing about quality, that words repeat does.
 
 Defined cases: null and empty texts have only the constant feature; a label is 1
 if the mean of the id's non-null labels is at least 0.5; rows without label or
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lokum.llm.common import col
+from lokum.llm.common import by_bytes, col, give_back
 from lokum.llm.langid import held_out
 
 BITS = 18
@@ -101,27 +103,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = lab.count()
     unit = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30))
     sample = lab.where(unit < int(min(1.0, sample_rows / max(rows, 1)) * (1 << 30)))
-    # about sample_rows rows of two numbers: bounded by the parameter
+    # about sample_rows rows of two numbers: bounded by the parameter. An id that many
+    # rows share is learned from once
     learn = (docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
              .join(F.broadcast(sample), "id")
+             .groupBy("id", "label").agg(F.min("text").alias("text"))
              .withColumn("turn", F.xxhash64(F.lit("turn"), F.col("id").cast("string")))
              .repartition(shards, F.pmod("turn", F.lit(shards))).sortWithinPartitions("turn", "text")
              .select("text", "label"))
 
     def run(batches):
         features, own = Features(), []
-        for b in batches:
+        for b in (part for whole in batches for part in by_bytes(whole, 0)):
             own += [(*features.of(t), y) for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
         w = ftrl(own) if own else np.zeros(1 << BITS)
         at = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(w[at]),
-                                          pa.array(np.full(len(at), len(own), np.int64))], ["slot", "w", "rows"])
-
-    got = (learn.mapInArrow(run, "slot int, w double, rows long").groupBy("slot")
-           .agg(F.sum(F.col("w") * F.col("rows")).alias("w"), F.max("rows").alias("rows")).toPandas())
+        # slot -1 carries the shard's rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(([-1], at)).astype(np.int32)),
+             pa.array(np.concatenate(([1.0], w[at])) * len(own))], ["slot", "w"])
+        features = own = w = None
+        give_back()
+
+    got = learn.mapInArrow(run, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w")).toPandas()
     out = np.zeros(1 << BITS)
-    if len(got):
-        out[got["slot"]] = got["w"] / min(sample_rows, rows)
+    learned = got["w"][got["slot"] == -1].sum()
+    if learned:
+        got = got[got["slot"] >= 0]
+        out[got["slot"]] = got["w"] / learned
     return out
 
 
@@ -132,13 +141,15 @@ def score(rows: DataFrame, weights: np.ndarray) -> DataFrame:
 
     def run(batches):
         w, features = shared.value, Features()
-        for b in batches:
+        for b in (part for whole in batches for part in by_bytes(whole, whole.num_columns - 1)):
             out = np.empty(b.num_rows)
             for r, t in enumerate(b.column(b.num_columns - 1)):
                 slots, values = features.of(t.as_py())
                 out[r] = w[slots] @ values
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sigmoid(out))],
                                              [*b.schema.names[:-1], "score"])
+        features = None
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

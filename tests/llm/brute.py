@@ -50,7 +50,6 @@ def exact_key(text):
 
 def token_ids(texts, separator=0):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [e.ids + [separator] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 

@@ -179,3 +179,98 @@ def test_ftrl_learns_a_separable_problem():
         rows.append((*features.of(" ".join(rng.choice("abcdef" if good else "efghij") for _ in range(30))), float(good)))
     w = quality.ftrl(rows)
     assert np.mean([(w[s] @ v > 0) == (y == 1) for s, v, y in rows]) > 0.97
+
+
+def brute_ftrl(rows, epochs):
+    """FTRL-proximal with dictionaries, coordinate by coordinate."""
+    z, n = {}, {}
+
+    def weight(k):
+        zk, nk = z.get(k, 0.0), n.get(k, 0.0)
+        if abs(zk) <= quality.L1:
+            return 0.0
+        return (math.copysign(quality.L1, zk) - zk) / ((quality.BETA + math.sqrt(nk)) / quality.ALPHA + quality.L2)
+
+    for _ in range(epochs):
+        for slots, values, label in rows:
+            w = {k: weight(k) for k in slots}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in zip(slots, values))))
+            for k, v in zip(slots, values):
+                g = (p - label) * v
+                s = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / quality.ALPHA
+                z[k] = z.get(k, 0.0) + g - s * w[k]
+                n[k] = n.get(k, 0.0) + g * g
+    return {k: weight(k) for k in z}
+
+
+def labelled(spark, n=240):
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice("abcdef" if k % 2 else "efghij") for _ in range(30)), k % 2) for k in range(n)]
+    return (rows, spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"),
+            spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int"))
+
+
+def test_ftrl_and_scores_equal_the_plain_version(spark):
+    rows, docs, labels = labelled(spark)
+    features = quality.Features()
+    learn = [r for r in rows if crc(r[0]) % 3 != 1]
+    turn = {r.doc_id: r.turn for r in docs.select(
+        "doc_id", F.xxhash64(F.lit("turn"), F.col("doc_id").cast("string")).alias("turn")).collect()}
+    learn.sort(key=lambda r: turn[r[0]])
+    plain = brute_ftrl([(s.tolist(), v.tolist(), y) for s, v, y in
+                        ((*features.of(t), y) for _, t, y in learn)], quality.EPOCHS)
+    w = quality.train(docs, labels, learn_from=~langid.held_out(F.col("doc_id"), 3, 1), shards=1)
+    assert {k for k, x in plain.items() if x} == set(np.flatnonzero(w).tolist())
+    assert all(w[k] == pytest.approx(x, abs=1e-9) for k, x in plain.items())
+    got = {r.doc_id: r.score for r in quality.classify(docs, labels, shards=1).collect()}
+    for k, t, _ in rows:
+        slots, values = features.of(t)
+        x = sum(plain.get(s, 0.0) * v for s, v in zip(slots.tolist(), values.tolist()))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-x)), abs=1e-9)
+
+
+def test_quality_ignores_labels_of_absent_ids(spark):
+    _, docs, labels = labelled(spark)
+    scores = {r.doc_id: r.score for r in quality.classify(docs, labels, sample_rows=10 ** 6).collect()}
+    more = labels.unionByName(spark.range(10_000, 30_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality"))
+    again = {r.doc_id: r.score for r in quality.classify(docs, more, sample_rows=10 ** 6).collect()}
+    assert all(again[k] == pytest.approx(s, abs=1e-9) for k, s in scores.items())
+
+
+def test_quality_learns_an_id_of_many_rows_once(spark):
+    _, docs, labels = labelled(spark)
+    scores = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    copies = docs.unionByName(docs.where("doc_id = 4").crossJoin(spark.range(3000)).select("doc_id", "text"))
+    again = {r.doc_id: r.score for r in quality.classify(copies, labels).collect()}
+    assert all(again[k] == pytest.approx(s, abs=1e-9) for k, s in scores.items())
+
+
+def test_a_language_called_und_is_a_language(spark):
+    words = {"und": "haus baum licht", "l2": "casa arbol luz"}
+    rows = [(k, words[x], x) for k, x in enumerate(["und", "l2"] * 40)]
+    df = spark.createDataFrame([*rows, (100, "12 !!", "und")], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.drop_undetermined(df).collect()) == list(range(80))
+
+
+def test_expected_counts_equal_enumerated_segmentations():
+    known, trie = pieces(), langid.trie(langid.public_tokenizers.path(langid.VOCABULARY))
+    p = np.random.default_rng(6).random(trie.pieces + 2) / 1000
+    p[trie.pieces], p[trie.pieces + 1] = 0.0, langid.UNKNOWN
+    for word in (langid.MARK + "the", langid.MARK + "unʘd", langid.MARK + "ation"):
+        ways = [[]]
+        for k in range(1, len(word) + 1):
+            ways = [[*w, k] for w in ways] + ways if k < len(word) else [[*w, k] for w in ways]
+        total, want = 0.0, {}
+        for cuts in ways:
+            parts = [word[a:b] for a, b in zip([0, *cuts], cuts)]
+            ids = [known.get(x, trie.pieces + 1 if len(x) == 1 else None) for x in parts]
+            if None in ids:
+                continue
+            mass = float(np.prod([p[i] for i in ids]))
+            total += mass
+            for i in ids:
+                want[i] = want.get(i, 0.0) + mass
+        out = np.zeros(trie.pieces + 2)
+        langid.expected(trie.lattice([word]), p, np.array([3.0]), out)
+        assert set(np.flatnonzero(out).tolist()) == set(want)
+        assert all(out[i] == pytest.approx(3 * m / total) for i, m in want.items())

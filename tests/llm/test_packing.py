@@ -97,3 +97,21 @@ def test_pack_gives_ids(spark):
 
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_added_tokens_have_their_own_id(spark):
+    df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "plain words here")],
+                               "doc_id long, text string")
+    got = {r.doc_id: list(r.ids) for r in packing.pack(df).collect()}
+    assert 50256 in got[1] and got[2] == [50256, 0] and 50256 not in got[3]
+    assert [got[k] for k in (1, 2, 3)] == brute.token_ids(["a <|endoftext|> b", "<|endoftext|>", "plain words here"])
+
+
+def test_the_cache_forgets_without_changing_ids(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 2000)
+    enc = packing.ChunkEncoder(packing.public_tokenizers.path(packing.TOKENIZER))
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(60)}é," for _ in range(40)) for _ in range(60)]
+    for k in range(0, 60, 5):
+        got = enc.encode(texts[k:k + 5])
+        assert [np.frombuffer(x, "<u4").tolist() + [0] for x in got] == brute.token_ids(texts[k:k + 5])

@@ -1,7 +1,9 @@
 """The corpus pipeline against a chain of the brute-force versions."""
 
+import zlib
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import brute
@@ -54,12 +56,39 @@ def test_stages_and_whole_run(spark):
         assert Counter((r.doc_id, r.source, r.text) for r in out.collect()) == Counter(want), name
         docs = out
     packed = corpus_pipeline.STAGES[4][1](spark, docs, SF).collect()
-    lengths = []
+    lengths, all_ids = [], Counter()
     for ids in brute.token_ids([t for _, _, t in want]):
+        all_ids[tuple(ids)] += 1
         first = len(ids) if len(ids) <= 2048 else len(ids) % 2048 or 2048
         lengths += [first] + [2048] * ((len(ids) - first) // 2048)
     assert Counter(r.length for r in packed) == Counter(lengths)
     assert check_layout(packed, 2048) == brute.best_fit(lengths, 2048)
+    # the token ids come out whole: as many ids of each value as the kept texts have
+    flat = Counter()
+    for ids, n in all_ids.items():
+        for i in ids:
+            flat[i] += n
+    assert Counter(i for r in packed for i in r.ids) == flat
+    assert all(len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in packed)
+
+
+def test_odd_rows_go_through_all_stages(spark):
+    rows = [(None, "der die das und", "de", "s"), (1, "der die das und", "de", "s"), (1, "der die das und", "de", "s"),
+            (2, None, "de", "s"), (3, "", None, None), (4, "la casa de la luz", "es", None), (5, "x " * 60_000, "es", "t"),
+            (6, "12 34 !!", "es", "t"), (7, "le chat noir dort bien", None, "t"), (None, "la mesa blanca", "es", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for c in ("uid", "_uid", "score", "lang_pred", "fingerprint", "root", "size", "taken", "piece", "ids", "a b"):
+        df = df.withColumn(c, F.lit("extra"))
+    docs = work_table(df.coalesce(2), "odd")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = work_table(stage(spark, docs, SF), "odd-stage")
+        assert docs.columns == df.columns, name
+        assert {r[0] for r in docs.select("a b").collect()} == {"extra"}
+        if name == "language_id":
+            assert {(r.doc_id, r.text) for r in docs.collect()} == {r[:2] for r in rows if any(
+                c.isalpha() for c in r[1] or "")}
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, SF)
+    assert {r.doc_id for r in packed.collect()} <= {None, 1, 4, 5, 7} and packed.count() > 0
 
 
 def test_run_and_empty(spark, tmp_path):
