@@ -37,7 +37,7 @@ CAPACITY = 2048
 SEPARATOR = 0
 TOKENIZER = "byte_bpe_50k.json"
 RANK_ROWS = 1024
-CACHE_BYTES = 24 << 20  # of a task's looked-up parts, about; two generations
+CACHE_BYTES = 48 << 20  # of a task's looked-up parts, about; two generations
 MARKS = ".,;:!?"
 MARKED = re.compile("[A-Za-z\u00c0-\u024f]+[.,;:!?]")
 
@@ -127,7 +127,7 @@ class ChunkEncoder:
         """Little-endian unsigned 32-bit ids of each text."""
         whole = [k for k, t in enumerate(texts) if any(a in t for a in self.added)]
         if whole:
-            out = self.encode_parts([t for k, t in enumerate(texts) if k not in set(whole)])
+            out = self.encode_parts([t for k, t in enumerate(texts) if k not in whole])
             for k, ids in zip(whole, self.ids([texts[k] for k in whole])):
                 out.insert(k, ids)
             return out
@@ -154,14 +154,20 @@ def cut(length: int, capacity: int) -> Iterator[tuple[int, int]]:
         yield start, capacity
 
 
+def lists(body: list[bytes]) -> pa.ListArray:
+    """32-bit ids as an array column."""
+    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in body]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(body), "<i4")))
+
+
 def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, separator: int,
-           tokenizer: str | None, ids: bool, digest: bool) -> DataFrame:
+           tokenizer: str | None, ids: str | None, digest: bool) -> DataFrame:
     """doc_id, uid, piece, start, length and as asked the piece's ids, their CRC-32."""
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     rows = with_uid(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")), "uid")
     kind = rows.schema["doc_id"].dataType.simpleString()
     end = np.array([separator], "<u4").tobytes()
-    names = ["doc_id", "uid", "piece", "start", "length", *["ids"] * ids, *["ids_crc32"] * digest]
+    names = ["doc_id", "uid", "piece", "start", "length", *["ids"] * bool(ids), *["ids_crc32"] * digest]
 
     def run(batches):
         encoder = None
@@ -179,9 +185,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, separator
                     out = [part.column(0).take(at), part.column(2).take(at), pa.array(piece, pa.int32()),
                            pa.array(start, pa.int64()), pa.array(length, pa.int64())]
                     if ids:
-                        offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
-                        flat = pa.array(np.frombuffer(b"".join(body), "<i4"))
-                        out.append(pa.ListArray.from_arrays(pa.array(offsets), flat))
+                        out.append(pa.array(body, pa.binary()) if ids == "binary" else lists(body))
                     if digest:
                         out.append(pa.array(map(zlib.crc32, body), pa.int64()))
                     yield pa.RecordBatch.from_arrays(out, names)
@@ -190,7 +194,8 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, separator
             give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, uid long, piece int, start long, length long"
-                                + ", ids array<int>" * ids + ", ids_crc32 long" * digest)
+                                + (f", ids {'binary' if ids == 'binary' else 'array<int>'}" if ids else "")
+                                + ", ids_crc32 long" * digest)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -257,10 +262,11 @@ def ranked(rows: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         separator: int = SEPARATOR, tokenizer: str | None = None, ids: bool = True, digest: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids (if ``ids``), ids_crc32
-    (if ``digest``), sequence_id, offset. ``tokenizer`` is the path of a vocabulary
-    file on every worker; by default the installed public byte-level one."""
+         separator: int = SEPARATOR, tokenizer: str | None = None, ids: str | None = "array", digest: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids (an array of 32-bit ids, or
+    "binary": the same little-endian, end to end; None: no ids), ids_crc32 (if
+    ``digest``), sequence_id, offset. ``tokenizer`` is the path of a vocabulary file
+    on every worker; by default the installed public byte-level one."""
     spark = docs.sparkSession
     rows = work_table(pieces(docs, id_col, text_col, capacity, separator, tokenizer, ids, digest), "pieces")
     # a row per length, at most ``capacity`` of them
@@ -274,4 +280,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
               .select("uid", "piece", (F.col("first") + F.floor(in_order / F.col("each"))).alias("sequence_id"),
                       (F.col("at") + F.pmod(in_order, F.col("each")) * F.col("length")).alias("offset")))
     return (rows.join(placed, ["uid", "piece"])
-            .select("doc_id", "piece", "start", "length", *["ids"] * ids, *["ids_crc32"] * digest, "sequence_id", "offset"))
+            .select("doc_id", "piece", "start", "length", *["ids"] * bool(ids), *["ids_crc32"] * digest, "sequence_id", "offset"))

@@ -72,7 +72,7 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    return packing.pack(docs, ids=False, digest=True)
+    return packing.pack(docs, ids=None, digest=True)
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
