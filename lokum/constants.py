@@ -121,3 +121,5 @@ DATE_LABELS_DOTTED = {
 # --- FIXED VALUES: report header.
 REPORT_HEADER = ["#", "Date Posted", "Portal", "District", "Price (PLN)", "Area (m²)",
                  "Rooms", "Price / m²", "Details", "Direct Link"]
+# the answer of a search without rows
+REPORT_EMPTY = "No apartments were found for '{label}' strictly meeting all requirements."

@@ -27,8 +27,7 @@ TEXT_RE_YEAR = r"(\d{1,2})" + WS + r"+(\p{L}+)" + WS + r"+(\d{4})"
 TEXT_RE_OPT = r"(\d{1,2})" + WS + r"+(\p{L}+)(?:" + WS + r"+(\d{4}))?"
 
 # Each part below is one chain over its input: the text is searched once, and
-# what follows rewrites the few characters that were found. Nothing is bound in
-# a lambda, so everything stays in generated code.
+# what follows rewrites the few characters that were found.
 
 
 def _found(s: Column, pattern: str) -> Column:
@@ -41,11 +40,10 @@ def _padded(c: Column) -> Column:
 
 
 def _month_numbers(c: Column) -> Column:
-    """"-<month word>-" as "-<number>-"."""
-    for number in sorted(set(MONTH_WORDS.values())):
-        words = "|".join(w for w, n in MONTH_WORDS.items() if n == number)
-        c = F.regexp_replace(c, f"-(?:{words})-", f"-{number}-")
-    return c
+    """A month word between two hyphens as its number: one lookup of the few parts
+    of what was found, not a search for each month."""
+    numbers = F.create_map(*[F.lit(x) for w, n in MONTH_WORDS.items() for x in (w, str(n))])
+    return F.concat_ws("-", F.transform(F.split(c, "-"), lambda x: F.coalesce(F.try_element_at(numbers, x), x)))
 
 
 def _as_of_date(as_of) -> Column:
@@ -68,7 +66,8 @@ def dot_part(s: Column) -> Column:
 
 def text_part(s: Column, as_of, year_required: bool) -> Column:
     pattern = TEXT_RE_YEAR if year_required else TEXT_RE_OPT
-    c = _month_numbers(F.regexp_replace(F.lower(_found(s, pattern)), pattern, "$3-$2-$1"))
+    found = F.regexp_replace(F.lower(_found(s, pattern)), pattern, "$3-$2-$1")
+    c = F.when(found.isNotNull(), _month_numbers(found))
     c = _padded(F.nullif(F.regexp_extract(c, r"^\d*-\d{2}-\d{1,2}$", 0), F.lit("")))
     if year_required:
         return c

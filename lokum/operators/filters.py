@@ -1,7 +1,8 @@
 """Search and ingest predicates (P1-P13) as Column expressions.
 
 Predicates on raw columns (price, area, rooms, portal) stay simple
-comparisons so Catalyst pushes them into the parquet scan / partition filter.
+comparisons: over a stored table Catalyst pushes them into the parquet scan or the
+partition filter; above a keep-first aggregate they stay where they are.
 """
 
 from __future__ import annotations

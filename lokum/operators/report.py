@@ -3,11 +3,13 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ..constants import REPORT_HEADER
+from ..constants import REPORT_EMPTY, REPORT_HEADER
 from ..functions import text as FT
 from ..functions.dates import unpack_district
 from ..functions.urls import portal_label
@@ -38,8 +40,7 @@ def report_rows(page: DataFrame, row_no: str = "rank") -> DataFrame:
 
 
 def markdown_lines(page: DataFrame, row_no: str = "rank") -> DataFrame:
-    """R2: one markdown table line per row (the header and the "not found"
-    text are joined on the driver for the already limited page)."""
+    """R2: one markdown table line per row; ``markdown_report`` adds the header."""
     pps = FT.price_per_sqm("price_pln", "sqm", F.col("price_per_sqm"))
     cells = [F.col(row_no).cast("string"), F.col("date_posted"), portal_label("url", "external_id"),
              unpack_district("district"), FT.format_money("price_pln"),
@@ -53,6 +54,20 @@ def markdown_lines(page: DataFrame, row_no: str = "rank") -> DataFrame:
 
 
 
+def markdown_report(page: DataFrame, row_no: str = "rank", header: Sequence[str] = REPORT_HEADER,
+                    label: str = "Matching Apartments") -> DataFrame:
+    """R2: the whole report as lines: header and rule (row_no -1 and 0), then the
+    rows of the page; for a page without rows the "not found" text alone."""
+    lines = markdown_lines(page, row_no)
+    spark = page.sparkSession
+    top = spark.createDataFrame([(-1, "| " + " | ".join(header) + " |"), (0, "|" + "---|" * len(header))],
+                                "row_no long, line string")
+    nothing = spark.createDataFrame([(0, REPORT_EMPTY.format(label=label))], "row_no long, line string")
+    some = lines.limit(1).agg(F.count(F.lit(1)).alias("some"))  # one row
+    framed = top.crossJoin(some).where("some > 0").unionByName(nothing.crossJoin(some).where("some = 0")).drop("some")
+    return framed.unionByName(lines)
+
+
 def url_key(url_col: str = "url"):
     return F.lower(F.trim(F.col(url_col)))
 

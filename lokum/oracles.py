@@ -610,8 +610,6 @@ oracle("embed_delta", """
 SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim,
        TRUE AS same
 FROM documents""")
-oracle("search_text", """
-SELECT doc_id FROM documents WHERE text = (SELECT text FROM documents ORDER BY doc_id LIMIT 1)""")
 oracle("vector_batch_topk", """
 WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings),
 S AS (SELECT query_id, e.vec_id AS item_id,
@@ -834,3 +832,10 @@ GROUP BY external_id"""
 
 oracle("ingest", _ingest_sql())
 oracle("store_portal", f"SELECT since, count(*) AS n FROM ({_ingest_sql()}) s WHERE portal = 'facebook' GROUP BY since")
+oracle("store_delta", ORACLES["delta_anti"])
+oracle("store_upsert", f"SELECT * EXCLUDE (version), CAST(CASE version WHEN 'old' THEN 1 ELSE 2 END AS BIGINT) AS since "
+                       f"FROM ({ORACLES['upsert_merge']}) u")
+oracle("stream_listings", with_ctes("SELECT DISTINCT external_id, portal FROM L"))
+oracle("report_document", f"""
+SELECT row_no, line FROM ({ORACLES["report_markdown"]}) m
+UNION ALL SELECT -1, '| {" | ".join(REPORT_HEADER)} |' UNION ALL SELECT 0, '|{"---|" * len(REPORT_HEADER)}'""")

@@ -1,5 +1,4 @@
-"""Ingest plan: captured pages -> extracted listings -> normalised records ->
-keep-first -> delta against the store -> embed -> merged snapshot.
+"""Portal selection of the load (the load itself is ``plans/store.py``).
 
 Portal selection (S3) is resolved on the parameters, then applied as an
 ``isin`` on the ``portal`` partition column, so unselected portals are pruned

@@ -1,6 +1,6 @@
 """Similarity search over stored listings.
 
-Plan: listings -> caps (pushed to the scan) -> join the vector table scored
+Plan: listings -> caps (pushed to the scan of a stored table) -> join the vector table scored
 against the query and cut by the threshold -> top ``match_count`` by
 (similarity desc, external_id) -> timestamp enrichment (J3) -> price/m²
 (F11) -> district / portal / agency exclusions -> recency -> offset/limit.

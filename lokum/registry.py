@@ -867,6 +867,9 @@ def _docs(spark, sf):
     return read_table(spark, sf, "documents", "doc_id", "text")
 
 
+TEXT_MATCHES = 20  # a page of the text search
+
+
 def fitted_embedder(spark, corpus):
     """Term weights of a corpus, stored in the shared folder."""
     import uuid
@@ -908,15 +911,18 @@ def q_embed_delta(spark, sf):
 
 @register("search_text")
 def q_search_text(spark, sf):
-    """A text query against the embedded documents: ``same`` text comes first."""
+    """V4: a text query against all embedded documents: the nearest ones over the
+    default threshold with their rank. The query is the first document's text."""
+    from pyspark.sql import Window
+    from .constants import DEFAULT_MATCH_THRESHOLD
+    from .operators.vector import similarity, topk
     docs = _docs(spark, sf)
     model = fitted_embedder(spark, docs)
-    text = docs.orderBy("doc_id").first()["text"]
-    from .operators.vector import similarity, topk
-    scored = EM.embed_hashing(docs, model).select(
-        "doc_id", similarity("embedding", EM.embed_text(spark, text, model)).alias("similarity"))
-    best = topk(scored.filter("similarity > 0.999999"), "similarity", None, None, "doc_id")
-    return best.join(docs.filter(F.col("text") == text).select("doc_id"), "doc_id").select("doc_id")
+    query = EM.embed_text(spark, docs.orderBy("doc_id").first()["text"], model)
+    scored = EM.embed_hashing(docs, model).select("doc_id", similarity("embedding", query).alias("similarity"))
+    best = topk(scored, "similarity", TEXT_MATCHES, DEFAULT_MATCH_THRESHOLD, "doc_id")  # at most a page of rows
+    rank = F.row_number().over(Window.orderBy(F.col("similarity").desc(), "doc_id")).cast("long")
+    return best.select(rank.alias("rank"), "doc_id", rounded("similarity").alias("similarity"))
 
 
 @register("vector_batch_topk")
@@ -953,6 +959,12 @@ def q_report_markdown(spark, sf):
     return RP.markdown_lines(_report_page(spark, sf))
 
 
+@register("report_document")
+def q_report_document(spark, sf):
+    """R2: the report with its header."""
+    return RP.markdown_report(_report_page(spark, sf))
+
+
 @register("report_append")
 def q_report_append(spark, sf):
     d = stored_listings(spark, sf)
@@ -1185,3 +1197,55 @@ def q_store_portal(spark, sf):
     from .plans.store import current
     rows = current(spark, _loaded_store(spark, sf))[1]
     return rows.filter(P.portal_included(["facebook"])).groupBy("since").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _listing_columns(df):
+    return df.select("external_id", "portal", "title", "price_pln", "sqm", "rooms", "district", "description", "url")
+
+
+def _stored_base(spark, sf) -> str:
+    """A store that holds the stored half of L, one row per id."""
+    import uuid
+    from .plans import store
+    from .session import scratch_dir
+    base = scratch_dir(spark, f"store-{uuid.uuid4().hex[:12]}")
+    store.upsert(spark, base, _listing_columns(store_table(spark, sf)))
+    return base
+
+
+@register("store_delta")
+def q_store_delta(spark, sf):
+    """J1 against the store: filters, then the keys of the groups that may hold one."""
+    from .plans import store
+    base = _stored_base(spark, sf)
+    batch = batch_table(spark, sf)
+    stored = store.existing_keys(spark, base, store.read_manifest(spark, base), batch).keys
+    return batch.join(stored, "external_id", "left_anti").select("external_id", "portal", "url")
+
+
+@register("store_upsert")
+def q_store_upsert(spark, sf):
+    """J6 / S9 in the store: replaced rows die by the buckets' lists; read after a
+    compaction of those buckets."""
+    from .plans import store
+    from .plans.normalize import store_record
+    base = _stored_base(spark, sf)
+    incoming = keep_first(L(spark, sf).filter(~stored_half()), ["external_id"], listing_order())
+    store.upsert(spark, base, _listing_columns(store_record(incoming)))
+    store.compact(spark, base)
+    return store.current(spark, base)[1].select("external_id", "title", "price_pln", "sqm", "rooms", "url", "since")
+
+
+@register("stream_listings")
+def q_stream_listings(spark, sf):
+    """L arrives as several files in a landing folder and goes through the load
+    into the store; all rows of an id are in one file."""
+    import uuid
+    from .plans import store
+    from .session import scratch_dir
+    base = scratch_dir(spark, f"landing-{uuid.uuid4().hex[:12]}")
+    rows = _listing_columns(L(spark, sf)).drop("portal")
+    rows.repartition(3, "external_id").write.parquet(f"{base}/landing")
+    ST.stream_listings(spark, f"{base}/landing", f"{base}/store", rows.schema.simpleString()[7:-1].replace(":", " "),
+                       base=f"{base}/job")
+    return store.current(spark, f"{base}/store")[1].select("external_id", "portal")

@@ -26,18 +26,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import keep_first
+from ..plans import store
 from ..session import scratch_dir
 from ..sources.tables import table_path
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The events table as a file stream (one table file per scale folder),
-    event time cast to a zoned timestamp (UTC) for watermarks."""
-    src = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
-    return src.withColumn("ts", F.col("ts").cast("timestamp"))
+TABLE = "events.parquet"  # in a folder of tables; a landing folder has any names
+
+
+def event_stream(spark: SparkSession, folder: str, max_files: int = 1, files: str | None = TABLE) -> DataFrame:
+    """Captured events as a file stream, event time cast to a zoned timestamp (UTC)
+    for watermarks: all Parquet files of a landing folder (``files`` None), or those
+    that match a pattern."""
+    src = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files)
+    if files is not None:
+        src = src.option("pathGlobFilter", files)
+    return src.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -81,10 +87,16 @@ def _marks(spark: SparkSession, base: str) -> str:
     return marks
 
 
-def run_counts(spark: SparkSession, sf_dir: str, kind: str, watermark: str, base: str) -> None:
+def closed(spark: SparkSession, base: str) -> bool:
+    """Whether ``close_windows`` has ended the job."""
+    return not spark.read.schema(EVENT_SCHEMA).parquet(_marks(spark, base)).isEmpty()
+
+
+def run_counts(spark: SparkSession, sf_dir: str, kind: str, watermark: str, base: str,
+               files: str | None = TABLE) -> None:
     """One pass over what has arrived since the last: adds the closed windows to the sink."""
     marks = spark.readStream.schema(EVENT_SCHEMA).parquet(_marks(spark, base))
-    ev = (event_stream(spark, sf_dir).unionByName(marks.withColumn("ts", F.col("ts").cast("timestamp")))
+    ev = (event_stream(spark, sf_dir, files=files).unionByName(marks.withColumn("ts", F.col("ts").cast("timestamp")))
           .withWatermark("ts", watermark))
     agg = ev.groupBy(WINDOWS[kind]().alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -105,21 +117,49 @@ def close_windows(spark: SparkSession, base: str) -> None:
     mark.write.mode("append").parquet(os.path.join(base, "marks"))
 
 
-def stream_counts(spark: SparkSession, sf_dir: str, kind: str = "tumbling",
-                  watermark: str = "1 day", base: str | None = None) -> DataFrame:
+def stream_counts(spark: SparkSession, sf_dir: str, kind: str = "tumbling", watermark: str = "1 day",
+                  base: str | None = None, files: str | None = TABLE, complete: bool = True) -> DataFrame:
     """Event counts per type and window (tumbling 1 day, sliding 1 day
-    every 12 hours, or sessions with a 1 hour gap), input complete."""
+    every 12 hours, or sessions with a 1 hour gap). With ``complete`` the input has
+    all arrived: open windows are written and the job ends for good (called again it
+    gives what it has written). Without, a pass writes the windows that the watermark
+    has closed and the job goes on with the next call; a job that has ended refuses."""
     base = _job_dir(spark, base, f"counts-{kind}")
-    run_counts(spark, sf_dir, kind, watermark, base)
-    close_windows(spark, base)
-    run_counts(spark, sf_dir, kind, watermark, base)
+    if closed(spark, base):
+        if not complete:
+            raise ValueError("the job's windows were closed; give a new folder for further input")
+    else:
+        run_counts(spark, sf_dir, kind, watermark, base, files)
+        if complete:
+            close_windows(spark, base)
+    if complete:  # also after a run that died in between
+        run_counts(spark, sf_dir, kind, watermark, base, files)
     return spark.read.schema(COUNT_SCHEMA).parquet(os.path.join(base, "out")).drop("batch_id")
 
 
-def stream_delta(spark: SparkSession, sf_dir: str, stored_types=("view",), base: str | None = None) -> DataFrame:
+def stream_listings(spark: SparkSession, landing: str, store_base: str, schema: str, job: str = "listings",
+                    base: str | None = None, max_files: int = 1) -> int:
+    """Extracted listings that arrive as Parquet files in ``landing`` go through
+    the load (keep-first, delta, record) into the store; returns its version. The
+    manifest holds the job's last batch, so a replayed batch is not loaded twice even
+    if the stream's own log was lost after the commit."""
+    base = _job_dir(spark, base, job)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        store.ingest(batch.sparkSession, store_base, batch, job, batch_id)
+
+    _await(spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
+           .writeStream.foreachBatch(load).option("checkpointLocation", os.path.join(base, "ckpt"))
+           .trigger(availableNow=True).start())
+    return store.read_manifest(spark, store_base).version
+
+
+def stream_delta(spark: SparkSession, sf_dir: str, stored_types=("view",), base: str | None = None,
+                 landing: str | None = None) -> DataFrame:
     """Captures -> keep-first per key -> anti-join the target -> append
     the new keys as this batch's folder. A new target starts with the keys of
-    ``stored_types`` (the already-loaded part)."""
+    ``stored_types`` (the already-loaded part). Captures are the events table, or
+    all files of a ``landing`` folder."""
     base = _job_dir(spark, base, "delta")
     target = os.path.join(base, "target")
     seed = (spark.read.parquet(table_path(sf_dir, "events"))
@@ -139,7 +179,8 @@ def stream_delta(spark: SparkSession, sf_dir: str, stored_types=("view",), base:
         new = fresh.join(stored, "external_id", "left_anti")
         new.write.mode("overwrite").parquet(os.path.join(target, f"batch_id={batch_id}"))
 
-    q = (event_stream(spark, sf_dir).writeStream.foreachBatch(merge)
+    arriving = event_stream(spark, landing, files=None) if landing else event_stream(spark, sf_dir)
+    q = (arriving.writeStream.foreachBatch(merge)
          .option("checkpointLocation", os.path.join(base, "ckpt"))
          .trigger(availableNow=True).start())
     _await(q)

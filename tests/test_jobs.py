@@ -1,6 +1,8 @@
 """Jobs end to end: store, streams, report target, hooks, hard inputs."""
 
+import math
 import os
+import re
 import subprocess
 import sys
 
@@ -230,3 +232,76 @@ def test_hooks_run_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 50" in out.stdout, out.stderr[-800:]
+
+
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """32-bit MurmurHash3, signed, as the term hashing uses it."""
+    def mix(k):
+        k = k * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        return k * 0x1B873593 & 0xFFFFFFFF
+
+    h, n = seed, len(data) // 4 * 4
+    for i in range(0, n, 4):
+        h ^= mix(int.from_bytes(data[i:i + 4], "little"))
+        h = ((h << 13 | h >> 19) & 0xFFFFFFFF) * 5 + 0xE6546B64 & 0xFFFFFFFF
+    if data[n:]:
+        h ^= mix(int.from_bytes(data[n:], "little"))
+    h ^= len(data)
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> shift) * by & 0xFFFFFFFF
+    return h - (1 << 32) if h >> 31 else h
+
+
+def plain_embeddings(texts, dim=1536):
+    """TF-IDF over hashed lower-case words, each vector of length one."""
+    counts = []
+    for t in texts:
+        c = {}
+        for w in re.split(r"[^A-Za-z0-9_]+", (t or "").strip().lower()):
+            if w:
+                k = murmur3(w.encode()) % dim
+                c[k] = c.get(k, 0) + 1
+        counts.append(c)
+    out = np.zeros((len(texts), dim))
+    for i, c in enumerate(counts):
+        for k, n in c.items():
+            out[i, k] = n * math.log((len(texts) + 1) / (sum(k in d for d in counts) + 1))
+        norm = np.linalg.norm(out[i])
+        out[i] /= norm or 1.0
+    return out
+
+
+def test_embeddings_equal_a_plain_tf_idf(spark, tmp_path):
+    texts = ["Ala ma kota, a kot ma Ale", "kot ma mysz", "pies i kot i pies", "", "dom z ogrodem 42 m2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = embed.fit_embedder(docs, str(tmp_path / "model"))
+    got = {r.doc_id: r.embedding for r in embed.embed_hashing(docs, model).collect()}
+    want = plain_embeddings(texts)
+    assert all(np.allclose(got[k], want[k], atol=1e-6) for k in range(len(texts)))
+
+
+def test_search_text_ranks_by_cosine(spark):
+    from lokum import registry
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    model = registry.fitted_embedder(spark, spark.createDataFrame(docs))
+    vectors = {r.doc_id: np.array(r.embedding, float) for r in
+               embed.embed_hashing(spark.createDataFrame(docs), model).collect()}
+    first = vectors[docs[0].doc_id]
+    sims = {k: float(v @ first / ((np.linalg.norm(v) * np.linalg.norm(first)) or 1)) for k, v in vectors.items()}
+    got = registry.QUERIES["search_text"](spark, SF).orderBy("rank").collect()
+    over = sorted((s for s in sims.values() if s > 0.10), reverse=True)
+    assert len(got) == min(20, len(over)) and [r["rank"] for r in got] == list(range(1, len(got) + 1))
+    assert all(abs(r.similarity - round(sims[r.doc_id], 4)) <= 1e-4 for r in got)
+    assert all(abs(sims[r.doc_id] - s) < 1e-6 for r, s in zip(got, over))
+    texts = {r.doc_id: r.text for r in docs}
+    assert any(texts[r.doc_id] != docs[0].text for r in got)  # similar, not equal
+
+
+def test_report_without_rows_says_so(spark):
+    from lokum import registry
+    page = registry._report_page(spark, SF)
+    got = [r.line for r in report.markdown_report(page.limit(0), label="Wola").collect()]
+    assert got == ["No apartments were found for 'Wola' strictly meeting all requirements."]
+    lines = {r.row_no: r.line for r in report.markdown_report(page).collect()}
+    assert lines[-1].startswith("| # | Date Posted") and lines[0].count("---") == 10 and 1 in lines or len(lines) > 2
