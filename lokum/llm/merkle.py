@@ -115,39 +115,36 @@ def same_group(a: DataFrame, b: DataFrame, group: list[str]) -> Column:
     return out
 
 
-def ways(levels: list[DataFrame], group: list[str], fanout: int, name: str) -> list[DataFrame | None]:
-    """For each level the way up of its parents: group, pos, way (siblings level by
-    level, none for a parent that is a subroot). None where all are subroots."""
-    out: list[DataFrame | None] = [None] * len(levels)
-    for k in range(len(levels) - 1, 0, -1):
-        up, above = levels[k], out[k]
-        kids = children(up, group, fanout).select(*group, "up", (F.col("up") * fanout + F.col("slot")).alias("pos"), "own")
-        if above is None:
-            got = kids.select(*group, "pos", F.col("own").alias("way"))
-        else:
-            named = above.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("pos").alias("_pos"), "way")
-            got = (kids.join(named, (kids.up == named["_pos"]) & same_group(kids, named, group), "left")
-                   .select(*[kids[g] for g in group], kids.pos.alias("pos"),
-                           F.concat("own", F.coalesce("way", F.lit(None).cast(WAY), F.array().cast(WAY))).alias("way")))
-        out[k - 1] = work_table(got, f"{name}-way-{k}")
+def with_way(rows: DataFrame, above: DataFrame | None, ends: DataFrame, group: list[str], alone: Column) -> DataFrame:
+    """rows(group, pos, ...) with the way up and the subroot: of a subroot (``alone``)
+    that of its group in ``ends``, of other nodes that of the same node in ``above``."""
+    def renamed(df: DataFrame, *keys: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"_{k}") for k in keys], "way", "subroot")
+
+    end = renamed(ends, *group)
+    out = rows.where(alone).join(end, same_group(rows, end, group)).drop(*[f"_{g}" for g in group])
+    if above is not None:
+        up = renamed(above, *group, "pos")
+        more = rows.where(~alone).join(up, (rows.pos == up["_pos"]) & same_group(rows, up, group))
+        out = out.unionByName(more.drop("_pos", *[f"_{g}" for g in group]))
     return out
 
 
-def leaf_ways(nodes: DataFrame, levels: list[DataFrame], group: list[str], fanout: int, name: str) -> DataFrame:
-    """group, item, way of every leaf."""
-    none = F.array().cast(WAY)
-    alone = nodes.where("n = 1").select(*group, "item", none.alias("way"))
-    if not levels:
-        return alone
-    up, above = levels[0], ways(levels, group, fanout, name)[0]
-    if above is None:
-        joined = up.withColumn("way", none)
-    else:
-        named = above.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("pos").alias("_pos"), "way")
-        joined = (up.join(named, (up.pos == named["_pos"]) & same_group(up, named, group), "left")
-                  .withColumn("way", F.coalesce("way", none)))
-    kids = children(joined, group, fanout, "way")
-    return alone.unionByName(kids.select(*group, "item", F.concat("own", "way").alias("way")))
+def leaf_ways(nodes: DataFrame, levels: list[DataFrame], ends: DataFrame, group: list[str], fanout: int,
+              name: str) -> DataFrame:
+    """item, way, subroot of every leaf. ``ends`` has group, subroot and the way on
+    from there: one row a group, joined where a group has one node, never per leaf."""
+    above = None
+    for k in range(len(levels) - 1, -1, -1):
+        kids = children(with_way(levels[k], above, ends, group, F.col("n") <= fanout), group, fanout, "way", "subroot")
+        way = F.concat("own", "way").alias("way")
+        if k:
+            above = work_table(kids.select(*group, (F.col("up") * fanout + F.col("slot")).alias("pos"), way, "subroot"),
+                               f"{name}-way-{k}")
+        else:
+            above = kids.select("item", way, "subroot")
+    single = with_way(nodes.where("n = 1"), None, ends, group, F.lit(True)).select("item", "way", "subroot")
+    return single if above is None else single.unionByName(above)
 
 
 def fold(leaf: Column, way: Column) -> Column:
@@ -176,11 +173,11 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source",
     tops = numbered(subroots.withColumn("all", F.lit(0)), ["all"], ["g"], "group-order").select(
         "all", "n", "pos", F.struct("hash", "g").alias("item"))
     roots, over = climb(tops, ["all"], fanout, "top")
-    top = leaf_ways(tops, over, ["all"], fanout, "top").select(
-        F.col("item.g").alias("top_g"), F.col("item.hash").alias("subroot"), F.col("way").alias("upper"))
+    end = roots.select("all", F.col("hash").alias("subroot"), F.array().cast(WAY).alias("way"))
+    ends = leaf_ways(tops, over, end, ["all"], fanout, "top").select(
+        F.col("item.g").alias("g"), F.col("item.hash").alias("subroot"), "way")
     root = roots.first()  # one row, or none
-    leaves = leaf_ways(nodes, levels, ["g"], fanout, "group")
-    out = leaves.join(top, leaves.g.eqNullSafe(top.top_g)).withColumn("way", F.concat("way", "upper"))
+    out = leaf_ways(nodes, levels, work_table(ends, "group-ends"), ["g"], fanout, "group")
     siblings = F.transform("way", lambda s: F.concat(s["l"], s["r"]))
     out = out.select(
         F.col("item.doc_id").alias("doc_id"), F.col("item.hash").alias("leaf"), "subroot",
