@@ -23,7 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -37,11 +37,21 @@ CAPACITY = 2048
 SEPARATOR = 0
 TOKENIZER = "byte_bpe_50k.json"
 RANK_ROWS = 1024
-CACHE_BYTES = 48 << 20  # of a task's looked-up parts, about; two generations
+CACHE_BYTES = 72 << 20  # of a task's looked-up parts, about; two generations
 MARKS = ".,;:!?"
 MARKED = re.compile("[A-Za-z\u00c0-\u024f]+[.,;:!?]")
 
 
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> tuple:
+    """The tokenizer, loaded once a worker (of fixed size, unlike what a task looks
+    up), and which ids start with a space."""
+    from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
+    t = Tokenizer.from_file(path)
+    return t, np.array([(t.id_to_token(i) or "").startswith("\u0120") for i in range(t.get_vocab_size())])
+
+
 class ChunkEncoder:
     """Token ids of whole texts. The vocabulary splits texts before its merges,
     and a single space between two other characters always starts a new part, so
@@ -49,9 +59,7 @@ class ChunkEncoder:
     parts of the task's last texts, up to two generations of ``CACHE_BYTES``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.opens = vocabulary(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # ids of a space and the part
         self.older: dict[str, bytes] = {}
@@ -113,12 +121,6 @@ class ChunkEncoder:
         for p in marked:
             known[p] = known[p[:-1]] + self.marks[p[-1]]
 
-    @cached_property
-    def opens(self) -> np.ndarray:
-        """Which ids start with a space."""
-        size = self.tokenizer.get_vocab_size()
-        return np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-
     @cached_property
     def marks(self) -> dict[str, bytes]:
         return dict(zip(MARKS, self.ids(list(MARKS))))
