@@ -107,6 +107,8 @@ FB_DEFAULT_TITLE = "Mieszkanie z Grupy FB Warszawa"
 # --- is a city / voivodeship, not a district).
 DISTRICT_STOP = ["warszawa", "mazowieckie"]
 SLUG_NOT_DISTRICT = ["mieszkanie", "sprzedaz"]
+# --- FIXED VALUES: the characters of a district in a url or a page's text.
+SLUG_CHARS = r"[a-zA-Z\-żółćęśąźńZÓŁĆĘŚĄŹŃ]+"
 
 # --- FIXED VALUES: labels introducing a posting date, per portal family.
 DATE_LABELS_TEXTUAL = {

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import DISTRICT_STOP, SLUG_NOT_DISTRICT
+from ..constants import DISTRICT_STOP, SLUG_CHARS, SLUG_NOT_DISTRICT
 from .text import WS, capitalize, col_, first_match, pystrip, title_case
 
 
@@ -70,9 +70,6 @@ def district_strip_city(c, city: str = "Warszawa") -> Column:
         F.coalesce(capitalize(F.get(kept, 0)), F.get(parts, 0)))
 
 
-SLUG_CHARS = r"[a-zA-Z\-żółćęśąźńZÓŁĆĘŚĄŹŃ]+"
-
-
 def district_from_slug(url, text) -> Column:
     """"warszawa-<d>-ul" in the url, else "Warszawa <d>" in the text;
     hyphens to spaces, title case, not a generic word."""

@@ -3,11 +3,11 @@
 rule after that (numbers, dates, districts, ids, urls) is a JVM Column
 expression applied to the hook's output.
 
-Two hooks:
+Two hooks, both driven by the tables in ``page_rules``:
 * ``page_parts``: title, whole-page text, first link, description container
   text and paragraph list of detail pages.
 * ``card_fields``: one row per search-result card with the raw text of each
-  field, driven by a per-portal rule table (which elements hold what).
+  field; one walker for all portals.
 """
 
 from __future__ import annotations
@@ -15,27 +15,12 @@ from __future__ import annotations
 from typing import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import html_dom as H
-
-# --- FIXED VALUES: description containers tried in order (detail pages).
-DESCRIPTION_CONTAINERS = [
-    H.tag("div", **{"data-cy": "ad_description"}),
-    H.tag("div", **{"data-testid": "ad_description"}),
-    H.tag("div", **{"data-cy": "adPageAdDescription"}),
-    H.class_has("div", "details-description"),
-    H.tag("div", **{"data-cy": "offerDescription"}),
-    H.class_has("div", "box-description"),
-    H.class_has("div", "offer-description"),
-    H.tag("div", id="description"),
-    H.class_has("div", "description", lower=True),
-    H.class_has("section", "description", lower=True),
-    H.tag("div", itemprop="description"),
-    H.tag("article"),
-]
-PARAGRAPH_CONTAINERS = [H.has_class("div", "left-page"), H.has_class("div", "article-page"), H.tag("article")]
+from . import page_rules as R
 
 PAGE_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -48,24 +33,17 @@ PAGE_SCHEMA = T.StructType([
 ])
 
 
-def _first(root: H.Node, preds) -> H.Node | None:
-    for p in preds:
-        n = root.find(p)
-        if n is not None:
-            return n
-    return None
-
-
-def _page_row(page_id, html) -> dict:
+def _page_row(page_id, html, portal: str | None) -> dict:
     if not isinstance(html, str):
         return {"page_id": page_id, "title": None, "page_text": None, "description": None,
                 "paragraphs": None, "first_href": None, "parsed": False}
     root = H.parse(html)
     t = root.find(H.tag("title"))
-    desc = _first(root, DESCRIPTION_CONTAINERS)
-    box = _first(root, PARAGRAPH_CONTAINERS)
+    known = portal in R.DESCRIPTION
+    desc = R.first(root, R.DESCRIPTION[portal] if known else R.ANY_DESCRIPTION)
+    box = R.first(root, R.PARAGRAPHS.get(portal, []) if known else R.ANY_PARAGRAPHS)
     paras = [p.text("", True) for p in box.find_all(H.tag("p"))] if box is not None else []
-    a = root.find(lambda n: n.tag == "a" and "href" in n.attrs)
+    a = R.first(root, ["a[href]"])
     return {"page_id": page_id,
             "title": t.text("", True) if t is not None else None,
             "page_text": root.text(" ", True),
@@ -76,16 +54,19 @@ def _page_row(page_id, html) -> dict:
 
 
 def page_parts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-               keep: Sequence[str] = ()) -> DataFrame:
+               keep: Sequence[str] = (), portal: Column | None = None) -> DataFrame:
     """X10-X12 raw parts, one row per page (null html -> nulls, row kept). The
-    ``keep`` columns go through the hook, so nothing has to be joined back."""
-    own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"), *keep)
+    ``keep`` columns go through the hook, so nothing has to be joined back.
+    ``portal`` (an id prefix) selects the portal's own containers; pages of a
+    portal without any are read like pages of no portal."""
+    own = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("html"),
+                       (F.lit(None).cast("string") if portal is None else portal).alias("_portal"), *keep)
     schema = T.StructType(PAGE_SCHEMA.fields + [own.schema[c] for c in keep])
     names = [f.name for f in PAGE_SCHEMA.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [_page_row(i, h) for i, h in zip(pdf["page_id"].tolist(), pdf["html"].tolist())]
+            rows = [_page_row(*r) for r in zip(pdf["page_id"].tolist(), pdf["html"].tolist(), pdf["_portal"].tolist())]
             out = pd.DataFrame(rows, columns=names)
             for c in keep:
                 out[c] = pdf[c].to_numpy()
@@ -98,6 +79,7 @@ def page_parts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
 CARD_SCHEMA = T.StructType([
     T.StructField("page_id", T.LongType()),
+    T.StructField("portal", T.StringType()),
     T.StructField("card_no", T.IntegerType()),
     T.StructField("href", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -107,128 +89,49 @@ CARD_SCHEMA = T.StructType([
     T.StructField("rooms", T.StringType()),
     T.StructField("location", T.StringType()),
     T.StructField("date", T.StringType()),
-    T.StructField("street", T.StringType()),
+    T.StructField("heads", T.ArrayType(T.StringType())),
     T.StructField("tags", T.ArrayType(T.StringType())),
+    T.StructField("details", T.ArrayType(T.StringType())),
     T.StructField("card_text", T.StringType()),
 ])
 
 
-def _txt(n: H.Node | None) -> str | None:
-    return n.text("", True) if n is not None else None
+def _value(card: H.Node, field: R.Field):
+    if field.read == R.TEXT:
+        found = R.first(card, field.selectors)
+        return found.text("", True) if found is not None else None
+    sep = " " if field.read == R.VALUES else ""
+    return [n.text(sep, True) for n in R.every(card, field.selectors)]
 
 
-def _olx(root):
-    cards = root.find_all(H.tag("div", **{"data-cy": "l-card"})) or root.find_all(H.href_has("/d/oferta/"))
-    for c in cards:
-        link = c if c.tag == "a" else c.find(lambda n: n.tag == "a" and "href" in n.attrs)
-        if link is None or not link.get("href"):
-            continue
-        title = next((x for x in (c.find(H.tag(t)) for t in ("h6", "h3", "strong", "h2")) if x is not None), None)
-        price = c.find(H.tag("p", **{"data-testid": "ad-price"})) or c.find(H.class_has("p", "price", lower=True))
-        yield {"href": link.get("href"), "title": _txt(title), "price": _txt(price),
-               "location": _txt(c.find(H.tag("p", **{"data-testid": "location-date"}))),
-               "card_text": c.text(" ", True)}
-
-
-def _adresowo(root):
-    cards = root.find_all(H.attr_eq("data-offer-card", "")) or \
-        root.find_all(lambda n: n.tag == "div" and any(k in (n.get("class") or "").split()
-                                                         for k in ("result-item", "offer-box")))
-    for c in cards:
-        link = c.find(lambda n: n.tag == "a" and "href" in n.attrs)
-        if link is None:
-            continue
-        ps = [p for d in c.find_all(H.has_class("div", "items-center")) for p in d.find_all(H.tag("p"))] \
-            or c.find_all(H.tag("p"))
-        tags = [p.text(" ", True) for p in ps]  # the value with its unit
-        heads = [h for h in c.find_all(lambda n: n.tag in ("h2", "h3"))]
-        spans = []
-        for h in heads:
-            for a in h.find_all(H.tag("a")):
-                spans.extend(s.text("", True) for s in a.find_all(H.tag("span")))
-            if spans:
-                break
-        yield {"href": link.get("href"), "tags": tags,
-               "location": spans[0] if spans else None,
-               "street": spans[1] if len(spans) > 1 else None,
-               "card_text": c.text(" ", True)}
-
-
-def _nieruchomosci(root):
-    items = root.find_all(H.has_class("div", "tertiary")) or root.find_all(H.has_class("div", "tertiary__box")) \
-        or root.find_all(H.has_class("div", "tile-holder"))
-    for it in items:
-        link = it.find(lambda n: n.tag == "a" and "href" in n.attrs)
-        if link is None or not link.get("href"):
+def _card_rows(root: H.Node, rules: R.Cards) -> Iterator[dict]:
+    """A page's cards that have a link, by the portal's table; of the cards of one
+    link the first (W2: promoted results are on the page twice)."""
+    seen = set()
+    for card in R.every(root, rules.cards):
+        itself = any(R.steps(s)[-1](card) for s in rules.link)
+        link = card if itself else R.first(card, rules.link)
+        href = link.get("href") if link is not None else None
+        if not href or href.split("?")[0] in seen:
             continue
-        prov = it.find(H.class_has("p", "province"))
-        prov_a = prov.find(H.tag("a")) if prov is not None else None
-        price = it.find(H.class_has("p", "primary-display")) or it.find(H.class_has("span", "price", lower=True))
-        yield {"href": link.get("href"), "title": link.text("", True),
-               "location": _txt(prov_a).rstrip(",") if prov_a is not None else None,
-               "price": _txt(price), "area": _txt(it.find(H.class_has("span", "area"))),
-               "card_text": it.text(" ", True)}
-
-
-def _morizon(root):
-    cards = root.find_all(H.class_has("div", "card__outer"))
-    for c in cards:
-        link = c.find(lambda n: n.tag == "a" and "property-card" in (n.get("class") or "").split()
-                      and "href" in n.attrs) or c.find(H.href_has("/oferta/"))
-        if link is None or not link.get("href"):
-            continue
-        f = lambda key: _txt(c.find(H.attr_eq("data-cy", key)))
-        yield {"href": link.get("href"), "title": f("propertyCardTitle"), "location": f("propertyCardLocation"),
-               "price": f("propertyCardPrice"), "price_m2": f("offerPricePerM2"),
-               "area": f("cardPropertyInfoArea"), "rooms": f("cardPropertyInfoRooms"),
-               "card_text": c.text(" ", True)}
-
-
-def _freedom(root):
-    cards = root.find_all(H.class_has("div", "offert"))
-    for c in cards:
-        link = c.find(lambda n: n.tag == "a" and "offert-box-ctn-link" in (n.get("class") or "").split()
-                      and "href" in n.attrs) or c.find(H.href_has("/oferta/"))
-        if link is None or not link.get("href"):
-            continue
-        price_box = c.find(H.has_class("div", "price"))
-        price = price_box.find(H.tag("strong")) if price_box is not None else None
-        pm2_p = price_box.find(H.tag("p")) if price_box is not None else None
-        pm2 = pm2_p.find(H.tag("strong")) if pm2_p is not None else None
-        details = c.find(H.has_class("div", "details"))
-        det = " ".join(s.text("", True) for s in details.find_all(H.tag("strong"))) if details is not None else ""
-        bottom = c.find(H.has_class("div", "bottom"))
-        yield {"href": link.get("href"), "location": _txt(c.find(H.tag("address"))),
-               "price": _txt(price), "price_m2": _txt(pm2), "area": det, "rooms": det,
-               "date": _txt(bottom.find(H.tag("small"))) if bottom is not None else None,
-               "card_text": c.text(" ", True)}
-
-
-CARD_RULES = {"olx": _olx, "adresowo": _adresowo, "no": _nieruchomosci, "morizon": _morizon,
-              "freedom": _freedom}
+        seen.add(href.split("?")[0])
+        row = {f.name: _value(card, f) for f in rules.fields}
+        yield {**row, "href": href, "card_no": len(seen) - 1, "card_text": card.text(" ", True)}
 
 
 def card_fields(pages: DataFrame, portal: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per link on each page (its first card), with raw field text."""
-    rule = CARD_RULES[portal]
+    """One row per link on each page (its first card), with raw field text.
+    ``portal``: the id prefix of the pages' portal. Null html gives no row."""
+    rules = R.CARDS[portal]
     names = [f.name for f in CARD_SCHEMA.fields]
+    empty = dict.fromkeys(names)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for pid, html in zip(pdf["page_id"].tolist(), pdf["html"].tolist()):
-                if not isinstance(html, str):
-                    continue
-                seen = set()
-                for i, rec in enumerate(rule(H.parse(html))):
-                    link = rec["href"].split("?")[0]
-                    if link in seen:  # W2: promoted results are on the page twice
-                        continue
-                    seen.add(link)
-                    row = dict.fromkeys(names)
-                    row.update(rec)
-                    row["page_id"], row["card_no"] = pid, i
-                    out.append(row)
+                if isinstance(html, str):
+                    out += [{**empty, **r, "page_id": pid, "portal": portal} for r in _card_rows(H.parse(html), rules)]
             yield pd.DataFrame(out, columns=names)
 
     return pages.select(pages[id_col].cast("long").alias("page_id"),

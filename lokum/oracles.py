@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .constants import AGENCY_PHRASES, REPORT_HEADER
+from .constants import AGENCY_PHRASES, PORTAL_KEYS, PORTAL_PREFIXES, REPORT_HEADER
 from .oracle import (agency_text, any_substring, listing_date, location_text, price_per_sqm,
                      unpack_district, with_l)
 from .registry import AS_OF_DATE, QUERY_VEC_ID, SEARCH_PARAMS
@@ -766,6 +766,9 @@ oracle("cards_adresowo", _cards_sql(
     "adresowo", f"'https://adresowo.pl/o/mieszkanie-warszawa-' || lower(replace({CLEAN_D}, ' ', '-')) || '-ul-polna-' || {_AD}",
     _AD, f"'Mieszkanie Warszawa ' || {_TITLE_D} || ' ul. Polna'", _TITLE_D))
 
+CARD_PORTALS = ["olx", "adresowo", "no", "morizon", "freedom"]
+oracle("cards_portals", " UNION ALL ".join(f"SELECT * FROM ({ORACLES['cards_' + p]}) {p}_cards" for p in CARD_PORTALS))
+
 
 # =============================================================================
 # Detail enrichment
@@ -819,13 +822,23 @@ oracle("extract_fallback", _fallback_sql())
 
 def _ingest_sql():
     json_a = ORACLES["json_ads_a"]
+    default_title_sql = (f"CASE WHEN {O.blank('title')} THEN 'Mieszkanie na sprzedaż (' || "
+                         "coalesce(NULLIF(district, ''), 'Warszawa') || ')' ELSE title END")
+    # cards stand on the pages of odd orders: the order's number is in the link
+    order = {"olx": ("-ID([0-9]+)x", 1), "adresowo": ("-([0-9]+)x[0-9]+$", 1), "no": ("-([0-9]+).html$", 1000),
+             "morizon": ("-mzn([0-9]+)$", 10), "freedom": ("-([0-9]+)/$", 10)}
+    keys = dict(zip(PORTAL_PREFIXES, PORTAL_KEYS))
+    cards = " UNION ALL ".join(
+        f"SELECT external_id, '{keys[p]}', title, 2 FROM ({ORACLES['cards_' + p]}) {p}_cards "
+        f"WHERE CAST(regexp_extract(url, '{rx}', 1) AS BIGINT) // {by} % 2 = 1" for p, (rx, by) in order.items())
     return f"""
 SELECT external_id, any_value(portal) AS portal, min(title) AS title, min(since) AS since, 2 AS version FROM (
   SELECT external_id, 'olx' AS portal, title, 1 AS since FROM ({json_a}) j
   WHERE CAST(regexp_extract(external_id, '^olx-([0-9]+)x', 1) AS BIGINT) % 2 = 0
-  UNION ALL
-  SELECT external_id, 'olx', title, 2 FROM ({ORACLES["cards_olx"]}) c
-  WHERE CAST(regexp_extract(url, '-ID([0-9]+)x', 1) AS BIGINT) % 2 = 1
+  UNION ALL SELECT external_id, 'otodom', {default_title_sql}, 2 FROM ({ORACLES["json_ads_b"]}) b
+  QUALIFY row_number() OVER (PARTITION BY external_id ORDER BY title NULLS FIRST, price_pln NULLS FIRST,
+                             sqm NULLS FIRST, rooms NULLS FIRST, district NULLS FIRST, url) = 1
+  UNION ALL {cards}
   UNION ALL SELECT external_id, 'facebook', title, 2 FROM ({ORACLES["post_extract"]}) p) u
 GROUP BY external_id"""
 

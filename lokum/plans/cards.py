@@ -1,12 +1,16 @@
 """Search-result cards -> listing records.
 
-The HTML hook (``extract_html.card_fields``) returns raw field text per
-card; each portal's rules below are Column expressions over that text.
+The HTML hook (``extract_html.card_fields``) returns raw field text per card.
+A portal's rules are a table: one Column expression per step over that text and
+the steps before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+from typing import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import DATE_LABELS_DOTTED, DATE_LABELS_TEXTUAL, PORTALS
@@ -18,133 +22,144 @@ from ..operators.extract_html import card_fields
 from .normalize import default_title, fallback_params
 
 BASE = {p[0]: p[4] for p in PORTALS}
+STEPS = ["link", "url", "fb", "offer_id", "district", "price_pln", "own_per_sqm", "sqm", "rooms", "date_posted",
+         "name", "shown"]
 
+ZLOTY = r"(\d[\d\s\x{a0}.]*)[\s\x{a0}]*zł"
+DECIMAL = r"(\d+(?:[.,]\d+)?)"
 
-def _finish(df: DataFrame, prefix: str, as_of, url_col: str = "url") -> DataFrame:
-    out = df.withColumn("price_per_sqm", FT.price_per_sqm("price_pln", "sqm", F.col("price_per_sqm"))
-                        if "price_per_sqm" in df.columns else FT.price_per_sqm("price_pln", "sqm"))
-    return out.select(
-        F.concat(F.lit(prefix + "-"), F.col("offer_id")).alias("external_id"), "title", "price_pln",
-        "price_per_sqm", "sqm", "rooms",
-        FD.pack_district(F.col("district"), F.col("date_posted").cast("string")).alias("district"),
-        F.col("date_posted").cast("string").alias("date_posted"), F.col(url_col).alias("url"))
-
-
-def olx_cards(pages: DataFrame, as_of) -> DataFrame:
-    """Link, title (h6/h3/strong/h2), price, location; area, rooms and
-    date from the card text."""
-    c = card_fields(pages, "olx")
-    clean = FU.canonical_url(FU.absolute_url("href", BASE["olx"]))
-    c = c.withColumn("url", clean).withColumn("district", FDi.district_first(F.coalesce("location", F.lit(""))))
-    fb = fallback_params(F.concat_ws(" ", F.col("card_text"), F.col("url")), None,
-                         DATE_LABELS_TEXTUAL["olx"], as_of)
-    c = (c.withColumn("fb", fb)
-         .withColumn("offer_id", FU.offer_id(F.col("url"), "olx"))
-         .withColumn("price_pln", FT.falsy_or(FT.parse_number("price"), "fb.price_pln"))
-         .withColumn("sqm", F.col("fb.sqm")).withColumn("rooms", F.col("fb.rooms"))
-         .withColumn("date_posted", F.col("fb.date_posted"))
-         .withColumn("title", default_title(F.nullif(F.col("title"), F.lit("")), "district")))
-    return _finish(c, "olx", as_of)
-
-
-def morizon_cards(pages: DataFrame, as_of) -> DataFrame:
-    """Data-cy fields; price / price per m² before "zł", area number,
-    rooms word or number, district = last location part."""
-    c = card_fields(pages, "morizon")
-    href = F.col("href")
-    url = F.when(href.startswith("/"), F.concat(F.lit(BASE["morizon"]), href)).otherwise(href)
-    zl = r"(\d[\d\s\x{a0}.]*)[\s\x{a0}]*zł"
-    num = lambda x: F.regexp_replace(FT.first_match(F.col(x), zl), r"[ \x{a0}.]", "").try_cast("double")  # noqa
-    c = c.withColumn("raw_url", url).withColumn("url", FU.canonical_url(url))
-    fb = fallback_params(F.concat_ws(" ", F.col("card_text"), F.col("url")), None,
-                         DATE_LABELS_DOTTED["morizon"], as_of, textual_dates=False)
-    c = (c.withColumn("fb", fb).withColumn("offer_id", FU.offer_id(F.col("url"), "morizon"))
-         .withColumn("title", F.coalesce("title", F.lit("Mieszkanie na sprzedaż (Warszawa)")))
-         .withColumn("price_pln", FT.falsy_or(num("price"), "fb.price_pln"))
-         .withColumn("price_per_sqm", num("price_m2"))
-         .withColumn("sqm", FT.falsy_or(F.regexp_replace(FT.first_match(F.col("area"), r"(\d+(?:[.,]\d+)?)"),
-                                                         ",", ".").try_cast("double"), "fb.sqm"))
-         .withColumn("rooms", FT.falsy_or(FT.parse_rooms("rooms"), "fb.rooms"))
-         .withColumn("district", FDi.district_last(F.col("location")))
-         .withColumn("date_posted", F.col("fb.date_posted")))
-    return _finish(c, "morizon", as_of, url_col="raw_url")
-
-
-def freedom_cards(pages: DataFrame, as_of) -> DataFrame:
-    """Address, price, price per m², details, bottom date."""
-    c = card_fields(pages, "freedom")
-    href = F.col("href")
-    url = F.when(href.startswith("/"), F.concat(F.lit(BASE["freedom"]), href)).otherwise(href)
-    c = c.withColumn("raw_url", url).withColumn("url", FU.canonical_url(url))
-    fb = fallback_params(F.concat_ws(" ", F.col("card_text"), F.col("url")), None,
-                         DATE_LABELS_DOTTED["freedom"], as_of, textual_dates=False)
-    price = F.regexp_replace(FT.first_match(F.col("price"), r"(\d[\d\s\x{a0}.]*)[\s\x{a0}]*zł"),
-                             r"[ \x{a0}.]", "").try_cast("double")
-    pm2 = F.regexp_replace(F.regexp_replace(FT.first_match(F.col("price_m2"), r"(\d[\d\s\x{a0}.]*)"),
-                                            r"[ \x{a0}]", ""), ",", ".").try_cast("double")
-    sqm = F.regexp_replace(FT.first_match(F.col("area"), r"(\d+(?:[.,]\d+)?)[\s\x{a0}]*m"), ",", ".") \
-        .try_cast("double")
-    rooms = FT.first_match(F.lower(F.col("rooms")), r"(\d+)[\s\x{a0}]*pok").try_cast("int")
-    c = (c.withColumn("fb", fb).withColumn("offer_id", FU.offer_id(F.col("url"), "freedom"))
-         .withColumn("district", FDi.district_no_street(F.col("location")))
-         .withColumn("price_pln", FT.falsy_or(price, "fb.price_pln"))
-         .withColumn("price_per_sqm", pm2)
-         .withColumn("sqm", FT.falsy_or(sqm, "fb.sqm"))
-         .withColumn("rooms", FT.falsy_or(rooms, "fb.rooms"))
-         .withColumn("date_posted", F.coalesce(FD.parse_date_ingest(F.col("date"), as_of, True),
-                                               F.col("fb.date_posted")))
-         .withColumn("title", F.concat(F.lit("Mieszkanie Warszawa ("),
-                                       F.coalesce(F.nullif(F.col("district"), F.lit("")), F.lit("Warszawa")),
-                                       F.lit(")"))))
-    return _finish(c, "freedom", as_of, url_col="raw_url")
-
-
-def nieruchomosci_cards(pages: DataFrame, as_of) -> DataFrame:
-    """Link text as title, province link as district, price and area
-    elements, rooms and date from the card text."""
-    c = card_fields(pages, "no")
-    href = F.col("href")
-    url = (F.when(href.startswith("http"), href).when(href.startswith("//"), F.concat(F.lit("https:"), href))
-           .otherwise(F.concat(F.lit(BASE["no"]), href)))
-    c = c.withColumn("url", FU.canonical_url(url))
-    info = F.concat_ws(" ", F.col("card_text"), F.col("url"))
-    fb = fallback_params(info, None, DATE_LABELS_TEXTUAL["no"], as_of)
-    price = F.regexp_replace(FT.first_match(F.col("price"), r"(\d[\d\s\x{a0}.]*)[\s\x{a0}]*zł"),
-                             r"[ \x{a0}.]", "").try_cast("double")
-    sqm = F.regexp_replace(FT.first_match(F.col("area"), r"(\d+(?:[.,]\d+)?)"), ",", ".").try_cast("double")
-    district = F.coalesce(F.nullif(F.col("location"), F.lit("")), FDi.district_stopset(info), F.lit("Warszawa"))
-    c = (c.withColumn("fb", fb).withColumn("offer_id", FU.offer_id(F.col("url"), "no"))
-         .withColumn("district", district)
-         .withColumn("price_pln", FT.falsy_or(price, "fb.price_pln"))
-         .withColumn("sqm", FT.falsy_or(sqm, "fb.sqm")).withColumn("rooms", F.col("fb.rooms"))
-         .withColumn("date_posted", F.col("fb.date_posted"))
-         .withColumn("title", F.coalesce(F.nullif(F.col("title"), F.lit("")),
-                                         F.concat(F.lit("Mieszkanie na sprzedaż ("), F.col("district"), F.lit(")")))))
-    return _finish(c, "no", as_of)
-
-
-def adresowo_cards(pages: DataFrame, as_of) -> DataFrame:
-    """Unit-tagged <p> values (F29), location / street spans, fallbacks
-    from card text and url (incl. district from the url slug)."""
-    c = card_fields(pages, "adresowo")
-    href = F.col("href")
-    url = F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(BASE["adresowo"]), href))
-    c = c.withColumn("raw_url", url).withColumn("url", FU.canonical_url(url))
+
+def _below(base: str, kept: Column) -> Column:
+    """``href`` itself where ``kept``, else below the portal's address."""
+    return F.when(kept, F.col("href")).otherwise(F.concat(F.lit(base), F.col("href")))
+
+
+def _amount(column: str, pattern: str = ZLOTY) -> Column:
+    """A number whose thousands are set apart by blanks or dots."""
+    return F.regexp_replace(FT.first_match(F.col(column), pattern), r"[ \x{a0}.]", "").try_cast("double")
+
+
+def _decimal(text: Column, pattern: str = DECIMAL) -> Column:
+    return F.regexp_replace(FT.first_match(text, pattern), ",", ".").try_cast("double")
+
+
+def _some(column: str) -> Column:
+    return F.nullif(F.col(column), F.lit(""))
+
+
+def _card_and_url() -> Column:
+    return F.concat_ws(" ", F.col("card_text"), F.col("url"))
+
+
+def _olx(as_of) -> dict[str, Column]:
+    """Title, price and location elements; area, rooms and date from the text."""
+    return dict(
+        link=FU.absolute_url("href", BASE["olx"]),
+        fb=fallback_params(_card_and_url(), None, DATE_LABELS_TEXTUAL["olx"], as_of),
+        district=FDi.district_first(F.coalesce("location", F.lit(""))),
+        price_pln=FT.falsy_or(FT.parse_number("price"), "fb.price_pln"),
+        name=default_title(_some("title"), "district"))
+
+
+def _adresowo(as_of) -> dict[str, Column]:
+    """Unit-tagged values (F29), place and street in the heading; the rest from
+    the text and the url (F8, F10)."""
+    place = F.get("heads", F.lit(0))
+    named = FT.title_case(FT.pystrip(F.replace(place, F.lit("Warszawa"), F.lit(""))))
     tagged = FT.unit_tagged("tags")
-    fb = fallback_params(F.col("card_text"), F.col("raw_url"), [], as_of)
-    loc = F.col("location")
-    d0 = F.when(loc.contains("Warszawa"), F.nullif(FT.title_case(FT.pystrip(F.replace(loc, F.lit("Warszawa"),
-                                                                                   F.lit("")))), F.lit("")))
-    district = F.coalesce(d0, FDi.district_from_slug(F.col("raw_url"), F.col("card_text")))
-    c = (c.withColumn("t", tagged).withColumn("fb", fb)
-         .withColumn("offer_id", F.coalesce(FT.first_match(F.col("url"), r"-([a-zA-Z0-9]+)$"),
-                                            FT.first_match(F.col("url"), r"(\d+)"), FU.url_hash_id("url")))
-         .withColumn("price_pln", FT.falsy_or("t.price_pln", "fb.price_pln"))
-         .withColumn("sqm", FT.falsy_or("t.sqm", "fb.sqm"))
-         .withColumn("rooms", FT.falsy_or("t.rooms", "fb.rooms"))
-         .withColumn("district", district)
-         .withColumn("date_posted", F.lit(None).cast("date"))
-         .withColumn("title", FT.pystrip(F.concat_ws(" ", F.lit("Mieszkanie Warszawa"),
-                                                     F.coalesce("district", F.lit("")),
-                                                     F.coalesce("street", F.lit(""))))))
-    return _finish(c, "adresowo", as_of, url_col="raw_url")
+    value = lambda name: FT.falsy_or(tagged[name], f"fb.{name}")
+    return dict(
+        link=_below(BASE["adresowo"], F.col("href").startswith("http")),
+        fb=fallback_params(F.col("card_text"), F.col("link"), [], as_of),
+        district=F.coalesce(F.when(place.contains("Warszawa"), F.nullif(named, F.lit(""))),
+                            FDi.district_from_slug(F.col("link"), F.col("card_text"))),
+        price_pln=value("price_pln"), sqm=value("sqm"), rooms=value("rooms"), date_posted=F.lit(None).cast("date"),
+        name=FT.pystrip(F.concat_ws(" ", F.lit("Mieszkanie Warszawa"), F.coalesce("district", F.lit("")),
+                                    F.coalesce(F.get("heads", F.lit(1)), F.lit("")))),
+        shown=F.col("link"))
+
+
+def _nieruchomosci(as_of) -> dict[str, Column]:
+    """The link's text as title, the province link as district, price and area
+    elements; rooms and date from the text."""
+    href = F.col("href")
+    province = F.nullif(F.regexp_replace("location", ",+$", ""), F.lit(""))
+    return dict(
+        link=F.when(href.startswith("//"), F.concat(F.lit("https:"), href))
+        .otherwise(_below(BASE["no"], href.startswith("http"))),
+        fb=fallback_params(_card_and_url(), None, DATE_LABELS_TEXTUAL["no"], as_of),
+        district=F.coalesce(province, FDi.district_stopset(_card_and_url()), F.lit("Warszawa")),
+        price_pln=FT.falsy_or(_amount("price"), "fb.price_pln"),
+        sqm=FT.falsy_or(_decimal(F.col("area")), "fb.sqm"),
+        name=F.coalesce(_some("title"), default_title(F.lit(None).cast("string"), "district")))
+
+
+def _morizon(as_of) -> dict[str, Column]:
+    """Data-cy fields; rooms by word or number, district = last location part."""
+    return dict(
+        link=_below(BASE["morizon"], ~F.col("href").startswith("/")),
+        fb=fallback_params(_card_and_url(), None, DATE_LABELS_DOTTED["morizon"], as_of, textual_dates=False),
+        district=FDi.district_last(F.col("location")),
+        price_pln=FT.falsy_or(_amount("price"), "fb.price_pln"),
+        own_per_sqm=_amount("price_m2"),
+        sqm=FT.falsy_or(_decimal(F.col("area")), "fb.sqm"),
+        rooms=FT.falsy_or(FT.parse_rooms("rooms"), "fb.rooms"),
+        name=F.coalesce("title", F.lit("Mieszkanie na sprzedaż (Warszawa)")),
+        shown=F.col("link"))
+
+
+def _freedom(as_of) -> dict[str, Column]:
+    """Address, price, price per m², details, date at the bottom."""
+    details = F.concat_ws(" ", "details")
+    per_sqm = F.regexp_replace(FT.first_match(F.col("price_m2"), r"(\d[\d\s\x{a0}.]*)"), r"[ \x{a0}]", "")
+    place = F.coalesce(_some("district"), F.lit("Warszawa"))
+    return dict(
+        link=_below(BASE["freedom"], ~F.col("href").startswith("/")),
+        fb=fallback_params(_card_and_url(), None, DATE_LABELS_DOTTED["freedom"], as_of, textual_dates=False),
+        district=FDi.district_no_street(F.col("location")),
+        price_pln=FT.falsy_or(_amount("price"), "fb.price_pln"),
+        own_per_sqm=F.regexp_replace(per_sqm, ",", ".").try_cast("double"),
+        sqm=FT.falsy_or(_decimal(details, DECIMAL + r"[\s\x{a0}]*m"), "fb.sqm"),
+        rooms=FT.falsy_or(FT.first_match(F.lower(details), r"(\d+)[\s\x{a0}]*pok").try_cast("int"), "fb.rooms"),
+        date_posted=F.coalesce(FD.parse_date_ingest(F.col("date"), as_of, True), F.col("fb.date_posted")),
+        name=F.concat(F.lit("Mieszkanie Warszawa ("), place, F.lit(")")),
+        shown=F.col("link"))
+
+
+RULES = {"olx": _olx, "adresowo": _adresowo, "no": _nieruchomosci, "morizon": _morizon, "freedom": _freedom}
+
+
+def _rules(portal: str, as_of) -> dict[str, Column]:
+    """A portal's steps; those that it doesn't name are the common ones."""
+    common = dict(url=FU.canonical_url(F.col("link")), offer_id=FU.offer_id(F.col("url"), portal),
+                  own_per_sqm=F.lit(None).cast("double"), sqm=F.col("fb.sqm"), rooms=F.col("fb.rooms"),
+                  date_posted=F.col("fb.date_posted"), shown=F.col("url"))
+    return {**common, **RULES[portal](as_of)}
+
+
+def _one_portal(pages: DataFrame, portal: str, as_of) -> DataFrame:
+    """One row per link on a portal's result pages."""
+    rules = _rules(portal, as_of)
+    out = card_fields(pages, portal)
+    for step in STEPS:
+        out = out.withColumn(step, rules[step])
+    per_sqm = FT.price_per_sqm("price_pln", "sqm", F.col("own_per_sqm"))
+    day = F.col("date_posted").cast("string")
+    return out.select(
+        F.concat("portal", F.lit("-"), "offer_id").alias("external_id"), F.col("name").alias("title"), "price_pln",
+        per_sqm.alias("price_per_sqm"), "sqm", "rooms", FD.pack_district(F.col("district"), day).alias("district"),
+        day.alias("date_posted"), F.col("shown").alias("url"))
+
+
+def portal_cards(pages: DataFrame, as_of, portals: Sequence[str] = tuple(RULES), portal: str = "portal") -> DataFrame:
+    """Result pages of any portals (column ``portal``: the id prefix) to one
+    row per link, in one job. Pages of other or no portals give no row. Each page is
+    parsed once: a branch reads its portal's pages only (pruned folders, where the
+    captures are partitioned by portal). One choice by portal inside a single branch
+    is no alternative: its code is beyond the JVM's limit for a method."""
+    return functools.reduce(DataFrame.unionByName, [
+        _one_portal(pages.filter(F.col(portal) == p), p, as_of) for p in portals])
+
+
+olx_cards, adresowo_cards, nieruchomosci_cards, morizon_cards, freedom_cards = (
+    functools.partial(_one_portal, portal=p) for p in RULES)

@@ -8,6 +8,7 @@ row, page size) are fixed here and mirrored in the oracle SQL.
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1053,12 +1054,11 @@ def olx_card_html():
 
 @register("cards_olx")
 def q_cards_olx(spark, sf):
-    return CD.olx_cards(_card_pages(spark, sf, olx_card_html()), AS_OF)
+    return CD.olx_cards(_card_pages(spark, sf, olx_card_html()), as_of=AS_OF)
 
 
-@register("cards_morizon")
-def q_cards_morizon(spark, sf):
-    card = F.concat(
+def morizon_card_html():
+    return F.concat(
         F.lit('<div class="card__outer"><a class="property-card" href="/oferta/mieszkanie-'),
         F.col("part_key").cast("string"), F.lit("-mzn"), F.col("order_key").cast("string"),
         F.col("line_no").cast("string"), F.lit('">'),
@@ -1068,14 +1068,17 @@ def q_cards_morizon(spark, sf):
         _opt("sqm", F.concat(F.lit('<span data-cy="cardPropertyInfoArea">'), _sqm_txt(), F.lit(" m²</span>"))),
         _opt("rooms", F.concat(F.lit('<span data-cy="cardPropertyInfoRooms">'), F.col("rooms").cast("string"),
                                F.lit(" pokoje</span>"))), F.lit("</a></div>"))
-    return CD.morizon_cards(_card_pages(spark, sf, card), AS_OF)
 
 
-@register("cards_freedom")
-def q_cards_freedom(spark, sf):
+@register("cards_morizon")
+def q_cards_morizon(spark, sf):
+    return CD.morizon_cards(_card_pages(spark, sf, morizon_card_html()), as_of=AS_OF)
+
+
+def freedom_card_html():
     iso = F.substring(F.col("created_at").cast("string"), 1, 10)
     dotted = F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
-    card = F.concat(
+    return F.concat(
         F.lit('<div class="offert"><a class="offert-box-ctn-link" href="/oferta/mieszkanie-'),
         F.col("part_key").cast("string"), F.lit("-"), _ad_number(), F.lit('/">link</a>'),
         F.lit("<address>ul. Polna 3, "), clean_district_col(), F.lit(", Warszawa</address>"),
@@ -1084,24 +1087,30 @@ def q_cards_freedom(spark, sf):
         F.lit('<div class="details">'), _opt("sqm", F.concat(F.lit("<strong>"), _sqm_txt(), F.lit(" m2</strong>"))),
         _opt("rooms", F.concat(F.lit("<strong>"), F.col("rooms").cast("string"), F.lit(" pok.</strong>"))),
         F.lit('</div><div class="bottom"><small>'), dotted, F.lit("</small></div></div>"))
-    return CD.freedom_cards(_card_pages(spark, sf, card), AS_OF)
 
 
-@register("cards_no")
-def q_cards_no(spark, sf):
-    card = F.concat(
+@register("cards_freedom")
+def q_cards_freedom(spark, sf):
+    return CD.freedom_cards(_card_pages(spark, sf, freedom_card_html()), as_of=AS_OF)
+
+
+def no_card_html():
+    return F.concat(
         F.lit('<div class="tertiary"><a href="/mieszkanie-'), F.col("order_key").cast("string"),
         F.lpad(F.col("line_no").cast("string"), 3, "0"), F.lit('.html">'), F.coalesce("title", F.lit("")),
         F.lit('</a><p class="province"><a href="#">'), clean_district_col(), F.lit(",</a></p>"),
         _opt("price_pln", F.concat(F.lit('<p class="primary-display">'), _price_txt(), F.lit("</p>"))),
         _opt("sqm", F.concat(F.lit('<span class="area">'), _sqm_txt(), F.lit(" m²</span>"))),
         F.lit("<span>"), F.col("description"), F.lit("</span></div>"))
-    return CD.nieruchomosci_cards(_card_pages(spark, sf, card), AS_OF)
 
 
-@register("cards_adresowo")
-def q_cards_adresowo(spark, sf):
-    card = F.concat(
+@register("cards_no")
+def q_cards_no(spark, sf):
+    return CD.nieruchomosci_cards(_card_pages(spark, sf, no_card_html()), as_of=AS_OF)
+
+
+def adresowo_card_html():
+    return F.concat(
         F.lit('<div data-offer-card><h2><a href="/o/mieszkanie-warszawa-'),
         F.lower(F.replace(clean_district_col(), F.lit(" "), F.lit("-"))), F.lit("-ul-polna-"),
         F.col("order_key").cast("string"), F.lit("x"), F.col("line_no").cast("string"), F.lit('"><span>Warszawa '),
@@ -1113,7 +1122,25 @@ def q_cards_adresowo(spark, sf):
         _opt("sqm", F.concat(F.lit('<p><span class="font-bold">'), _sqm_txt(), F.lit("</span> m²</p>"))),
         _opt("rooms", F.concat(F.lit('<p><span class="font-bold">'), F.col("rooms").cast("string"),
                                F.lit("</span> pok.</p>"))), F.lit("</div></div>"))
-    return CD.adresowo_cards(_card_pages(spark, sf, card), AS_OF)
+
+
+@register("cards_adresowo")
+def q_cards_adresowo(spark, sf):
+    return CD.adresowo_cards(_card_pages(spark, sf, adresowo_card_html()), as_of=AS_OF)
+
+
+def _portal_pages(spark, sf):
+    """Result pages of the five portals with cards, each with its portal."""
+    cards = {"olx": olx_card_html(), "adresowo": adresowo_card_html(), "no": no_card_html(),
+             "morizon": morizon_card_html(), "freedom": freedom_card_html()}
+    pages = [_card_pages(spark, sf, card).withColumn("portal", F.lit(name)) for name, card in cards.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), pages)
+
+
+@register("cards_portals")
+def q_cards_portals(spark, sf):
+    """X5-X9 in one pass: pages of all portals through one walker and one plan."""
+    return CD.portal_cards(_portal_pages(spark, sf), AS_OF)
 
 
 # =============================================================================
@@ -1150,7 +1177,7 @@ def q_extract_fallback(spark, sf):
     pages = json_p.unionByName(card_p)
     from_json = XJ.ads_layout_a(pages, AS_OF)
     rest = pages.join(from_json.select("page_id").distinct(), "page_id", "left_anti")
-    from_cards = CD.olx_cards(rest, AS_OF)
+    from_cards = CD.olx_cards(rest, as_of=AS_OF)
     return (from_json.select("external_id", "url", F.lit("json").alias("source"))
             .unionByName(from_cards.select("external_id", "url", F.lit("cards").alias("source"))))
 
@@ -1161,15 +1188,18 @@ def q_extract_fallback(spark, sf):
 
 
 def _extracted(spark, sf, with_cards: bool):
-    """Rows of the JSON pages and, in the second run, of card pages and posts."""
+    """Rows of the JSON pages and, in the second run, of both JSON layouts, the card
+    pages of five portals and posts: all seven sources in one batch."""
     names = ["external_id", "title", "price_pln", "sqm", "rooms", "district", "url"]
     pages = json_pages_a(spark, sf)
     rows = XJ.ads_layout_a(pages.filter(F.col("page_id") % 2 == 0), AS_OF).select(*names)
     if with_cards:
-        cards = _card_pages(spark, sf, olx_card_html()).filter(F.col("page_id") % 2 == 1)
         posts = posts_table(spark, sf).join(post_verdicts(spark, sf), "post_id", "left")
-        found = PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS, sale=SALE_TEST_TERMS)
-        rows = rows.unionByName(CD.olx_cards(cards, AS_OF).select(*names)).unionByName(found.select(*names))
+        others = [XJ.ads_layout_b(json_pages_b(spark, sf)),
+                  CD.portal_cards(_portal_pages(spark, sf).filter(F.col("page_id") % 2 == 1), AS_OF),
+                  PS.post_listings(posts, AS_OF, verdict=F.col("verdict"), rental=RENTAL_TEST_TERMS,
+                                   sale=SALE_TEST_TERMS)]
+        rows = functools.reduce(lambda a, b: a.unionByName(b.select(*names)), others, rows)
     return rows.withColumn("description", F.lit(None).cast("string"))
 
 

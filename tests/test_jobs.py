@@ -11,10 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lokum.functions import dates as FD
-from lokum.operators import embed, html_dom, report
+from lokum.operators import embed, html_dom, page_rules, report
 from lokum.operators.extract_html import card_fields, page_parts
 from lokum.operators.vector import batch_topk, lsh_topk, similarity
-from lokum.plans import pages, posts, store
+from lokum.plans import cards, pages, posts, store
 from lokum.plans.normalize import detail_enrich
 from lokum.streaming import jobs
 
@@ -212,6 +212,46 @@ def test_cards_keep_one_row_per_link(spark):
     assert len(got) == 1 and got[0].tags == ["750 000 zł", "50 m²"]
 
 
+def test_selectors():
+    page = html_dom.parse('<div class="a big-Box"><p>1</p><i><p>2</p></i></div><div class="box"><p id="x">3</p></div>'
+                          '<a href="/q/oferta/1" data-k=""><span>4</span></a>')
+    texts = lambda *selectors: [n.text("") for n in page_rules.every(page, selectors)]
+    assert texts("div p") == ["1", "2", "3"] and texts("div.box p") == ["3"]
+    assert texts("div[class*=box] p") == ["3"] and texts("div[class*=box i] p") == ["1", "2", "3"]
+    assert texts("h1", "p#x,span") == ["3", "4"] and texts("a[href*=/oferta/][data-k=] span") == ["4"]
+    assert texts("h1", "[missing]") == [] and page_rules.first(page, ["h1", "div p"]).text("") == "1"
+    assert page_rules.first(page, ["div.a span"]) is None
+    with pytest.raises(ValueError):
+        page_rules.steps("div > p")
+
+
+def test_pages_of_several_portals_in_one_job(spark):
+    """Each page by its own portal's rules; pages of no or other portals, null and
+    empty ones give no row, and columns beside may have any name."""
+    olx = '<div data-cy="l-card"><a href="/d/oferta/x-IDabcd.html"><h6>Flat</h6></a><p class="Price">700 000 zł</p></div>'
+    freedom = '<div class="offert"><a href="/oferta/dom-77/">x</a><address>Wola, Warszawa</address>' \
+              '<div class="price"><strong>500 000 zł</strong><p><strong>10 000</strong></p></div></div>'
+    rows = [(1, "olx", olx, "t"), (2, "freedom", freedom, "t"), (3, "olx", freedom, "t"), (4, None, olx, "t"),
+            (5, "fb", olx, "t"), (6, "no", None, "t"), (7, "adresowo", "", "t")]
+    df = spark.createDataFrame(rows, "page_id long, portal string, html string, title string")
+    got = {r.external_id: r for r in cards.portal_cards(df, "1999-01-01").collect()}
+    assert set(got) == {"olx-abcd", "freedom-77"}
+    assert (got["olx-abcd"].title, got["olx-abcd"].price_pln) == ("Flat", 700000.0)
+    assert (got["freedom-77"].price_pln, got["freedom-77"].price_per_sqm) == (500000.0, 10000.0)
+    assert got["freedom-77"].district == "Wola"
+
+
+def test_descriptions_come_from_the_portals_own_containers(spark):
+    page = '<article>menu</article><div class="description">other</div><div data-cy="ad_description">olx text</div>' \
+           '<div class="left-page"><p>a paragraph that is long enough</p></div>'
+    df = spark.createDataFrame([(i, p, page) for i, p in enumerate(["olx", "freedom", "no", "otodom", "fb", None])],
+                               "page_id long, portal string, html string")
+    parts = pages.paragraph_description(page_parts(df, portal=F.col("portal")))
+    assert [r.description for r in parts.orderBy("page_id").collect()] == [
+        "olx text", "a paragraph that is long enough", "other", None,
+        "a paragraph that is long enough", "a paragraph that is long enough"]
+
+
 def test_detail_keeps_the_listing_date_and_fills_the_description(spark):
     lst = spark.createDataFrame([("a", "http://x/1?r=2", 1.0, 2.0, 1, "D", None, "2024-01-05", None),
                                  ("b", "http://x/2", 1.0, 2.0, 1, "D", None, None, None)],
