@@ -119,20 +119,34 @@ m AS (
   SELECT *, trim(regexp_replace(regexp_replace(line, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
                                 '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS masked FROM l),
 t AS (SELECT *, string_split(masked, ' ') AS tokens, len(string_split(masked, ' ')) AS n FROM m),
-k AS (
-  SELECT doc_id, body, pos, line, masked <> '' AS filled,
-         CASE WHEN n < 8 THEN concat(n, chr(10), masked)
-              ELSE concat('first', chr(10), n, chr(10), array_to_string(tokens[1:3], ' '), chr(10),
-                          array_to_string(tokens[4:3 + (n - 3) // 2], ' ')) END AS one,
-         CASE WHEN n < 8 THEN concat(n, chr(10), masked)
-              ELSE concat('second', chr(10), n, chr(10), array_to_string(tokens[1:3], ' '), chr(10),
-                          array_to_string(tokens[4 + (n - 3) // 2:], ' ')) END AS two
-  FROM t),
-c AS (
-  SELECT key FROM (SELECT one AS key, body FROM k WHERE filled UNION ALL SELECT two, body FROM k WHERE filled)
-  GROUP BY key HAVING count(DISTINCT body) >= 5),
-d AS (
-  SELECT doc_id, pos, line, filled AND (one IN (SELECT key FROM c) OR two IN (SELECT key FROM c)) AS drop FROM k)
+s AS (SELECT DISTINCT masked, body, n, tokens FROM t WHERE masked <> ''),
+c AS (SELECT masked, n, tokens, count(*) AS docs FROM s GROUP BY ALL),
+f AS (SELECT n, tokens[1:3] AS head, sum(docs) AS total FROM c WHERE n >= 8 GROUP BY ALL HAVING count(*) > 1),
+w AS (
+  SELECT c.masked, c.n, f.head, f.total, c.docs, unnest(c.tokens[4:]) AS token,
+         generate_subscripts(c.tokens[4:], 1) AS place
+  FROM c JOIN f ON c.n = f.n AND c.tokens[1:3] = f.head),
+x AS (
+  SELECT n, head, place, token FROM w GROUP BY n, head, total, place, token
+  HAVING sum(docs) >= 5 AND sum(docs) * 100 >= total * 10),
+g AS (
+  SELECT masked, n, head, list((place, token) ORDER BY place) AS same FROM w JOIN x USING (n, head, place, token)
+  GROUP BY masked, n, head HAVING (count(*) + 3) * 100 >= n * 60),
+h AS (
+  SELECT n, head, same FROM g JOIN (SELECT masked, body FROM s) AS b USING (masked)
+  GROUP BY n, head, same HAVING count(DISTINCT body) >= 5),
+o AS (SELECT body, count(*) AS own FROM s JOIN c USING (masked) WHERE docs < 5 GROUP BY body),
+p AS (
+  SELECT a.masked, a.n, a.body AS a, b.body AS b FROM s AS a JOIN s AS b ON a.masked = b.masked AND a.body < b.body
+  JOIN c ON c.masked = a.masked WHERE c.docs < 5),
+q AS (
+  SELECT a, b FROM p JOIN o AS x ON x.body = a JOIN o AS y ON y.body = b
+  GROUP BY a, b HAVING 2 * count(*) <= greatest(any_value(x.own), any_value(y.own))),
+z AS (
+  SELECT masked FROM c WHERE docs >= 5 UNION
+  SELECT masked FROM g JOIN h USING (n, head, same) UNION
+  SELECT masked FROM p JOIN q USING (a, b) WHERE n >= 50),
+d AS (SELECT doc_id, pos, line, masked IN (SELECT masked FROM z) AS drop FROM m)
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop), '') AS text,
        count(*) AS n_lines, count(*) FILTER (drop) AS n_dropped
 FROM d GROUP BY doc_id""",
