@@ -48,6 +48,7 @@ LONG = 50  # tokens; such a line recurs from two texts on
 CONSTANT_PERCENT = 10
 SAME_PERCENT = 60
 SALTS = 16
+LEAF_BUCKETS = 1 << 20  # bounds the broadcast that spares lines of single leaves the shuffle
 # looked for at the starts of tokens only, without stepping back
 TOKEN_WITH_DIGIT = "(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D0-9]*+[0-9][^\\x20\\x09-\\x0D]*+"
 WHITE_RUN = "[\\x20\\x09-\\x0D]+"
@@ -84,11 +85,16 @@ def lines_of(rows: DataFrame) -> DataFrame:
 
 def templates(lines: DataFrame, counts: DataFrame, min_docs: int) -> DataFrame:
     """whole, template: the merged lines of every leaf that holds different ones."""
-    leaves = (counts.where("leaf is not null").groupBy("leaf")
-              .agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("variants"))
-              .where((F.col("total") >= min_docs) & (F.col("variants") > 1)).select("leaf", "total"))
-    held = (salted_join(lines.where("leaf is not null").select("leaf", "whole", "n", "masked"), leaves, ["leaf"], "whole")
-            .distinct())
+    leaves = work_table(
+        counts.where("leaf is not null").groupBy("leaf")
+        .agg(F.sum("docs").alias("total"), F.count(F.lit(1)).alias("variants"))
+        .where((F.col("total") >= min_docs) & (F.col("variants") > 1)).select("leaf", "total"), "leaves")
+    # most leaves hold one line: those outside the buckets of the others stay where they are
+    bucket = F.pmod(F.xxhash64("leaf"), F.lit(LEAF_BUCKETS)).alias("bucket")
+    buckets = leaves.select(bucket).distinct()
+    near = (lines.where("leaf is not null").select("leaf", "whole", "n", "masked", bucket)
+            .join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket"))
+    held = salted_join(near, leaves, ["leaf"], "whole").distinct()
     rest = F.slice(F.split("masked", " "), F.lit(DEPTH + 1), F.col("n") - DEPTH)
     tokens = work_table(
         held.join(counts.select("whole", "docs"), "whole")
