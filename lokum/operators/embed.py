@@ -92,3 +92,12 @@ def embed_delta(batch: DataFrame, stored: DataFrame, key: str = "doc_id", text_c
     emb = embed_hashing(todo, model, text_col, key) if embedder is None else embed_with(todo, embedder, text_col, key)
     fresh = todo.select(key, "content_hash").join(emb, key).withColumn("reused", F.lit(False))
     return reuse.unionByName(fresh)
+
+
+def embedding_hook(model: IDFModel | None = None, embedder=None, dim: int = VECTOR_DIM):
+    """The model, or an injected embedder, as a hook of ``plans.results``."""
+    def hook(contents: DataFrame) -> DataFrame:
+        out = (embed_hashing(contents, model, "content", "content_hash") if embedder is None
+               else embed_with(contents, embedder, "content", "content_hash", "string", dim))
+        return out.select("content_hash", F.col("embedding").alias("result"))
+    return hook

@@ -610,6 +610,10 @@ oracle("embed_delta", """
 SELECT doc_id, sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) AS reused, 1536 AS dim,
        TRUE AS same
 FROM documents""")
+oracle("embed_cached", """
+SELECT doc_id, CASE WHEN trim(text) <> '' THEN sha256(text) IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0) END
+       AS first_run, 1536 AS dim, TRUE AS same
+FROM documents""")
 oracle("vector_batch_topk", """
 WITH Q AS (SELECT vec_id AS query_id, embedding AS q FROM embeddings),
 S AS (SELECT query_id, e.vec_id AS item_id,

@@ -27,6 +27,7 @@ from ..functions import text as FT
 from ..functions.urls import url_hash_id
 from ..operators import filters as P
 from ..operators.dedupe import keep_first
+from .results import with_results
 
 # Post records arrive with alternative field names (first non-empty wins).
 POST_FIELDS = {
@@ -112,15 +113,24 @@ def rule_extractor(posts: DataFrame, verdict: Column) -> DataFrame:
     return posts.withColumn("json", F.to_json(payload, {"ignoreNullFields": "false"}))
 
 
-def hook_extractor(posts: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
-                   ) -> DataFrame:
+def hook_extractor(posts: DataFrame, fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+                   results: str | None = None) -> DataFrame:
     """Pluggable extractor (e.g. a model client) as an Arrow batch hook. Its
-    prompt takes the first ``EXTRACT_TEXT_CAP`` characters (F27); nothing else is cut."""
-    out = posts.select("external_id", FT.text_cap("text", EXTRACT_TEXT_CAP).alias("text")).mapInPandas(fn, "external_id string, json string")
+    prompt takes the first ``EXTRACT_TEXT_CAP`` characters (F27); nothing else is cut.
+    With a ``results`` folder (of one model version) a prompt that any run has
+    extracted is looked up there and never sent again."""
+    capped = posts.withColumn("__prompt", FT.text_cap("text", EXTRACT_TEXT_CAP))
+    if results is not None:
+        def hook(contents: DataFrame) -> DataFrame:
+            return (contents.select(F.col("content_hash").alias("external_id"), F.col("content").alias("text"))
+                    .mapInPandas(fn, "external_id string, json string")
+                    .select(F.col("external_id").alias("content_hash"), F.col("json").alias("result")))
+        return with_results(posts.sparkSession, results, capped, "__prompt", hook, "json").drop("__prompt", "json_version")
+    out = capped.select("external_id", F.col("__prompt").alias("text")).mapInPandas(fn, "external_id string, json string")
     return posts.join(out, "external_id", "left")
 
 
-def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extractor=None,
+def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extractor=None, results: str | None = None,
                   rental: Sequence[str] | None = None, sale: Sequence[str] | None = None) -> DataFrame:
     """S4 output -> P7 -> W3 -> P8 -> F27 -> extractor -> from_json -> P9
     -> listing record (F11, F15, F16, F17, F26)."""
@@ -136,7 +146,7 @@ def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extrac
     if extractor is None:
         p = rule_extractor(p, verdict if verdict is not None else F.lit(True))
     else:
-        p = hook_extractor(p, extractor)
+        p = hook_extractor(p, extractor, results)
     x = F.from_json("json", EXTRACTION_SCHEMA, {"mode": "PERMISSIVE"})
     p = p.withColumn("x", x).filter(F.coalesce(F.col("x.is_apartment_for_sale"), F.lit(False)))
     date = FD.post_date(text=F.col("time"), as_of=as_of)
@@ -152,4 +162,4 @@ def post_listings(posts: DataFrame, as_of, verdict: Column | None = None, extrac
         date.alias("date_posted"),
         F.col("text").alias("description"),
         F.coalesce(F.col("url"), F.concat(F.lit("https://www.facebook.com/groups/"),
-                                          F.col("external_id").substr(4, 1000))).alias("url"))
+                                          F.expr("substring(external_id, 4)"))).alias("url"))

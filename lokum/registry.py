@@ -910,6 +910,27 @@ def q_embed_delta(spark, sf):
                     (F.col("embedding") == F.col("whole")).alias("same")))
 
 
+@register("embed_cached")
+def q_embed_cached(spark, sf):
+    """V1, V3 by content: a run over the even documents, then one over all. The second
+    embeds what the first has not; ``same`` compares every looked-up vector with the
+    one that its text gets directly (blank texts: the zero vector)."""
+    import uuid
+    from .plans import results
+    from .session import scratch_dir
+    docs = _docs(spark, sf)
+    model = fitted_embedder(spark, docs)
+    base = results.model_base(scratch_dir(spark, f"vectors-{uuid.uuid4().hex[:12]}"), "1")
+    hook = EM.embedding_hook(model)
+    results.with_results(spark, base, docs.filter(F.col("doc_id") % 2 == 0), "text", hook, "embedding")
+    out = results.with_results(spark, base, docs, "text", hook, "embedding")
+    direct = EM.embed_hashing(docs, model).withColumnRenamed("embedding", "direct")
+    vector = F.coalesce("embedding", EM.zero_vector(model.idf.size))
+    return (out.join(direct, "doc_id")
+            .select("doc_id", (F.col("embedding_version") == 1).alias("first_run"), F.size(vector).alias("dim"),
+                    (vector == F.col("direct")).alias("same")))
+
+
 @register("search_text")
 def q_search_text(spark, sf):
     """V4: a text query against all embedded documents: the nearest ones over the
