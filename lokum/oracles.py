@@ -486,6 +486,16 @@ WHERE stop IS NULL OR page_no < stop""")
 oracle("quarantine_split", f"""
 SELECT page_id, CASE WHEN {strings_joined(ARTICLE, "''")} <> '' THEN 'ok' ELSE 'quarantine' END AS status
 FROM pages""")
+_KEYS = ", ".join(f"'{k}'" for k in PORTAL_KEYS)
+oracle("portal_isolation", f"""
+WITH P AS (SELECT page_id, ([{_KEYS}])[CAST(page_id % {len(PORTAL_KEYS)} AS INTEGER) + 1] AS portal FROM pages),
+R AS (
+  SELECT page_id, portal,
+         CASE WHEN portal = '{PORTAL_KEYS[2]}' AND page_id % 3 <> 0 OR page_id % 11 = 0 THEN 'no html'
+              WHEN page_id % 13 = 0 THEN 'no content' END AS reason
+  FROM P),
+S AS (SELECT portal, count(reason) > 0.5 * count(*) AS down FROM R GROUP BY portal)
+SELECT page_id, portal, coalesce(reason, CASE WHEN down THEN 'portal failing' END) AS reason FROM R JOIN S USING (portal)""")
 oracle("search_scope", """
 SELECT o_orderkey AS page_id, (['otodom', 'olx', 'morizon'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS portal FROM orders
 WHERE o_orderkey % 3 = 2 OR o_orderstatus = 'F'""")

@@ -631,6 +631,23 @@ def q_quarantine_split(spark, sf):
     return PG.quarantine_split(pages_table(spark, sf)).select("page_id", "status")
 
 
+@register("portal_isolation")
+def q_portal_isolation(spark, sf):
+    """Captures of seven portals, some without html or content, those of one
+    portal mostly; every page in the batch (null reason) or in quarantine."""
+    import uuid
+    from .plans.isolation import load_pages
+    from .session import scratch_dir
+    page = F.col("page_id")
+    portal = F.element_at(F.array(*[F.lit(k) for k in PORTAL_KEYS]), (page % len(PORTAL_KEYS) + 1).cast("int"))
+    html = (F.when((portal == PORTAL_KEYS[2]) & (page % 3 != 0), F.lit(None))
+            .when(page % 11 == 0, F.lit(" ")).when(page % 13 == 0, F.lit("<p>gone</p>")).otherwise(F.col("html")))
+    captured = pages_table(spark, sf).select("page_id", portal.alias("portal"), html.alias("html"))
+    run = load_pages(spark, scratch_dir(spark, f"load-{uuid.uuid4().hex[:12]}"), captured)
+    return (run.batch.select("page_id", "portal", F.lit(None).cast("string").alias("reason"))
+            .unionByName(run.quarantine))
+
+
 @register("source_scope")
 def q_source_scope(spark, sf):
     p = pages_table(spark, sf)
