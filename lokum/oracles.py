@@ -486,6 +486,9 @@ WHERE stop IS NULL OR page_no < stop""")
 oracle("quarantine_split", f"""
 SELECT page_id, CASE WHEN {strings_joined(ARTICLE, "''")} <> '' THEN 'ok' ELSE 'quarantine' END AS status
 FROM pages""")
+oracle("distinct_profile", from_l("""
+portal, count(DISTINCT line_no) AS n_runs, count(*) AS n_rows, count(DISTINCT external_id) AS exact_ids,
+TRUE AS within_error""", "GROUP BY portal"))
 _KEYS = ", ".join(f"'{k}'" for k in PORTAL_KEYS)
 oracle("portal_isolation", f"""
 WITH P AS (SELECT page_id, ([{_KEYS}])[CAST(page_id % {len(PORTAL_KEYS)} AS INTEGER) + 1] AS portal FROM pages),

@@ -631,6 +631,23 @@ def q_quarantine_split(spark, sf):
     return PG.quarantine_split(pages_table(spark, sf)).select("page_id", "status")
 
 
+@register("distinct_profile")
+def q_distinct_profile(spark, sf):
+    """A4: the listings arrive in seven runs (by line number), each adds its sketches;
+    the merged estimate per portal, held against the exact count."""
+    import uuid
+    from .operators import profile
+    from .session import scratch_dir
+    path = scratch_dir(spark, f"profile-{uuid.uuid4().hex[:12]}")
+    for run in range(1, 8):
+        profile.append_profile(L(spark, sf).filter(F.col("line_no") == run), path, str(run))
+    exact = L(spark, sf).groupBy("portal").agg(F.count_distinct("external_id").alias("exact_ids"))
+    off = F.abs(F.col("distinct_ids") - F.col("exact_ids"))
+    return (profile.merged_profile(spark, path).join(exact, "portal")
+            .select("portal", "n_runs", "n_rows", "exact_ids",
+                    (off <= F.col("exact_ids") * profile.ERROR).alias("within_error")))
+
+
 @register("portal_isolation")
 def q_portal_isolation(spark, sf):
     """Captures of seven portals, some without html or content, those of one
