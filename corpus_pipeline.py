@@ -42,9 +42,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    apply_conf(spark)
     """The packed pieces: token ids (32-bit little-endian, end to end) and their CRC-32,
     sequence and place. A null text is a document of one separator."""
+    apply_conf(spark)
     return packing.pack(docs, ids="binary", digest=True)
 
 
