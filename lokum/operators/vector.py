@@ -79,6 +79,7 @@ def topk(df: DataFrame, sim_col: str, k: int | None, threshold: float | None,
 # --- W8: batch top-k ---------------------------------------------------------
 
 SHARD_ROWS, BLOCK_ROWS = 16_384, 2_048
+MATRIX_CELLS = 2_097_152  # similarities held at once: 16 MB
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -98,8 +99,9 @@ def _best_of(k: int, threshold: float | None, query_id: str, item_id: str):
         if own.num_rows and asks.num_rows:
             dim = own["dim"][0].as_py()
             ids, m = own["id"].to_numpy(), _matrix(own["v"], dim)
-            for lo in range(0, asks.num_rows, BLOCK_ROWS):
-                block = asks.slice(lo, BLOCK_ROWS)
+            step = max(1, min(BLOCK_ROWS, MATRIX_CELLS // own.num_rows))
+            for lo in range(0, asks.num_rows, step):
+                block = asks.slice(lo, step)
                 for name, sims in zip(block["id"].to_pylist(), _matrix(block["v"], dim) @ m.T):
                     at = np.flatnonzero(sims > least)
                     if len(at) > k:
