@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lokum.operators import extract_html as X
+from lokum.operators import extract_json as XJ
 from lokum.operators import html_batch as B
 from lokum.operators import html_dom as H
 from lokum.operators import page_rules as R
@@ -98,3 +99,16 @@ def test_a_cards_text_is_searched_only_for_what_its_elements_lack(spark):
     got = [(r.external_id, r.price_pln, r.sqm, r.rooms) for r in df.orderBy("external_id").collect()]
     assert got == [("freedom-1", 900000.0, 40.0, 3), ("freedom-2", 1250000.0, 61.5, 3)]
     assert "struct(sqm" not in _plan(df)  # all of the text's fields, for every row
+
+
+def test_json_blob_is_cut_out_without_a_pattern_over_the_page(spark):
+    ad = '{"props":{"pageProps":{"data":{"ads":[{"id":"1","title":"50 m2 za 300 000 zł","url":"/o/1"}]}}}}'
+    tag = '<script id="__NEXT_DATA__" type="application/json">'
+    pages = spark.createDataFrame(
+        [(1, f"<script>x</script>{tag}{ad}</script><script>y</script>"), (2, tag + ad), (3, tag + "</script>"),
+         (4, None), (5, "<p>none</p></script>")], "page_id long, html string")
+    blobs = {r.page_id: r.b for r in pages.select("page_id", XJ.next_data().alias("b")).collect()}
+    assert blobs == {1: ad, 2: None, 3: None, 4: None, 5: None}
+    df = XJ.ads_layout_a(pages, AS_OF)
+    assert [(r.external_id, r.price_pln, r.sqm) for r in df.collect()] == [("olx-1", 300000.0, 50.0)]
+    assert "(.*?)</script>" not in _plan(df) and "struct(sqm" not in _plan(df)
