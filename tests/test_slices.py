@@ -112,3 +112,16 @@ def test_json_blob_is_cut_out_without_a_pattern_over_the_page(spark):
     df = XJ.ads_layout_a(pages, AS_OF)
     assert [(r.external_id, r.price_pln, r.sqm) for r in df.collect()] == [("olx-1", 300000.0, 50.0)]
     assert "(.*?)</script>" not in _plan(df) and "struct(sqm" not in _plan(df)
+
+
+def test_price_per_sqm_is_worked_out_behind_the_join(spark):
+    """Listings without the column get it from their own values; a page's fill in what lacks."""
+    from lokum.plans.normalize import detail_enrich
+    listings = spark.createDataFrame(
+        [("a", "https://x/1?y", 500000.0, 50.0, 2), ("b", "https://x/2", None, 40.0, 2), ("c", "https://x/3", None, 40.0, 2)],
+        "external_id string, url string, price_pln double, sqm double, rooms int").selectExpr(
+        "*", "'Wola' AS district", "string(null) AS description", "string(null) AS date_posted")
+    details = spark.createDataFrame([("https://x/1", "za 900 000 zł"), ("https://x/2", "za 200 000 zł")],
+                                    "curl string, detail_text string")
+    got = detail_enrich(listings, details, AS_OF, ["Dodano"]).orderBy("external_id").collect()
+    assert [(r.price_pln, r.price_per_sqm) for r in got] == [(500000.0, 10000.0), (200000.0, 5000.0), (None, None)]
